@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.net import row_key
+from ..functions.net import part_key, row_key
 from ..functions.text import clean, has_line_end, pieces
 from ..functions.times import full_time, short_time
 from ..schemas import ENDPOINTS, HOST, NO_IP, SOURCE, TARGET
@@ -170,12 +170,25 @@ def rejects(lines: DataFrame, year: int) -> DataFrame:
     )
 
 
+def sessions_in(lines: DataFrame, year: int, line_format: str) -> DataFrame:
+    """``flows`` of the messages of one format, ``A`` or ``B``."""
+    dated = is_dated(F.col("value"))
+    return flows(lines.where(dated if line_format == "B" else ~dated), year)
+
+
 def with_row_key(sessions: DataFrame) -> DataFrame:
     return sessions.withColumn(
         "rowkey", row_key(F.col("convertedIp"), F.col("convertedPort"), F.col("accesstime"))
     )
 
 
+def secondary_index(sessions: DataFrame) -> DataFrame:
+    """``(accesstime, partKey, rowkey)``: finds stored keys by both outer endpoints."""
+    endpoints = ["targetIp", "targetPort", "convertedIp", "convertedPort"]
+    key = part_key(*map(F.col, endpoints))
+    return sessions.select("accesstime", key.alias("partKey"), "rowkey")
+
+
 def counted(lines: DataFrame, year: int) -> DataFrame:
     """``(types, accesstime, data)``: the host of each host line, target and source of each session.
 

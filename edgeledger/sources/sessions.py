@@ -15,6 +15,7 @@ from ..schemas import FLOWS
 
 STORE_COLUMNS = FLOWS.fieldNames()
 PAGE = 11
+KEY_COLUMNS = {"rowkey", "convertedIp", "convertedPort", "accesstime"}
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
@@ -48,6 +49,20 @@ def trace_value(sessions: DataFrame, column: str, value: str, n: int = PAGE) ->
     return _page(sessions.where(F.col(column) == value), n)
 
 
+def stored_with(stored: DataFrame, column: str, value: str) -> DataFrame:
+    """Newest rows of the store with one value in one column.
+
+    A row key fixes the public endpoint and the time, so there the filter goes
+    first. Other columns may change from batch to batch: the keys that ever had
+    the value are looked up, and their newest rows are tested.
+    """
+    test = F.col(column) == value
+    if column in KEY_COLUMNS:
+        return newest(stored.where(test))
+    keys = stored.where(test).select("dt", "rowkey").distinct()
+    return newest(stored.join(keys, ["dt", "rowkey"], "left_semi")).where(test)
+
+
 def endpoint_keys(ip: str, port: str, start, end) -> Column:
     """Row keys of a public endpoint with ``start <= time < end``, as one range of keys."""
     prefix = endpoint_hash(F.lit(ip), F.lit(port))

@@ -53,9 +53,8 @@ def starting_offsets(offsets: DataFrame, group: str) -> DataFrame:
 
     It has one number per topic partition of the group.
     """
-    by_partition = F.map_from_entries(
-        F.array_sort(F.collect_list(F.struct(F.col("partitionNum").cast("string"), "offsets")))
-    )
-    topics = group_offsets(offsets, group).groupBy("topic").agg(by_partition.alias("parts"))
-    by_topic = F.map_from_entries(F.array_sort(F.collect_list(F.struct("topic", "parts"))))
-    return topics.agg(F.to_json(by_topic).alias("startingOffsets"))
+    numbers = F.map_from_entries(F.array_sort(F.collect_list(F.struct("partitionNum", "offsets"))))
+    topics = group_offsets(offsets, group).groupBy("topic").agg(numbers.alias("numbers"))
+    member = F.regexp_replace(F.to_json(F.create_map("topic", "numbers")), r"^\{|\}$", "")
+    members = F.concat_ws(",", F.array_sort(F.collect_list(member)))
+    return topics.agg(F.concat(F.lit("{"), members, F.lit("}")).alias("startingOffsets"))
