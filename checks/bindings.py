@@ -83,7 +83,9 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frame(spark, sf_dir, "lines").select("value")
+    """The rendered lines; the explode keeps filters on a line from rendering it again."""
+    lines = frame(spark, sf_dir, "lines")
+    return lines.select(F.explode_outer(F.array("value")).alias("value"))
 
 
 def ev_sessions(

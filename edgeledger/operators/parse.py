@@ -20,29 +20,39 @@ PARTS = [
     "targetIp", "targetPort", "convertedIp", "convertedPort", "noConverted",
 ]
 
+# Quantifiers are possessive: neighbouring classes never share a character, so
+# there is nothing to go back for.
+_BLANK = r"[ \t\n\x0B\f\r]++"
+_WORD = r"[^ \t\n\x0B\f\r]"
+_CLOCK = r"([0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})"
+
 # Format A: Msg: Jun 7 09:07:06 w w w w ip:port->ip:port(PROTO), w w ip:port, ...
 # The endpoints are the ninth word, cut at each of : - > ( ). The translated
 # endpoint is the fourth text between single spaces after the first comma. All
 # of these must be there; only the parts of the translated endpoint may be missing.
+_PLAIN = r"[^ \t\n\x0B\f\r,]"
 _CUT = r"[:\->()]"
-_TEXT = r"[^\s,:\->()]"
+_TEXT = r"[^ \t\n\x0B\f\r,:\->()]"
+_PIECE = rf"({_TEXT}*+)"
+_CONVERTED = r"(?:(:++)(?=[ ,]|\z)|([^ ,:]*+)(?::([^ ,:]*+)[^ ,]*+)?+)"
 SHORT_DATED = (
-    r"(?s)\A[^\s,]+\s+([A-Za-z]{3})\s+([0-9]{1,2})\s+([0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})[^\s,]*"
-    r"(?:\s+[^\s,]+){4}\s+"
-    rf"({_TEXT}*){_CUT}({_TEXT}*){_CUT}{_TEXT}*{_CUT}({_TEXT}*){_CUT}({_TEXT}*){_CUT}"
-    rf"(?={_CUT}*{_TEXT})({_TEXT}*)[^,]*,"
-    r"[^ ,]* [^ ,]* [^ ,]* (?= *[^ ,])(?:(:+)(?=[ ,]|\z)|([^ ,:]*)(?::([^ ,:]*)[^ ,]*)?).*\z"
+    rf"(?s)\A{_PLAIN}++{_BLANK}([A-Za-z]{{3}}){_BLANK}([0-9]{{1,2}}){_BLANK}{_CLOCK}{_PLAIN}*+"
+    rf"(?:{_BLANK}{_PLAIN}++){{4}}{_BLANK}"
+    rf"{_PIECE}{_CUT}{_PIECE}{_CUT}{_TEXT}*+{_CUT}{_PIECE}{_CUT}{_PIECE}{_CUT}"
+    rf"(?={_CUT}*+{_TEXT}){_PIECE}[^,]*+,"
+    rf"[^ ,]*+ [^ ,]*+ [^ ,]*+ (?= *+[^ ,]){_CONVERTED}.*+\z"
 )
 SHORT_PARTS = "$1\n$2\n$3\n=$8\n=$4\n=$5\n=$6\n=$7\n=$10\n=$11\n$9"
 
 # Format B: Msg: 2021-06-07 09:07:06 w k=v,k=v,... of exactly five words. The
 # items count by place: 1 protocol, 2 and 3 addresses, 4 and 5 ports, 6 and 7 the
 # translated endpoint. An item without a value ends the list.
-_ITEM = r",[^=,\s]*(=(?==*[^=,\s])[^=,\s]*)(?:=[^,\s]*)?"
+_NAME = r"[^ \t\n\x0B\f\r,=]"
+_ITEM = rf",{_NAME}*+(=(?==*+{_NAME}){_NAME}*+)(?:={_PLAIN}*+)?+"
 FULL_DATED = (
-    r"\AMsg:\s+([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})\s+([0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})\S*\s+\S+\s+"
-    rf"[^,\s]*{_ITEM}"
-    rf"(?:{_ITEM}(?:{_ITEM}(?:{_ITEM}(?:{_ITEM}(?:{_ITEM}(?:{_ITEM})?)?)?)?)?)?\S*\z"
+    rf"\AMsg:{_BLANK}([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}){_BLANK}{_CLOCK}{_WORD}*+{_BLANK}"
+    rf"{_WORD}++{_BLANK}{_PLAIN}*+{_ITEM}"
+    rf"(?:{_ITEM}(?:{_ITEM}(?:{_ITEM}(?:{_ITEM}(?:{_ITEM}(?:{_ITEM})?+)?+)?+)?+)?+)?+{_WORD}*+\z"
 )
 FULL_PARTS = "\n$1\n$2\n$3\n$4\n$6\n$5\n$7\n$8\n$9\n"
 
@@ -95,11 +105,18 @@ def hosts(lines: DataFrame) -> DataFrame:
     return host_lines(lines).withColumn("host", host_of(F.col("value"))).where("host is not null")
 
 
-def _read_fields(messages: DataFrame, year: int) -> DataFrame:
-    """Adds format, time, endpoint fields and, for lines that give no session, the reason."""
+def line_format(value: Column) -> Column:
+    """``A`` or ``B`` for messages, ``host`` for host lines, else NULL."""
+    return (
+        F.when(is_dated(value), "B").when(is_message(value), "A").when(is_host_line(value), "host")
+    )
+
+
+def _read_fields(lines: DataFrame, year: int) -> DataFrame:
+    """Adds format, and for messages time, endpoint fields and why a line gives no session."""
     value = F.col("value")
     part = {name: F.get("_parts", F.lit(i)) for i, name in enumerate(PARTS)}
-    missing = {"convertedIp": F.col("_parts").isNull() | (part["noConverted"] != "")}
+    missing = {"convertedIp": part["noConverted"] != ""}
     fields = {}
     for name in ENDPOINTS:
         unset = (part[name] == "") | missing.get(name, F.lit(False))
@@ -109,22 +126,16 @@ def _read_fields(messages: DataFrame, year: int) -> DataFrame:
         short_time(part["month"], part["day"], part["clock"], year)
     )
     reason = (
-        F.when(F.size("_parts") < len(PARTS), "shape")
+        F.when(F.get("_parts", F.lit(len(PARTS) - 1)).isNull(), "shape")
         .when(F.col("accesstime").isNull(), "time")
         .when(F.col("sourceIp") == NO_IP, "source")
     )
-    listed = F.col("format") == "B"
+    parts = F.when(
+        F.col("format") == "B", F.regexp_replace(value, FULL_DATED, FULL_PARTS)
+    ).when(F.col("format") == "A", F.regexp_replace(value, SHORT_DATED, SHORT_PARTS))
     return (
-        messages.withColumn("format", F.when(is_dated(value), "B").otherwise("A"))
-        .withColumn(
-            "_parts",
-            F.split(
-                F.when(listed, F.regexp_replace(value, FULL_DATED, FULL_PARTS)).otherwise(
-                    F.regexp_replace(value, SHORT_DATED, SHORT_PARTS)
-                ),
-                "\n",
-            ),
-        )
+        lines.withColumn("format", line_format(value))
+        .withColumn("_parts", F.split(parts, "\n"))
         .withColumns({"accesstime": at, **fields})
         .withColumn("reason", reason)
         .drop("_parts")
@@ -197,22 +208,22 @@ def counted(lines: DataFrame, year: int) -> DataFrame:
     """
     value = F.col("value")
     kept = _others(lines)
-    both = lines.where(is_host_line(value) | is_message(value))
-    parsed = _read_fields(both, year)
     entry = lambda kind, at, data: F.struct(
         F.lit(kind).alias("types"), at.alias("accesstime"), data.alias("data")
     )
-    session = is_message(value) & F.col("reason").isNull()
-    entries = F.when(
-        session,
-        F.array(
-            entry(TARGET, F.col("accesstime"), F.col("targetIp")),
-            entry(SOURCE, F.col("accesstime"), F.col("sourceIp")),
-        ),
-    ).when(
-        ~is_message(value) & host_of(value).isNotNull(),
-        F.array(entry(HOST, F.lit(None).cast("timestamp"), host_of(value))),
+    of_session = F.array(
+        entry(TARGET, F.col("accesstime"), F.col("targetIp")),
+        entry(SOURCE, F.col("accesstime"), F.col("sourceIp")),
+    )
+    of_host = F.array(entry(HOST, F.lit(None).cast("timestamp"), F.col("_host")))
+    parsed = _read_fields(lines, year)
+    host = parsed.withColumn("_host", F.when(F.col("format") == "host", host_of(value)))
+    entries = F.when(F.col("_host").isNotNull(), of_host).when(
+        F.col("format").isin("A", "B") & F.col("reason").isNull(), of_session
     )
-    listed = parsed.select(*kept, entries.alias("_entries"))
+    listed = host.select(*kept, entries.alias("_entries"))
     rows = listed.select(*kept, F.explode_outer("_entries").alias("_entry"))
-    return rows.where(F.col("_entry").isNotNull()).select(*kept, "_entry.*")
+    found = rows.where(F.col("_entry").isNotNull()).select(*kept, "_entry.*")
+    # Never NULL, and said so: a join on it then adds no filter of its own below
+    # the counts, and all dimensions share them.
+    return found.withColumn("data", F.coalesce("data", F.lit("")))
