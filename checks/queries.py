@@ -172,28 +172,25 @@ def _store(spark, sf) -> DataFrame:
 
 @query
 def trace_time(spark, sf):
-    stored = S.newest(_store(spark, sf)).drop("dt")
-    return S.trace_time(stored, "2024-01-10 00:00:00", "2024-01-10 06:00:00")
+    stored = _store(spark, sf)
+    return S.trace_time(stored, "2024-01-10 00:00:00", "2024-01-10 06:00:00").drop("dt")
 
 
 @query
 def trace_converted_ip(spark, sf):
-    found = S.stored_with(_store(spark, sf), "convertedIp", "113.214.201.3").drop("dt")
-    return S.trace_value(found, "convertedIp", "113.214.201.3")
+    return S.trace_value(_store(spark, sf), "convertedIp", "113.214.201.3").drop("dt")
 
 
 @query
 def trace_source_ip(spark, sf):
-    found = S.stored_with(_store(spark, sf), "sourceIp", "30.130.0.74").drop("dt")
-    return S.trace_value(found, "sourceIp", "30.130.0.74")
+    return S.trace_value(_store(spark, sf), "sourceIp", "30.130.0.74").drop("dt")
 
 
 @query
 def trace_endpoint(spark, sf):
-    stored = S.newest(_store(spark, sf)).drop("dt")
     return S.trace_endpoint(
-        stored, "113.214.201.7", "10007", "2024-01-05 00:00:00", "2024-01-20 00:00:00"
-    )
+        _store(spark, sf), "113.214.201.7", "10007", "2024-01-05 00:00:00", "2024-01-20 00:00:00"
+    ).drop("dt")
 
 
 # Sinks

@@ -38,29 +38,35 @@ def newest(stored: DataFrame) -> DataFrame:
     return latest.select("dt", *[f"_row.{c}" if c != "rowkey" else c for c in STORE_COLUMNS])
 
 
-def trace_time(sessions: DataFrame, start, end, n: int = PAGE) -> DataFrame:
-    """First ``n`` sessions by row key with ``start <= time < end``."""
+def in_time(start, end) -> Column:
+    """``start <= accesstime < end``."""
     at = F.col("accesstime")
-    return _page(sessions.where((at >= moment(start)) & (at < moment(end))), n)
+    return (at >= moment(start)) & (at < moment(end))
 
 
-def trace_value(sessions: DataFrame, column: str, value: str, n: int = PAGE) -> DataFrame:
-    """First ``n`` sessions by row key with one value in one column."""
-    return _page(sessions.where(F.col(column) == value), n)
+def newest_where(stored: DataFrame, test: Column, on_key: bool) -> DataFrame:
+    """Newest rows of the store that meet ``test``.
 
+    A row key fixes the public endpoint and the time. A test of these alone
+    (``on_key``) reaches the files. Other columns may change from batch to batch:
+    the keys that ever met the test are looked up, and their newest rows are tested.
+    """
+    met = stored.where(test)
+    if on_key:
+        return newest(met)
+    keys = met.select("dt", "rowkey").distinct()
+    return newest(stored.join(keys, ["dt", "rowkey"], "left_semi")).where(test)
 
-def stored_with(stored: DataFrame, column: str, value: str) -> DataFrame:
-    """Newest rows of the store with one value in one column.
 
-    A row key fixes the public endpoint and the time, so there the filter goes
-    first. Other columns may change from batch to batch: the keys that ever had
-    the value are looked up, and their newest rows are tested.
-    """
+def trace_time(stored: DataFrame, start, end, n: int = PAGE) -> DataFrame:
+    """First ``n`` stored sessions by row key with ``start <= time < end``."""
+    return _page(newest_where(stored, in_time(start, end), on_key=True), n)
+
+
+def trace_value(stored: DataFrame, column: str, value: str, n: int = PAGE) -> DataFrame:
+    """First ``n`` stored sessions by row key with one value in one column."""
     test = F.col(column) == value
-    if column in KEY_COLUMNS:
-        return newest(stored.where(test))
-    keys = stored.where(test).select("dt", "rowkey").distinct()
-    return newest(stored.join(keys, ["dt", "rowkey"], "left_semi")).where(test)
+    return _page(newest_where(stored, test, column in KEY_COLUMNS), n)
 
 
 def endpoint_keys(ip: str, port: str, start, end) -> Column:
@@ -71,9 +77,10 @@ def endpoint_keys(ip: str, port: str, start, end) -> Column:
     return (F.col("rowkey") > newest_key) & (F.col("rowkey") <= oldest_key)
 
 
-def trace_endpoint(sessions: DataFrame, ip: str, port: str, start, end) -> DataFrame:
-    """All sessions of a public endpoint in a time range, newest first."""
-    return sessions.where(endpoint_keys(ip, port, start, end)).orderBy("rowkey")
+def trace_endpoint(stored: DataFrame, ip: str, port: str, start, end) -> DataFrame:
+    """All stored sessions of a public endpoint in a time range, newest first."""
+    found = newest_where(stored, endpoint_keys(ip, port, start, end), on_key=True)
+    return found.orderBy("rowkey")
 
 
 def _page(sessions: DataFrame, n: int) -> DataFrame:
