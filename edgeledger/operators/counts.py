@@ -155,17 +155,12 @@ def hour_fill(values: DataFrame, key: str) -> DataFrame:
     holds at most 24 values when they are put together.
     """
     hours = [f"{h:02d}" for h in range(24)]
-    last = (
-        values.where(F.col("hour").isin(hours))
-        .groupBy(key, "hour")
-        .agg(F.max_by("value", "position").alias("value"))
-    )
-    filled = last.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("hour", "value"))).alias("_by_hour")
-    )
+    known = F.when(F.col("hour").isin(hours), F.col("hour")).alias("hour")
+    last = values.groupBy(key, known).agg(F.max_by("value", "position").alias("value"))
+    pair = F.when(F.col("hour").isNotNull(), F.struct("hour", "value"))
+    by_hour = last.groupBy(key).agg(F.map_from_entries(F.collect_list(pair)).alias("_by_hour"))
     pairs = [
         F.concat(F.lit(f"{hour}="), F.coalesce(F.try_element_at("_by_hour", F.lit(hour)), F.lit("0")))
         for hour in hours
     ]
-    everyone = values.select(key).distinct().join(filled, key, "left")
-    return everyone.select(key, F.concat_ws(",", *pairs).alias("hours"))
+    return by_hour.select(key, F.concat_ws(",", *pairs).alias("hours"))

@@ -30,12 +30,12 @@ def on_grid(ranges: DataFrame, bits: int = GRID_BITS) -> DataFrame:
     return ranges.where("lo <= hi").withColumn("_cell", F.explode(cells))
 
 
-def range_join(rows: DataFrame, key: str, ranges: DataFrame, bits: int = GRID_BITS) -> DataFrame:
+def range_join(rows: DataFrame, key: str, gridded: DataFrame, bits: int = GRID_BITS) -> DataFrame:
     """Left join on ``lo <= key <= hi``, as an equi-join on grid cells with the range as residual."""
     left = rows.withColumn("_left_cell", grid_cell(F.col(key), bits))
-    right = on_grid(ranges, bits)
-    found = (left["_left_cell"] == right["_cell"]) & left[key].between(right["lo"], right["hi"])
-    return left.join(right, found, "left").drop("_left_cell", "_cell")
+    inside = left[key].between(gridded["lo"], gridded["hi"])
+    found = (left["_left_cell"] == gridded["_cell"]) & inside
+    return left.join(gridded, found, "left").drop("_left_cell", "_cell")
 
 
 def overlaps(ranges: DataFrame, bits: int = GRID_BITS) -> DataFrame:
@@ -56,16 +56,35 @@ def with_region(
     """
     places = ["province", "operator", "city"]
     keyed = rows.withColumn("_ip", geo_key(F.col(ip)))
-    joined = range_join(keyed, "_ip", geo.select("lo", "hi", *places), bits)
+    joined = range_join(keyed, "_ip", on_grid(geo.select("lo", "hi", *places), bits), bits)
     named = {name: F.coalesce(F.col(name), F.lit(missing)) for name in places}
     return joined.withColumns(named).drop("_ip", "lo", "hi")
 
 
+def last_on_grid(ranges: DataFrame, bits: int = GRID_BITS) -> DataFrame:
+    """``on_grid`` for ranges that may overlap, where the last one wins.
+
+    Of the ranges that cover a whole cell only the last one counts, and any range
+    covers at most two cells in part. So this has at most two rows per range and
+    one per cell, however wide the ranges are.
+    """
+    size = 1 << (32 - bits)
+    cells = on_grid(ranges, bits).withColumn("_first", F.col("_cell") * size)
+    whole = (F.col("lo") <= F.col("_first")) & (F.col("hi") >= F.col("_first") + size - 1)
+    covers = (
+        cells.where(whole)
+        .groupBy("_cell")
+        .agg(F.max("position").alias("position"), F.max_by("app", "position").alias("app"))
+        .withColumns({"lo": F.col("_cell") * size, "hi": F.col("_cell") * size + size - 1})
+    )
+    return cells.where(~whole).drop("_first").unionByName(covers)
+
+
 def app_names(addresses: DataFrame, ip: str, ranges: DataFrame) -> DataFrame:
     """``(ip, app)`` of each distinct address: the last half-open range that holds it wins."""
     distinct = addresses.select(ip).distinct().withColumn("_ip", ip_to_long(F.col(ip)))
     closed = ranges.select("position", "app", "lo", (F.col("hi") - 1).alias("hi"))
-    joined = range_join(distinct, "_ip", closed)
+    joined = range_join(distinct, "_ip", last_on_grid(closed))
     last = F.max_by("app", "position")
     return joined.groupBy(ip).agg(F.coalesce(last, F.lit(UNKNOWN_APP)).alias("app"))
 

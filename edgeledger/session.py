@@ -14,10 +14,12 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Dimensions are joined without a hint: Spark broadcasts a side only while
-    # its size, estimated before or measured during the run, is under these.
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(128 * MB),
+    # Dimensions are joined without a hint: Spark broadcasts a side while its size,
+    # as estimated from its files, is under the stock threshold or, as measured
+    # during the run, under this one.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+    # Checkpointed counts go when the frame that used them does.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

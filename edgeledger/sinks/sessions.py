@@ -14,13 +14,17 @@ REGIONS = 20
 
 
 def by_region(sessions: DataFrame, regions: int = REGIONS) -> DataFrame:
-    """One partition per even range of row keys, sorted by row key.
+    """Even ranges of row keys, one task each, sorted by row key.
 
-    The region is a function of the hashed key, so the ranges need no sampling, and
-    distinct keys bound an endpoint to one row per second.
+    There are as many tasks as the session shuffles to, in whole multiples of
+    ``regions``, so that no task spans two regions. The range is a function of the
+    hashed key and needs no sampling, and distinct keys bound an endpoint to one
+    row per second.
     """
-    region = region_of(F.col("rowkey"), regions)
-    return sessions.repartitionById(regions, region).sortWithinPartitions("rowkey")
+    wanted = int(sessions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = regions * max(1, -(-wanted // regions))
+    part = region_of(F.col("rowkey"), tasks)
+    return sessions.repartitionById(tasks, part).sortWithinPartitions("rowkey")
 
 
 def upsert_sessions(

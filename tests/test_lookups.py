@@ -102,6 +102,26 @@ def test_last_application_wins(spark, rows):
     )
 
 
+def test_overlapping_wide_ranges(spark):
+    """Against brute force; whole covers of a cell leave one row per cell."""
+    rng = random.Random(11)
+    spans = [sorted(rng.sample(range(2**26), 2)) for _ in range(60)]
+    spans += [(5 * 65536, 6 * 65536), (5 * 65536 + 1, 6 * 65536 - 1)]
+    ranges = spark.createDataFrame(
+        [(i, lo, hi, f"a{i}") for i, (lo, hi) in enumerate(spans)],
+        "position int, lo long, hi long, app string",
+    )
+    grid = lookups.last_on_grid(ranges.withColumn("hi", F.col("hi") - 1))
+    assert grid.count() <= 2 * len(spans) + 2**26 // 65536
+    numbers = [rng.randrange(2**26) for _ in range(400)] + [e + d for p in spans for e in p for d in (-1, 0)]
+    ips = spark.createDataFrame([(text(n),) for n in numbers if n >= 0], "ip string")
+    got = dict(tuple(r) for r in lookups.app_names(ips, "ip", ranges).collect())
+    for n in numbers:
+        if n >= 0:
+            wanted = [f"a{i}" for i, (lo, hi) in enumerate(spans) if lo <= n < hi]
+            assert got[text(n)] == (wanted[-1] if wanted else "其他")
+
+
 def test_activity_lists_every_subscriber(spark, rows):
     people = spark.createDataFrame(
         [("u1", "1", "2", "3", "4"), ("u2", "1", "2", "3", "4")],
