@@ -16,8 +16,14 @@ LINE_ENDS = [chr(code) for code in (0x0A, 0x0D, 0x85, 0x2028, 0x2029)]
 
 
 def clean(value: Column) -> Column:
-    """Strip every character up to and including the space from both ends."""
-    return F.btrim(value, F.lit(CONTROL_CHARS))
+    """Strip every character up to and including the space from both ends.
+
+    Most texts need no strip, which their first and last byte tell; the strip itself
+    looks at every character.
+    """
+    last = F.substring(value.cast("binary"), -1, 1)
+    ends = (value < "!") | (last < F.lit(b"!"))
+    return F.when(ends, F.btrim(value, F.lit(CONTROL_CHARS))).otherwise(value)
 
 
 def _unify(value: Column, delimiters: str) -> Column:
