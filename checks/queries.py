@@ -201,7 +201,7 @@ def report_roundtrip(spark, sf):
     path = scratch_path(spark, "report")
     report = nat_report(spark, sf)
     for at in (BATCH, BATCH + timedelta(minutes=5), BATCH):
-        sink.write_report(report, path, at)
+        sink.write_batch(report, path, at)
     schema = "types string, accesstime timestamp, data string, count long, dt string, batch string"
     return spark.read.schema(schema).parquet(path).select("batch", *REPORT)
 

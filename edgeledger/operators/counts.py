@@ -58,14 +58,14 @@ def accounts_of_sources(
     return joined.groupBy(*keys, "username").agg(F.sum("count").alias("count"))
 
 
-def distinct_sessions(sessions: DataFrame) -> DataFrame:
-    """One session per row key, the least by all columns.
+def distinct_sessions(sessions: DataFrame, keys: tuple[str, ...] = ("rowkey",)) -> DataFrame:
+    """One session per key, the least by all other columns.
 
     Equal keys meet in each task before the shuffle, so a hot key stays small.
     """
-    others = [c for c in sessions.columns if c != "rowkey"]
-    least = sessions.groupBy("rowkey").agg(F.min(F.struct(*others)).alias("_row"))
-    return least.select(*[f"_row.{c}" if c != "rowkey" else c for c in sessions.columns])
+    others = [c for c in sessions.columns if c not in keys]
+    least = sessions.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row"))
+    return least.select(*[c if c in keys else f"_row.{c}" for c in sessions.columns])
 
 
 def _slot_totals(sessions: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from ..operators import counts as C
 from ..operators.lookups import with_activity, with_region
 from ..operators.tops import DETAIL_TOP, top
 from ..schemas import TARGET, UNKNOWN_PLACE
-from ..sinks.tables import write_day
+from ..sinks.tables import save_table, write_day
 from ..sources.tables import read_table, read_user_counts
 
 
@@ -37,3 +37,14 @@ def target_places(report: DataFrame, geo: DataFrame, at, n: int = DETAIL_TOP) ->
     rows = report.where((F.col("types") == TARGET) & (F.col("accesstime") == moment(at)))
     first = top(rows, "data", n).select(F.col("data").alias("ip"))
     return with_region(first, "ip", geo, UNKNOWN_PLACE).select("ip", "province", "city", "operator")
+
+
+def run_target_places(spark: SparkSession, batches: str, geo: DataFrame, at, out: str) -> None:
+    """Write the places of the main targets of one slot from the stored report."""
+    report = consolidated(read_table(spark, path=f"{batches}/report"))
+    save_table(target_places(report, geo, at), path=f"{out}/ip_detail")
+
+
+def consolidated(report: DataFrame) -> DataFrame:
+    """The stored report with the partial rows of all batches added up."""
+    return C.consolidate(report.drop("dt", "batch"))

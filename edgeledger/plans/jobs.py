@@ -10,17 +10,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.times import SLOT_SECONDS, minus_seconds, moment, slot
+from ..functions.times import SLOT_SECONDS, minus_seconds, moment
 from ..operators import counts as C
 from ..operators import parse
 from ..operators.lookups import with_account
 from ..schemas import COUNTERS, DISTINCT_COUNTER, RAW_COUNTER, SOURCE
 from ..session import settle
-from ..sinks.sessions import REGIONS, to_cells, upsert_sessions, write_cells
-from ..sinks.tables import batch_label, write_counters, write_report, write_user_counts
+from ..sinks.sessions import REGIONS, to_cells, upsert_batches, upsert_sessions, write_cells
+from ..sinks.tables import BATCH, batch_label, batch_slot, write_batch, write_user_counts
 from ..sources import admission, lines as L
 from ..sources.sessions import read_store
 from . import report as R
@@ -38,39 +38,50 @@ class Tables:
         return f"{self.root}/{name}"
 
 
-def sessions_of(lines: DataFrame, accounts: DataFrame, year: int) -> DataFrame:
+def sessions_of(
+    lines: DataFrame, accounts: DataFrame, year: int, keys: tuple[str, ...] = ("rowkey",)
+) -> DataFrame:
     """Distinct sessions with row key and account; the account is joined after the duplicates go."""
-    distinct = C.distinct_sessions(parse.with_row_key(parse.flows(lines, year)))
+    distinct = C.distinct_sessions(parse.with_row_key(parse.flows(lines, year)), keys)
     return with_account(distinct, accounts)
 
 
-def job_counters(
-    counts: DataFrame, stored: DataFrame, batch_time, event_time: bool, cutoff_seconds: int = 10800
-) -> DataFrame:
-    """Both counters from the source counts and the stored rows of one batch."""
-    batch = moment(batch_time)
-    batch_slot = minus_seconds(batch, SLOT_SECONDS)
-    raw = R.of_kind(counts, SOURCE, "sourceIp").groupBy("accesstime").agg(
-        F.sum("count").alias("count_5min")
-    )
-    if event_time:
-        distinct = C.count_slots(stored)
-        oldest = minus_seconds(batch, cutoff_seconds)
-        keep = F.col("update_time") >= oldest
-    else:
-        # Both rows are written also for a batch without sessions.
-        raw = raw.agg(F.coalesce(F.sum("count_5min"), F.lit(0)).alias("count_5min"))
-        raw = raw.withColumn("accesstime", batch_slot)
-        distinct = stored.agg(C.row_count()).withColumn("accesstime", batch_slot)
-        keep = F.lit(True)
-    distinct = distinct.withColumnRenamed("count", "count_5min")
+def _counter_rows(raw: DataFrame, distinct: DataFrame, batch_slot: Column) -> DataFrame:
     named = raw.withColumn("counter", F.lit(RAW_COUNTER)).unionByName(
         distinct.withColumn("counter", F.lit(DISTINCT_COUNTER))
     )
-    rows = named.withColumnRenamed("accesstime", "update_time").where(keep)
-    return rows.withColumns(
-        {"count_sec": F.floor(F.col("count_5min") / SLOT_SECONDS), "accesstime": batch_slot}
-    ).select(*COUNTERS.fieldNames())
+    rows = named.withColumnsRenamed({"accesstime": "update_time", "count": "count_5min"})
+    rate = F.floor(F.col("count_5min") / SLOT_SECONDS)
+    return rows.withColumns({"count_sec": rate, "accesstime": batch_slot})
+
+
+def _sessions_per(counts: DataFrame, *keys: str) -> DataFrame:
+    """All sessions, as the sum of the counts per source."""
+    sources = R.of_kind(counts, SOURCE, "sourceIp")
+    return sources.groupBy(*keys).agg(F.sum("count").alias("count"))
+
+
+def batch_counters(counts: DataFrame, stored: DataFrame, batch_time) -> DataFrame:
+    """Counters of a whole batch from its counts and stored sessions, also if it is empty."""
+    at = batch_slot(batch_time)
+    raw = _sessions_per(counts).select(F.coalesce("count", F.lit(0)).alias("count"))
+    distinct = stored.agg(C.row_count())
+    timed = [frame.withColumn("accesstime", at) for frame in (raw, distinct)]
+    return _counter_rows(*timed, at).select(*COUNTERS.fieldNames())
+
+
+def slot_counters(
+    counts: DataFrame, stored: DataFrame, batch_time, cutoff_seconds: int = 10800
+) -> DataFrame:
+    """Counters per event slot, without slots from before ``batch_time - cutoff``.
+
+    ``batch_time`` may be the ``batch`` column of both frames.
+    """
+    kept = ["batch"] if "batch" in stored.columns else []
+    raw = _sessions_per(counts, *kept, "accesstime")
+    rows = _counter_rows(raw, C.count_slots(stored, *kept), batch_slot(batch_time))
+    oldest = minus_seconds(moment(batch_time), cutoff_seconds)
+    return rows.where(F.col("update_time") >= oldest).select(*kept, *COUNTERS.fieldNames())
 
 
 def run_batch(
@@ -97,7 +108,7 @@ def run_batch(
     entries = R.slot_entries(parse.counted(cleaned, year), batch_time, event_time)
     counts = settle(R.dimension_counts(entries))
 
-    write_report(R.assemble(counts, geo, accounts), tables.report, batch_time, number)
+    write_batch(R.assemble(counts, geo, accounts), tables.report, batch_time, number)
     users = R.user_counts(counts, accounts)
     write_user_counts(users, tables.user_counts, batch_time, number)
 
@@ -106,8 +117,9 @@ def run_batch(
     stored = stored_batch(spark, tables.sessions, batch_time, number)
     if as_cells:
         write_cells(to_cells(stored, regions), tables.cells, batch_time, number)
-    counters = job_counters(counts, stored, batch_time, event_time)
-    write_counters(counters, tables.counters, batch_time, number)
+    make = slot_counters if event_time else batch_counters
+    counters = make(counts, stored, batch_time)
+    write_batch(counters, tables.counters, batch_time, number)
 
 
 def stored_batch(
@@ -142,3 +154,28 @@ def run_delayed(
     lines = L.read_paths(spark, admission.admitted_paths(chosen))
     run_batch(lines, geo, accounts, batch_time, out, event_time=True, **options)
     return admission.backlog(chosen)
+
+
+def run_backfill(
+    lines: DataFrame, geo: DataFrame, accounts: DataFrame, start: datetime, end: datetime,
+    out: str, year: int | None = None,
+) -> None:
+    """All event-time batches from ``start`` to ``end`` inclusive, each table in one job.
+
+    ``lines`` has an ``arrival`` time. The tables are those that ``run_batch`` would
+    write batch by batch.
+    """
+    spark, tables, year = lines.sparkSession, Tables(out), year or start.year
+    inside = R.batched(parse.clean_lines(lines), start, end)
+    counts = settle(R.batched_counts(inside, year))
+    batch = F.col("batch")
+    write_batch(R.assemble(counts, geo, accounts, R.BATCHED), tables.report, batch)
+    write_user_counts(R.user_counts(counts, accounts, R.BATCHED), tables.user_counts, batch)
+
+    sessions = sessions_of(inside, accounts, year, ("batch", "rowkey"))
+    upsert_batches(sessions, tables.sessions)
+    first, last = (batch_label(at) for at in (start, end))
+    stored = read_store(spark, tables.sessions).where(batch.between(first, last))
+    at = F.to_timestamp(batch, BATCH)
+    timed = stored.withColumn("batch", F.timestamp_seconds(F.unix_timestamp(at) + SLOT_SECONDS))
+    write_batch(slot_counters(counts, timed, batch), tables.counters, batch)

@@ -21,6 +21,7 @@ from ..schemas import HOST, SOURCE, TARGET, USER
 
 REPORT_COLUMNS = ["types", "accesstime", "data", "count"]
 KINDS = [HOST, TARGET, SOURCE]
+BATCHED = ("batch", "accesstime")
 
 
 def slot_entries(entries: DataFrame, batch_time, event_time: bool) -> DataFrame:
@@ -111,18 +112,28 @@ def nat_report(
     return assemble(dimension_counts(entries), geo, accounts)
 
 
-def backfill(
-    lines: DataFrame, geo: DataFrame, accounts: DataFrame, start, end, year: int
-) -> DataFrame:
-    """Event-time reports of all batches from ``start`` to ``end`` inclusive, as one job.
+def batched(lines: DataFrame, start, end) -> DataFrame:
+    """Lines of the batches from ``start`` to ``end`` inclusive, with a ``batch`` time.
 
-    ``lines`` has an ``arrival`` time. A batch takes the lines that arrived in the
-    five minutes before it; its report is marked by a ``batch`` column.
+    ``lines`` has an ``arrival`` time; a batch takes what arrived in the five
+    minutes before it.
     """
     batch = F.timestamp_seconds(F.unix_timestamp(slot(F.col("arrival"))) + SLOT_SECONDS)
     first = minus_seconds(moment(start), SLOT_SECONDS)
     inside = lines.where((F.col("arrival") >= first) & (F.col("arrival") < moment(end)))
-    entries = counted(inside.withColumn("batch", batch).drop("arrival"), year)
-    entries = slot_entries(entries, F.col("batch"), event_time=True)
-    keys = ("batch", "accesstime")
-    return assemble(dimension_counts(entries, keys), geo, accounts, keys)
+    return inside.withColumn("batch", batch).drop("arrival")
+
+
+def batched_counts(lines: DataFrame, year: int) -> DataFrame:
+    entries = slot_entries(counted(lines, year), F.col("batch"), event_time=True)
+    return dimension_counts(entries, BATCHED)
+
+
+def backfill(
+    lines: DataFrame, geo: DataFrame, accounts: DataFrame, start, end, year: int
+) -> DataFrame:
+    """Event-time reports of all batches from ``start`` to ``end``, as one job.
+
+    A ``batch`` column tells the reports apart.
+    """
+    return assemble(batched_counts(batched(lines, start, end), year), geo, accounts, BATCHED)

@@ -38,6 +38,17 @@ def upsert_sessions(
     replace_partitions(rows, path, ["dt", "batch"])
 
 
+def upsert_batches(sessions: DataFrame, path: str) -> None:
+    """``upsert_sessions`` for many batches at once, by their ``batch`` time.
+
+    Rows of a batch go to as many tasks as their size asks for, instead of one file
+    per batch and key range.
+    """
+    rows = with_batch(sessions.select("batch", *STORE_COLUMNS), F.col("batch"))
+    placed = rows.hint("rebalance", "dt", "batch").sortWithinPartitions("dt", "batch", "rowkey")
+    replace_partitions(placed, path, ["dt", "batch"])
+
+
 def compact_day(
     spark: SparkSession, path: str, target: str, dt: str, regions: int = REGIONS
 ) -> None:

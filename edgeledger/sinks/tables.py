@@ -34,19 +34,21 @@ def with_batch(rows: DataFrame, batch_time, number: int | None = None) -> DataFr
     return rows.withColumns({"dt": day, "batch": batch_label(batch_time, number)})
 
 
-def write_report(report: DataFrame, path: str, batch_time, number: int | None = None) -> None:
-    """Append a batch's report; writing one batch twice leaves one copy.
+def placed(rows: DataFrame, batch_time) -> DataFrame:
+    """Rows of one batch in files of fair size; those of many batches by batch."""
+    if not isinstance(batch_time, Column):
+        return rows.hint("rebalance")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, "dt", "batch")
 
-    Rebalancing joins small outputs to few files and splits large ones.
-    """
-    rows = with_batch(report, batch_time, number).hint("rebalance")
-    replace_partitions(rows, path, ["dt", "batch"])
 
+def write_batch(rows: DataFrame, path: str, batch_time, number: int | None = None) -> None:
+    """Append a batch's report or counters; writing one batch twice leaves one copy.
 
-def write_counters(counters: DataFrame, path: str, batch_time, number: int | None = None) -> None:
-    """Both counters of a batch in one write."""
-    rows = with_batch(counters, batch_time, number).hint("rebalance")
-    replace_partitions(rows, path, ["dt", "batch"])
+    Both counters of a batch go in one write.
+    """
+    dated = with_batch(rows, batch_time, number)
+    replace_partitions(placed(dated, batch_time), path, ["dt", "batch"])
 
 
 def write_user_counts(users: DataFrame, path: str, batch_time, number: int | None = None) -> None:
@@ -61,7 +63,7 @@ def write_user_counts(users: DataFrame, path: str, batch_time, number: int | Non
         batch_label(batch_time, number).alias("batch"),
     )
     keys = ["dt", "hh", "mm", "batch"]
-    replace_partitions(rows.hint("rebalance"), path, keys, fmt="text")
+    replace_partitions(placed(rows, batch_time), path, keys, fmt="text")
 
 
 def write_day(rows: DataFrame, path: str, day, max_records: int = 500_000) -> None:

@@ -22,6 +22,11 @@ def minute_folders(batch_time: datetime, n: int = 5, layout: str = PLAIN) -> lis
     return [(batch_time - timedelta(minutes=i)).strftime(layout) for i in range(n, 0, -1)]
 
 
+def day_folder(root: str, batch_time: datetime) -> str:
+    """Folder of the day that a batch covers."""
+    return f"{root}/{batch_time - timedelta(seconds=SLOT_SECONDS):%Y%m%d}"
+
+
 def read_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Many files or folders as one input; nothing for no path."""
     if not paths:
@@ -61,6 +66,15 @@ def read_modified(
     return lines.where(modified_within(end, seconds)).select("value")
 
 
+def read_arrivals(spark: SparkSession, root: str) -> DataFrame:
+    """``(arrival, value)`` of all lines below ``root``; arrival is the change time of the file.
+
+    A filter on ``arrival`` drops files from the listing.
+    """
+    lines = spark.read.schema(LINES).option("recursiveFileLookup", True).text(root)
+    return lines.select(F.col("_metadata.file_modification_time").alias("arrival"), "value")
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """``(path, size_mb, mtime, backlog)`` of the files below ``root``; sizes in whole MB."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)

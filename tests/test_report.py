@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from checks.bindings import YEAR, frame
 from checks.queries import BATCH, geo, lines, radius
 from edgeledger.operators import parse
-from edgeledger.plans import jobs
+from edgeledger.plans import daily, jobs
 from edgeledger.plans import report as R
 from edgeledger.sources import lines as L
+from edgeledger.sources.tables import read_user_counts
 
 from conftest import executed_plan
 
@@ -107,3 +108,39 @@ def test_delayed_job_carries_its_backlog(spark, rows, tmp_path):
     assert taken.count() == 0
     stored = jobs.stored_batch(spark, jobs.Tables(out).sessions, batch)
     assert rows(stored, "sourceIp") == [("30.128.0.1",)]
+
+
+def test_backfill_job_equals_single_batches(spark, rows, tmp_path):
+    arrived = frame(spark, SF, "lines").select(F.col("ts").alias("arrival"), "value")
+    start, end = datetime(2024, 1, 2, 0, 5), datetime(2024, 1, 2, 6, 0)
+    whole, single = str(tmp_path / "whole"), str(tmp_path / "single")
+    for _ in range(2):
+        jobs.run_backfill(arrived, geo(spark, SF), radius(spark, SF), start, end, whole, YEAR)
+    inside = R.batched(parse.clean_lines(arrived), start, end)
+    batches = sorted(r.batch for r in inside.select("batch").distinct().collect())
+    assert len(batches) > 2 and batches[0] >= start and batches[-1] <= end
+    for at in batches:
+        lines_of = inside.where(F.col("batch") == F.lit(at)).select("value")
+        jobs.run_batch(
+            lines_of, geo(spark, SF), radius(spark, SF), at, single, YEAR, event_time=True
+        )
+    for name in ("report", "counters", "sessions"):
+        one, many = (
+            spark.read.parquet(getattr(jobs.Tables(root), name)) for root in (single, whole)
+        )
+        assert rows(many.select(*one.columns)) == rows(one), name
+    one, many = (
+        read_user_counts(spark, f"{jobs.Tables(root).user_counts}/*/*/*/*")
+        for root in (single, whole)
+    )
+    assert rows(many) == rows(one)
+
+
+def test_target_places_job(spark, rows, tmp_path):
+    batches, out = str(tmp_path / "batches"), str(tmp_path / "out")
+    jobs.run_batch(lines(spark, SF), geo(spark, SF), radius(spark, SF), BATCH, batches, YEAR)
+    at = datetime(2024, 1, 14, 23, 55)
+    for _ in range(2):
+        daily.run_target_places(spark, batches, geo(spark, SF), at, out)
+    found = spark.read.parquet(f"{out}/ip_detail")
+    assert found.columns == ["ip", "province", "city", "operator"] and found.count() == 100

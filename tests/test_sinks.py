@@ -28,8 +28,8 @@ def test_report_retry(spark, rows, tmp_path):
     path = str(tmp_path / "report")
     report = spark.createDataFrame([("city", BATCH, "x", 3)], "types string, accesstime timestamp, data string, count long")
     for at in (BATCH, BATCH, BATCH + timedelta(minutes=5), BATCH):
-        sink.write_report(report, path, at)
-    sink.write_report(report, path, BATCH, number=4)
+        sink.write_batch(report, path, at)
+    sink.write_batch(report, path, BATCH, number=4)
     table = spark.read.parquet(path)
     assert sorted(str(r.batch) for r in table.collect()) == [
         "202401101200", "202401101200-000000004", "202401101205",
