@@ -73,10 +73,21 @@ SQL = {
 TABLES = {"events", "customer", "nation", "region", "orders"}
 
 
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """A table that is read in fewer tasks than there are cores, dealt out to all cores.
+
+    The given event file is one row group, which is one task; larger tables are left
+    as they are.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, key)
+
+
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input by name; a given table or a query over others."""
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(table, "event_id") if name == "events" else table
     sql = SQL[name]
     needed = {n: frame(spark, sf_dir, n) for n in [*TABLES, *SQL] if "{" + n + "}" in sql}
     return spark.sql(sql, **needed)
