@@ -14,7 +14,7 @@ from edgeledger.operators import counts as C
 from edgeledger.operators import lookups, parse, tops
 from edgeledger.plans import daily, jobs
 from edgeledger.plans import report as R
-from edgeledger.schemas import ENDPOINTS, GEO_FIELDS
+from edgeledger.schemas import GEO_FIELDS
 from edgeledger.session import scratch_path
 from edgeledger.sinks import sessions as session_sink
 from edgeledger.sinks import tables as sink
@@ -403,8 +403,7 @@ def city_report(spark, sf):
 
 @query
 def user_counts(spark, sf):
-    sessions = lookups.with_account(flows(spark, sf), radius(spark, sf))
-    return C.known_users(C.count_slots(sessions, "username"))
+    return C.accounts_of_sources(source_counts(spark, sf), radius(spark, sf))
 
 
 @query

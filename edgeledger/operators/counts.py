@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import SLOT_SECONDS, minus_seconds, moment, slot
-from ..schemas import DISTINCT_COUNTER, RAW_COUNTER, UNKNOWN
+from ..schemas import CITY, DISTINCT_COUNTER, OPERATOR, PROVINCE, RAW_COUNTER, UNKNOWN
 
 
 def row_count() -> Column:
@@ -36,16 +36,10 @@ def count_slots(sessions: DataFrame, *keys: str) -> DataFrame:
 
 def roll_up(target_detail: DataFrame, keys: tuple[str, ...] = ("accesstime",)) -> DataFrame:
     """``(types, *keys, data, count)`` of provinces, operators and cities, in one shuffle."""
-    long = target_detail.unpivot(
-        [*keys, "count"], ["province", "operator", "city"], "types", "data"
-    )
+    long = target_detail.unpivot([*keys, "count"], [PROVINCE, OPERATOR, CITY], "types", "data")
     return long.groupBy("types", *keys, "data").agg(F.sum("count").alias("count"))
 
 
-def known_users(counts: DataFrame) -> DataFrame:
-    return counts.where(F.col("username") != UNKNOWN)
-
-
 def accounts_of_sources(
     source_counts: DataFrame, accounts: DataFrame, keys: tuple[str, ...] = ("accesstime",)
 ) -> DataFrame:

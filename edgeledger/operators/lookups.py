@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.net import GRID_BITS, geo_key, grid_cell, ip_to_long
-from ..schemas import UNKNOWN, UNKNOWN_APP
+from ..schemas import CITY, OPERATOR, PROVINCE, UNKNOWN, UNKNOWN_APP
 
 
 def with_account(sessions: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def with_region(
     ``missing`` is for addresses that no range holds. A text that is no address
     gets the region of 0.0.0.0.
     """
-    places = ["province", "operator", "city"]
+    places = [PROVINCE, OPERATOR, CITY]
     keyed = rows.withColumn("_ip", geo_key(F.col(ip)))
     joined = range_join(keyed, "_ip", on_grid(geo.select("lo", "hi", *places), bits), bits)
     named = {name: F.coalesce(F.col(name), F.lit(missing)) for name in places}

@@ -41,8 +41,6 @@ COUNTERS = T.StructType(
     ]
 )
 
-USER_COUNTS = T.StructType([*_strings("username"), T.StructField("count", T.LongType())])
-
 # Names of the report dimensions and of the two counters.
 HOST, TARGET, SOURCE, USER = "hostIP", "targetIp", "sourceIp", "username"
 PROVINCE, OPERATOR, CITY = "province", "operator", "city"

@@ -52,5 +52,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def settle(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder, without its lineage."""
-    shared_root(df.sparkSession)
+    root, context = shared_root(df.sparkSession), df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return df.checkpoint()

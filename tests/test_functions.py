@@ -1,5 +1,6 @@
 """Column functions on literal values."""
 
+import hashlib
 from datetime import datetime
 
 import pytest
@@ -60,8 +61,6 @@ def test_row_key_sorts_newest_first(value):
     assert new < old and new[:17] == old[:17]
     assert old[17:] == str(9223372036854775807 - 1704067200000)
     # MD5 of "203.0.113.32_14872", middle 16 digits.
-    import hashlib
-
     assert old[:16] == hashlib.md5(b"203.0.113.32_14872").hexdigest()[8:24]
 
 

@@ -4,8 +4,6 @@ import random
 import re
 from datetime import datetime
 
-import pytest
-
 from edgeledger.operators import parse
 
 B = (
