@@ -5,12 +5,21 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.times import SLOT_SECONDS
 from ..schemas import LINES
 
+FILES = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+    ]
+)
+
 # Layouts of a folder tree by minute: the loggers' own and the partitioned one of
 # this library's writers.
 PLAIN = "%Y%m%d/%H/%M"
@@ -39,12 +48,17 @@ def read_minutes(
 ) -> DataFrame:
     """Lines of the minute folders before a batch time; missing folders are skipped."""
     glob = "{" + ",".join(minute_folders(batch_time, n, layout)) + "}"
+    return load_or_nothing(spark.read.format("text").schema(LINES), f"{root}/{glob}", LINES)
+
+
+def load_or_nothing(reader: DataFrameReader, path: str, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` from a path, or no rows if nothing is there."""
     try:
-        return spark.read.schema(LINES).text(f"{root}/{glob}").select("value")
+        return reader.load(path).select(*schema.fieldNames())
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LINES)
+        return SparkSession.getActiveSession().createDataFrame([], schema)
 
 
 def modified_within(end: datetime, seconds: int = SLOT_SECONDS):
@@ -77,7 +91,8 @@ def read_arrivals(spark: SparkSession, root: str) -> DataFrame:
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """``(path, size_mb, mtime, backlog)`` of the files below ``root``; sizes in whole MB."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = load_or_nothing(reader, root, FILES)
     return files.select(
         "path",
         F.floor(F.col("length") / (1024 * 1024)).alias("size_mb"),

@@ -44,6 +44,8 @@ def test_modified_files(spark, rows, tmp_path):
     assert read.rdd.getNumPartitions() <= 2
     listed = L.list_files(spark, str(tmp_path))
     assert listed.count() == 4 and {r.size_mb for r in listed.collect()} == {0}
+    none = L.list_files(spark, str(tmp_path / "missing"))
+    assert none.columns == listed.columns and none.count() == 0
 
 
 def by_loop(files, limit):
