@@ -49,12 +49,22 @@ SHORT_PARTS = "$1\n$2\n$3\n=$8\n=$4\n=$5\n=$6\n=$7\n=$10\n=$11\n$9"
 # translated endpoint. An item without a value ends the list.
 _NAME = r"[^ \t\n\x0B\f\r,=]"
 _ITEM = rf",{_NAME}*+(=(?==*+{_NAME}){_NAME}*+)(?:={_PLAIN}*+)?+"
-FULL_DATED = (
-    rf"\AMsg:{_BLANK}([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}){_BLANK}{_CLOCK}{_WORD}*+{_BLANK}"
-    rf"{_WORD}++{_BLANK}{_PLAIN}*+{_ITEM}"
-    rf"(?:{_ITEM}(?:{_ITEM}(?:{_ITEM}(?:{_ITEM}(?:{_ITEM}(?:{_ITEM})?+)?+)?+)?+)?+)?+{_WORD}*+\z"
-)
-FULL_PARTS = "\n$1\n$2\n$3\n$4\n$6\n$5\n$7\n$8\n$9\n"
+
+
+def full_dated(items: int) -> str:
+    """Pattern of format B that reads the first ``items`` items."""
+    later = ""
+    for _ in range(items - 1):
+        later = f"(?:{_ITEM}{later})?+"
+    return (
+        rf"\AMsg:{_BLANK}([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}){_BLANK}{_CLOCK}{_WORD}*+{_BLANK}"
+        rf"{_WORD}++{_BLANK}{_PLAIN}*+{_ITEM}{later}{_WORD}*+\z"
+    )
+
+
+# Pattern and parts of all fields, and of just those that reports count.
+ALL_FIELDS = (full_dated(7), "\n$1\n$2\n$3\n$4\n$6\n$5\n$7\n$8\n$9\n")
+ADDRESSES_ONLY = (full_dated(3), "\n$1\n$2\n$3\n$4\n\n$5\n\n\n\n")
 
 # Longer than any text.
 MAX_TEXT = 2147483647
@@ -112,7 +122,9 @@ def line_format(value: Column) -> Column:
     )
 
 
-def _read_fields(lines: DataFrame, year: int) -> DataFrame:
+def _read_fields(
+    lines: DataFrame, year: int, listed: tuple[str, str] = ALL_FIELDS
+) -> DataFrame:
     """Adds format, and for messages time, endpoint fields and why a line gives no session."""
     value = F.col("value")
     part = {name: F.get("_parts", F.lit(i)) for i, name in enumerate(PARTS)}
@@ -130,9 +142,9 @@ def _read_fields(lines: DataFrame, year: int) -> DataFrame:
         .when(F.col("accesstime").isNull(), "time")
         .when(F.col("sourceIp") == NO_IP, "source")
     )
-    parts = F.when(
-        F.col("format") == "B", F.regexp_replace(value, FULL_DATED, FULL_PARTS)
-    ).when(F.col("format") == "A", F.regexp_replace(value, SHORT_DATED, SHORT_PARTS))
+    parts = F.when(F.col("format") == "B", F.regexp_replace(value, *listed)).when(
+        F.col("format") == "A", F.regexp_replace(value, SHORT_DATED, SHORT_PARTS)
+    )
     return (
         lines.withColumn("format", line_format(value))
         .withColumn("_parts", F.split(parts, "\n"))
@@ -216,7 +228,7 @@ def counted(lines: DataFrame, year: int) -> DataFrame:
         entry(SOURCE, F.col("accesstime"), F.col("sourceIp")),
     )
     of_host = F.array(entry(HOST, F.lit(None).cast("timestamp"), F.col("_host")))
-    parsed = _read_fields(lines, year)
+    parsed = _read_fields(lines, year, ADDRESSES_ONLY)
     host = parsed.withColumn("_host", F.when(F.col("format") == "host", host_of(value)))
     entries = F.when(F.col("_host").isNotNull(), of_host).when(
         F.col("format").isin("A", "B") & F.col("reason").isNull(), of_session

@@ -107,7 +107,12 @@ def nat_report(
     lines: DataFrame, geo: DataFrame, accounts: DataFrame, batch_time, year: int,
     event_time: bool = False,
 ) -> DataFrame:
-    """Report of one batch of clean lines."""
+    """Report of one batch of clean lines.
+
+    Give the lines as they are read. Spark does not share the counts' shuffle above
+    a cached frame; where lines are cached, settle ``dimension_counts`` as the jobs
+    do and ``assemble`` from it.
+    """
     entries = slot_entries(counted(lines, year), batch_time, event_time)
     return assemble(dimension_counts(entries), geo, accounts)
 

@@ -20,6 +20,11 @@ SETTINGS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
     # Checkpointed counts go when the frame that used them does.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Three hours of row keys need not fit in memory, and only changes are saved.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
