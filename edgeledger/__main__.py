@@ -75,7 +75,7 @@ def targets(spark, args) -> None:
 
 
 def trace(spark, args) -> None:
-    stored = S.read_store(spark, args.store)
+    stored = S.read_store(spark, args.store, args.days)
     if args.endpoint:
         ip, port = args.endpoint.rsplit(":", 1)
         found = S.trace_endpoint(stored, ip, port, args.start, args.end)
@@ -117,6 +117,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--max-bytes", default=str(40 << 30), help="input quota of a batch")
         if job is trace:
             sub.add_argument("--endpoint", help="ip:port")
+            sub.add_argument("--days", nargs="+", help="days of the store to look at, as yyyyMMdd")
             sub.add_argument("--where", help="column=value")
             sub.add_argument("--start", type=datetime.fromisoformat, default=datetime(1970, 1, 1))
             sub.add_argument("--end", type=datetime.fromisoformat, default=datetime(2100, 1, 1))

@@ -8,7 +8,7 @@ counters are taken from them.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from ..session import settle
 from ..sinks.sessions import REGIONS, to_cells, upsert_batches, upsert_sessions, write_cells
 from ..sinks.tables import BATCH, batch_label, batch_slot, write_batch, write_user_counts
 from ..sources import admission, lines as L
-from ..sources.sessions import read_store
+from ..sources.sessions import days_between, read_store
 from . import report as R
 
 
@@ -123,11 +123,12 @@ def run_batch(
 
 
 def stored_batch(
-    spark: SparkSession, path: str, batch_time, number: int | None = None
+    spark: SparkSession, path: str, batch_time: datetime, number: int | None = None
 ) -> DataFrame:
-    """Stored sessions of one batch."""
+    """Stored sessions of one batch; only the folders of its day are listed."""
+    covered = batch_time - timedelta(seconds=SLOT_SECONDS)
     mine = F.col("batch") == batch_label(batch_time, number)
-    return read_store(spark, path).where(mine).drop("dt", "batch")
+    return read_store(spark, path, days_between(covered, covered)).where(mine).drop("dt", "batch")
 
 
 def run_minutes(
@@ -175,7 +176,8 @@ def run_backfill(
     sessions = sessions_of(inside, accounts, year, ("batch", "rowkey"))
     upsert_batches(sessions, tables.sessions)
     first, last = (batch_label(at) for at in (start, end))
-    stored = read_store(spark, tables.sessions).where(batch.between(first, last))
+    days = days_between(start - timedelta(seconds=SLOT_SECONDS), end)
+    stored = read_store(spark, tables.sessions, days).where(batch.between(first, last))
     at = F.to_timestamp(batch, BATCH)
     timed = stored.withColumn("batch", F.timestamp_seconds(F.unix_timestamp(at) + SLOT_SECONDS))
     write_batch(slot_counters(counts, timed, batch), tables.counters, batch)

@@ -53,7 +53,7 @@ def compact_day(
     spark: SparkSession, path: str, target: str, dt: str, regions: int = REGIONS
 ) -> None:
     """Write the newest row of each key of one day to a table of whole days."""
-    day = newest(read_store(spark, path).where(F.col("dt") == dt))
+    day = newest(read_store(spark, path, [dt]))
     rows = by_region(day.select("dt", *STORE_COLUMNS), regions)
     replace_partitions(rows, target, ["dt"])
 

@@ -6,25 +6,38 @@ in several batches of a day, the newest one holds.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.net import endpoint_hash, reversed_millis
 from ..functions.times import moment
 from ..schemas import FLOWS
+from .lines import load_or_nothing
 
 STORE_COLUMNS = FLOWS.fieldNames()
 PAGE = 11
 KEY_COLUMNS = {"rowkey", "convertedIp", "convertedPort", "accesstime"}
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """All stored rows with ``dt`` and ``batch``."""
-    return spark.read.schema(f"{ddl(STORE_COLUMNS)}, dt string, batch string").parquet(path)
+STORED = T.StructType(
+    [*FLOWS, T.StructField("dt", T.StringType()), T.StructField("batch", T.StringType())]
+)
+
+
+def read_store(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """Stored rows with ``dt`` and ``batch``; with ``days`` only their folders are listed."""
+    reader = spark.read.format("parquet").schema(STORED).option("basePath", path)
+    folders = path if days is None else f"{path}/dt={{{','.join(days)}}}"
+    return load_or_nothing(reader, folders, STORED)
 
 
-def ddl(columns: list[str]) -> str:
-    return ", ".join(f"{name} {FLOWS[name].dataType.simpleString()}" for name in columns)
+def days_between(first: datetime, last: datetime) -> list[str]:
+    """Store days from ``first`` to ``last`` inclusive."""
+    n = (last.date() - first.date()).days + 1
+    return [f"{first + timedelta(days=i):%Y%m%d}" for i in range(n)]
 
 
 def newest(stored: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def test_jobs(spark, rows, tmp_path, capsys):
     assert rows(spark.read.parquet(f"{out}/ip_detail")) == [("101.0.7.9", "province", "city", "operator")]
 
     capsys.readouterr()
-    for query in (["--endpoint", "9.9.9.9:3"], ["--where", "sourceIp=30.128.0.3"],
+    for query in (["--endpoint", "9.9.9.9:3", "--days", "20240110"], ["--where", "sourceIp=30.128.0.3"],
                   ["--start", "2024-01-10T00:03", "--end", "2024-01-10T00:04"]):
         main(["trace", "--store", f"{out}/sessions", *query], spark)
         shown = capsys.readouterr().out

@@ -74,12 +74,24 @@ def test_days_of_the_store_are_apart(spark, rows, tmp_path):
     for at in (datetime(2024, 1, 10, 0, 0), datetime(2024, 1, 10, 0, 5)):
         store.upsert_sessions(flows(spark, [("00000000a", "u")]), path, at)
     assert rows(S.newest(S.read_store(spark, path)), "dt") == [("20240109",), ("20240110",)]
+    for days in (["20240110"], ["20240110", "20240111"]):
+        assert rows(S.read_store(spark, path, days), "dt") == [("20240110",)]
+    assert S.read_store(spark, path, ["20240111"]).count() == 0
+    # A table of whole days is read in the same way.
+    store.compact_day(spark, path, str(tmp_path / "days"), "20240110")
+    whole = S.read_store(spark, str(tmp_path / "days"), ["20240110"])
+    assert rows(S.newest(whole), "dt", "username") == [("20240110", "u")]
+
+
+def test_days_between():
+    days = S.days_between(datetime(2024, 2, 28, 23, 55), datetime(2024, 3, 1, 0, 5))
+    assert days == ["20240228", "20240229", "20240301"]
 
 
 def test_trace_filter_reaches_the_files(spark, tmp_path):
     path = str(tmp_path / "store")
     store.upsert_sessions(flows(spark, [("00000000a", "u")]), path, BATCH)
-    stored = S.read_store(spark, path).where("dt = '20240110'")
+    stored = S.read_store(spark, path, ["20240110"]).where("dt = '20240110'")
     start, end = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
     plan = executed_plan(S.trace_endpoint(stored, "3.3.3.3", "1", start, end))
     assert "PushedFilters: [IsNotNull(rowkey), GreaterThan(rowkey," in plan
