@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from edgeledger.llm import block_names
+from edgeledger.llm import block_names, decision_list, poisson_mix
 
 QUERIES = {
+    "op3_quality_rules": decision_list.op3_quality_rules,
+    "op8_mix_sources": poisson_mix.op8_mix_sources,
     "op9_exact_dedup": block_names.op9_exact_dedup,
 }
 
 ORACLES = {
+    "op8_mix_sources": poisson_mix.OP8_SQL,
     "op9_exact_dedup": block_names.OP9_SQL,
 }
