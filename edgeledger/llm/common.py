@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import string
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Functions of this subpackage go to the executors by value: these need no copy of the library.
+cloudpickle.register_pickle_by_value(sys.modules["edgeledger.llm"])
+
 #: What separates words: a space and the control characters tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 #: Rows that one Arrow batch holds at most, so that a batch of long texts stays small.

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from edgeledger.llm import block_names, decision_list, poisson_mix
+from edgeledger.llm import block_names, decision_list, minhash, poisson_mix
 
 QUERIES = {
     "op3_quality_rules": decision_list.op3_quality_rules,
+    "op4_near_dedup": minhash.op4_near_dedup,
     "op8_mix_sources": poisson_mix.op8_mix_sources,
     "op9_exact_dedup": block_names.op9_exact_dedup,
 }
