@@ -31,11 +31,16 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read from there, so that its lineage ends."""
+def land_for(df: DataFrame, name: str, readers: int) -> list[DataFrame]:
+    """``df`` written once to the shared folder, and so many reads of it that can be joined with each other."""
     path = f"{shared_root(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return [df.sparkSession.read.schema(df.schema).parquet(path) for _ in range(readers)]
+
+
+def land(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read from there, so that its lineage ends."""
+    return land_for(df, name, 1)[0]
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -87,3 +92,16 @@ def lower_ascii(text: Column) -> Column:
 def crc_mod(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; null ids count as the text ''."""
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % mod).cast("int")
+
+
+def bounded_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """At most ``rows`` rows of ``df``: those whose keys have the least hash, however large the table is.
+
+    A threshold that follows from the count comes first, so that no task offers more than its share.
+    """
+    name, span = free_name(df, "draw"), 1 << 30
+    drawn = df.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(span)))
+    share = 1.2 * rows / max(1, df.count())
+    if share < 1:
+        drawn = drawn.where(F.col(name) < int(share * span))
+    return drawn.orderBy(name, *keys).limit(rows).drop(name)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from edgeledger.llm import block_names, decision_list, minhash, poisson_mix
+from edgeledger.llm import block_names, byte_bpe, decision_list, minhash, poisson_mix
 
 QUERIES = {
     "op3_quality_rules": decision_list.op3_quality_rules,
     "op4_near_dedup": minhash.op4_near_dedup,
     "op8_mix_sources": poisson_mix.op8_mix_sources,
     "op9_exact_dedup": block_names.op9_exact_dedup,
+    "op10_byte_bpe": byte_bpe.op10_byte_bpe,
 }
 
 ORACLES = {
