@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeledger.llm.common import SPACES, documents, labels, land, let, numbered, slim
+from edgeledger.llm.common import SPACES, bounded_sample, documents, labels, land, let, numbered, slim
 
 #: Labelled rows that rules are learned from, at most: those with the least hash of their id.
 LEARN_ROWS = 20_000
@@ -209,12 +209,10 @@ def learned_rules(statistics: DataFrame, marks: DataFrame, rows: int = LEARN_ROW
     """Rules from the statistics of at most ``rows`` labelled rows (``doc_id, quality``; nulls are no label)."""
     marked = marks.where("quality is not null and doc_id is not null").select("doc_id", "quality")
     one = marked.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    order = F.xxhash64("doc_id", "row")
-    got = (
-        statistics.where("doc_id is not null").join(one, "doc_id").orderBy(order, "row").limit(rows)
-        .select("quality", (F.pmod(order, F.lit(3)) != 0).alias("grow"), *(F.col(f).cast("double").alias(f) for f in FEATURES))
-        .collect()
-    )
+    known = statistics.where("doc_id is not null").join(one, "doc_id")
+    grow = F.pmod(F.xxhash64("doc_id", F.lit("grow")), F.lit(3)) != 0
+    values = [F.col(f).cast("double").alias(f) for f in FEATURES]
+    got = bounded_sample(known, rows, "doc_id", "row").select("quality", grow.alias("grow"), *values).collect()
     table = {f: np.array([r[f] for r in got], float) for f in FEATURES}
     return learn(table, np.array([r["quality"] == 0 for r in got], bool), np.array([r["grow"] for r in got], bool))
 
