@@ -13,6 +13,7 @@ import base64
 import hashlib
 import heapq
 import json
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -21,9 +22,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from edgeledger.llm import word_blocks
-from edgeledger.llm.common import documents, land, let, numbered, slim
+from edgeledger.llm.common import documents, land, let
 from edgeledger.llm.words import batches
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -154,58 +156,68 @@ class Vocabulary:
         return word_blocks.gathered(self.bytes, self.starts[ids], self.sizes[ids]).tobytes()
 
 
-ENCODED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
+def encoded(docs: DataFrame, path: str, pattern: str, finish: Callable, schema: pa.Schema) -> DataFrame:
+    """Every row of ``docs`` (``row, doc_id, text``; text not null) encoded, and decoded from its ids.
 
-
-def encoded(docs: DataFrame, path: str, pattern: str, finish=None, schema: str = "row long, doc_id long, ids binary, decoded binary") -> DataFrame:
-    """The ids of every row of ``docs`` (``row, doc_id, text``; text not null) and the text decoded from them.
-
-    ``ids`` are little-endian unsigned 32-bit integers. ``finish(ids, decoded)`` may turn these into
-    other columns of ``schema`` where they are made. Empty texts have no ids. The file at ``path``
-    is read on the driver; each byte must have a rank, as in any byte-level vocabulary.
+    ``finish(ids, decoded)`` gives the columns of ``schema`` after ``row`` and ``doc_id``; the ids are
+    unsigned 32-bit integers, ``decoded`` the bytes that they stand for. Empty texts have no ids.
+    The file at ``path`` is read on the driver; each byte must have a rank, as in any byte-level
+    vocabulary.
     """
     ranks, match = read_ranks(path), regex.compile(pattern)
     bodies, words = word_blocks.blocks(docs.withColumn("flag", F.lit(0)), match.findall, str.encode, "bpe-blocks")
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = land(word_ids(words.select("word").distinct().repartition(tasks, "word"), ranks), "bpe-words")
     known = words.join(ids, "word").select("block", "number", "ids")
-    vocabulary, types = Vocabulary(ranks), finish.schema if finish else ENCODED
+    vocabulary = Vocabulary(ranks)
 
     def run(block: word_blocks.Block, table: pa.Table) -> pa.Table:
-        column = table.column("ids").combine_chunks()
-        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-        offsets = column.offsets.to_numpy().astype(np.int64)
-        starts, sizes, values = offsets[:-1], np.diff(offsets), column.values.to_numpy()
-        rows = []
+        lists = pa.concat_arrays(table.column("ids").chunks)
+        offsets, values = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+        starts, sizes, rows = offsets[:-1], np.diff(offsets), []
         for k in range(len(block)):
             numbers = block.text(k)
-            got = word_blocks.gathered(values, starts[numbers], sizes[numbers])
-            ids, text = got.astype("<u4").tobytes(), vocabulary.decode(got)
-            rows.append((int(block.row[k]), block.doc_id[k], *(finish(ids, text) if finish else (ids, text))))
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types.types)], schema=types)
-
-    return word_blocks.meet(bodies, known, run, schema)
+            own = word_blocks.gathered(values, starts[numbers], sizes[numbers]).astype("<u4")
+            rows.append((int(block.row[k]), block.doc_id[k], *finish(own, vocabulary.decode(own))))
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
+    return word_blocks.meet(bodies, known, run, from_arrow_schema(schema))
 
-def digests(ids: bytes, decoded: bytes) -> tuple[int, str, str]:
-    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
-
-digests.schema = pa.schema(
+DIGESTS = pa.schema(
     [("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
 )
 
 
-def op10_byte_bpe(spark, sf_dir: str) -> DataFrame:
-    """Number and digests of the ids of every document, and of the text they decode to."""
-    return digest_rows(documents(spark, sf_dir))
+def _digests(ids: np.ndarray, decoded: bytes) -> tuple:
+    return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
-def digest_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of each row of ``docs``; null texts count as empty."""
+def _digests_and_ids(ids: np.ndarray, decoded: bytes) -> tuple:
+    return *_digests(ids, decoded), ids.astype(np.int32)
+
+
+def _by_the_public_ranks(docs: DataFrame, finish: Callable, schema: pa.Schema) -> DataFrame:
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
     )
-    schema = "row long, doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    path = public_tokenizers.path(RANKS)
-    return encoded(rows, path, public_tokenizers.PATTERN, digests, schema).drop("row")
+    return encoded(rows, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, finish, schema).drop("row")
+
+
+def digest_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of each row of ``docs``.
+
+    Null texts count as empty; repeated rows give repeated rows, an empty table an empty one.
+    Digests are of the ids as little-endian unsigned 32-bit integers and of the decoded bytes.
+    """
+    return _by_the_public_ranks(docs, _digests, DIGESTS)
+
+
+def token_rows(docs: DataFrame) -> DataFrame:
+    """As ``digest_rows``, and the ``ids`` themselves."""
+    return _by_the_public_ranks(docs, _digests_and_ids, DIGESTS.append(pa.field("ids", pa.list_(pa.int32()))))
+
+
+def op10_byte_bpe(spark, sf_dir: str) -> DataFrame:
+    """Number and digests of the ids of every document, and of the text they decode to."""
+    return digest_rows(documents(spark, sf_dir))
