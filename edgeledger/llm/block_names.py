@@ -109,6 +109,7 @@ def exact_groups(docs: DataFrame, size: int = BLOCK_BYTES, bits: int = 64) -> Da
     groups = named.groupBy("level", "name").agg(
         F.max(F.struct("doc_id", "row")).alias("top"), F.count("*").alias("group_size")
     )
+    groups = land(groups, "groups")  # so that the join has exchanges of its own, whose hot keys can be split
     return named.join(groups, ["level", "name"]).select(
         "row", "doc_id", F.col("top.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("top.row")).alias("kept"), "text_sha256",
