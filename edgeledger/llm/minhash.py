@@ -92,16 +92,17 @@ def _near(a: Column, b: Column, percent: int) -> Column:
 def candidates(nodes: DataFrame, percent: int) -> DataFrame:
     """``a, b``: distinct pairs of nodes (``node, n, bands``), at most two for each node and bucket."""
     places = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = places.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    # Aggregates are landed before they are joined: then the join has exchanges of its own, whose hot keys can be split.
+    shared = land(places.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "shared")
     live = land(places.join(shared, "bucket"), "buckets")
-    central = live.groupBy("node").agg(F.sum("size").alias("central"))
+    central = land(live.groupBy("node").agg(F.sum("size").alias("central")), "central")
     ranked = live.join(central, "node")
     own = F.struct("node", "n")
     centres = ranked.groupBy("bucket").agg(
         F.max(F.struct("central", own.alias("c")))["c"].alias("c1"),
         F.min(F.struct(F.xxhash64("node", "bucket").alias("draw"), own.alias("c")))["c"].alias("c2"),
     )
-    pairs = live.join(centres, "bucket").select("node", "n", F.explode(F.array("c1", "c2")).alias("c"))
+    pairs = live.join(land(centres, "centres"), "bucket").select("node", "n", F.explode(F.array("c1", "c2")).alias("c"))
     return (
         pairs.where((F.col("node") != F.col("c.node")) & _near(F.col("n"), F.col("c.n"), percent))
         .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
@@ -159,9 +160,10 @@ def components(links: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = land(least, "large-least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = land(large, "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = land(large.groupBy("u").agg(F.min("v").alias("m")), "small-least")
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = land(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
         after = state(edges)
@@ -192,7 +194,7 @@ def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     alone = found.where("n = 0").select("row", "doc_id", "n", F.col("row").alias("root"))
     members = land(members.unionByName(alone), "members")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row"))
-    heads = members.groupBy("root").agg(first.alias("head"))
+    heads = land(members.groupBy("root").agg(first.alias("head")), "heads")
     return members.join(heads, "root").select(
         "row", "doc_id", F.col("n").alias("n_shingles"), F.col("head.doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.col("head.doc_id"), F.lit(False)).alias("kept"),
