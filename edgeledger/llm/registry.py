@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from edgeledger.llm import block_names, byte_bpe, decision_list, minhash, poisson_mix
+from edgeledger.llm import block_names, byte_bpe, decision_list, license_digests, minhash, poisson_mix
 
 QUERIES = {
+    "op2_license_scan": license_digests.op2_license_scan,
     "op3_quality_rules": decision_list.op3_quality_rules,
     "op4_near_dedup": minhash.op4_near_dedup,
     "op8_mix_sources": poisson_mix.op8_mix_sources,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_license_scan": license_digests.OP2_SQL,
     "op8_mix_sources": poisson_mix.OP8_SQL,
     "op9_exact_dedup": block_names.OP9_SQL,
 }
