@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from edgeledger.llm import block_names, byte_bpe, decision_list, license_digests, minhash, poisson_mix
+from edgeledger.llm import (
+    block_names,
+    byte_bpe,
+    classifier_chain,
+    decision_list,
+    license_digests,
+    minhash,
+    pii_boost,
+    poisson_mix,
+)
 
 QUERIES = {
     "op2_license_scan": license_digests.op2_license_scan,
     "op3_quality_rules": decision_list.op3_quality_rules,
     "op4_near_dedup": minhash.op4_near_dedup,
+    "op6_personal_data": pii_boost.op6_personal_data,
+    "op7_toxicity": classifier_chain.op7_toxicity,
     "op8_mix_sources": poisson_mix.op8_mix_sources,
     "op9_exact_dedup": block_names.op9_exact_dedup,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
