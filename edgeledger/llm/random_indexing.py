@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
+from xxhash import xxh64_intdigest
 
-from edgeledger.llm.common import bounded_sample, crc_mod, documents, labels, land, small_batches
+from edgeledger.llm.common import bounded_sample, crc_mod, documents, labels, small_batches
 from edgeledger.llm.words import REMEMBERED, batches, mix, texts_of
-from xxhash import xxh64_intdigest
 
 #: Buckets of words and of shapes, dimensions of a vector, signs in an index vector.
 WORDS, SHAPES, SIZE, SIGNS = 8192, 1024, 32, 4
@@ -95,8 +95,8 @@ def word_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     schema = pa.schema([("bucket", pa.int64()), ("sums", pa.list_(pa.float64()))])
 
     def run(frames):
-        known, tables = Buckets(), (np.zeros((WORDS, SIZE)), np.zeros((SHAPES, SIZE)))
-        index = index_vectors(WORDS, 1), index_vectors(SHAPES, 2)
+        known, index = Buckets(), both_index_vectors()
+        tables = np.zeros((WORDS, SIZE)), np.zeros((SHAPES, SIZE))
         for batch in frames:
             codes, sizes = buckets_of(texts_of(batch, "text"), known)
             for own, vectors, table in zip((codes // SHAPES, codes % SHAPES), index, tables):
@@ -115,23 +115,40 @@ def word_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return out[:WORDS], out[WORDS:]
 
 
-FEATURES = 4 * SIZE + 1
+FEATURES = 2 * (2 * SIZE + 2) + 1
+
 
+def both_index_vectors() -> tuple[np.ndarray, np.ndarray]:
+    return index_vectors(WORDS, 1), index_vectors(SHAPES, 2)
 
-def pooled(texts: list[bytes], known: Buckets, vectors: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """A row for each text: means and deviations of its words' and shapes' vectors, and the log of its words."""
+
+def pooled(texts: list[bytes], known: Buckets, vectors: tuple, index: tuple) -> np.ndarray:
+    """A row for each text, pooled over its words.
+
+    For words and for shapes: means and deviations of their vectors, the squared length of the mean
+    index vector, which is large when few words make up the text, and the mean product of adjacent
+    index vectors, which is large when words follow themselves. Last, the log of the number of words.
+    """
     codes, sizes = buckets_of(texts, known)
     out = np.zeros((len(texts), FEATURES), np.float32)
     full = np.flatnonzero(sizes)
     if len(codes):
         starts = (np.cumsum(sizes) - sizes)[full]
         n = sizes[full][:, None]
-        for k, (own, table) in enumerate(zip((codes // SHAPES, codes % SHAPES), vectors)):
+        follows = np.ones(len(codes), np.float32)
+        follows[starts] = 0
+        for k, (own, table, signs) in enumerate(zip((codes // SHAPES, codes % SHAPES), vectors, index)):
+            at = (2 * SIZE + 2) * k
             mean = np.add.reduceat(table[own], starts, axis=0) / n
             square = np.add.reduceat((table * table)[own], starts, axis=0) / n
-            at = 2 * SIZE * k
             out[full, at : at + SIZE] = mean
             out[full, at + SIZE : at + 2 * SIZE] = np.sqrt(np.maximum(square - mean * mean, 0))
+            marks = signs[own]
+            before = np.roll(marks, 1, axis=0)
+            alike = np.einsum("ij,ij->i", marks, before) * follows / SIGNS
+            out[full, at + 2 * SIZE] = np.add.reduceat(alike, starts) / n[:, 0]
+            middle = np.add.reduceat(marks, starts, axis=0) / n
+            out[full, at + 2 * SIZE + 1] = np.einsum("ij,ij->i", middle, middle) / SIGNS
     out[:, -1] = np.log1p(sizes) / 10
     return out
 
@@ -199,10 +216,10 @@ def learned_network(docs: DataFrame, marks: DataFrame, vectors, rows: int = LEAR
     schema = pa.schema([("label", pa.int64()), ("part", pa.int64()), ("x", pa.list_(pa.float32()))])
 
     def run(frames):
-        known = Buckets()
+        known, index = Buckets(), both_index_vectors()
 
         def of(batch):
-            return batch.column("label"), batch.column("part"), list(pooled(texts_of(batch, "text"), known, vectors))
+            return batch.column("label"), batch.column("part"), list(pooled(texts_of(batch, "text"), known, vectors, index))
 
         return batches(frames, schema, of)
 
@@ -224,10 +241,10 @@ def quality_scores(docs: DataFrame, net: Network, vectors) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64())])
 
     def run(frames):
-        known = Buckets()
+        known, index = Buckets(), both_index_vectors()
 
         def of(batch):
-            score = net.probability(pooled(texts_of(batch, "text"), known, vectors).astype(np.float64))
+            score = net.probability(pooled(texts_of(batch, "text"), known, vectors, index).astype(np.float64))
             return batch.column("doc_id"), batch.column("held_out"), score
 
         return batches(frames, schema, of)

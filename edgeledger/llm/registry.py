@@ -11,12 +11,14 @@ from edgeledger.llm import (
     minhash,
     pii_boost,
     poisson_mix,
+    random_indexing,
 )
 
 QUERIES = {
     "op2_license_scan": license_digests.op2_license_scan,
     "op3_quality_rules": decision_list.op3_quality_rules,
     "op4_near_dedup": minhash.op4_near_dedup,
+    "op5_quality_classifier": random_indexing.op5_quality_classifier,
     "op6_personal_data": pii_boost.op6_personal_data,
     "op7_toxicity": classifier_chain.op7_toxicity,
     "op8_mix_sources": poisson_mix.op8_mix_sources,
