@@ -7,6 +7,7 @@ from edgeledger.llm import (
     byte_bpe,
     classifier_chain,
     decision_list,
+    gru_lm,
     license_digests,
     minhash,
     pii_boost,
@@ -15,6 +16,7 @@ from edgeledger.llm import (
 )
 
 QUERIES = {
+    "op1_lm_score": gru_lm.op1_lm_score,
     "op2_license_scan": license_digests.op2_license_scan,
     "op3_quality_rules": decision_list.op3_quality_rules,
     "op4_near_dedup": minhash.op4_near_dedup,
