@@ -13,6 +13,7 @@ import base64
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -20,13 +21,11 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import from_arrow_schema
 
 from edgeledger.llm import word_blocks
-from edgeledger.llm.common import documents, land, let
-from edgeledger.llm.words import batches
+from edgeledger.llm.common import documents, let
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Maps that the ranks of pairs are dealt to, and the factor of a pair's first id in the choice.
@@ -100,9 +99,7 @@ def folded(word: Column, ranks: dict[bytes, int]) -> Column:
 
 
 def heaped(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same ids for one long word, in time near its length."""
-    if word in ranks:
-        return [ranks[word]]
+    """The ids of one word by the same merges, in time near its length."""
     parts = [word[i : i + 1] for i in range(len(word))]
     after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
     pairs = [(ranks[a + b], i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
@@ -125,20 +122,52 @@ def heaped(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p]
 
 
-def word_ids(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``word, ids`` of distinct words; a word that is a token is that token, whatever merges would give."""
-    spark = words.sparkSession
-    whole = spark.createDataFrame(list(ranks.items()), "word binary, whole int")
-    known = words.join(whole, "word", "left")
-    fold = F.when(F.col("whole").isNotNull(), F.array("whole")).otherwise(folded(F.col("word"), ranks))
-    is_long = F.col("whole").isNull() & (F.octet_length("word") > FOLD_BYTES)
-    schema = pa.schema([("word", pa.binary()), ("ids", pa.list_(pa.int32()))])
+class Pieces(word_blocks.Words):
+    """The matches of a pattern as words.
 
-    def run(frames):
-        return batches(frames, schema, lambda b: (b.column("word"), [heaped(w, ranks) for w in b.column("word").to_pylist()]))
+    A text is cut before each space that a character other than white space follows, where a match
+    of such a pattern always begins, and the pattern is applied to distinct parts only.
+    """
+
+    def __init__(self, pattern: str):
+        self.match = regex.compile(pattern).findall
+        self.cut = re.compile(r" (?=\S)").split
+        self.odd = re.compile(r" (?:\s|$)").search
+
+    def split(self, text: str) -> list[str]:
+        parts = self.cut(text) if self.odd(text) else text.split(" ")
+        parts[0] = FIRST + parts[0]
+        return parts
+
+    def refine(self, keys):
+        numbers, counts, places = {}, [], []
+        for key in keys:
+            found = self.match(key[1:] if key[:1] == FIRST else " " + key)
+            counts.append(len(found))
+            for piece in found:
+                places.append(numbers.setdefault(piece, len(numbers)))
+        return [w.encode() for w in numbers], np.array(counts, np.int64), np.array(places, np.int64)
+
+
+#: Marks a text's first part, which no space precedes. No text holds half a surrogate pair.
+FIRST = "\ud800"
 
-    long = known.where(is_long).select("word").mapInArrow(run, "word binary, ids array<int>")
-    return known.where(~is_long).select("word", fold.alias("ids")).unionByName(long)
+
+def corpus_ids(listed: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """``block, number, figure``: the ids of each list's words; every distinct word is merged once.
+
+    ``listed`` is ``block, number, word, ids``, with ids for words too long to fold. A list has a word
+    once, so a word has a row for each block at most.
+    """
+    own = Window.partitionBy("word").orderBy("block")
+    first = listed.withColumn("place", F.row_number().over(own))
+    shortcuts = {t: r for t, r in ranks.items() if heaped(t, ranks) != [r]}
+    ids = folded(F.col("word"), ranks)
+    if shortcuts:  # tokens that merges don't reach are still what a word that equals them becomes
+        table = F.from_json(F.lit(json.dumps({t.hex().upper(): [r] for t, r in shortcuts.items()})), "map<string,array<int>>")
+        ids = F.coalesce(table[F.hex("word")], ids)
+    merged = first.withColumn("ids", F.when(F.col("place") == 1, F.coalesce("ids", ids)))
+    return merged.select("block", "number", F.first("ids").over(own).alias("figure"))
 
 
 class Vocabulary:
@@ -164,24 +193,33 @@ def encoded(docs: DataFrame, path: str, pattern: str, finish: Callable, schema:
     The file at ``path`` is read on the driver; each byte must have a rank, as in any byte-level
     vocabulary.
     """
-    ranks, match = read_ranks(path), regex.compile(pattern)
-    bodies, words = word_blocks.blocks(docs.withColumn("flag", F.lit(0)), match.findall, str.encode, "bpe-blocks")
+    ranks, words = read_ranks(path), Pieces(pattern)
+    flagged = docs.withColumn("flag", F.lit(0))
+
+    def long_ids(block: word_blocks.Block, listed: list[bytes]) -> list[list[int] | None]:
+        return [
+            None if len(w) <= FOLD_BYTES else [ranks[w]] if w in ranks else heaped(w, ranks) for w in listed
+        ]
+
+    listed = word_blocks.lists(flagged, words, long_ids, pa.field("ids", pa.list_(pa.int32())))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ids = land(word_ids(words.select("word").distinct().repartition(tasks, "word"), ranks), "bpe-words")
-    known = words.join(ids, "word").select("block", "number", "ids")
+    known = corpus_ids(listed.repartition(tasks, "word"), ranks)
     vocabulary = Vocabulary(ranks)
 
-    def run(block: word_blocks.Block, table: pa.Table) -> pa.Table:
-        lists = pa.concat_arrays(table.column("ids").chunks)
-        offsets, values = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
-        starts, sizes, rows = offsets[:-1], np.diff(offsets), []
+    def run(block: word_blocks.Block, lists: pa.Array) -> pa.Table:
+        if len(lists):
+            offsets, values = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+            starts, sizes = offsets[:-1], np.diff(offsets)
+        else:
+            starts = sizes = values = np.empty(0, np.int64)
+        rows = []
         for k in range(len(block)):
             numbers = block.text(k)
             own = word_blocks.gathered(values, starts[numbers], sizes[numbers]).astype("<u4")
             rows.append((int(block.row[k]), block.doc_id[k], *finish(own, vocabulary.decode(own))))
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    return word_blocks.meet(bodies, known, run, from_arrow_schema(schema))
+    return word_blocks.meet(word_blocks.bodies(flagged, words), known, run, schema)
 
 
 DIGESTS = pa.schema(

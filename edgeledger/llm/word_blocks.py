@@ -1,65 +1,91 @@
 """Texts as blocks of word numbers, so that figures of distinct words reach every occurrence.
 
-A task packs its texts into blocks: each block lists its distinct words once and holds its texts as
-numbers into that list. The lists are joined by word with whatever is known of a word, then each
-block meets its list again. Only lists and packed numbers are shuffled, never single occurrences,
-and nothing of the whole vocabulary has to fit in one place.
+A task takes its texts in blocks. A block has a list of its distinct words, the most frequent
+first, and a body, the texts as numbers into that list. Lists are shuffled by word, to learn
+whatever the corpus knows of a word, then by block, to meet their bodies; single occurrences are
+never shuffled and nothing of the whole vocabulary has to fit in one place. Lists and bodies are
+made from the same rows by two passes; a body knows the length and checksum of its list.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
-from edgeledger.llm.common import land_for, small_batches
+from edgeledger.llm.common import small_batches
 
 #: Words after which a block is closed; a text is never split, so a longer one is a block of its own.
 BLOCK_WORDS = 4_000_000
+#: Rows of a batch of list entries.
+LIST_ROWS = 20_000
 
-ROWS = pa.schema(
-    [("block", pa.int64()), ("number", pa.int32()), ("word", pa.binary()), ("uses", pa.int64()), ("body", pa.binary())]
-)
-ROWS_SQL = "block long, number int, word binary, uses long, body binary"
+BODY = pa.schema([("block", pa.int64()), ("body", pa.binary())])
+ENTRY = [pa.field("block", pa.int64()), pa.field("number", pa.int32()), pa.field("word", pa.binary())]
 
 
 class _Numbers(dict):
-    """word -> its place among the words seen."""
+    """key -> its place among the keys seen."""
 
-    def __missing__(self, word) -> int:
-        value = self[word] = len(self)
+    def __missing__(self, key) -> int:
+        value = self[key] = len(self)
         return value
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed piece of bytes."""
+    """Whole numbers that are not negative, compressed; the bytes of equal weight stand together."""
     parts = []
     for a in arrays:
-        raw = a.tobytes()
-        parts += [np.array([len(raw)], np.int64).tobytes(), a.dtype.char.encode(), raw]
+        planes = a.astype("<u8").view(np.uint8).reshape(len(a), 8).T
+        used = max([k + 1 for k in range(8) if planes[k].any()], default=0)
+        parts += [np.array([len(a), used], "<i8").tobytes(), planes[:used].tobytes()]
     return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
 
 
 def unpack(body: bytes) -> list[np.ndarray]:
     raw, at, out = zstandard.ZstdDecompressor().decompress(body), 0, []
     while at < len(raw):
-        size = int(np.frombuffer(raw, np.int64, 1, at)[0])
-        out.append(np.frombuffer(raw[at + 9 : at + 9 + size], chr(raw[at + 8])))
-        at += 9 + size
+        size, used = np.frombuffer(raw, "<i8", 2, at).tolist()
+        planes = np.zeros((size, 8), np.uint8)
+        planes[:, :used] = np.frombuffer(raw, np.uint8, size * used, at + 16).reshape(used, size).T
+        out.append(planes.reshape(-1).view("<u8").astype(np.int64))
+        at += 16 + size * used
     return out
 
 
+def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs ``values[start : start + size]``, one after another."""
+    total = int(sizes.sum())
+    if not total:
+        return values[:0]
+    shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    return values[shift + np.arange(total)]
+
+
+class Words:
+    """How texts fall into words; this one takes the words of ``split`` as they are."""
+
+    def __init__(self, split: Callable):
+        self.split = split
+
+    def refine(self, keys: list) -> tuple[list[bytes], np.ndarray, np.ndarray] | None:
+        """The words of each key: distinct words, then for all keys their number and the words' places."""
+        return None
+
+
 class Block:
-    """The texts of a block: ``row``, ``doc_id`` and ``flag`` of each, and its words' numbers."""
+    """A closed block: ``row, doc_id, flag`` and size of each text, and the numbers of all."""
 
-    def __init__(self, body: bytes):
-        self.row, ids, known, self.flag, self.sizes, self.numbers = unpack(body)
-        self.doc_id = [int(i) if k else None for i, k in zip(ids, known)]
-        self.ends = np.cumsum(self.sizes)
+    def __init__(self, row, doc_id, flag, sizes, numbers, words: int, check: int):
+        self.row, self.doc_id, self.flag, self.sizes = row, doc_id, flag, sizes
+        self.numbers, self.words, self.check = numbers, words, check
+        self.ends = np.cumsum(sizes)
 
     def __len__(self) -> int:
         return len(self.row)
@@ -67,68 +93,108 @@ class Block:
     def text(self, k: int) -> np.ndarray:
         return self.numbers[self.ends[k] - self.sizes[k] : self.ends[k]]
 
+    def dump(self) -> bytes:
+        known = np.array([i is not None for i in self.doc_id], np.int64)
+        ids = np.array([i or 0 for i in self.doc_id], np.int64)
+        return pack(
+            self.row, np.abs(ids), known + 2 * (ids < 0), self.flag, self.sizes, self.numbers,
+            np.array([self.words, self.check]),
+        )
 
-def _packed(frames: Iterator[pa.RecordBatch], split: Callable, encode: Callable, limit: int) -> Iterator[pa.RecordBatch]:
+    @classmethod
+    def load(cls, body: bytes) -> Block:
+        row, ids, state, flag, sizes, numbers, (words, check) = unpack(body)
+        ids = [int(-i if s & 2 else i) if s & 1 else None for i, s in zip(ids, state)]
+        return cls(row, ids, flag, sizes, numbers, int(words), int(check))
+
+
+def _closed(frames: Iterator[pa.RecordBatch], words: Words, limit: int) -> Iterator[tuple[Block, list[bytes]]]:
     numbers, texts, about, total = _Numbers(), [], [], 0
 
-    def close() -> Iterator[pa.RecordBatch]:
-        block, words = about[0][0], [encode(w) for w in numbers]
-        flags = np.array([a[2] for a in about], np.int8)
+    def close() -> tuple[Block, list[bytes]]:
         sizes = np.array([len(t) for t in texts], np.int64)
-        flat = np.concatenate(texts).astype(np.uint16 if len(words) <= 65536 else np.uint32)
-        uses = np.bincount(flat[np.repeat(flags != 0, sizes)], minlength=len(words))
-        body = pack(
-            np.array([a[0] for a in about], np.int64), np.array([a[1] or 0 for a in about], np.int64),
-            np.array([a[1] is not None for a in about], np.int8), flags, sizes, flat,
-        )
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(([block], [-1], [None], [None], [body]), ROWS.types)], schema=ROWS
-        )
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
-            columns = ([block] * len(part), range(at, at + len(part)), part, uses[at : at + len(part)], [None] * len(part))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, ROWS.types)], schema=ROWS)
+        flat, keys = np.concatenate(texts), list(numbers)
+        if (refined := words.refine(keys)) is not None:
+            keys, counts, places = refined
+            starts = np.cumsum(counts) - counts
+            ends = np.cumsum(sizes)
+            steps = np.concatenate(([0], np.cumsum(counts[flat])))
+            sizes = steps[ends] - steps[ends - sizes]
+            flat = gathered(places, starts, counts)[:0] if not len(flat) else gathered(places, starts[flat], counts[flat])
+        order = np.argsort(-np.bincount(flat, minlength=len(keys)), kind="stable")
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        listed = [keys[k] for k in order.tolist()]
+        row, doc_id, flag = zip(*about)
+        check = crc32(b"\n".join(listed))
+        return Block(np.array(row), doc_id, np.array(flag), sizes, rank[flat], len(listed), check), listed
 
     for batch in frames:
-        columns = (batch.column(c).to_pylist() for c in ("row", "doc_id", "flag", "text"))
-        for row, doc_id, flag, text in zip(*columns):
-            words = split(text)
-            texts.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+        for row, doc_id, flag, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "flag", "text"))):
+            split = words.split(text)
+            texts.append(np.fromiter(map(numbers.__getitem__, split), np.int64, len(split)))
             about.append((row, doc_id, flag))
-            total += len(words)
+            total += len(split)
             if total >= limit:
-                yield from close()
+                yield close()
                 numbers, texts, about, total = _Numbers(), [], [], 0
     if about:
-        yield from close()
+        yield close()
 
 
-def blocks(docs: DataFrame, split: Callable, encode: Callable, name: str, limit: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
-    """The blocks of ``docs`` (``row, doc_id, text, flag``), landed: ``block, body`` and the lists.
+def _rows(docs: DataFrame, binary: bool) -> DataFrame:
+    small_batches(docs.sparkSession)
+    text = F.col("text").cast("binary") if binary else F.col("text")
+    return docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.col("flag").cast("int").alias("flag"))
 
-    ``split`` gives a text's words, ``encode`` a word's bytes. A list's row has ``block, number, word``
-    and ``uses``, how often the block's flagged texts have it. A block is named by its first row.
+
+def lists(docs: DataFrame, words: Words, about: Callable, field: pa.Field, binary: bool = False, limit: int = BLOCK_WORDS) -> DataFrame:
+    """``block, number, word`` and the column that ``about(block, words)`` gives for each word.
+
+    ``docs`` has ``row, doc_id, text, flag``; texts are given to ``words`` as bytes if ``binary``. A block
+    is named by its first row.
     """
-    small_batches(docs.sparkSession)
-    rows = docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("flag").cast("int").alias("flag"))
-    packed = rows.mapInArrow(lambda frames: _packed(frames, split, encode, limit), ROWS_SQL)
-    bodies, lists = land_for(packed, name, 2)
-    return bodies.where("number = -1").select("block", "body"), lists.where("number >= 0").drop("body")
+    schema = pa.schema([*ENTRY, field])
 
+    def run(frames):
+        for block, listed in _closed(frames, words, limit):
+            more, name = about(block, listed), int(block.row[0])
+            for at in range(0, len(listed), LIST_ROWS):
+                part = listed[at : at + LIST_ROWS]
+                columns = ([name] * len(part), range(at, at + len(part)), part, more[at : at + LIST_ROWS])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
 
-def meet(bodies: DataFrame, known: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``run(Block, table)`` for each block and the rows of ``known`` (``block, number, ...``) of it, by number."""
+    return _rows(docs, binary).mapInArrow(run, from_arrow_schema(schema))
 
-    def both(left: pa.Table, right: pa.Table) -> pa.Table:
-        return run(Block(left.column("body")[0].as_py()), right.sort_by("number"))
 
-    return bodies.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(both, schema)
+def bodies(docs: DataFrame, words: Words, binary: bool = False, limit: int = BLOCK_WORDS) -> DataFrame:
+    """``block, body`` of the same blocks."""
 
+    def run(frames):
+        for block, _ in _closed(frames, words, limit):
+            columns = ([int(block.row[0])], [block.dump()])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, BODY.types)], schema=BODY)
 
-def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The runs ``values[start : start + size]``, one after another."""
-    total = int(sizes.sum())
-    if not total:
-        return values[:0]
-    shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-    return values[shift + np.arange(total)]
+    return _rows(docs, binary).mapInArrow(run, from_arrow_schema(BODY))
+
+
+def meet(packed: DataFrame, known: DataFrame, run: Callable, schema: pa.Schema) -> DataFrame:
+    """``run(Block, figures)`` for each block: ``known`` is ``block, number, figure``, the figures come by number.
+
+    Figures travel as one row for each block and task that has made some.
+    """
+    gathered_ = known.groupBy("block").agg(F.collect_list("number").alias("number"), F.collect_list("figure").alias("figure"))
+
+    def both(left: pa.Table, right: pa.Table) -> pa.Table:
+        block = Block.load(left.column("body")[0].as_py())
+        if right.num_rows:
+            numbers = pa.concat_arrays(right.column("number").chunks).flatten().to_numpy()
+            figures = pa.concat_arrays(right.column("figure").chunks).flatten()
+        else:
+            numbers, figures = np.empty(0, np.int64), pa.array([])
+        order = np.argsort(numbers)
+        if len(numbers) != block.words or not np.array_equal(numbers[order], np.arange(block.words)):
+            raise ValueError(f"block {block.row[0]}: {block.words} words, but a list of {len(numbers)}")
+        return run(block, figures.take(pa.array(order)))
+
+    return packed.groupBy("block").cogroup(gathered_.groupBy("block")).applyInArrow(both, from_arrow_schema(schema))
