@@ -15,19 +15,19 @@ SQL = {
           concat(100 + event_id % 27, '.', event_id % 4, '.7.9') dip,
           case event_id % 3 when 0 then '80' when 1 then '443' else '53' end dport,
           case event_id % 2 when 0 then 'TCP' else 'UDP' end proto,
-          concat('113.214.201.', event_id % 10) nip,
+          concat('203.0.113.', event_id % 10) nip,
           cast(10000 + event_id % 20 as string) nport
         from {events}""",
     "lines": """
         select event_id, ts, case
           when event_id % 20 = 9
-            then concat('30.254.', event_id % 7, '.25.2000 > 30.1.1.1.514: syslog')
+            then concat('10.254.', event_id % 7, '.25.2000 > 30.1.1.1.514: syslog')
           when event_id % 20 = 19 then concat('Msg: garbage ', event_id)
           when event_id % 10 in (6, 7, 8) then concat(
             'Msg: ', date_format(ts, 'MMM'), '  ', date_format(ts, 'd HH:mm:ss'),
-            ' 1304447192000843(root) 46083623 Traffic@FLOW: NAT: ', sip, ':', sport, '->', dip,
+            ' 2200000000000017(root) 10000001 Traffic@FLOW: NAT: ', sip, ':', sport, '->', dip,
             ':', dport, '(', proto, '), snat to ', nip, ':', nport,
-            ', vr trust-vr, user -@UNKNOWN, host -, rule 318')
+            ', vr vr-one, user -@UNKNOWN, host -, rule 7')
           else concat(
             'Msg: ', date_format(ts, 'yyyy-MM-dd HH:mm:ss'), ' fw1 nat=1,proto=', proto,
             ',sip=', sip, ',dip=', dip, ',sport=', sport, ',dport=', dport,
@@ -67,27 +67,31 @@ SQL = {
         select o_orderpriority groupId, o_orderstatus topic,
           cast(o_custkey % 4 as int) partitionNum, max(o_orderkey) offsets
         from {orders} group by o_orderpriority, o_orderstatus, o_custkey % 4""",
+    # Ranges inside, across and around those of ``geo``; a third of them start where one of it does.
+    "geo_overlaps": """
+        select lo, hi, province, city, operator from {geo}
+        union all
+        select (100 + n_nationkey) * 16777216L + (n_nationkey % 3) * 65536L lo,
+          (101 + n_nationkey) * 16777216L + 65536L * n_nationkey hi,
+          concat('over_', n_name), 'over_city', 'over'
+        from {nation} where n_nationkey % 2 = 0""",
+    # Lines of format A around a new year, without the year.
+    "border_lines": """
+        select event_id, timestampadd(day, -14, ts) ts, concat(
+          'Msg: ', date_format(timestampadd(day, -14, ts), 'MMM d HH:mm:ss'),
+          ' 2200000000000017(root) 10000001 Traffic@FLOW: NAT: ', sip, ':', sport, '->', dip, ':', dport,
+          '(', proto, '), snat to ', nip, ':', nport, ', vr vr-one') value
+        from {ev}""",
     "settings": "select n_nationkey performance from {nation}",
 }
 
 TABLES = {"events", "customer", "nation", "region", "orders"}
 
 
-def spread(table: DataFrame, key: str) -> DataFrame:
-    """A table that is read in fewer tasks than there are cores, dealt out to all cores.
-
-    The given event file is one row group, which is one task; larger tables are left
-    as they are.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, key)
-
-
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input by name; a given table or a query over others."""
     if name in TABLES:
-        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        return spread(table, "event_id") if name == "events" else table
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     sql = SQL[name]
     needed = {n: frame(spark, sf_dir, n) for n in [*TABLES, *SQL] if "{" + n + "}" in sql}
     return spark.sql(sql, **needed)

@@ -10,20 +10,20 @@ ev as (
     concat(100 + event_id % 27, '.', event_id % 4, '.7.9') dip,
     case event_id % 3 when 0 then '80' when 1 then '443' else '53' end dport,
     case event_id % 2 when 0 then 'TCP' else 'UDP' end proto,
-    concat('113.214.201.', event_id % 10) nip,
+    concat('203.0.113.', event_id % 10) nip,
     cast(10000 + event_id % 20 as varchar) nport
   from events)"""
 
 LINES = """
 lines as (
   select event_id, ts, case
-    when event_id % 20 = 9 then concat('30.254.', event_id % 7, '.25.2000 > 30.1.1.1.514: syslog')
+    when event_id % 20 = 9 then concat('10.254.', event_id % 7, '.25.2000 > 30.1.1.1.514: syslog')
     when event_id % 20 = 19 then concat('Msg: garbage ', event_id)
     when event_id % 10 in (6, 7, 8) then concat(
       'Msg: ', strftime(ts, '%b'), '  ', strftime(ts, '%-d %H:%M:%S'),
-      ' 1304447192000843(root) 46083623 Traffic@FLOW: NAT: ', sip, ':', sport, '->', dip,
+      ' 2200000000000017(root) 10000001 Traffic@FLOW: NAT: ', sip, ':', sport, '->', dip,
       ':', dport, '(', proto, '), snat to ', nip, ':', nport,
-      ', vr trust-vr, user -@UNKNOWN, host -, rule 318')
+      ', vr vr-one, user -@UNKNOWN, host -, rule 7')
     else concat(
       'Msg: ', strftime(ts, '%Y-%m-%d %H:%M:%S'), ' fw1 nat=1,proto=', proto,
       ',sip=', sip, ',dip=', dip, ',sport=', sport, ',dport=', dport,
@@ -116,7 +116,7 @@ def _report(at: str, host_at: str = SLOT) -> str:
     """CTEs up to ``report``: all seven dimensions with the time expression ``at``."""
     return f"""with {EV}, {SES}, {RADIUS}, {GEO}, {DETAIL.format(at=at)}, {USERS.format(at=at)},
 hosts as (
-  select {host_at} accesstime, concat('30.254.', event_id % 7, '.25') host, count(*) n
+  select {host_at} accesstime, concat('10.254.', event_id % 7, '.25') host, count(*) n
   from events where event_id % 20 = 9 group by 1, 2),
 sources as (select {at} accesstime, "sourceIp", count(*) n from ses group by 1, 2),
 report as (
@@ -172,7 +172,7 @@ def _backfill() -> str:
     return f"""with {EV}, {SES}, {RADIUS}, {GEO}, {DETAIL.format(at=EVENT)}, {USERS.format(at=EVENT)},
 hosts as (
   select time_bucket(interval 5 minutes, ts) accesstime,
-    concat('30.254.', event_id % 7, '.25') host, count(*) n
+    concat('10.254.', event_id % 7, '.25') host, count(*) n
   from events where event_id % 20 = 9 group by 1, 2),
 sources as (select {EVENT} accesstime, "sourceIp", count(*) n from ses group by 1, 2),
 ranked as (
@@ -190,6 +190,18 @@ select accesstime + interval 5 minutes as batch, types, accesstime, data, cast(n
 from report"""
 
 
+def _rerun() -> str:
+    """What one line in twenty leaves, all of them sessions, and a batch without any."""
+    fewer = "from (select * from events where event_id % 20 = 0)"
+    return f"""{_report(SLOT).replace("from events", fewer)},
+n as (select count(*) n from ses)
+select types as name, data, cast(n as bigint) as "count" from report
+union all select 'counter', c || ' ' || at, case when at < '2024-01-15' then n.n else 0 end
+from n, (values ('nat_count'), ('nat_hbase_count')) c(c),
+  (values ('2024-01-14 23:55:00'), ('2024-01-15 00:00:00')) a(at)
+union all select 'sessions', '', n from n"""
+
+
 def _broken() -> str:
     return f"""with {EV}, k as (select *, event_id % 9 k, date_trunc('second', ts) accesstime from ev)
 select event_id, accesstime, sip "sourceIp",
@@ -262,10 +274,10 @@ select concat('{', string_agg(s, ',' order by topic), '}') as "startingOffsets"
     "trace_time": _traced(
         "accesstime >= timestamp '2024-01-10' and accesstime < timestamp '2024-01-10 06:00:00'"
     ),
-    "trace_converted_ip": _traced("\"convertedIp\" = '113.214.201.3'"),
+    "trace_converted_ip": _traced("\"convertedIp\" = '203.0.113.3'"),
     "trace_source_ip": _traced("\"sourceIp\" = '30.130.0.74'"),
     "trace_endpoint": _traced(
-        "\"convertedIp\" = '113.214.201.7' and \"convertedPort\" = '10007' and "
+        "\"convertedIp\" = '203.0.113.7' and \"convertedPort\" = '10007' and "
         "accesstime >= timestamp '2024-01-05' and accesstime < timestamp '2024-01-20'",
         "",
     ),
@@ -303,6 +315,8 @@ from events where event_id % 20 <> 9 group by 1""",
     "parse_a": f"with {EV}, {SES} select accesstime, {SESSION} from ses where event_id % 10 in (6, 7, 8)",
     "parse_b": f"with {EV}, {SES} select accesstime, {SESSION} from ses where event_id % 10 not in (6, 7, 8)",
     "parse_partial": _broken(),
+    "parse_border": f"""with {EV}
+select event_id, date_trunc('second', ts - interval 14 day) accesstime from ev""",
     "flows": f"with {EV}, {SES} select accesstime, {SESSION} from ses",
     "rejects": f"""with {EV}, {LINES}
 select value, 'A' as format, 'shape' reason from lines where event_id % 20 = 19""",
@@ -324,6 +338,24 @@ from ses left join radius on ip = "sourceIp\"""",
     "geo_join": f"""with {EV}, {GEO} select distinct dip, coalesce(province, 'UnKnown') province,
   coalesce(g.operator, 'UnKnown') as operator, coalesce(city, 'UnKnown') city
 from ev left join geo g on octet = cast(split_part(dip, '.', 1) as int)""",
+    "geo_overlaps": f"""with {EV}, t as (select distinct dip, {_number('dip')} n from ev),
+g as (
+  select (100 + n_nationkey::bigint) * 16777216 lo, (101 + n_nationkey::bigint) * 16777216 - 1 hi,
+    n_name province, concat('city_', n_nationkey % 7) city, r_name as operator
+  from nation join region on n_regionkey = r_regionkey
+  union all
+  select (100 + n_nationkey::bigint) * 16777216 + (n_nationkey % 3) * 65536,
+    (101 + n_nationkey::bigint) * 16777216 + 65536 * n_nationkey, concat('over_', n_name),
+    'over_city', 'over'
+  from nation where n_nationkey % 2 = 0),
+r as (
+  select dip, n, hi, province, city, g.operator as op, row_number() over (
+    partition by dip order by lo desc nulls last, hi desc, province, g.operator, city) k
+  from t left join g on lo <= n)
+select dip, case when hi >= n then province else 'UnKnown' end province,
+  case when hi >= n then op else 'UnKnown' end as operator,
+  case when hi >= n then city else 'UnKnown' end city
+from r where k = 1""",
     "liveness": f"""with {EV}, {SES}, {RADIUS}, {USERS.format(at=SLOT)}, {SUBSCRIBERS}
 select s.username, coalesce(n, 0)::bigint resolver, timestamp '2024-01-14' accesstime,
   rid1, rid2, rid3, rid4
@@ -401,6 +433,16 @@ union all select 'cells', qualifier, accesstime, count from (
   select q as qualifier, {SLOT} accesstime, (select count(distinct rowkey) from ses) as count
   from (values ('accesstime'), ('convertedIp'), ('convertedPort'), ('protocol'), ('sourceIp'),
     ('sourcePort'), ('targetIp'), ('targetPort'), ('username')) v(q))""",
+    "rerun_job": _rerun(),
+    "backfill_job": _backfill(),
+    "rejects_table": f"""with {EV}, {LINES}
+select value, 'A' as format, 'shape' reason from lines where event_id % 20 = 19""",
+    "target_places_job": f"""with {EV}, {SES}, {GEO}, {DETAIL.format(at=SLOT)}
+select "targetIp" ip, replace(province, 'UnKnown', '未知') province,
+  replace(city, 'UnKnown', '未知') city, replace(operator, 'UnKnown', '未知') as operator
+from detail order by n desc, "targetIp" limit 500""",
+    "session_compacted": f"""select dt, protocol, count(*)::bigint as "count"
+from ({_traced("true", "")}), (values ('20240114'), ('20240115')) d(dt) group by 1, 2""",
     "delayed_job": f"""{_report(EVENT)},
 {COUNTERS.format(inner=SLOT_TOTALS.format(rows="ses", where=f"where {EVENT} >= {CUTOFF}"), slot=SLOT)}
 select types as name, data, accesstime, cast(n as bigint) as "count" from report

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
-from datetime import datetime, timedelta, timezone
-from functools import reduce
+from datetime import datetime, timedelta
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from edgeledger.operators import lookups, parse, tops
 from edgeledger.plans import daily, jobs
 from edgeledger.plans import report as R
 from edgeledger.schemas import GEO_FIELDS
+from edgeledger.schemas import REPORT as R_SCHEMA
 from edgeledger.session import scratch_path
 from edgeledger.sinks import sessions as session_sink
 from edgeledger.sinks import tables as sink
@@ -31,9 +33,21 @@ REPORT = R.REPORT_COLUMNS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def shared_folder(spark: SparkSession) -> None:
+    """A session on one machine without a shared folder gets one; on a cluster it must name its own."""
+    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not known and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="edgeledger-checks-"))
+
+
 def query(function):
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark, sf):
+        shared_folder(spark)
+        return function(spark, sf)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def lines(spark, sf) -> DataFrame:
@@ -85,7 +99,7 @@ def minute_scan(spark, sf):
 def mtime_scan(spark, sf):
     root = scratch_path(spark, "changed")
     raw_lines(spark, sf).write.text(f"{root}/20240110/00")
-    return L.read_modified(spark, root, datetime.now(timezone.utc) + timedelta(minutes=1))
+    return L.read_modified(spark, root, datetime.now() + timedelta(minutes=1))
 
 
 def _admission(spark, sf):
@@ -178,7 +192,7 @@ def trace_time(spark, sf):
 
 @query
 def trace_converted_ip(spark, sf):
-    return S.trace_value(_store(spark, sf), "convertedIp", "113.214.201.3").drop("dt")
+    return S.trace_value(_store(spark, sf), "convertedIp", "203.0.113.3").drop("dt")
 
 
 @query
@@ -189,7 +203,7 @@ def trace_source_ip(spark, sf):
 @query
 def trace_endpoint(spark, sf):
     return S.trace_endpoint(
-        _store(spark, sf), "113.214.201.7", "10007", "2024-01-05 00:00:00", "2024-01-20 00:00:00"
+        _store(spark, sf), "203.0.113.7", "10007", "2024-01-05 00:00:00", "2024-01-20 00:00:00"
     ).drop("dt")
 
 
@@ -239,14 +253,32 @@ def session_cells(spark, sf):
 
 @query
 def region_counts(spark, sf):
-    distinct = coarse(spark, sf).select("rowkey").distinct()
-    region = net.region_of(F.col("rowkey"), session_sink.REGIONS).alias("region")
-    return C.count_by(distinct, region)
+    """Sessions per region of a written batch; a file that spans two regions gives no row."""
+    path = scratch_path(spark, "regions")
+    distinct = C.distinct_sessions(coarse(spark, sf)).withColumn("username", F.lit("u"))
+    session_sink.upsert_sessions(distinct, path, BATCH)
+    region = net.region_of(F.col("rowkey"), session_sink.REGIONS)
+    stored = S.read_store(spark, path).select(region.alias("region"), F.input_file_name().alias("file"))
+    files = stored.groupBy("file").agg(F.min("region").alias("region"), F.max("region").alias("last"), C.row_count())
+    return files.where("region = last").groupBy("region").agg(F.sum("count").alias("count"))
+
+
+def _coarse_counts(spark, sf, batch_time, event_time: bool) -> DataFrame:
+    """The counts that a job settles, of sessions of which some share a row key."""
+    source = F.col("sourceIp").alias("data")
+    entries = coarse(spark, sf).select(F.lit("sourceIp").alias("types"), "accesstime", source)
+    return R.dimension_counts(R.slot_entries(entries, batch_time, event_time))
+
+
+def _slot_counters(spark, sf, batch_time) -> DataFrame:
+    stored = C.distinct_sessions(coarse(spark, sf))
+    return jobs.slot_counters(_coarse_counts(spark, sf, batch_time, True), stored, batch_time)
 
 
 @query
 def batch_counters(spark, sf):
-    return C.batch_counters(coarse(spark, sf), BATCH)
+    stored = C.distinct_sessions(coarse(spark, sf))
+    return jobs.batch_counters(_coarse_counts(spark, sf, BATCH, False), stored, BATCH)
 
 
 # Parser
@@ -283,6 +315,13 @@ def parse_b(spark, sf):
     return _sessions_in(spark, sf, "B")
 
 
+@query
+def parse_border(spark, sf):
+    """Times without a year around a new year, each put nearest to the batch."""
+    border = parse.clean_lines(frame(spark, sf, "border_lines").select("event_id", "value"))
+    return parse.flows(border, times.moment("2024-01-01 00:00:00")).select("event_id", "accesstime")
+
+
 @query
 def parse_partial(spark, sf):
     """Format B lines with item ``event_id % 9`` damaged."""
@@ -343,6 +382,13 @@ def geo_join(spark, sf):
     return lookups.with_region(targets, "dip", geo(spark, sf))
 
 
+@query
+def geo_overlaps(spark, sf):
+    """Places where ranges overlap: of those that start at or before an address the last one counts."""
+    targets = frame(spark, sf, "ev").select("dip").distinct()
+    return lookups.with_region(targets, "dip", frame(spark, sf, "geo_overlaps"))
+
+
 @query
 def liveness(spark, sf):
     users = R.user_counts(counts(spark, sf, event_time=False), radius(spark, sf))
@@ -418,7 +464,7 @@ def dedup_sessions(spark, sf):
 
 @query
 def window_counters(spark, sf):
-    return C.window_counters(coarse(spark, sf), BATCH)
+    return _slot_counters(spark, sf, BATCH)
 
 
 @query
@@ -433,7 +479,7 @@ def daily_user_sum(spark, sf):
 
 @query
 def daily_totals(spark, sf):
-    counters = C.window_counters(coarse(spark, sf), datetime(2024, 1, 1, 3))
+    counters = _slot_counters(spark, sf, datetime(2024, 1, 1, 3))
     return C.daily_totals(counters, "2024-01-10 00:00:00", "2024-01-11 00:00:00")
 
 
@@ -615,14 +661,16 @@ def stream_late(spark, sf):
 def stream_dedup(spark, sf):
     root, out = scratch_path(spark, "sessions"), scratch_path(spark, "dedup")
     sessions = coarse(spark, sf)
-    sessions.write.parquet(root)
-    arriving = spark.readStream.schema(sessions.schema).parquet(root)
-    _finish(
-        streams.write_stream(
-            streams.distinct_stream(arriving), f"{out}/table", f"{out}/checkpoint",
-            trigger=streams.ONCE,
-        )
-    )
+    # Two micro-batches; half of the sessions come in both.
+    for part in (sessions, sessions.where(F.crc32("rowkey") % 2 == 0)):
+        part.write.mode("append").parquet(root)
+        arriving = spark.readStream.schema(sessions.schema).parquet(root)
+        _finish(
+            streams.write_stream(
+                streams.distinct_stream(arriving), f"{out}/table", f"{out}/checkpoint",
+                trigger=streams.ONCE,
+            )
+        )
     table = spark.read.parquet(f"{out}/table")
     return table.select("rowkey", "accesstime", "convertedIp", "convertedPort")
 
@@ -657,6 +705,74 @@ def batch_job(spark, sf):
     return reduce(DataFrame.unionByName, frames)
 
 
+@query
+def rerun_job(spark, sf):
+    """A batch, run again with fewer lines and then a second batch with none: what is left."""
+    out, fewer = scratch_path(spark, "rerun"), frame(spark, sf, "lines").where("event_id % 20 = 0")
+    later = BATCH + timedelta(minutes=5)
+    none = raw_lines(spark, sf).limit(0)
+    for lines_, at in ((raw_lines(spark, sf), BATCH), (fewer.select("value"), BATCH),
+                       (raw_lines(spark, sf), later), (none, later)):
+        jobs.run_batch(lines_, geo(spark, sf), radius(spark, sf), at, out, year=YEAR)
+    written = jobs.Tables(out)
+    frames = [
+        spark.read.parquet(written.report).select(F.col("types").alias("name"), "data", "count"),
+        spark.read.parquet(written.counters).select(
+            F.lit("counter").alias("name"), F.concat_ws(" ", "counter", "accesstime").alias("data"),
+            F.col("count_5min").alias("count"),
+        ),
+        spark.read.parquet(written.sessions).select(
+            F.lit("sessions").alias("name"), F.lit("").alias("data"), F.lit(1).alias("count"),
+        ).groupBy("name", "data").agg(F.sum("count").alias("count")),
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+@query
+def backfill_job(spark, sf):
+    """All batches of a range written twice; the report of every batch as it is stored."""
+    out = scratch_path(spark, "backfill")
+    arrived = frame(spark, sf, "lines").select(F.col("ts").alias("arrival"), "value")
+    for _ in range(2):
+        jobs.run_backfill(
+            arrived, geo(spark, sf), radius(spark, sf), datetime(2024, 1, 1), datetime(2024, 2, 1), out,
+            year=YEAR,
+        )
+    report = tables.read_batches(spark, jobs.Tables(out).report, R_SCHEMA)
+    start = F.unix_timestamp(F.to_timestamp("batch", sink.BATCH))
+    at = F.timestamp_seconds(start + times.SLOT_SECONDS)
+    return report.select(at.alias("batch"), *REPORT)
+
+
+@query
+def rejects_table(spark, sf):
+    """Lines that gave no session, as the batch job stores them."""
+    out = scratch_path(spark, "rejected")
+    jobs.run_batch(raw_lines(spark, sf), geo(spark, sf), radius(spark, sf), BATCH, out, year=YEAR)
+    return spark.read.parquet(jobs.Tables(out).rejects).select("value", "format", "reason")
+
+
+@query
+def target_places_job(spark, sf):
+    """Places of the main targets of a slot, from the stored report."""
+    out = scratch_path(spark, "places")
+    jobs.run_batch(raw_lines(spark, sf), geo(spark, sf), radius(spark, sf), BATCH, out, year=YEAR)
+    daily.run_target_places(spark, out, geo(spark, sf), "2024-01-14 23:55:00", out)
+    return spark.read.parquet(f"{out}/ip_detail")
+
+
+@query
+def session_compacted(spark, sf):
+    """Sessions per protocol of a folded day, beside one that is not folded, both written twice."""
+    path, whole = scratch_path(spark, "store"), scratch_path(spark, "days")
+    sessions = jobs.sessions_of(lines(spark, sf), radius(spark, sf), YEAR)
+    for at in (BATCH, BATCH - timedelta(minutes=5), BATCH + timedelta(days=1)):
+        session_sink.upsert_sessions(sessions, path, at)
+    for _ in range(2):
+        session_sink.compact_day(spark, path, whole, "20240114")
+    return C.count_by(S.newest(S.read_days(spark, path, whole)), "dt", "protocol")
+
+
 @query
 def delayed_job(spark, sf):
     """Files by change time and quota, then all tables of the event-time batch."""

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from .functions.net import geo_fields
 from .plans import daily, jobs
+from .schemas import BACKLOG, LINES, SETTINGS
 from .session import build_session
+from .sinks.tables import save_table
 from .sources import accounts
 from .sources import lines as L
 from .sources import sessions as S
@@ -28,7 +30,9 @@ def read_geo(spark: SparkSession, path: str) -> DataFrame:
 
 
 def dimensions(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
-    return read_geo(spark, args.geo), accounts.radius_sessions(spark.read.text(args.accounts))
+    """Geography and accounts; without an account file every account is unknown."""
+    values = L.load_or_nothing(spark.read.format("text").schema(LINES), args.accounts, LINES)
+    return read_geo(spark, args.geo), accounts.radius_sessions(values)
 
 
 def minutes(spark, args) -> None:
@@ -39,21 +43,27 @@ def minutes(spark, args) -> None:
 
 
 def delayed(spark, args) -> None:
-    """The new backlog replaces the old one only after the batch has been written."""
-    backlog = read_table(spark, path=args.backlog)
-    settings = read_table(spark, path=args.settings)
+    """The new backlog replaces the old one only after the batch has been written.
+
+    A first run has no backlog, and without a settings table the default quota holds.
+    """
+    parquet = spark.read.format("parquet")
+    backlog = L.load_or_nothing(parquet.schema(BACKLOG), args.backlog, BACKLOG)
+    settings = L.load_or_nothing(parquet.schema(SETTINGS), args.settings, SETTINGS)
     left = jobs.run_delayed(
-        spark, L.day_folder(args.root, args.time), backlog, settings, *dimensions(spark, args),
+        spark, L.day_folders(args.root, args.time), backlog, settings, *dimensions(spark, args),
         args.time, args.out, year=args.year,
     )
     left.write.mode("overwrite").parquet(args.new_backlog)
 
 
 def stream(spark, args) -> None:
-    lines = L.stream_lines(spark, f"{args.root}/*/*/*", maxBytesPerTrigger=args.max_bytes)
+    lines = L.stream_lines(
+        spark, f"{args.root}/{args.folders}", args.max_file_age, maxBytesPerTrigger=args.max_bytes
+    )
     running = streams.report_stream(
         lines, lambda: dimensions(spark, args), args.out, args.checkpoint,
-        trigger=streams.ONCE if args.once else streams.EVERY_SLOT,
+        trigger=streams.ONCE if args.once else streams.EVERY_SLOT, year=args.year,
     )
     running.awaitTermination()
 
@@ -75,7 +85,11 @@ def targets(spark, args) -> None:
 
 
 def trace(spark, args) -> None:
-    stored = S.read_store(spark, args.store, args.days)
+    """Shows the first rows; ``--out`` gets all that were found."""
+    if args.compacted:
+        stored = S.read_days(spark, args.store, args.compacted, args.days)
+    else:
+        stored = S.read_store(spark, args.store, args.days)
     if args.endpoint:
         ip, port = args.endpoint.rsplit(":", 1)
         found = S.trace_endpoint(stored, ip, port, args.start, args.end)
@@ -83,6 +97,9 @@ def trace(spark, args) -> None:
         found = S.trace_value(stored, *args.where.split("=", 1), n=args.n)
     else:
         found = S.trace_time(stored, args.start, args.end, n=args.n)
+    if args.out:
+        save_table(found, path=args.out)
+        found = read_table(spark, path=args.out).orderBy("rowkey")
     found.show(args.n, truncate=False)
 
 
@@ -108,15 +125,20 @@ def parser() -> argparse.ArgumentParser:
         for name in needed:
             kind = datetime.fromisoformat if name in TIMES else str
             sub.add_argument(f"--{name}", required=True, type=kind)
-        sub.add_argument("--year", type=int, help="year of times without one")
+        sub.add_argument("--year", type=int, help="year of times without one; else the one nearest to the batch")
+        sub.add_argument("--zone", default="UTC", help="time zone of log times, folders and batch times")
         if job is minutes:
             sub.add_argument("--event-time", action="store_true")
             sub.add_argument("--cells", action="store_true")
         if job is stream:
             sub.add_argument("--once", action="store_true", help="read what is there and end")
             sub.add_argument("--max-bytes", default=str(40 << 30), help="input quota of a batch")
+            sub.add_argument("--max-file-age", default="3650d", help="older files are not read")
+            sub.add_argument("--folders", default="*/*/*", help="pattern of the folders to list, as 2024*/*/*")
         if job is trace:
             sub.add_argument("--endpoint", help="ip:port")
+            sub.add_argument("--compacted", help="whole days that the day job has folded")
+            sub.add_argument("--out", help="where to write all found rows")
             sub.add_argument("--days", nargs="+", help="days of the store to look at, as yyyyMMdd")
             sub.add_argument("--where", help="column=value")
             sub.add_argument("--start", type=datetime.fromisoformat, default=datetime(1970, 1, 1))
@@ -127,7 +149,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
-    args.job(spark or build_session(f"edgeledger-{args.job.__name__}"), args)
+    zone = {"spark.sql.session.timeZone": args.zone}
+    args.job(spark or build_session(f"edgeledger-{args.job.__name__}", **zone), args)
 
 
 if __name__ == "__main__":

@@ -34,8 +34,9 @@ def geo_key(ip: Column) -> Column:
     0.0.0.0. An address whose octets spill into another first octet gets -1, which
     no range holds.
     """
-    parts = F.split(ip, "[.]", 5)
-    octets = [F.get(parts, i).try_cast("int").cast("long") for i in range(4)]
+    heads = [F.substring_index(ip, ".", i) for i in range(1, 5)]
+    texts = [heads[0], *(F.substring_index(head, ".", -1) for head in heads[1:])]
+    octets = [text.try_cast("int").cast("long") for text in texts]
     total = octets[0] * 16777216 + octets[1] * 65536 + octets[2] * 256 + octets[3]
     numeric = ip.rlike(r"^(?:[+-]?[0-9]+[.]){3}[+-]?[0-9]+(?:[.].*)?$")
     inside = F.when(F.shiftright(total, 24) == octets[0], total).otherwise(F.lit(-1).cast("long"))
@@ -72,7 +73,7 @@ def part_key(target_ip: Column, target_port: Column, ip: Column, port: Column) -
 def region_of(rowkey: Column, regions: int) -> Column:
     """Which of ``regions`` even ranges of hex prefixes holds the key, from 0."""
     prefix = F.conv(F.substring(rowkey, 1, 8), 16, 10).cast("long")
-    return F.floor(prefix * regions / HEX_SPACE).cast("int")
+    return F.call_function("div", prefix * regions, F.lit(HEX_SPACE)).cast("int")
 
 
 def geo_fields(text: Column) -> dict[str, Column]:

@@ -13,6 +13,11 @@ SLOT_SECONDS = 300
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 
+def whole(value: Column, by: int) -> Column:
+    """Integer division, exact for any size."""
+    return F.call_function("div", value, F.lit(by).cast("long"))
+
+
 def moment(value: datetime | str | Column) -> Column:
     """A timestamp column of a driver-side batch time."""
     if isinstance(value, Column):
@@ -28,7 +33,8 @@ def minus_seconds(ts: Column, seconds: int) -> Column:
 
 def slot(ts: Column, seconds: int = SLOT_SECONDS) -> Column:
     """Start of the five-minute slot that holds ``ts``."""
-    return F.timestamp_seconds(F.floor(F.unix_timestamp(ts) / seconds) * seconds)
+    at = F.unix_timestamp(ts)
+    return F.timestamp_seconds(at - F.pmod(at, F.lit(seconds)))
 
 
 def full_time(day: Column, clock: Column) -> Column:
@@ -36,11 +42,21 @@ def full_time(day: Column, clock: Column) -> Column:
     return F.concat_ws(" ", day, clock).try_cast("timestamp")
 
 
+def near_year(month: Column, near: Column) -> Column:
+    """The year that puts a month nearest to a time: December is last year's in January."""
+    ahead = month - F.month(near)
+    return F.year(near) + F.when(ahead > 6, -1).when(ahead < -6, 1).otherwise(0)
+
+
 def short_time(month: Column, day: Column, clock: Column, year: int | Column) -> Column:
-    """Timestamp of a year-less ``Jun 7 09:07:06`` in the given year, else NULL."""
+    """Timestamp of a year-less ``Jun 7 09:07:06``, else NULL.
+
+    ``year`` is a number, or the time that the line belongs to, which gives the year
+    of each line.
+    """
     number = F.array_position(F.array(*map(F.lit, MONTHS)), month)
-    year = F.lit(year).cast("string")
-    date = F.concat_ws("-", year, F.lpad(number.cast("string"), 2, "0"), day)
+    year = near_year(number, year) if isinstance(year, Column) else F.lit(year)
+    date = F.concat_ws("-", year.cast("string"), F.lpad(number.cast("string"), 2, "0"), day)
     return F.when(number > 0, full_time(date, clock))
 
 
@@ -63,7 +79,7 @@ def task_buckets(now: Column) -> dict[str, Column]:
     day = F.date_trunc("day", now)
     six = F.make_timestamp(
         F.year(now), F.month(now), F.dayofmonth(now),
-        F.floor(F.hour(now) / 6) * 6, F.lit(0), F.lit(0),
+        F.hour(now) - F.hour(now) % 6, F.lit(0), F.lit(0),
     )
     ends = {
         "hour": (F.date_trunc("hour", now), 3600),

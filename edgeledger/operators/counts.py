@@ -62,56 +62,10 @@ def distinct_sessions(sessions: DataFrame, keys: tuple[str, ...] = ("rowkey",))
     return least.select(*[c if c in keys else f"_row.{c}" for c in sessions.columns])
 
 
-def _slot_totals(sessions: DataFrame) -> DataFrame:
-    """Per event slot: all sessions and distinct row keys, in one pass.
-
-    A row key holds its second, so all its rows are in one slot.
-    """
-    keyed = sessions.groupBy("rowkey", slot(F.col("accesstime")).alias("update_time"))
-    return (
-        keyed.agg(row_count())
-        .groupBy("update_time")
-        .agg(
-            F.sum("count").alias(RAW_COUNTER),
-            F.count(F.lit(1)).alias(DISTINCT_COUNTER),
-        )
-    )
-
-
-def _as_counters(totals: DataFrame) -> DataFrame:
-    long = totals.unpivot(
-        ["update_time", "accesstime"], [RAW_COUNTER, DISTINCT_COUNTER], "counter", "count_5min"
-    )
-    rate = F.floor(F.col("count_5min") / SLOT_SECONDS).alias("count_sec")
-    return long.select("counter", "count_5min", rate, "update_time", "accesstime")
-
-
-def batch_counters(sessions: DataFrame, batch_time) -> DataFrame:
-    """Number and rate of all and of distinct sessions of one batch."""
-    start = minus_seconds(moment(batch_time), SLOT_SECONDS)
-    per_key = sessions.groupBy("rowkey").agg(row_count())
-    totals = per_key.agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias(RAW_COUNTER),
-        F.count(F.lit(1)).alias(DISTINCT_COUNTER),
-    )
-    return _as_counters(totals.withColumns({"update_time": start, "accesstime": start}))
-
-
-def window_counters(sessions: DataFrame, batch_time, cutoff_seconds: int = 10800) -> DataFrame:
-    """Counters per event slot, without slots from before ``batch_time - cutoff``.
-
-    The cut-off is on counters only; late sessions stay in reports and the store.
-    """
-    batch = moment(batch_time)
-    oldest = minus_seconds(batch, cutoff_seconds)
-    recent = sessions.where(F.col("accesstime") >= slot_ceiling(oldest))
-    totals = _slot_totals(recent)
-    return _as_counters(totals.withColumn("accesstime", minus_seconds(batch, SLOT_SECONDS)))
-
-
 def slot_ceiling(ts: Column) -> Column:
     """Start of the first slot that does not begin before ``ts``."""
-    return F.timestamp_seconds(F.ceil(F.unix_micros(ts) / 1000000 / SLOT_SECONDS) * SLOT_SECONDS)
+    micros, width = F.unix_micros(ts), SLOT_SECONDS * 1_000_000
+    return F.timestamp_micros(micros + F.pmod(-micros, F.lit(width)))
 
 
 def late_windows(sessions: DataFrame, batch_time, cutoff_seconds: int = 10800) -> DataFrame:

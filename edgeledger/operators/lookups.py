@@ -38,12 +38,24 @@ def range_join(rows: DataFrame, key: str, gridded: DataFrame, bits: int = GRID_B
     return left.join(gridded, found, "left").drop("_left_cell", "_cell")
 
 
-def overlaps(ranges: DataFrame, bits: int = GRID_BITS) -> DataFrame:
-    """Ranges that start inside an earlier one; geography must have none."""
-    order = Window.partitionBy("_cell").orderBy("lo", "hi")
-    reach = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    met = on_grid(ranges, bits).withColumn("_reach", reach).where("_reach >= lo")
-    return met.drop("_cell", "_reach").distinct()
+def disjoint(ranges: DataFrame) -> DataFrame:
+    """Ranges cut so that none overlap: a range ends where the next one starts.
+
+    So an address is in the last range that starts at or before it, if that one
+    reaches it, and in no other. Of ranges with one start the longest stays, then the
+    least by its other columns. Starts are ordered in blocks of a first octet; the
+    256 first starts of the blocks are ordered by themselves.
+    """
+    others = [c for c in ranges.columns if c not in ("lo", "hi")]
+    order = F.struct((-F.col("hi")).alias("_far"), "hi", *others)
+    one = ranges.where("lo <= hi").groupBy("lo").agg(F.min(order).alias("_range"))
+    one = one.withColumn("_block", F.shiftright("lo", 24))
+    after = F.lead("lo").over(Window.partitionBy("_block").orderBy("lo"))
+    firsts = one.groupBy("_block").agg(F.min("lo").alias("_first"))
+    firsts = firsts.select("_block", F.lead("_first").over(Window.orderBy("_block")).alias("_later"))
+    cut = one.withColumn("_after", after).join(firsts, "_block")
+    end = F.least(F.col("_range.hi"), F.coalesce("_after", "_later") - 1)
+    return cut.select("lo", end.alias("hi"), *[f"_range.{c}" for c in others])
 
 
 def with_region(
@@ -52,11 +64,12 @@ def with_region(
     """Adds ``province``, ``operator`` and ``city`` of an address column.
 
     ``missing`` is for addresses that no range holds. A text that is no address
-    gets the region of 0.0.0.0.
+    gets the region of 0.0.0.0. Ranges may overlap; ``disjoint`` says which one holds.
     """
     places = [PROVINCE, OPERATOR, CITY]
     keyed = rows.withColumn("_ip", geo_key(F.col(ip)))
-    joined = range_join(keyed, "_ip", on_grid(geo.select("lo", "hi", *places), bits), bits)
+    ranges = on_grid(disjoint(geo.select("lo", "hi", *places)), bits)
+    joined = range_join(keyed, "_ip", ranges, bits)
     named = {name: F.coalesce(F.col(name), F.lit(missing)) for name in places}
     return joined.withColumns(named).drop("_ip", "lo", "hi")
 

@@ -1,8 +1,9 @@
 """The five-minute batch jobs.
 
 A job passes over its lines twice, once for the counts and once for the sessions,
-and caches nothing. Counts and stored sessions are small next to the lines; the
-counters are taken from them.
+and caches nothing. Counts are settled in the shared folder while the job runs; the
+counters are taken from them and from the stored sessions. Lines that give no session
+go to a table of their own.
 """
 
 from __future__ import annotations
@@ -13,14 +14,22 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.times import SLOT_SECONDS, minus_seconds, moment
+from ..functions.times import SLOT_SECONDS, minus_seconds, moment, whole
 from ..operators import counts as C
 from ..operators import parse
 from ..operators.lookups import with_account
 from ..schemas import COUNTERS, DISTINCT_COUNTER, RAW_COUNTER, SOURCE
-from ..session import settle
+from ..session import settle, settling
 from ..sinks.sessions import REGIONS, to_cells, upsert_batches, upsert_sessions, write_cells
-from ..sinks.tables import BATCH, batch_label, batch_slot, write_batch, write_user_counts
+from ..sinks.tables import (
+    BATCH,
+    USER_CLOCK,
+    batch_label,
+    batch_slot,
+    clear_batches,
+    write_batch,
+    write_user_counts,
+)
 from ..sources import admission, lines as L
 from ..sources.sessions import days_between, read_store
 from . import report as R
@@ -33,13 +42,13 @@ class Tables:
     root: str
 
     def __getattr__(self, name: str) -> str:
-        if name not in ("report", "user_counts", "counters", "sessions", "cells"):
+        if name not in ("report", "user_counts", "counters", "sessions", "cells", "rejects", "vanished"):
             raise AttributeError(name)
         return f"{self.root}/{name}"
 
 
 def sessions_of(
-    lines: DataFrame, accounts: DataFrame, year: int, keys: tuple[str, ...] = ("rowkey",)
+    lines: DataFrame, accounts: DataFrame, year: int | Column, keys: tuple[str, ...] = ("rowkey",)
 ) -> DataFrame:
     """Distinct sessions with row key and account; the account is joined after the duplicates go."""
     distinct = C.distinct_sessions(parse.with_row_key(parse.flows(lines, year)), keys)
@@ -51,7 +60,7 @@ def _counter_rows(raw: DataFrame, distinct: DataFrame, batch_slot: Column) -> Da
         distinct.withColumn("counter", F.lit(DISTINCT_COUNTER))
     )
     rows = named.withColumnsRenamed({"accesstime": "update_time", "count": "count_5min"})
-    rate = F.floor(F.col("count_5min") / SLOT_SECONDS)
+    rate = whole(F.col("count_5min"), SLOT_SECONDS)
     return rows.withColumns({"count_sec": rate, "accesstime": batch_slot})
 
 
@@ -99,27 +108,28 @@ def run_batch(
     """Write report, account counts, sessions and counters of one batch of raw lines.
 
     ``event_time`` stamps rows with their own slot and applies the counter cut-off;
-    ``as_cells`` also writes the sessions as sorted cells. Running a batch again
-    leaves the same tables.
+    ``as_cells`` also writes the sessions as sorted cells. Without a ``year`` each line
+    that has none gets the one that puts it nearest to the batch. A second run of a
+    batch replaces all that the first one wrote.
     """
     spark, tables = lines.sparkSession, Tables(out)
-    year = year or batch_time.year
+    year = year or moment(batch_time)
     cleaned = parse.clean_lines(lines)
-    entries = R.slot_entries(parse.counted(cleaned, year), batch_time, event_time)
-    counts = settle(R.dimension_counts(entries))
-
-    write_batch(R.assemble(counts, geo, accounts), tables.report, batch_time, number)
-    users = R.user_counts(counts, accounts)
-    write_user_counts(users, tables.user_counts, batch_time, number)
-
-    sessions = sessions_of(cleaned, accounts, year)
-    upsert_sessions(sessions, tables.sessions, batch_time, regions, number)
-    stored = stored_batch(spark, tables.sessions, batch_time, number)
-    if as_cells:
-        write_cells(to_cells(stored, regions), tables.cells, batch_time, number)
-    make = slot_counters if event_time else batch_counters
-    counters = make(counts, stored, batch_time)
-    write_batch(counters, tables.counters, batch_time, number)
+    with settling(spark) as settled:
+        entries = R.slot_entries(parse.counted(cleaned, year), batch_time, event_time)
+        counts = settled(R.dimension_counts(entries))
+        write_batch(R.assemble(counts, geo, accounts), tables.report, batch_time, number)
+        users = R.user_counts(counts, accounts)
+        write_user_counts(users, tables.user_counts, batch_time, number)
+
+        sessions = sessions_of(cleaned, accounts, year)
+        upsert_sessions(sessions, tables.sessions, batch_time, regions, number)
+        stored = stored_batch(spark, tables.sessions, batch_time, number)
+        if as_cells:
+            write_cells(to_cells(stored, regions), tables.cells, batch_time, number)
+        make = slot_counters if event_time else batch_counters
+        write_batch(make(counts, stored, batch_time), tables.counters, batch_time, number)
+    write_batch(parse.rejects(cleaned, year), tables.rejects, batch_time, number)
 
 
 def stored_batch(
@@ -141,17 +151,18 @@ def run_minutes(
 
 
 def run_delayed(
-    spark: SparkSession, root: str, backlog: DataFrame, settings: DataFrame, geo: DataFrame,
+    spark: SparkSession, days: str, backlog: DataFrame, settings: DataFrame, geo: DataFrame,
     accounts: DataFrame, batch_time: datetime, out: str, **options,
 ) -> DataFrame:
     """Event-time job over the files changed in the last five minutes, within the quota.
 
-    ``backlog`` holds files left by earlier batches; the new backlog is given back.
+    ``days`` is the folder or pattern to list, as ``lines.day_folders`` gives it. ``backlog``
+    holds files left by earlier batches; the new backlog is given back. Backlog files that
+    are gone are written to the table ``vanished``.
     """
-    files = L.list_files(spark, root)
-    start = minus_seconds(moment(batch_time), SLOT_SECONDS)
-    new = files.where((F.col("mtime") >= start) & (F.col("mtime") < moment(batch_time)))
-    chosen = settle(admission.admit(backlog.unionByName(new), admission.quota(settings)))
+    files, gone = L.manifest(spark, days, backlog, batch_time)
+    chosen = settle(admission.admit(files, admission.quota(settings)))
+    write_batch(gone, Tables(out).vanished, batch_time)
     lines = L.read_paths(spark, admission.admitted_paths(chosen))
     run_batch(lines, geo, accounts, batch_time, out, event_time=True, **options)
     return admission.backlog(chosen)
@@ -164,20 +175,26 @@ def run_backfill(
     """All event-time batches from ``start`` to ``end`` inclusive, each table in one job.
 
     ``lines`` has an ``arrival`` time. The tables are those that ``run_batch`` would
-    write batch by batch.
+    write batch by batch. What an earlier run left of these batches goes first, so that
+    batches which now have no rows are empty.
     """
-    spark, tables, year = lines.sparkSession, Tables(out), year or start.year
+    spark, tables, batch = lines.sparkSession, Tables(out), F.col("batch")
+    year = year or batch
     inside = R.batched(parse.clean_lines(lines), start, end)
-    counts = settle(R.batched_counts(inside, year))
-    batch = F.col("batch")
-    write_batch(R.assemble(counts, geo, accounts, R.BATCHED), tables.report, batch)
-    write_user_counts(R.user_counts(counts, accounts, R.BATCHED), tables.user_counts, batch)
-
-    sessions = sessions_of(inside, accounts, year, ("batch", "rowkey"))
-    upsert_batches(sessions, tables.sessions)
-    first, last = (batch_label(at) for at in (start, end))
-    days = days_between(start - timedelta(seconds=SLOT_SECONDS), end)
-    stored = read_store(spark, tables.sessions, days).where(batch.between(first, last))
-    at = F.to_timestamp(batch, BATCH)
-    timed = stored.withColumn("batch", F.timestamp_seconds(F.unix_timestamp(at) + SLOT_SECONDS))
-    write_batch(slot_counters(counts, timed, batch), tables.counters, batch)
+    for name in ("report", "sessions", "counters", "rejects"):
+        clear_batches(spark, getattr(tables, name), start, end)
+    clear_batches(spark, tables.user_counts, start, end, USER_CLOCK)
+    with settling(spark) as settled:
+        counts = settled(R.batched_counts(inside, year))
+        write_batch(R.assemble(counts, geo, accounts, R.BATCHED), tables.report, batch)
+        write_user_counts(R.user_counts(counts, accounts, R.BATCHED), tables.user_counts, batch)
+
+        sessions = sessions_of(inside, accounts, year, ("batch", "rowkey"))
+        upsert_batches(sessions, tables.sessions)
+        first, last = (batch_label(at) for at in (start, end))
+        days = days_between(start - timedelta(seconds=SLOT_SECONDS), end)
+        stored = read_store(spark, tables.sessions, days).where(batch.between(first, last))
+        at = F.to_timestamp(batch, BATCH)
+        timed = stored.withColumn("batch", F.timestamp_seconds(F.unix_timestamp(at) + SLOT_SECONDS))
+        write_batch(slot_counters(counts, timed, batch), tables.counters, batch)
+    write_batch(parse.rejects(inside, year), tables.rejects, batch)

@@ -29,6 +29,17 @@ REPORT = T.StructType(
     ]
 )
 
+BACKLOG = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("size_mb", T.LongType()),
+        T.StructField("mtime", T.TimestampType()),
+        T.StructField("backlog", T.BooleanType()),
+    ]
+)
+
+SETTINGS = T.StructType([T.StructField("performance", T.IntegerType())])
+
 ACCOUNT_SESSION = T.StructType(_strings("ip", "account"))
 
 COUNTERS = T.StructType(

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,8 +19,6 @@ SETTINGS = {
     # as estimated from its files, is under the stock threshold or, as measured
     # during the run, under this one.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
-    # Checkpointed counts go when the frame that used them does.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Three hours of row keys need not fit in memory, and only changes are saved.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -39,14 +38,10 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, set here only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder of ``spark.checkpoint.dir``, which all executors and the driver share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        context = spark.sparkContext
-        root = context.getCheckpointDir()
-        if not root:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="edgeledger-"))
-            root = context.getCheckpointDir()
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return root.rstrip("/")
 
 
@@ -55,9 +50,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/edgeledger/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, without its lineage."""
-    root, context = shared_root(df.sparkSession), df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(root)
-    return df.checkpoint()
+def settle(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` computed once and read from the shared folder, so that filters reach the files."""
+    path = path or scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settling(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """``settle`` for one job; what it wrote is deleted when the job ends."""
+    folder = scratch_path(spark, "job")
+    try:
+        yield lambda df: settle(df, f"{folder}/{uuid.uuid4().hex}")
+    finally:
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library made."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.net import region_of
 from ..schemas import CELL_NAMES
 from ..sources.sessions import STORE_COLUMNS, newest, read_store
-from .tables import replace_partitions, with_batch
+from .tables import replace_batch, replace_partitions, with_batch
 
 REGIONS = 20
 
@@ -32,10 +32,9 @@ def upsert_sessions(
 ) -> None:
     """Add a batch of distinct sessions; a later batch holds where row keys meet.
 
-    Nothing stored is read or rewritten. Writing one batch twice leaves one copy.
+    Nothing of other batches is read or rewritten. A second run replaces the first.
     """
-    rows = with_batch(by_region(sessions.select(*STORE_COLUMNS), regions), batch_time, number)
-    replace_partitions(rows, path, ["dt", "batch"])
+    replace_batch(by_region(sessions.select(*STORE_COLUMNS), regions), path, batch_time, number)
 
 
 def upsert_batches(sessions: DataFrame, path: str) -> None:
@@ -71,4 +70,4 @@ def to_cells(sessions: DataFrame, regions: int = REGIONS) -> DataFrame:
 
 def write_cells(cells: DataFrame, path: str, batch_time, number: int | None = None) -> None:
     """Cells of a batch; each file is sorted, and later files hold later keys."""
-    replace_partitions(with_batch(cells, batch_time, number), path, ["dt", "batch"])
+    replace_batch(cells, path, batch_time, number)

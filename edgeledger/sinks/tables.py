@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import datetime, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import SLOT_SECONDS, minus_seconds, moment
+from ..session import remove
 
 BATCH = "yyyyMMddHHmm"
 DAY = "yyyyMMdd"
+#: The folders of account counts have hour and minute as well.
+USER_CLOCK = "/hh=%H/mm=%M"
 
 
 def batch_slot(batch_time) -> Column:
@@ -34,27 +39,47 @@ def with_batch(rows: DataFrame, batch_time, number: int | None = None) -> DataFr
     return rows.withColumns({"dt": day, "batch": batch_label(batch_time, number)})
 
 
-def placed(rows: DataFrame, batch_time) -> DataFrame:
-    """Rows of one batch in files of fair size; those of many batches by batch."""
-    if not isinstance(batch_time, Column):
-        return rows.hint("rebalance")
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(tasks, "dt", "batch")
+def batch_folder(batch_time: datetime, number: int | None = None, clock: str = "") -> str:
+    """The folder of one batch below a table, as ``partitionBy`` names it."""
+    at = batch_time - timedelta(seconds=SLOT_SECONDS)
+    label = f"{at:%Y%m%d%H%M}" + ("" if number is None else f"-{number:09d}")
+    return f"dt={at:%Y%m%d}{at.strftime(clock)}/batch={label}"
+
+
+def replace_batch(
+    rows: DataFrame, path: str, batch_time, number: int | None = None, fmt: str = "parquet",
+    clock: str = "",
+) -> None:
+    """Write the folder of one batch anew; a run without rows leaves none of an earlier run."""
+    rows.write.mode("overwrite").format(fmt).save(f"{path}/{batch_folder(batch_time, number, clock)}")
 
 
 def write_batch(rows: DataFrame, path: str, batch_time, number: int | None = None) -> None:
-    """Append a batch's report or counters; writing one batch twice leaves one copy.
+    """Replace a batch's report or counters, or those of many batches by a time column.
 
-    Both counters of a batch go in one write.
+    Many batches are put in files by their size: a large one goes to several tasks.
     """
-    dated = with_batch(rows, batch_time, number)
-    replace_partitions(placed(dated, batch_time), path, ["dt", "batch"])
+    if isinstance(batch_time, Column):
+        dated = with_batch(rows, batch_time, number).hint("rebalance", "dt", "batch")
+        return replace_partitions(dated, path, ["dt", "batch"])
+    return replace_batch(rows.hint("rebalance"), path, batch_time, number)
+
+
+def clear_batches(spark: SparkSession, path: str, start: datetime, end: datetime, clock: str = "") -> None:
+    """Delete the folders of all batches from ``start`` to ``end`` inclusive, 288 a day, if they are there."""
+    at = start
+    while at <= end:
+        remove(spark, f"{path}/{batch_folder(at, clock=clock)}")
+        at += timedelta(seconds=SLOT_SECONDS)
 
 
 def write_user_counts(users: DataFrame, path: str, batch_time, number: int | None = None) -> None:
     """``(user,count)`` text lines under the day, hour and minute of the batch."""
-    at = batch_slot(batch_time)
     line = F.concat(F.lit("("), F.col("username"), F.lit(","), F.col("count"), F.lit(")"))
+    if not isinstance(batch_time, Column):
+        lines = users.select(line.alias("value")).hint("rebalance")
+        return replace_batch(lines, path, batch_time, number, "text", USER_CLOCK)
+    at = batch_slot(batch_time)
     rows = users.select(
         line.alias("value"),
         F.date_format(at, DAY).alias("dt"),
@@ -63,7 +88,7 @@ def write_user_counts(users: DataFrame, path: str, batch_time, number: int | Non
         batch_label(batch_time, number).alias("batch"),
     )
     keys = ["dt", "hh", "mm", "batch"]
-    replace_partitions(placed(rows, batch_time), path, keys, fmt="text")
+    return replace_partitions(rows.hint("rebalance", "dt", "batch"), path, keys, fmt="text")
 
 
 def write_day(rows: DataFrame, path: str, day, max_records: int = 500_000) -> None:

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.times import whole
 from ..session import settle
 
 DEFAULT_QUOTA_GB = 40
+#: Files of one batch, whose paths the driver lists. More stay in the backlog: sizes are whole
+#: megabytes, so the quota alone would let in any number of small files.
+MAX_FILES = 100_000
 
 
 def quota(settings: DataFrame, default: int = DEFAULT_QUOTA_GB) -> DataFrame:
@@ -17,10 +21,10 @@ def quota(settings: DataFrame, default: int = DEFAULT_QUOTA_GB) -> DataFrame:
     return settings.agg(value.alias("limit_gb"))
 
 
-def sum_before(
-    rows: DataFrame, order: list[Column], value: str, name: str, slices: int | None = None
+def sums_before(
+    rows: DataFrame, order: list[Column], values: dict[str, Column], slices: int | None = None
 ) -> DataFrame:
-    """Adds the sum of ``value`` over all earlier rows of a total order.
+    """Adds, for each name, the sum of a value over all earlier rows of a total order.
 
     Rows are cut into ranges of the order, sums of whole ranges are added up first,
     and each range then runs on its own. The cut is kept in the shared folder, so
@@ -30,35 +34,43 @@ def sum_before(
     cut = settle(
         rows.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id())
     )
-    sums = cut.groupBy("_slice").agg(F.sum(value).alias("_sum"))
+    zero = F.lit(0)
+    sums = cut.groupBy("_slice").agg(*[F.sum(v).alias(f"_sum_{n}") for n, v in values.items()])
     # At most ``slices`` rows, whatever the input.
-    whole = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("_slice", F.coalesce(F.sum("_sum").over(whole), F.lit(0)).alias("_start"))
-    inner = Window.partitionBy("_slice").orderBy(*order)
-    within = F.sum(value).over(inner.rowsBetween(Window.unboundedPreceding, -1))
+    slices_before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(
+        "_slice",
+        *[F.coalesce(F.sum(f"_sum_{n}").over(slices_before), zero).alias(f"_start_{n}") for n in values],
+    )
+    inner = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    within = {f"_within_{n}": F.coalesce(F.sum(v).over(inner), zero) for n, v in values.items()}
+    totals = {n: F.col(f"_start_{n}") + F.col(f"_within_{n}") for n in values}
     return (
-        cut.withColumn("_within", F.coalesce(within, F.lit(0)))
+        cut.withColumns(within)
         .join(F.broadcast(starts), "_slice")
-        .withColumn(name, F.col("_start") + F.col("_within"))
-        .drop("_slice", "_start", "_within")
+        .withColumns(totals)
+        .select(*rows.columns, *values)
     )
 
 
-def admit(manifest: DataFrame, limit: DataFrame, slices: int | None = None) -> DataFrame:
+def admit(
+    manifest: DataFrame, limit: DataFrame, slices: int | None = None, max_files: int = MAX_FILES
+) -> DataFrame:
     """Adds ``admitted``: backlog files first, then new ones, each in path order.
 
     A file is admitted while the whole GB of those before it are not above the
-    limit. Sums only stop growing at the first refusal, so the rule is the same
-    for all files before it as for those admitted.
+    limit, and they are fewer than ``max_files``. Sums only stop growing at the first
+    refusal, so the rule is the same for all files before it as for those admitted.
     """
     order = [F.desc("backlog"), F.asc("path")]
-    summed = sum_before(manifest, order, "size_mb", "_before", slices)
-    limited = F.floor(F.col("_before") / 1024) <= limit.scalar()
-    return summed.withColumn("admitted", limited).drop("_before")
+    values = {"_before": F.col("size_mb"), "_files": F.lit(1)}
+    summed = sums_before(manifest, order, values, slices)
+    limited = (whole(F.col("_before"), 1024) <= limit.scalar()) & (F.col("_files") < max_files)
+    return summed.withColumn("admitted", limited).drop("_before", "_files")
 
 
 def admitted_paths(files: DataFrame) -> list[str]:
-    """Paths to read, on the driver, which lists the files of a scan in any case."""
+    """Paths to read, ``MAX_FILES`` at most, on the driver, which lists the files of a scan in any case."""
     return [row.path for row in files.where("admitted").select("path").toLocalIterator()]
 
 

@@ -57,6 +57,22 @@ def in_time(start, end) -> Column:
     return (at >= moment(start)) & (at < moment(end))
 
 
+def since(stored: DataFrame, start) -> DataFrame:
+    """The days that can hold sessions from ``start`` on: a session is stored on its own day
+    or later, or a day before if the clock of its device is ahead."""
+    day = F.date_format(F.date_sub(moment(start).cast("date"), 1), "yyyyMMdd")
+    return stored.where(F.col("dt") >= day)
+
+
+def read_days(
+    spark: SparkSession, store: str, compacted: str, days: list[str] | None = None
+) -> DataFrame:
+    """Compacted days and, for all other days, the batches of the store."""
+    whole = read_store(spark, compacted, days).withColumn("batch", F.lit(""))
+    done = [row.dt for row in whole.select("dt").distinct().collect()]
+    return read_store(spark, store, days).where(~F.col("dt").isin(done)).unionByName(whole)
+
+
 def newest_where(stored: DataFrame, test: Column, on_key: bool) -> DataFrame:
     """Newest rows of the store that meet ``test``.
 
@@ -73,7 +89,7 @@ def newest_where(stored: DataFrame, test: Column, on_key: bool) -> DataFrame:
 
 def trace_time(stored: DataFrame, start, end, n: int = PAGE) -> DataFrame:
     """First ``n`` stored sessions by row key with ``start <= time < end``."""
-    return _page(newest_where(stored, in_time(start, end), on_key=True), n)
+    return _page(newest_where(since(stored, start), in_time(start, end), on_key=True), n)
 
 
 def trace_value(stored: DataFrame, column: str, value: str, n: int = PAGE) -> DataFrame:
@@ -92,7 +108,7 @@ def endpoint_keys(ip: str, port: str, start, end) -> Column:
 
 def trace_endpoint(stored: DataFrame, ip: str, port: str, start, end) -> DataFrame:
     """All stored sessions of a public endpoint in a time range, newest first."""
-    found = newest_where(stored, endpoint_keys(ip, port, start, end), on_key=True)
+    found = newest_where(since(stored, start), endpoint_keys(ip, port, start, end), on_key=True)
     return found.orderBy("rowkey")
 
 

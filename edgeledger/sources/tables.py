@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..schemas import LINES
+from .lines import load_or_nothing
 
 TUPLE = r"^\((.*),(-?\d+)\)$"
 
@@ -13,6 +17,13 @@ def read_table(spark: SparkSession, fmt: str = "parquet", **options) -> DataFram
     return spark.read.format(fmt).options(**options).load()
 
 
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table of batches with ``dt`` and ``batch``; filters on these reach the listing."""
+    labels = [T.StructField(name, T.StringType()) for name in ("dt", "batch")]
+    stored = T.StructType([*schema, *labels])
+    return load_or_nothing(spark.read.format("parquet").schema(stored), path, stored)
+
+
 def key_predicates(key: str, parts: int = 100) -> list[str]:
     """Disjoint conditions that cover an integer key evenly, rows without a key included."""
     rest = [f"mod(abs({key}), {parts}) = {i}" for i in range(parts)]
@@ -34,7 +45,7 @@ def key_bucket(key: str, parts: int = 100):
 
 def read_user_counts(spark: SparkSession, path: str) -> DataFrame:
     """``(username, count)`` of ``(user,count)`` lines, cut at the last comma."""
-    return parse_user_counts(spark.read.text(path).select("value"))
+    return parse_user_counts(load_or_nothing(spark.read.format("text").schema(LINES), path, LINES))
 
 
 def parse_user_counts(lines: DataFrame) -> DataFrame:
@@ -53,8 +64,10 @@ def starting_offsets(offsets: DataFrame, group: str) -> DataFrame:
 
     It has one number per topic partition of the group.
     """
+    # Of several rows of a partition the largest offset holds.
+    own = group_offsets(offsets, group).groupBy("topic", "partitionNum").agg(F.max("offsets").alias("offsets"))
     numbers = F.map_from_entries(F.array_sort(F.collect_list(F.struct("partitionNum", "offsets"))))
-    topics = group_offsets(offsets, group).groupBy("topic").agg(numbers.alias("numbers"))
+    topics = own.groupBy("topic").agg(numbers.alias("numbers"))
     member = F.regexp_replace(F.to_json(F.create_map("topic", "numbers")), r"^\{|\}$", "")
     members = F.concat_ws(",", F.array_sort(F.collect_list(member)))
     return topics.agg(F.concat(F.lit("{"), members, F.lit("}")).alias("startingOffsets"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from edgeledger.operators import counts as C
 from edgeledger.operators import parse, tops
+from edgeledger.plans import jobs
 from edgeledger.plans import report as R
 
 from conftest import executed_plan
@@ -27,6 +28,12 @@ def sessions(spark, rows):
     return parse.with_row_key(spark.createDataFrame(made, names))
 
 
+def job_counts(frame, at, event_time):
+    """Counts and stored sessions, as the jobs have them."""
+    entries = frame.select(F.lit("sourceIp").alias("types"), "accesstime", F.col("sourceIp").alias("data"))
+    return R.dimension_counts(R.slot_entries(entries, at, event_time)), C.distinct_sessions(frame)
+
+
 def test_salted_equals_plain_on_a_hot_key(spark, rows):
     rng = random.Random(1)
     data = [("hot" if rng.random() < 0.4 else f"k{rng.randrange(50)}", i) for i in range(3000)]
@@ -52,11 +59,12 @@ def test_distinct_sessions_keep_the_least(spark, rows):
 
 def test_counters(spark, rows):
     frame = sessions(spark, [(0, "a", "t", "1")] * 601 + [(1, "a", "t", "1"), (300, "a", "t", "1")])
-    batch = C.batch_counters(frame, T0 + timedelta(minutes=5))
+    at = T0 + timedelta(minutes=5)
+    batch = jobs.batch_counters(*job_counts(frame, at, False), at)
     assert rows(batch, "counter", "count_5min", "count_sec", "update_time") == [
         ("nat_count", 603, 2, T0), ("nat_hbase_count", 3, 0, T0),
     ]
-    empty = C.batch_counters(frame.where("false"), T0)
+    empty = jobs.batch_counters(*job_counts(frame.where("false"), T0, False), T0)
     assert rows(empty, "counter", "count_5min") == [("nat_count", 0), ("nat_hbase_count", 0)]
 
 
@@ -65,7 +73,7 @@ def test_cutoff_is_on_whole_slots(spark, rows, minutes, kept):
     """A slot stays while its start is not more than three hours before the batch."""
     frame = sessions(spark, [(0, "a", "t", "1"), (299, "a", "t", "1"), (300, "a", "t", "1")])
     at = T0 + timedelta(minutes=minutes)
-    counted = C.window_counters(frame, at).where("counter = 'nat_count'")
+    counted = jobs.slot_counters(*job_counts(frame, at, True), at).where("counter = 'nat_count'")
     late = C.late_windows(frame, at)
     assert counted.count() == kept and late.count() == 2 - kept
     total = counted.agg(F.sum("count_5min")).head()[0] or 0

@@ -117,3 +117,12 @@ def test_slot_of_times_before_1970(value):
 
 def test_format_millis(value):
     assert value(times.format_millis(F.lit(1623897300000), "yyyyMMdd/HH/mm")) == "20210617/02/35"
+
+
+def test_year_of_a_line(spark):
+    """A line is put nearest to its batch, also across a new year."""
+    near = times.moment("2025-01-01 00:00:00")
+    cases = [("Dec", "31", 2024), ("Jan", "1", 2025), ("Jun", "30", 2025), ("Jul", "1", 2025), ("Aug", "1", 2024)]
+    for month, day, year in cases:
+        got = spark.range(1).select(times.short_time(F.lit(month), F.lit(day), F.lit("09:00:00"), near)).head()[0]
+        assert (got.year, got.strftime("%b"), got.day) == (year, month, int(day))

@@ -73,9 +73,30 @@ def test_wide_range_grows_by_cells_only(spark):
     assert lookups.on_grid(geo_frame(spark, [(5, 4)])).count() == 0
 
 
-def test_overlaps(spark, rows):
-    frame = spark.createDataFrame([(0, 9), (10, 19), (15, 30), (2**20, 2**25), (2**21, 2**21)], "lo long, hi long")
-    assert rows(lookups.overlaps(frame)) == [(15, 30), (2**21, 2**21)]
+def test_disjoint_ranges(spark, rows):
+    """The last range that starts at or before an address holds, if it reaches it."""
+    rng = random.Random(3)
+    spans = [tuple(sorted(rng.sample(range(2**26), 2))) for _ in range(80)]
+    spans += [(5, 9), (5, 20), (7, 7), (30, 29), (2**25, 2**25), (2**25, 2**26)]
+    frame = spark.createDataFrame([(a, b, f"p{k}") for k, (a, b) in enumerate(spans)], "lo long, hi long, p string")
+    cut = rows(lookups.disjoint(frame))
+    assert all(a[1] < b[0] for a, b in zip(sorted(cut), sorted(cut)[1:]))
+    for n in [*(rng.randrange(2**26) for _ in range(300)), 5, 7, 8, 20, 2**25, 2**25 + 1]:
+        before = [(a, b, k) for k, (a, b) in enumerate(spans) if a <= n and a <= b]
+        wanted = max(before, key=lambda r: (r[0], r[1], [-ord(c) for c in f"p{r[2]}"]), default=None)
+        got = [p for a, b, p in cut if a <= n <= b]
+        assert got == ([f"p{wanted[2]}"] if wanted and wanted[1] >= n else [])
+
+
+def test_places_are_not_counted_twice(spark, rows):
+    geo = spark.createDataFrame(
+        [(0, 2**32 - 1, "a", "a", "a"), (16777216, 2 * 16777216, "b", "b", "b")],
+        "lo long, hi long, province string, operator string, city string",
+    )
+    ips = spark.createDataFrame([("1.2.3.4",), ("0.2.3.4",), ("9.9.9.9",)], "ip string")
+    assert rows(lookups.with_region(ips, "ip", geo), "ip", "city") == [
+        ("0.2.3.4", "a"), ("1.2.3.4", "b"), ("9.9.9.9", "UnKnown"),
+    ]
 
 
 def test_account_join_keeps_rows(spark, rows):

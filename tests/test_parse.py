@@ -11,9 +11,9 @@ B = (
     "sport=44652,dport=1939,nip=203.0.113.32,nport=14872"
 )
 A = (
-    "Msg: Jun  7 09:07:06 1304447192000843(root) 46083623 Traffic@FLOW: NAT: "
-    "192.0.2.41:44652->198.51.100.48:1939(UDP), snat to 203.0.113.32:14872, vr trust-vr, "
-    "user -@UNKNOWN, host -, rule 318"
+    "Msg: Jun  7 09:07:06 2200000000000017(root) 10000001 Traffic@FLOW: NAT: "
+    "192.0.2.41:44652->198.51.100.48:1939(UDP), snat to 203.0.113.32:14872, vr vr-one, "
+    "user -@UNKNOWN, host -, rule 7"
 )
 FULL = {
     "accesstime": datetime(2021, 6, 7, 9, 7, 6), "protocol": "UDP", "sourceIp": "192.0.2.41",
@@ -156,13 +156,13 @@ def _odd_time(line):
 
 def test_hosts_need_two_digits_and_four_parts(spark, rows):
     lines = [
-        "30.254.1.2.2000 > 30.1.1.1.514: x", "113.2.3.4.5 > x", "3.2.3.4.5 > x", "30.254.1 > x",
-        "30.254.1.2 > x", "Msg: 30.1.1.1.1", "30x",
+        "10.254.1.2.2000 > 30.1.1.1.514: x", "192.0.2.4.5 > x", "3.2.3.4.5 > x", "10.254.1 > x",
+        "10.254.1.2 > x", "Msg: 30.1.1.1.1", "30x",
     ]
     frame = spark.createDataFrame([(v,) for v in lines], "value string")
-    assert rows(parse.hosts(frame), "host") == [("30.254.1.2",), ("30.254.1.2",)]
+    assert rows(parse.hosts(frame), "host") == [("10.254.1.2",), ("10.254.1.2",)]
     counted = parse.counted(frame, 2024)
-    assert rows(counted, "types", "data") == [("hostIP", "30.254.1.2")] * 2
+    assert rows(counted, "types", "data") == [("hostIP", "10.254.1.2")] * 2
 
 
 def test_rejects_hold_every_other_message(spark):

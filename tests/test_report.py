@@ -10,7 +10,9 @@ from checks.queries import BATCH, geo, lines, radius
 from edgeledger.operators import parse
 from edgeledger.plans import daily, jobs
 from edgeledger.plans import report as R
+from edgeledger.schemas import REPORT
 from edgeledger.sources import lines as L
+from edgeledger.sources.sessions import read_store, trace_endpoint, trace_time
 from edgeledger.sources.tables import read_user_counts
 
 from conftest import executed_plan
@@ -91,16 +93,19 @@ def test_delayed_job_carries_its_backlog(spark, rows, tmp_path):
     (root / "log").write_text(line + "\n")
     changed = (root / "log").stat().st_mtime
     batch = datetime.fromtimestamp(changed // 300 * 300 + 300)
-    gone = [("/gone/a", 1024 * 5), ("/gone/b", 1)]
-    backlog = spark.createDataFrame(
-        [(p, mb, batch, True) for p, mb in gone], "path string, size_mb long, mtime timestamp, backlog boolean"
-    )
+    kept = tmp_path / "kept"
+    kept.mkdir()
+    for name in ("a", "b"):
+        (kept / name).write_text("x\n")
+    stored = [(str(kept / name), 1, batch, True) for name in ("a", "b", "gone")]
+    backlog = spark.createDataFrame(stored, "path string, size_mb long, mtime timestamp, backlog boolean")
     settings = spark.createDataFrame([(-1,)], "performance int")
     out = str(tmp_path / "out")
     left = jobs.run_delayed(
         spark, str(root), backlog, settings, geo(spark, SF), radius(spark, SF), batch, out
     )
-    assert [r.path.split("/")[-1] for r in left.orderBy("path").collect()] == ["a", "b", "log"]
+    assert sorted(r.path.split("/")[-1] for r in left.collect()) == ["a", "b", "log"]
+    assert rows(spark.read.parquet(jobs.Tables(out).vanished), "path") == [(str(kept / "gone"),)]
     taken = jobs.run_delayed(
         spark, str(root), backlog.where("false"), settings.where("false"), geo(spark, SF),
         radius(spark, SF), batch, out, year=2024,
@@ -136,6 +141,60 @@ def test_backfill_job_equals_single_batches(spark, rows, tmp_path):
     assert rows(many) == rows(one)
 
 
+def test_second_run_replaces_the_first(spark, rows, tmp_path):
+    """With fewer lines, and with none, all tables are those of the second run alone."""
+    line = "Msg: 2024-01-10 00:0{}:00 fw n=1,p=TCP,s=30.128.0.{},d=101.0.7.9,sp=1,dp=2,n=9.9.9.9,np={}"
+    lines_ = [line.format(i, i, i) for i in range(4)] + ["Msg: bad"]
+    frame_ = lambda texts: spark.createDataFrame([(t,) for t in texts], "value string")
+    tables = ("report", "counters", "sessions", "cells", "rejects")
+    for second in (lines_[:1], []):
+        twice, alone = (str(tmp_path / f"{name}{len(second)}") for name in ("twice", "alone"))
+        for out, runs in ((twice, (lines_, second)), (alone, (second,))):
+            for texts in runs:
+                jobs.run_batch(frame_(texts), geo(spark, SF), radius(spark, SF), BATCH, out, as_cells=True)
+        for name in tables:
+            one, two = (spark.read.parquet(getattr(jobs.Tables(out), name)) for out in (alone, twice))
+            assert rows(two) == rows(one), name
+        one, two = (read_user_counts(spark, f"{jobs.Tables(out).user_counts}/*/*/*/*") for out in (alone, twice))
+        assert rows(two) == rows(one)
+
+
+def test_second_backfill_empties_batches(spark, tmp_path):
+    arrived = frame(spark, SF, "lines").select(F.col("ts").alias("arrival"), "value")
+    start, end, out = datetime(2024, 1, 2, 0, 5), datetime(2024, 1, 2, 6, 0), str(tmp_path / "out")
+    for rows_ in (arrived, arrived.limit(0)):
+        jobs.run_backfill(rows_, geo(spark, SF), radius(spark, SF), start, end, out, YEAR)
+    tables = jobs.Tables(out)
+    assert L.load_or_nothing(spark.read.schema(REPORT), tables.report, REPORT).count() == 0
+    assert read_store(spark, tables.sessions).count() == 0
+
+
+def test_lines_of_december_in_a_batch_of_january(spark, rows, tmp_path):
+    text = "Msg: Dec 31 23:56:00 1(r) 2 T@F: NAT: 1.1.1.1:1->101.0.7.9:2(UDP), snat to 9.9.9.9:3, vr x"
+    lines_ = spark.createDataFrame([(text,)], "value string")
+    out, batch = str(tmp_path / "out"), datetime(2025, 1, 1)
+    jobs.run_batch(lines_, geo(spark, SF), radius(spark, SF), batch, out, event_time=True)
+    stored = jobs.stored_batch(spark, jobs.Tables(out).sessions, batch)
+    assert rows(stored, "accesstime") == [(datetime(2024, 12, 31, 23, 56),)]
+
+
+def test_daily_readers_are_pruned(spark, tmp_path):
+    """The day job and traces list only the days that can hold what they look for."""
+    from conftest import executed_plan
+
+    out = str(tmp_path / "out")
+    jobs.run_batch(lines(spark, SF), geo(spark, SF), radius(spark, SF), BATCH, out, YEAR)
+    tables = jobs.Tables(out)
+    stored = read_store(spark, tables.sessions)
+    for found in (trace_time(stored, "2024-01-10 00:00:00", "2024-01-11 00:00:00"),
+                  trace_endpoint(stored, "203.0.113.7", "10007", "2024-01-05 00:00:00", "2024-01-20 00:00:00")):
+        assert "(dt" in executed_plan(found).split("PartitionFilters: [")[1].split("]")[0]
+    people = frame(spark, SF, "subscribers")
+    daily.run_day(spark, out, people, datetime(2024, 3, 1), out)
+    activity = spark.read.parquet(f"{out}/liveness")
+    assert activity.count() == people.count() and activity.where("resolver > 0").count() == 0
+
+
 def test_target_places_job(spark, rows, tmp_path):
     batches, out = str(tmp_path / "batches"), str(tmp_path / "out")
     jobs.run_batch(lines(spark, SF), geo(spark, SF), radius(spark, SF), BATCH, batches, YEAR)

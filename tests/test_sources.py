@@ -122,3 +122,47 @@ def test_tables_by_format(spark, rows, tmp_path):
     for _ in range(2):
         save_table(frame, path=str(tmp_path / "t"))
     assert rows(tables.read_table(spark, path=str(tmp_path / "t"))) == [(1, "x")]
+
+
+UTC = timezone.utc
+BACKLOG = "path string, size_mb long, mtime timestamp, backlog boolean"
+
+
+def test_files_of_a_batch(spark, rows, tmp_path):
+    """Yesterday's folder at midnight, backlog that is gone, grown, named as a pattern or new as well."""
+    batch = datetime(2024, 1, 2, 0, 5)
+
+    def old(day, name, at):
+        path = put(tmp_path / "logs" / day, name, name)
+        stamp = at.replace(tzinfo=UTC).timestamp()
+        os.utime(path, (stamp, stamp))
+        return str(path)
+
+    late = datetime(2024, 1, 2, 0, 2)
+    yesterday, today = old("20240101", "a", late), old("20240102", "b", late)
+    old("20240102", "early", datetime(2024, 1, 1, 23, 59))
+    odd, both = old("20231224", "x[1]{2}*", datetime(2023, 12, 24)), old("20240102", "both", late)
+    stored = [(p, 9, late, True) for p in (odd, f"file:{both}", str(tmp_path / "gone/file"), odd)]
+    backlog = spark.createDataFrame(stored, BACKLOG)
+    days = L.day_folders(str(tmp_path / "logs"), batch)
+    files, gone = L.manifest(spark, days, backlog, batch)
+    plain = sorted((L_path(r.path), r.backlog) for r in files.collect())
+    assert plain == sorted([(yesterday, False), (today, False), (odd, True), (both, True)])
+    assert rows(gone) == [(str(tmp_path / "gone/file"),)]
+    read = L.read_paths(spark, [r.path for r in files.collect()])
+    assert rows(read) == [("a",), ("b",), ("both",), ("x[1]{2}*",)]
+    first, none = L.manifest(spark, days, backlog.limit(0), batch)
+    assert first.count() == 3 and none.count() == 0
+
+
+def L_path(path):
+    return path.removeprefix("file:").replace("///", "/")
+
+
+def test_number_of_files_is_bounded(spark):
+    files = [(f"/f{i:04d}", 0, i % 7 == 0) for i in range(100)]
+    frame = spark.createDataFrame(files, "path string, size_mb long, backlog boolean")
+    chosen = admission.admit(frame, spark.createDataFrame([(1,)], "limit_gb long"), max_files=30)
+    got = sorted(r.path for r in chosen.where("admitted").collect())
+    assert len(got) == 30 and {p for p, _, b in files if b} < set(got)
+    assert admission.backlog(chosen).count() == 70
