@@ -31,6 +31,8 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Maps that the ranks of pairs are dealt to, and the factor of a pair's first id in the choice.
 MAPS = 1 << 15
 SPREAD = 7919
+#: Taken off ids while they are shuffled, so that those of up to 65,536 tokens take two bytes.
+SHIFT = 1 << 15
 #: Words of more bytes are merged in a heap, as a fold step costs time in proportion to the word.
 FOLD_BYTES = 400
 
@@ -154,7 +156,7 @@ FIRST = "\ud800"
 
 
 def corpus_ids(listed: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``block, number, figure``: the ids of each list's words; every distinct word is merged once.
+    """``block, number, figure``: the ids of each list's words, less ``SHIFT``; every distinct word is merged once.
 
     ``listed`` is ``block, number, word, ids``, with ids for words too long to fold. A list has a word
     once, so a word has a row for each block at most.
@@ -166,7 +168,9 @@ def corpus_ids(listed: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     if shortcuts:  # tokens that merges don't reach are still what a word that equals them becomes
         table = F.from_json(F.lit(json.dumps({t.hex().upper(): [r] for t, r in shortcuts.items()})), "map<string,array<int>>")
         ids = F.coalesce(table[F.hex("word")], ids)
-    merged = first.withColumn("ids", F.when(F.col("place") == 1, F.coalesce("ids", ids)))
+    kind = "smallint" if max(ranks.values()) < 2 * SHIFT else "int"
+    short = F.transform(F.coalesce("ids", ids), lambda x: (x - SHIFT).cast(kind))
+    merged = first.withColumn("ids", F.when(F.col("place") == 1, short))
     return merged.select("block", "number", F.first("ids").over(own).alias("figure"))
 
 
@@ -208,7 +212,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, finish: Callable, schema:
 
     def run(block: word_blocks.Block, lists: pa.Array) -> pa.Table:
         if len(lists):
-            offsets, values = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+            offsets, values = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy().astype(np.int64) + SHIFT
             starts, sizes = offsets[:-1], np.diff(offsets)
         else:
             starts = sizes = values = np.empty(0, np.int64)

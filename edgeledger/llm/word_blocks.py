@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from edgeledger.llm.common import small_batches
 
 #: Words after which a block is closed; a text is never split, so a longer one is a block of its own.
-BLOCK_WORDS = 4_000_000
+BLOCK_WORDS = 6_000_000
 #: Rows of a batch of list entries.
 LIST_ROWS = 20_000
 
@@ -159,9 +159,10 @@ def lists(docs: DataFrame, words: Words, about: Callable, field: pa.Field, binar
     def run(frames):
         for block, listed in _closed(frames, words, limit):
             more, name = about(block, listed), int(block.row[0])
+            order = sorted(range(len(listed)), key=listed.__getitem__)  # neighbours alike compress well
             for at in range(0, len(listed), LIST_ROWS):
-                part = listed[at : at + LIST_ROWS]
-                columns = ([name] * len(part), range(at, at + len(part)), part, more[at : at + LIST_ROWS])
+                part = order[at : at + LIST_ROWS]
+                columns = ([name] * len(part), part, [listed[k] for k in part], [more[k] for k in part])
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
 
     return _rows(docs, binary).mapInArrow(run, from_arrow_schema(schema))
