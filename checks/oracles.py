@@ -196,9 +196,9 @@ def _rerun() -> str:
     return f"""{_report(SLOT).replace("from events", fewer)},
 n as (select count(*) n from ses)
 select types as name, data, cast(n as bigint) as "count" from report
-union all select 'counter', c || ' ' || at, case when at < '2024-01-15' then n.n else 0 end
+union all select 'counter', c || ' ' || slot, case when slot < '2024-01-15' then n.n else 0 end
 from n, (values ('nat_count'), ('nat_hbase_count')) c(c),
-  (values ('2024-01-14 23:55:00'), ('2024-01-15 00:00:00')) a(at)
+  (values ('2024-01-14 23:55:00'), ('2024-01-15 00:00:00')) a(slot)
 union all select 'sessions', '', n from n"""
 
 
@@ -440,7 +440,7 @@ select value, 'A' as format, 'shape' reason from lines where event_id % 20 = 19"
     "target_places_job": f"""with {EV}, {SES}, {GEO}, {DETAIL.format(at=SLOT)}
 select "targetIp" ip, replace(province, 'UnKnown', '未知') province,
   replace(city, 'UnKnown', '未知') city, replace(operator, 'UnKnown', '未知') as operator
-from detail order by n desc, "targetIp" limit 500""",
+from detail order by n desc, "targetIp" limit 100""",
     "session_compacted": f"""select dt, protocol, count(*)::bigint as "count"
 from ({_traced("true", "")}), (values ('20240114'), ('20240115')) d(dt) group by 1, 2""",
     "delayed_job": f"""{_report(EVENT)},
