@@ -10,7 +10,6 @@ pick what is added. The trees become Spark ``CASE`` expressions. Base spans alwa
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import exp
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
