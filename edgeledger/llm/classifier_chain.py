@@ -9,6 +9,7 @@ learning, these are out-of-fold: a row's probability comes from a model that has
 from __future__ import annotations
 
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ LEAST_RATIO = 30.0
 LEAST_SHARE = 0.5
 #: Word beginnings of these lengths are cue candidates besides whole words.
 BEGINNINGS = (4, 5, 6)
+#: Flags by checksum that tell tasks which candidates may still be cues.
+FLAGS = 1 << 20
 EDGES = b".,;:!?\"'()[]{}<>|*#$%&_-"
 
 #: The categories in order. The tables label one, ``toxic``; the others are grades of it, by the
@@ -44,48 +47,69 @@ def _candidates(word: bytes) -> list[bytes]:
     return [bare.encode(), *(bare[:k].encode() + b"*" for k in BEGINNINGS if len(bare) > k)] if bare else []
 
 
-def cue_counts(marked: DataFrame) -> DataFrame:
-    """``cue, texts, toxic`` over all rows of ``marked`` (``text, toxic``): texts that have the cue."""
-    schema = pa.schema([("cue", pa.binary()), ("texts", pa.int64()), ("toxic", pa.int64())])
+class Candidates(dict):
+    """word -> its candidates; forgets all when it holds too many."""
+
+    def __missing__(self, word: bytes) -> list[bytes]:
+        if len(self) >= 100_000:
+            self.clear()
+        value = self[word] = _candidates(word)
+        return value
+
+
+def cue_counts(texts: DataFrame, marked: np.ndarray | None = None) -> DataFrame:
+    """``cue, n``: how many rows of ``texts`` (``text``) have each candidate.
+
+    With ``marked``, flags by checksum, only candidates whose flag is set.
+    """
+    schema = pa.schema([("cue", pa.binary()), ("n", pa.int64())])
 
     def run(frames):
-        texts: dict[bytes, int] = {}
-        toxic: dict[bytes, int] = {}
+        counts: dict[bytes, int] = {}
+        known = Candidates()
 
         def flush():
-            columns = (list(texts), list(texts.values()), [toxic.get(c, 0) for c in texts])
+            columns = (list(counts), list(counts.values()))
             batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
-            texts.clear()
-            toxic.clear()
+            counts.clear()
             return batch
 
         for batch in frames:
-            for text, label in zip(texts_of(batch, "text"), batch.column("toxic").to_pylist()):
-                for cue in {c for w in set(lowered_words(text)) for c in _candidates(w)}:
-                    texts[cue] = texts.get(cue, 0) + 1
-                    if label:
-                        toxic[cue] = toxic.get(cue, 0) + 1
-            if len(texts) > 1_000_000:
+            for text in texts_of(batch, "text"):
+                for cue in {c for w in set(lowered_words(text)) for c in known[w]}:
+                    if marked is None or marked[crc32(cue) % FLAGS]:
+                        counts[cue] = counts.get(cue, 0) + 1
+            if len(counts) > 1_000_000:
                 yield flush()
-        if texts:
+        if counts:
             yield flush()
 
-    counted = marked.select("text", "toxic").mapInArrow(run, from_arrow_schema(schema))
-    return counted.groupBy("cue").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
+    counted = texts.select("text").mapInArrow(run, from_arrow_schema(schema))
+    return counted.groupBy("cue").agg(F.sum("n").alias("n"))
 
 
 def cues(marked: DataFrame, least_ratio: float = LEAST_RATIO) -> list[bytes]:
-    """The cues of labelled texts, at most ``MAX_CUES``; none if no text, or every text, is toxic."""
+    """The cues of labelled texts, at most ``MAX_CUES``; none if no text, or every text, is toxic.
+
+    A candidate in t toxic texts can reach a ratio of 2 t log(1 / rate) at most. Those that this
+    rules out are dropped after a count of the toxic texts, and the other texts are counted for the
+    rest alone, which flags of a fixed number tell well enough; a join tells exactly.
+    """
     n, toxic = marked.agg(F.count("*"), F.sum("toxic")).first()
     if not n or not toxic or toxic == n:
         return []
     rate = toxic / n
-    a, b = F.col("toxic").cast("double"), (F.col("texts") - F.col("toxic")).cast("double")
-    share = F.col("toxic") / F.col("texts")
+    needed = least_ratio / (2 * np.log(1 / rate))
+    found = land(cue_counts(marked.where("toxic = 1")).where(F.col("n") >= float(needed)), "toxic-cues")
+    flags = np.zeros(FLAGS, bool)
+    flags[[r[0] for r in found.select(F.crc32("cue") % FLAGS).distinct().collect()]] = True
+    rest = cue_counts(marked.where("toxic = 0"), flags).withColumnRenamed("n", "others")
+    a, b = F.col("n").cast("double"), F.coalesce("others", F.lit(0)).cast("double")
+    share = a / (a + b)
     part = F.when(b > 0, b * F.log((1 - share) / (1 - rate))).otherwise(0.0)
     ratio = 2 * (a * F.log(share / rate) + part)
-    kept = cue_counts(marked).where((F.col("toxic") > 0) & (share >= max(LEAST_SHARE, rate)) & (ratio >= least_ratio))
-    top = kept.orderBy(F.desc("toxic"), "texts", "cue").limit(MAX_CUES).select("cue")
+    kept = found.join(rest, "cue", "left").where((share >= max(LEAST_SHARE, rate)) & (ratio >= least_ratio))
+    top = kept.orderBy(F.desc("n"), b, "cue").limit(MAX_CUES).select("cue")
     return [bytes(r["cue"]) for r in top.collect()]
 
 
