@@ -34,7 +34,7 @@ HELD_OUT, OUT_OF = 2, 7
 TEACH_ONE_IN = 16
 ROUNDS = 3
 #: Texts of one task are learned in so many streams at once, in windows of so many tokens.
-STREAMS, STEPS = 32, 16
+STREAMS, STEPS = 64, 16
 #: Texts scored at once, and the tokens of each in a window.
 SCORED, SCORED_STEPS = 512, 64
 #: Values in a row when parameters are averaged.
@@ -65,14 +65,18 @@ class Model:
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.learned()])
 
-    def with_flat(self, values: np.ndarray) -> Model:
+    def over(self, values: np.ndarray) -> Model:
+        """A model whose parameters are parts of ``values`` and change with them."""
         parts, at = {}, 0
         for n in self.learned():
             old = getattr(self, n)
-            parts[n] = values[at : at + old.size].reshape(old.shape).astype(np.float32)
+            parts[n] = values[at : at + old.size].reshape(old.shape)
             at += old.size
         return Model(**parts, first=self.first)
 
+    def with_flat(self, values: np.ndarray) -> Model:
+        return self.over(values.astype(np.float32))
+
     def class_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
@@ -184,6 +188,7 @@ def learn(model: Model, stream: np.ndarray, end: int, rate: float) -> Model:
     x = stream[: width * STREAMS].reshape(STREAMS, width).T
     y = stream[1 : width * STREAMS + 1].reshape(STREAMS, width).T
     theta = model.flat().astype(np.float32)
+    model = model.over(theta)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     state, windows = np.zeros((STREAMS, SIZE), np.float32), range(0, width, STEPS)
     for step, at in enumerate(windows, 1):
@@ -194,8 +199,7 @@ def learn(model: Model, stream: np.ndarray, end: int, rate: float) -> Model:
         first += 0.1 * (g - first)
         second += 0.005 * (g * g - second)
         move = first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.995**step)) + 1e-6)
-        theta = theta - rate * (1 - 0.9 * step / len(windows)) * move
-        model = model.with_flat(theta)
+        theta -= np.float32(rate * (1 - 0.9 * step / len(windows))) * move
     return model
 
 
@@ -277,7 +281,7 @@ def trained(flagged: DataFrame, corpus: Corpus, one_in: int = TEACH_ONE_IN, roun
     teach = flagged.where("flag = 1").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0).select(F.col("text").cast("binary").alias("text"))
     schema = pa.schema([("piece", pa.int64()), ("weight", pa.float64()), ("values", pa.list_(pa.float64()))])
     for k in range(rounds if corpus.total else 0):
-        rate = 0.01 / (1 + k)
+        rate = 0.014 / (1 + k)
 
         def run(frames, model=model, rate=rate):
             seen = [end]
