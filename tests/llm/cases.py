@@ -7,7 +7,7 @@ WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu x
 
 
 def sentence(seed: int, n: int) -> str:
-    return " ".join(WORDS[(seed * 7 + k * k + k * seed) % len(WORDS)] + str((seed * 31 + k) % 89) for k in range(n))
+    return " ".join(WORDS[(seed * 7 + k * k + k * seed) % len(WORDS)] + str((seed * 31 + k) % 9973) for k in range(n))
 
 
 ODD = [

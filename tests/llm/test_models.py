@@ -144,7 +144,7 @@ def test_later_models_see_out_of_fold_probabilities(monkeypatch):
     real = classifier_chain.fit
     monkeypatch.setattr(classifier_chain, "fit", lambda rows, *a, **k: seen.append(rows.dense) or real(rows, *a, rounds=5))
     hits = [([0], [1], 1, 10) if k % 2 else ([], [], 0, 10) for k in range(50)]
-    target = np.arange(50) % 2 == 1
+    target = np.arange(50) % 3 == 1
     classifier_chain.fit_chain(classifier_chain.as_rows(hits), [target, target], np.arange(50) % 5, 1)
     full = [d for d in seen if len(d) == 50]
     assert [d.shape[1] for d in full] == [3, 4] and len(seen) == 12
