@@ -3,9 +3,11 @@
 A text's set is its distinct word shingles. One hash of each shingle gives its bin and its value; a
 bin keeps its least value, and an empty bin borrows from the first full one of its own fixed random
 order (optimal densification). Bands of bins name buckets. Equal sets become one node first. In a
-bucket each node is a candidate for two centres only: the node that shares most buckets with
-others, which is the least changed of a family of copies, and one drawn by a hash. So a bucket of n
-nodes gives at most 2n pairs. Candidates are confirmed on the full sets, and links make components.
+bucket each node is a candidate for two centres at first: the node that shares most buckets with
+others, which is the least changed of a family of copies, and one drawn by a hash. Candidates are
+confirmed on the full sets, and links make components. Where a bucket still has nodes of several
+components, further centres are drawn, twice as many in each round, until any two of its nodes have
+been compared, are in one component, or differ too much in size.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from edgeledger.llm.words import WordHashes, batches, mix, shingle_set, texts_of
 BANDS = 32
 BAND_BINS = 6
 BINS = BANDS * BAND_BINS
+#: Centres drawn for a bucket in the first round after the two; each further round draws twice as many.
+FIRST_DRAWN = 8
 #: Bins that an empty bin tries, in order; beyond these it takes the first full bin.
 PROBES = 1024
 
@@ -89,8 +93,21 @@ def _near(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def candidates(nodes: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: distinct pairs of nodes (``node, n, bands``), at most two for each node and bucket."""
+def _compared(places: DataFrame, centres: DataFrame, apart: Column, percent: int) -> DataFrame:
+    """``a, b``: distinct pairs of a node and a centre ``c`` of one of its buckets that are ``apart``."""
+    return (
+        places.join(centres, "bucket")
+        .where(apart & _near(F.col("n"), F.col("c.n"), percent))
+        .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
+        .distinct()
+    )
+
+
+def candidates(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``a, b``: distinct pairs of nodes (``node, n, bands``), at most two for each node and bucket.
+
+    Also the places in shared buckets, ``bucket, node, n``, and each bucket's centres, ``bucket, c``.
+    """
     places = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     # Aggregates are landed before they are joined: then the join has exchanges of its own, whose hot keys can be split.
     shared = land(places.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "shared")
@@ -102,12 +119,26 @@ def candidates(nodes: DataFrame, percent: int) -> DataFrame:
         F.max(F.struct("central", own.alias("c")))["c"].alias("c1"),
         F.min(F.struct(F.xxhash64("node", "bucket").alias("draw"), own.alias("c")))["c"].alias("c2"),
     )
-    pairs = live.join(land(centres, "centres"), "bucket").select("node", "n", F.explode(F.array("c1", "c2")).alias("c"))
-    return (
-        pairs.where((F.col("node") != F.col("c.node")) & _near(F.col("n"), F.col("c.n"), percent))
-        .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
-        .distinct()
-    )
+    centres = land(centres, "centres").select("bucket", F.explode(F.array("c1", "c2")).alias("c"))
+    live = live.select("bucket", "node", "n")
+    return _compared(live, centres, F.col("node") != F.col("c.node"), percent), live, centres
+
+
+def unsettled(places: DataFrame, centres: DataFrame, roots: DataFrame) -> DataFrame:
+    """``bucket, node, n, root``: the places that have been no centre, in buckets where these are of several components."""
+    been = centres.select("bucket", F.col("c.node").alias("node")).distinct()
+    rest = places.select("bucket", "node", "n").join(been, ["bucket", "node"], "left_anti").join(roots, "node", "left")
+    rest = rest.select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
+    mixed = rest.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most")
+    return land(rest.join(land(mixed.select("bucket"), "mixed"), "bucket"), "unsettled")
+
+
+def more_candidates(places: DataFrame, drawn: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` of unsettled places with up to ``drawn`` centres of their bucket in other components, and the centres."""
+    part = F.pmod(F.xxhash64("node", "bucket", F.lit(drawn)), F.lit(drawn)).alias("part")
+    drawing = F.struct(F.xxhash64("node", "bucket").alias("draw"), F.struct("node", "n", "root").alias("c"))
+    centres = land(places.groupBy("bucket", part).agg(F.min(drawing)["c"].alias("c")), "centres").select("bucket", "c")
+    return _compared(places, centres, F.col("root") != F.col("c.root"), percent), centres
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -173,6 +204,25 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def linked(nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """``node, root`` of the nodes that links reach. ``texts`` has ``row, text``.
+
+    A centre has been compared with all of its bucket, so each round leaves fewer places; what a round
+    has compared is not compared again.
+    """
+    pairs, places, centres = candidates(nodes, percent)
+    tested = pairs = land(pairs, "pairs")
+    roots, drawn = components(confirmed(pairs, texts, words, percent)), FIRST_DRAWN
+    while not (places := unsettled(places, centres, roots)).isEmpty():
+        pairs, centres = more_candidates(places, drawn, percent)
+        pairs = land(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = land(confirmed(pairs, texts, words, percent), "confirmed")
+        if not found.isEmpty():
+            roots = components(found.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
+        tested, drawn = tested.union(pairs), 2 * drawn
+    return roots
+
+
 def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``row, doc_id, n_shingles, component_id, kept, stays`` for each row of ``docs`` (``row, doc_id, text``).
 
@@ -186,9 +236,7 @@ def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     full = found.where("n > 0")
     prints = land(full.groupBy("print").agg(F.min("row").alias("node")), "prints")
     nodes = full.join(prints.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "bands")
-    pairs = land(candidates(nodes, percent), "pairs")
-    links = confirmed(pairs, docs.select("row", "text"), words, percent)
-    roots = components(links)
+    roots = linked(nodes, docs.select("row", "text"), words, percent)
     members = full.select("row", "doc_id", "n", "print").join(prints, "print").join(roots, "node", "left")
     members = members.select("row", "doc_id", "n", F.coalesce("root", "node").alias("root"))
     alone = found.where("n = 0").select("row", "doc_id", "n", F.col("row").alias("root"))

@@ -63,6 +63,29 @@ def test_components(spark):
             assert r["kept"] == (r["doc_id"] is not None and r["doc_id"] == r["component_id"])
 
 
+def twins(families=60, n=400):
+    """Two near copies in each family of a text that is not there; copies of different families are not near."""
+    rng, base, rows = random.Random(8), [f"base{k}" for k in range(n)], []
+    for family in range(families):
+        first = list(base)
+        for at in rng.sample(range(0, n, 5), 7):
+            first[at] = f"own{family}x{at}"
+        second = list(first)
+        for at in rng.sample(range(2, n, 5), 8):
+            second[at] = f"other{family}x{at}"
+        rows += [(10 * family + k, " ".join(t), None, None, 0) for k, t in enumerate((first, second))]
+    return rows
+
+
+def test_copies_without_their_original_are_linked(spark):
+    rows = twins()
+    wanted = roots([(r[0], r[1]) for r in rows], 3, 85)
+    assert sum(doc_id != root for doc_id, _, root in wanted) >= 60
+    stored, row = numbered(cases.table(spark, rows), "t")
+    got = minhash.near_groups(slim(stored, row), 3, 85).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=repr) == wanted
+
+
 def test_one_of_each_group_stays(spark):
     docs = cases.clashing(spark).union(cases.clashing(spark))
     left = minhash.deduplicate(docs)
