@@ -10,6 +10,7 @@ carries the state through all windows of a document, so every token counts.
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass, fields
 
 import numpy as np
@@ -30,8 +31,7 @@ SIZE = 24
 CLASSES = 64
 #: Rows whose id's checksum leaves this remainder are never learned from.
 HELD_OUT, OUT_OF = 2, 7
-#: One training document in so many teaches the network; counts are of all. So learning grows with the corpus.
-TEACH_ONE_IN = 16
+#: Times that every training document teaches the network.
 ROUNDS = 3
 #: Texts of one task are learned in so many streams at once, in windows of so many tokens.
 STREAMS, STEPS = 64, 16
@@ -272,19 +272,19 @@ def corpus_counts(flagged: DataFrame) -> tuple[Corpus, DataFrame]:
     return Corpus(total, one.count(), [e[0] for e in entries], np.array([e[1] for e in entries])), known
 
 
-def trained(flagged: DataFrame, corpus: Corpus, one_in: int = TEACH_ONE_IN, rounds: int = ROUNDS) -> Model:
+def trained(flagged: DataFrame, corpus: Corpus, rounds: int = ROUNDS) -> Model:
     """The model after ``rounds`` of learning by all tasks and averaging. Without training tokens it stays as it began."""
     small_batches(flagged.sparkSession)
     model = start(corpus.weights())
     place, other = {w: k for k, w in enumerate(corpus.words)}, corpus.other
     end = place[END]
-    teach = flagged.where("flag = 1").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0).select(F.col("text").cast("binary").alias("text"))
+    teach = flagged.where("flag = 1").select(F.col("text").cast("binary").alias("text"))
     schema = pa.schema([("piece", pa.int64()), ("weight", pa.float64()), ("values", pa.list_(pa.float64()))])
     for k in range(rounds if corpus.total else 0):
         rate = 0.014 / (1 + k)
 
         def run(frames, model=model, rate=rate):
-            seen = [end]
+            seen = array("q", [end])
             for batch in frames:
                 for text in texts_of(batch, "text"):
                     seen.extend(place.get(w, other) for w in tokens(text))

@@ -37,6 +37,14 @@ def test_language_model_empty(spark):
     assert gru_lm.scored(slim(stored, row)).count() == 0
 
 
+def test_every_training_document_teaches(spark):
+    for doc_id in (i for i in range(100, 104) if crc(i, 7) != 2):
+        docs = cases.table(spark, [(doc_id, "one two three " * 400, "en", "a", 0)]).selectExpr("doc_id row", "doc_id", "text", "1 flag")
+        corpus = gru_lm.Corpus(1201, 4, [b"one", b"three", b"two", b"\n"], np.array([400, 400, 400, 1]))
+        begun = gru_lm.start(corpus.weights()).flat()
+        assert np.abs(gru_lm.trained(docs, corpus).flat() - begun).max() > 0.01
+
+
 def test_probabilities_sum_to_one():
     model = gru_lm.start(np.array([50, 20, 9, 9, 4, 2, 1, 1]))
     rng = np.random.default_rng(1)
