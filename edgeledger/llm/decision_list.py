@@ -19,10 +19,11 @@ from edgeledger.llm.common import SPACES, bounded_sample, documents, labels, lan
 
 #: Labelled rows that rules are learned from, at most: those with the least hash of their id.
 LEARN_ROWS = 20_000
-MAX_RULES = 8
 MAX_CONDITIONS = 3
-#: A rule must be right on this share of the rows it covers, on the growing and on the pruning rows.
+#: A rule must not be below this share of right rows, on the growing and on the pruning rows, beyond what chance
+#: explains: the upper end of Wilson's interval, of so many deviations, for the rows it covers.
 LEAST_PRECISION = 0.98
+DEVIATIONS = 1.64
 #: ... and cover so many junk rows while it grows.
 LEAST_COVER = 5
 #: Thresholds tried for a statistic at each step: quantiles of the rows still covered.
@@ -148,8 +149,8 @@ def _covers(rule: list[Condition], table: dict[str, np.ndarray], n: int) -> np.n
     return held
 
 
-def _grow(table: dict[str, np.ndarray], junk: np.ndarray) -> list[Condition]:
-    """Adds the condition of largest information gain until all covered rows are junk."""
+def _grow(table: dict[str, np.ndarray], junk: np.ndarray, aside: set[tuple[str, bool]]) -> list[Condition]:
+    """Adds the condition of largest information gain until all covered rows are junk; the first is none ``aside``."""
     rule, held = [], np.ones(len(junk), bool)
     while len(rule) < MAX_CONDITIONS and (held & ~junk).any():
         right, all_now = (held & junk).sum(), held.sum()
@@ -158,6 +159,8 @@ def _grow(table: dict[str, np.ndarray], junk: np.ndarray) -> list[Condition]:
             values = table[feature][held]
             cuts = np.unique(np.quantile(values, np.linspace(0, 1, THRESHOLDS), method="nearest"))
             for above in (True, False):
+                if not rule and (feature, above) in aside:
+                    continue
                 for cut in cuts:
                     now = values >= cut if above else values <= cut
                     n, p = now.sum(), (now & junk[held]).sum()
@@ -179,27 +182,36 @@ def _worth(rule: list[Condition], table: dict[str, np.ndarray], junk: np.ndarray
     return (right - wrong) / max(1, right + wrong)
 
 
+def _sound(rule: list[Condition], table: dict[str, np.ndarray], junk: np.ndarray) -> bool:
+    """Whether the rule covers some of the rows, if there are any, and may have ``LEAST_PRECISION`` by those it covers."""
+    held = _covers(rule, table, len(junk))
+    n, z = held.sum(), DEVIATIONS
+    if not n:
+        return not len(junk)
+    p = (held & junk).sum() / n
+    return (p + z * z / (2 * n) + z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n) >= LEAST_PRECISION
+
+
 def learn(table: dict[str, np.ndarray], junk: np.ndarray, grow: np.ndarray) -> list[list[Condition]]:
     """Rules in order. ``grow`` marks the rows that grow rules; the others prune them.
 
-    No rule is learned if there is no junk row, or no other row, to learn from.
+    Where no beginning of a rule is sound, its first condition is set aside until another rule is
+    found. No rule is learned if there is no junk row, or no other row, to learn from.
     """
-    rules, left = [], np.ones(len(junk), bool)
-    while len(rules) < MAX_RULES:
+    rules, left, aside = [], np.ones(len(junk), bool), set()
+    while True:
         a, b = left & grow, left & ~grow
         if (a & junk).sum() < LEAST_COVER or not (a & ~junk).any():
             break
         part = lambda rows: ({f: v[rows] for f, v in table.items()}, junk[rows])
-        rule = _grow(*part(a))
+        rule = _grow(*part(a), aside)
         if not rule:
             break
-        rule = max((rule[:k] for k in range(1, len(rule) + 1)), key=lambda r: (_worth(r, *part(b)), -len(r)))
-        exact = []
-        for rows in (a, b):
-            held = _covers(rule, *((t := part(rows))[0], len(t[1])))
-            exact.append((held & t[1]).sum() / max(1, held.sum()) if held.any() else 1.0)
-        if min(exact) < LEAST_PRECISION:
-            break
+        sound = [r for k in range(1, len(rule) + 1) if _sound(r := rule[:k], *part(a)) and _sound(r, *part(b))]
+        if not sound:
+            aside.add((rule[0].feature, rule[0].above))
+            continue
+        rule, aside = max(sound, key=lambda r: (_worth(r, *part(b)), -len(r))), set()
         rules.append(rule)
         left &= ~_covers(rule, table, len(junk))
     return rules

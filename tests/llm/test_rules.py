@@ -74,3 +74,29 @@ def test_learning_grows_and_prunes():
         found |= decision_list._covers(rule, table, 600)
     assert (found & junk).sum() >= 0.9 * junk.sum() and (found & ~junk).sum() <= 3
     assert decision_list.learn(table, np.zeros(600, bool), rng.random(600) < 0.5) == []
+
+
+def found_by(table, junk, seed=1):
+    rules = decision_list.learn(table, junk, np.random.default_rng(seed).random(len(junk)) < 0.66)
+    found = np.zeros(len(junk), bool)
+    for rule in rules:
+        found |= decision_list._covers(rule, table, len(junk))
+    return found
+
+
+def test_two_thresholds_are_learned_together():
+    rng = np.random.default_rng(1)
+    table = {f: rng.random(600) for f in decision_list.FEATURES}
+    junk = (table["symbol_share"] > 0.8) & (table["upper_share"] < 0.6)
+    found = found_by(table, junk)
+    assert (found & junk).sum() >= 0.9 * junk.sum() and (found & ~junk).sum() <= 3
+
+
+def test_all_kinds_of_junk_are_learned_beside_wrong_labels():
+    rng = np.random.default_rng(3)
+    table = {f: rng.random(6000) for f in decision_list.FEATURES}
+    junk = np.any([values > 0.97 for values in table.values()], axis=0)
+    for noise, least in ((0.0, 0.9), (0.01, 0.9), (0.03, 0.6)):
+        found = found_by(table, junk ^ (rng.random(6000) < noise))
+        assert (found & junk).sum() >= least * junk.sum() and (found & ~junk).sum() <= 10
+    assert not found_by(table, rng.random(6000) < 0.1).any()
