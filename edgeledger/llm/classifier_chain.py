@@ -23,8 +23,6 @@ from edgeledger.llm.words import batches, lowered_words, texts_of
 #: Labelled rows that the linear models are fitted on, at most. Cues are counted over all labelled rows.
 LEARN_ROWS = 30_000
 FOLDS = 5
-#: Cues kept, those in most toxic texts first; a model has a weight for each.
-MAX_CUES = 4096
 #: Least log-likelihood ratio of a cue, and least share of toxic texts among those that have it.
 LEAST_RATIO = 30.0
 LEAST_SHARE = 0.5
@@ -89,7 +87,7 @@ def cue_counts(texts: DataFrame, marked: np.ndarray | None = None) -> DataFrame:
 
 
 def cues(marked: DataFrame, least_ratio: float = LEAST_RATIO) -> list[bytes]:
-    """The cues of labelled texts, at most ``MAX_CUES``; none if no text, or every text, is toxic.
+    """All cues of labelled texts, those in most toxic texts first; none if no text, or every text, is toxic.
 
     A candidate in t toxic texts can reach a ratio of 2 t log(1 / rate) at most. Those that this
     rules out are dropped after a count of the toxic texts, and the other texts are counted for the
@@ -109,7 +107,7 @@ def cues(marked: DataFrame, least_ratio: float = LEAST_RATIO) -> list[bytes]:
     part = F.when(b > 0, b * F.log((1 - share) / (1 - rate))).otherwise(0.0)
     ratio = 2 * (a * F.log(share / rate) + part)
     kept = found.join(rest, "cue", "left").where((share >= max(LEAST_SHARE, rate)) & (ratio >= least_ratio))
-    top = kept.orderBy(F.desc("n"), b, "cue").limit(MAX_CUES).select("cue")
+    top = kept.orderBy(F.desc("n"), b, "cue").select("cue")
     return [bytes(r["cue"]) for r in top.collect()]
 
 

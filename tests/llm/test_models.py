@@ -140,6 +140,16 @@ def test_toxicity_finds_planted_words(spark):
     assert len(chain) == 3 and [len(m.column) for m in chain] == [3, 4, 5]
 
 
+def test_every_cue_counts(spark):
+    """30 toxic rows for each of 100 groups of 15 words; each word brings four candidates, the last group is rarest."""
+    bad = [[f"{chr(97 + g // 26)}{chr(97 + g % 26)}{chr(97 + w)}{chr(122 - w)}{g:02d}{w:02d}x" for w in range(15)] for g in range(100)]
+    rows = [(k, 1, " ".join(bad[k % 100])) for k in range(3000) if k % 100 < 99 or k < 2400]
+    rows += [(3000 + k, 0, f"plain words {k % 7}") for k in range(3000)]
+    marked = spark.createDataFrame(rows, "doc_id long, toxic int, text string")
+    found = set(classifier_chain.cues(marked))
+    assert len(found) > 4096 and {w.encode() for group in bad for w in group} <= found
+
+
 def test_toxicity_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     known, chain = classifier_chain.learned_chain(cases.odd(spark), none)
