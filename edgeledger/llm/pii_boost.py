@@ -28,7 +28,7 @@ GENERATORS = [
     ("card", r"[0-9](?:[ -]?[0-9])++", ""),
     ("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+"),
     ("email", rf"(?<!{LOCAL}){LOCAL}++ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]++(?: ?(?:\(dot\)|\[dot\]|\.) ?[A-Za-z0-9-]++)++", "at"),
-    ("phone", r"(?<![0-9])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])", "-"),
+    ("phone", r"(?<![0-9])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])", ""),
     ("phone", r"(?<![0-9])00[1-9](?:[ .()-]?[0-9]){8,13}(?![0-9])", "00"),
     ("card", r"(?<![0-9])[0-9]{4}(?:[ .][0-9]{4}){3}(?![0-9])", ""),
 ]

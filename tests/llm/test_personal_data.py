@@ -73,6 +73,15 @@ def test_trees_add_numbers_that_look_like_valid_ones(spark):
     assert all(spans[2000 + k]["spans"] == spans[2000 + k]["base"] for k in range(300))
 
 
+def test_loose_numbers_need_no_hyphen(spark):
+    texts = ["call 555.123.4567 now", "call (555) 123 4567 now", "call 555 123 4567", "call (555) 123-4567 - or not"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    found = pii_boost.candidates(docs).where("gen = 5").orderBy("row").collect()
+    assert [(r["row"], texts[r["row"]][r["start"] : r["end"]]) for r in found] == [
+        (0, "555.123.4567"), (1, "(555) 123 4567"), (2, "555 123 4567"), (3, "(555) 123-4567"),
+    ]
+
+
 def test_trees_and_their_columns_agree(spark):
     rng = np.random.default_rng(2)
     table = {f: rng.integers(0, n, 400) for f, n in pii_boost.LEVELS.items()}
