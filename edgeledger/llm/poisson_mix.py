@@ -71,8 +71,8 @@ def mixed(
 ) -> tuple[DataFrame, str]:
     """The mixture: every row of ``docs`` as often as drawn, shuffled, and the name of the copy's column.
 
-    Rows that repeat an id are drawn alike; a null id is an id of its own, a null source a source of
-    its own. All other columns pass as they are. An empty table, or weights that name no source
+    Rows that repeat an id are drawn alike, rows without an id if they have the same text; a null
+    source is a source of its own. All other columns pass as they are. An empty table, or weights that name no source
     present, give an empty mixture.
     """
     copy = free_name(docs, "copy")
@@ -80,12 +80,13 @@ def mixed(
         F.col("source").alias("__source"), poisson_cdf(F.col("mean")).alias("__cdf")
     )
     drawn = docs.join(means, F.col("source").eqNullSafe(F.col("__source")))
-    u = uniform(seed, F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+    unnamed = F.concat(F.lit("null:"), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    u = uniform(seed, F.coalesce(F.col("doc_id").cast("string"), unnamed))
     count = let(u, lambda x: F.size(F.filter(F.col("__cdf"), lambda c: c < x)))
     copies = drawn.withColumn("__count", count).where("__count > 0").select(
         *docs.columns, F.explode(F.sequence(F.lit(1), F.col("__count"))).alias(copy)
     )
-    place = F.xxhash64(F.lit(seed), "doc_id", copy)
+    place = F.xxhash64(F.lit(seed), "doc_id", copy, F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return copies.repartition(tasks, place).sortWithinPartitions(place), copy
 

@@ -60,6 +60,16 @@ def test_awkward_tables(spark):
     assert copy not in cases.clashing(spark).columns and set(cases.clashing(spark).columns) < set(clashing.columns)
 
 
+def test_rows_without_an_id_are_drawn_apart(spark):
+    docs = cases.table(spark, [(None, f"text {k}", "en", "ab"[k % 2], 0) for k in range(1000)])
+    mixture, copy = poisson_mix.mixed(docs, {"a": 3.0, "b": 1.0})
+    got = mixture.rdd.mapPartitions(lambda rows: [[(r["source"], r["text"]) for r in rows]]).collect()
+    counts = Counter(s for part in got for s, _ in part)
+    assert abs(counts["a"] - 750) < 100 and abs(counts["b"] - 250) < 60
+    assert len(set(Counter(x for part in got for x in part).values())) > 1
+    assert sum(bool(part) for part in got) == len(got) or max(map(len, got)) < 1000
+
+
 def test_inverse_of_a_large_mean(spark):
     from pyspark.sql import functions as F
 
