@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.net import region_of
 from ..schemas import CELL_NAMES
-from ..sources.sessions import STORE_COLUMNS, newest, read_store
+from ..sources.sessions import FOLDED, FOLDED_FOLDER, STORE_COLUMNS, newest, read_store, store_files
 from .tables import replace_batch, replace_partitions, with_batch
 
 REGIONS = 20
@@ -51,10 +51,15 @@ def upsert_batches(sessions: DataFrame, path: str) -> None:
 def compact_day(
     spark: SparkSession, path: str, target: str, dt: str, regions: int = REGIONS
 ) -> None:
-    """Write the newest row of each key of one day to a table of whole days."""
+    """Write the newest row of each key of one day to a table of whole days, and the files it was made from.
+
+    Files are listed before they are read: a batch that comes in between makes the day a changed one.
+    """
+    files = [(*f, dt) for f in sorted(store_files(spark, path, dt))]
     day = newest(read_store(spark, path, [dt]))
     rows = by_region(day.select("dt", *STORE_COLUMNS), regions)
     replace_partitions(rows, target, ["dt"])
+    replace_partitions(spark.createDataFrame(files, FOLDED).coalesce(1), f"{target}/{FOLDED_FOLDER}", ["dt"])
 
 
 def to_cells(sessions: DataFrame, regions: int = REGIONS) -> DataFrame:

@@ -27,6 +27,17 @@ STORED = T.StructType(
 )
 
 
+#: The files that a folded day was made from lie in this folder of the table, which readers of rows skip.
+FOLDED_FOLDER = "_folded"
+FOLDED = T.StructType(
+    [
+        T.StructField("batch", T.StringType()), T.StructField("name", T.StringType()),
+        T.StructField("size", T.LongType()), T.StructField("written", T.LongType()),
+        T.StructField("dt", T.StringType()),
+    ]
+)
+
+
 def read_store(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
     """Stored rows with ``dt`` and ``batch``; with ``days`` only their folders are listed."""
     reader = spark.read.format("parquet").schema(STORED).option("basePath", path)
@@ -67,10 +78,38 @@ def since(stored: DataFrame, start) -> DataFrame:
 def read_days(
     spark: SparkSession, store: str, compacted: str, days: list[str] | None = None
 ) -> DataFrame:
-    """Compacted days and, for all other days, the batches of the store."""
+    """Compacted days and, for all other days, the batches of the store.
+
+    A day counts as compacted while the store has just the files that were folded, or none of the
+    day. If batches were written, rerun or deleted since, the store alone holds; where none of the
+    folded batches is in the store any more, its rows come with the folded ones, as newer batches.
+    """
     whole = read_store(spark, compacted, days).withColumn("batch", F.lit(""))
-    done = [row.dt for row in whole.select("dt").distinct().collect()]
-    return read_store(spark, store, days).where(~F.col("dt").isin(done)).unionByName(whole)
+    folded, only_folded, only_store = folded_files(spark, compacted), [], []
+    for dt in sorted(row.dt for row in whole.select("dt").distinct().collect()):
+        now, then = store_files(spark, store, dt), {tuple(r) for r in folded.where(F.col("dt") == dt).drop("dt").collect()}
+        if not now or now == then:
+            only_folded.append(dt)
+        elif not then or {batch for batch, *_ in now} & {batch for batch, *_ in then}:
+            only_store.append(dt)
+    stored = read_store(spark, store, days).where(~F.col("dt").isin(only_folded))
+    return stored.unionByName(whole.where(~F.col("dt").isin(only_store)))
+
+
+def store_files(spark: SparkSession, store: str, dt: str) -> set[tuple]:
+    """``batch, name, size, written`` of the files of one day of the store; only the folders are listed."""
+    listed = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()), T.StructField("length", T.LongType())])
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    part = lambda k: F.element_at(F.split("path", "/"), k)
+    rows = load_or_nothing(reader, f"{store}/dt={dt}", listed).select(
+        part(-2).alias("batch"), part(-1).alias("name"), F.col("length").alias("size"), F.unix_micros("modificationTime").alias("written")
+    )
+    return {tuple(r) for r in rows.collect()}
+
+
+def folded_files(spark: SparkSession, compacted: str) -> DataFrame:
+    """What ``store_files`` gave when each day was folded, with ``dt``."""
+    return load_or_nothing(spark.read.schema(FOLDED).format("parquet"), f"{compacted}/{FOLDED_FOLDER}", FOLDED)
 
 
 def newest_where(stored: DataFrame, test: Column, on_key: bool) -> DataFrame:

@@ -83,6 +83,27 @@ def test_days_of_the_store_are_apart(spark, rows, tmp_path):
     assert rows(S.newest(whole), "dt", "username") == [("20240110", "u")]
 
 
+def test_batches_after_folding_are_found(spark, rows, tmp_path):
+    path, whole = str(tmp_path / "store"), str(tmp_path / "days")
+    found = lambda: rows(S.newest(S.read_days(spark, path, whole)), "rowkey", "username")
+    later = BATCH + timedelta(minutes=5)
+    store.upsert_sessions(flows(spark, [("00000000a", "old"), ("ff000000b", "old")]), path, BATCH)
+    store.compact_day(spark, path, whole, "20240110")
+    assert found() == [("00000000a", "old"), ("ff000000b", "old")]
+    store.upsert_sessions(flows(spark, [("ff000000b", "new"), ("cc000000c", "new")]), path, later)
+    assert found() == [("00000000a", "old"), ("cc000000c", "new"), ("ff000000b", "new")]
+    store.compact_day(spark, path, whole, "20240110")
+    # A rerun that took a row out.
+    store.upsert_sessions(flows(spark, [("cc000000c", "new")]), path, later)
+    assert found() == [("00000000a", "old"), ("cc000000c", "new"), ("ff000000b", "old")]
+    # A folded day whose batches are no longer in the store, then with a late batch.
+    store.compact_day(spark, path, whole, "20240110")
+    path = str(tmp_path / "other")
+    assert found() == [("00000000a", "old"), ("cc000000c", "new"), ("ff000000b", "old")]
+    store.upsert_sessions(flows(spark, [("00000000a", "late")]), path, later + timedelta(minutes=5))
+    assert found() == [("00000000a", "late"), ("cc000000c", "new"), ("ff000000b", "old")]
+
+
 def test_days_between():
     days = S.days_between(datetime(2024, 2, 28, 23, 55), datetime(2024, 3, 1, 0, 5))
     assert days == ["20240228", "20240229", "20240301"]
