@@ -7,6 +7,7 @@ from edgeledger.llm import (
     byte_bpe,
     classifier_chain,
     decision_list,
+    filter_audit,
     gru_lm,
     license_digests,
     minhash,
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_mix_sources": poisson_mix.op8_mix_sources,
     "op9_exact_dedup": block_names.op9_exact_dedup,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 ORACLES = {
     "op2_license_scan": license_digests.OP2_SQL,
     "op8_mix_sources": poisson_mix.OP8_SQL,
     "op9_exact_dedup": block_names.OP9_SQL,
+    "op13_filter_audit": filter_audit.OP13_SQL,
 }
