@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from edgeledger.llm import (
+    blob_ledger,
     block_names,
     byte_bpe,
     classifier_chain,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_mix_sources": poisson_mix.op8_mix_sources,
     "op9_exact_dedup": block_names.op9_exact_dedup,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
+    "op11_secret_scan": blob_ledger.op11_secret_scan,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
