@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from edgeledger.llm import (
+    anchor_tree,
     blob_ledger,
     block_names,
     byte_bpe,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_exact_dedup": block_names.op9_exact_dedup,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
     "op11_secret_scan": blob_ledger.op11_secret_scan,
+    "op12_hard_negatives": anchor_tree.op12_hard_negatives,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
@@ -36,5 +38,6 @@ ORACLES = {
     "op2_license_scan": license_digests.OP2_SQL,
     "op8_mix_sources": poisson_mix.OP8_SQL,
     "op9_exact_dedup": block_names.OP9_SQL,
+    "op12_hard_negatives": anchor_tree.OP12_SQL,
     "op13_filter_audit": filter_audit.OP13_SQL,
 }
