@@ -75,6 +75,14 @@ SQL = {
           (101 + n_nationkey) * 16777216L + 65536L * n_nationkey hi,
           concat('over_', n_name), 'over_city', 'over'
         from {nation} where n_nationkey % 2 = 0""",
+    # Single addresses of one /16 cell as ranges, and events at addresses of that cell.
+    "geo_dense": """
+        select distinct 1677721600L + o_orderkey % 65536 lo, 1677721600L + o_orderkey % 65536 hi,
+          concat('p_', o_orderkey % 65536) province, 'dense' city, concat('o_', o_orderkey % 2) operator
+        from {orders}""",
+    "ev_dense": """
+        select concat('100.0.', event_id % 65536 div 256, '.', event_id % 256) dip, count(*) count
+        from {events} group by 1""",
     # Lines of format A around a new year, without the year.
     "border_lines": """
         select event_id, timestampadd(day, -14, ts) ts, concat(

@@ -356,6 +356,13 @@ select dip, case when hi >= n then province else 'UnKnown' end province,
   case when hi >= n then op else 'UnKnown' end as operator,
   case when hi >= n then city else 'UnKnown' end city
 from r where k = 1""",
+    "geo_dense": """with t as (select event_id % 65536 k, count(*)::bigint n from events group by 1),
+g as (select distinct o_orderkey % 65536 k from orders)
+select concat('100.0.', t.k // 256, '.', t.k % 256) dip, n as "count",
+  case when g.k is null then 'UnKnown' else concat('p_', t.k) end province,
+  case when g.k is null then 'UnKnown' else concat('o_', t.k % 2) end as operator,
+  case when g.k is null then 'UnKnown' else 'dense' end city
+from t left join g on t.k = g.k""",
     "liveness": f"""with {EV}, {SES}, {RADIUS}, {USERS.format(at=SLOT)}, {SUBSCRIBERS}
 select s.username, coalesce(n, 0)::bigint resolver, timestamp '2024-01-14' accesstime,
   rid1, rid2, rid3, rid4

@@ -389,6 +389,12 @@ def geo_overlaps(spark, sf):
     return lookups.with_region(targets, "dip", frame(spark, sf, "geo_overlaps"))
 
 
+@query
+def geo_dense(spark, sf):
+    """Places in a table with a range for each address: one cell holds all ranges and all addresses."""
+    return lookups.with_region(frame(spark, sf, "ev_dense"), "dip", frame(spark, sf, "geo_dense"))
+
+
 @query
 def liveness(spark, sf):
     users = R.user_counts(counts(spark, sf, event_time=False), radius(spark, sf))

@@ -12,10 +12,6 @@ from .text import pieces
 LAST_LONG = 9223372036854775807
 HEX_SPACE = 4294967296
 
-# Places geo keys on a /16 grid: a table of disjoint ranges grows by at most 65536
-# rows when it is spread over that grid.
-GRID_BITS = 16
-
 
 def ip_to_long(ip: Column) -> Column:
     """Number of a dotted address; 0 unless it has four parts, NULL for a part that is no number."""
@@ -43,7 +39,7 @@ def geo_key(ip: Column) -> Column:
     return F.when(numeric & total.isNotNull(), inside).otherwise(F.lit(0).cast("long"))
 
 
-def grid_cell(number: Column, bits: int = GRID_BITS) -> Column:
+def grid_cell(number: Column, bits: int) -> Column:
     """Cell of an address number on the grid of its first ``bits`` bits."""
     return F.shiftright(number, 32 - bits)
 

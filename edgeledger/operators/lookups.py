@@ -7,11 +7,12 @@ and splits hot partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.net import GRID_BITS, geo_key, grid_cell, ip_to_long
+from ..functions.net import geo_key, ip_to_long
 from ..schemas import CITY, OPERATOR, PROVINCE, UNKNOWN, UNKNOWN_APP
+from .ranges import as_of, disjoint, last_covers
 
 
 def with_account(sessions: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -21,85 +22,27 @@ def with_account(sessions: DataFrame, accounts: DataFrame) -> DataFrame:
     return joined.withColumn("username", F.coalesce("_account", F.lit(UNKNOWN))).drop("_account")
 
 
-def on_grid(ranges: DataFrame, bits: int = GRID_BITS) -> DataFrame:
-    """One row per range and grid cell that the range touches.
-
-    For disjoint ranges this adds at most one row per cell of the grid.
-    """
-    cells = F.sequence(grid_cell(F.col("lo"), bits), grid_cell(F.col("hi"), bits))
-    return ranges.where("lo <= hi").withColumn("_cell", F.explode(cells))
-
-
-def range_join(rows: DataFrame, key: str, gridded: DataFrame, bits: int = GRID_BITS) -> DataFrame:
-    """Left join on ``lo <= key <= hi``, as an equi-join on grid cells with the range as residual."""
-    left = rows.withColumn("_left_cell", grid_cell(F.col(key), bits))
-    inside = left[key].between(gridded["lo"], gridded["hi"])
-    found = (left["_left_cell"] == gridded["_cell"]) & inside
-    return left.join(gridded, found, "left").drop("_left_cell", "_cell")
-
-
-def disjoint(ranges: DataFrame) -> DataFrame:
-    """Ranges cut so that none overlap: a range ends where the next one starts.
-
-    So an address is in the last range that starts at or before it, if that one
-    reaches it, and in no other. Of ranges with one start the longest stays, then the
-    least by its other columns. Starts are ordered in blocks of a first octet; the
-    256 first starts of the blocks are ordered by themselves.
-    """
-    others = [c for c in ranges.columns if c not in ("lo", "hi")]
-    order = F.struct((-F.col("hi")).alias("_far"), "hi", *others)
-    one = ranges.where("lo <= hi").groupBy("lo").agg(F.min(order).alias("_range"))
-    one = one.withColumn("_block", F.shiftright("lo", 24))
-    after = F.lead("lo").over(Window.partitionBy("_block").orderBy("lo"))
-    firsts = one.groupBy("_block").agg(F.min("lo").alias("_first"))
-    firsts = firsts.select("_block", F.lead("_first").over(Window.orderBy("_block")).alias("_later"))
-    cut = one.withColumn("_after", after).join(firsts, "_block")
-    end = F.least(F.col("_range.hi"), F.coalesce("_after", "_later") - 1)
-    return cut.select("lo", end.alias("hi"), *[f"_range.{c}" for c in others])
-
-
 def with_region(
-    rows: DataFrame, ip: str, geo: DataFrame, missing: str = UNKNOWN, bits: int = GRID_BITS
+    rows: DataFrame, ip: str, geo: DataFrame, missing: str = UNKNOWN, salts: int = 1
 ) -> DataFrame:
     """Adds ``province``, ``operator`` and ``city`` of an address column.
 
     ``missing`` is for addresses that no range holds. A text that is no address
     gets the region of 0.0.0.0. Ranges may overlap; ``disjoint`` says which one holds.
+    Give counts per address; ``salts`` is for tables with many rows per address.
     """
     places = [PROVINCE, OPERATOR, CITY]
     keyed = rows.withColumn("_ip", geo_key(F.col(ip)))
-    ranges = on_grid(disjoint(geo.select("lo", "hi", *places)), bits)
-    joined = range_join(keyed, "_ip", ranges, bits)
+    joined = as_of(keyed, "_ip", disjoint(geo.select("lo", "hi", *places)), salts)
     named = {name: F.coalesce(F.col(name), F.lit(missing)) for name in places}
-    return joined.withColumns(named).drop("_ip", "lo", "hi")
-
-
-def last_on_grid(ranges: DataFrame, bits: int = GRID_BITS) -> DataFrame:
-    """``on_grid`` for ranges that may overlap, where the last one wins.
-
-    Of the ranges that cover a whole cell only the last one counts, and any range
-    covers at most two cells in part. So this has at most two rows per range and
-    one per cell, however wide the ranges are.
-    """
-    size = 1 << (32 - bits)
-    cells = on_grid(ranges, bits).withColumn("_first", F.col("_cell") * size)
-    whole = (F.col("lo") <= F.col("_first")) & (F.col("hi") >= F.col("_first") + size - 1)
-    covers = (
-        cells.where(whole)
-        .groupBy("_cell")
-        .agg(F.max("position").alias("position"), F.max_by("app", "position").alias("app"))
-        .withColumns({"lo": F.col("_cell") * size, "hi": F.col("_cell") * size + size - 1})
-    )
-    return cells.where(~whole).drop("_first").unionByName(covers)
+    return joined.withColumns(named).drop("_ip")
 
 
 def app_names(addresses: DataFrame, ip: str, ranges: DataFrame) -> DataFrame:
     """``(ip, app)`` of each distinct address: the last half-open range that holds it wins."""
     distinct = addresses.select(ip).distinct().withColumn("_ip", ip_to_long(F.col(ip)))
-    closed = ranges.select("position", "app", "lo", (F.col("hi") - 1).alias("hi"))
-    joined = range_join(distinct, "_ip", last_on_grid(closed))
-    last = F.max_by("app", "position")
-    return joined.groupBy(ip).agg(F.coalesce(last, F.lit(UNKNOWN_APP)).alias("app"))
+    named = as_of(distinct, "_ip", last_covers(ranges))
+    return named.select(ip, F.coalesce("app", F.lit(UNKNOWN_APP)).alias("app"))
 
 
 def with_activity(subscribers: DataFrame, daily: DataFrame, day) -> DataFrame:

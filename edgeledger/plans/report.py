@@ -22,6 +22,7 @@ from ..schemas import HOST, SOURCE, TARGET, USER
 REPORT_COLUMNS = ["types", "accesstime", "data", "count"]
 KINDS = [HOST, TARGET, SOURCE]
 BATCHED = ("batch", "accesstime")
+BATCH_SALTS = 16
 
 
 def slot_entries(entries: DataFrame, batch_time, event_time: bool) -> DataFrame:
@@ -55,8 +56,12 @@ def of_kind(counts: DataFrame, name: str, column: str) -> DataFrame:
 
 
 def target_detail(counts: DataFrame, geo: DataFrame) -> DataFrame:
-    """Counts per target address with its region, looked up once per address and slot."""
-    return with_region(of_kind(counts, TARGET, "targetIp"), "targetIp", geo)
+    """Counts per target address with its region, looked up once per address and slot.
+
+    Counts of many batches have more rows per address and are dealt to more tasks.
+    """
+    salts = BATCH_SALTS if "batch" in counts.columns else 1
+    return with_region(of_kind(counts, TARGET, "targetIp"), "targetIp", geo, salts=salts)
 
 
 def user_counts(

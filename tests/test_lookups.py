@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from edgeledger.operators import lookups
+from edgeledger.operators import lookups, ranges as spans_of
 from edgeledger.sources import accounts
 
 from conftest import executed_plan
@@ -68,9 +68,71 @@ def test_region_join_without_broadcast(spark, rows):
 
 
 def test_wide_range_grows_by_cells_only(spark):
-    grid = lookups.on_grid(geo_frame(spark, [(0, 2**32 - 1)]))
+    grid = spans_of.on_grid(geo_frame(spark, [(0, 2**32 - 1)]))
     assert grid.count() == 65536
-    assert lookups.on_grid(geo_frame(spark, [(5, 4)])).count() == 0
+    assert spans_of.on_grid(geo_frame(spark, [(5, 4)])).count() == 0
+
+
+def rows_made(frame) -> dict[str, int]:
+    """The most rows that any node of a kind gave in one run of ``frame``."""
+    plan = frame._jdf.queryExecution().executedPlan()
+    frame._jdf.collect()
+    most, todo = {}, [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        count = node.metrics().get("numOutputRows")
+        if count.isDefined():
+            most[name] = max(most.get(name, 0), count.get().value())
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return most
+
+
+def test_every_address_of_a_cell_as_a_range(spark):
+    """Ranges and addresses fill one cell: rows stay in proportion, and every address finds its own range."""
+    n = 65536
+    first = 100 << 24
+    geo = spark.range(n).selectExpr(f"id + {first} as lo", f"id + {first} as hi", "cast(id as string) province", "'o' operator", "'c' city")
+    ips = spark.range(n).selectExpr("concat('100.0.', id div 256, '.', id % 256) ip", "id")
+    joined = lookups.with_region(ips, "ip", geo)
+    assert joined.where("province = cast(id as string)").count() == n
+    made = rows_made(lookups.with_region(ips, "ip", geo))
+    assert max(made.values()) <= 2 * n + 300, made
+
+    apps = spark.range(n).selectExpr(
+        "cast(id as int) position", f"{first} + id as lo", f"{first} + {n} as hi", "cast(id as string) app"
+    )
+    named = lookups.app_names(ips, "ip", apps)
+    assert named.join(ips, "ip").where("app = cast(id as string)").count() == n
+    made = rows_made(named)
+    assert max(made.values()) <= 33 * 2 * n, made
+
+
+def test_salted_lookup(spark, rows):
+    rng = random.Random(9)
+    geo = geo_frame(spark, disjoint_ranges(rng, 30))
+    ips = [text(rng.randrange(2**32)) for _ in range(50)]
+    frame = spark.createDataFrame([(rng.choice(ips[:3]) if k % 3 else ips[k % 50], k) for k in range(400)], "ip string, n int")
+    assert rows(lookups.with_region(frame, "ip", geo, salts=7)) == rows(lookups.with_region(frame, "ip", geo))
+
+
+def test_ranges_beyond_the_addresses(spark, rows):
+    geo = geo_frame(spark, [(-70000, 5), (2**32 - 3, 2**33)])
+    frame = spark.createDataFrame([(v,) for v in ("0.0.0.5", "0.0.0.6", "255.255.255.255", "255.255.255.252")], "ip string")
+    assert rows(lookups.with_region(frame, "ip", geo), "ip", "province") == [
+        ("0.0.0.5", "p0"), ("0.0.0.6", "UnKnown"), ("255.255.255.252", "UnKnown"), ("255.255.255.255", "p1"),
+    ]
+    apps = spark.createDataFrame([(1, -5, 2**40, "all"), (2, 2**32 - 1, 2**32, "last")], "position int, lo long, hi long, app string")
+    assert rows(lookups.app_names(frame, "ip", apps), "ip", "app") == [
+        ("0.0.0.5", "all"), ("0.0.0.6", "all"), ("255.255.255.252", "all"), ("255.255.255.255", "last"),
+    ]
 
 
 def test_disjoint_ranges(spark, rows):
@@ -79,7 +141,7 @@ def test_disjoint_ranges(spark, rows):
     spans = [tuple(sorted(rng.sample(range(2**26), 2))) for _ in range(80)]
     spans += [(5, 9), (5, 20), (7, 7), (30, 29), (2**25, 2**25), (2**25, 2**26)]
     frame = spark.createDataFrame([(a, b, f"p{k}") for k, (a, b) in enumerate(spans)], "lo long, hi long, p string")
-    cut = rows(lookups.disjoint(frame))
+    cut = rows(spans_of.disjoint(frame))
     assert all(a[1] < b[0] for a, b in zip(sorted(cut), sorted(cut)[1:]))
     for n in [*(rng.randrange(2**26) for _ in range(300)), 5, 7, 8, 20, 2**25, 2**25 + 1]:
         before = [(a, b, k) for k, (a, b) in enumerate(spans) if a <= n and a <= b]
@@ -124,7 +186,7 @@ def test_last_application_wins(spark, rows):
 
 
 def test_overlapping_wide_ranges(spark):
-    """Against brute force; whole covers of a cell leave one row per cell."""
+    """Against brute force; the cut pieces are no more than the ends of ranges."""
     rng = random.Random(11)
     spans = [sorted(rng.sample(range(2**26), 2)) for _ in range(60)]
     spans += [(5 * 65536, 6 * 65536), (5 * 65536 + 1, 6 * 65536 - 1)]
@@ -132,8 +194,8 @@ def test_overlapping_wide_ranges(spark):
         [(i, lo, hi, f"a{i}") for i, (lo, hi) in enumerate(spans)],
         "position int, lo long, hi long, app string",
     )
-    grid = lookups.last_on_grid(ranges.withColumn("hi", F.col("hi") - 1))
-    assert grid.count() <= 2 * len(spans) + 2**26 // 65536
+    pieces = sorted(tuple(r) for r in spans_of.last_covers(ranges).select("lo", "hi").collect())
+    assert len(pieces) <= 2 * len(spans) and all(a[1] < b[0] for a, b in zip(pieces, pieces[1:]))
     numbers = [rng.randrange(2**26) for _ in range(400)] + [e + d for p in spans for e in p for d in (-1, 0)]
     ips = spark.createDataFrame([(text(n),) for n in numbers if n >= 0], "ip string")
     got = dict(tuple(r) for r in lookups.app_names(ips, "ip", ranges).collect())
