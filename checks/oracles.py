@@ -168,6 +168,14 @@ stored as (
 select * from stored where {where} order by rowkey {limit}"""
 
 
+def _in_days(where: str) -> str:
+    """What ``_traced`` finds in a day with all sessions, and in the next day with a third of them."""
+    return f"""with all_of as ({_traced(where, "")}),
+late as (select * from all_of where second(accesstime) % 3 = 0)
+select '20240114' dt, * from all_of
+union all select '20240115', * replace ('next day' as username) from late"""
+
+
 def _backfill() -> str:
     return f"""with {EV}, {SES}, {RADIUS}, {GEO}, {DETAIL.format(at=EVENT)}, {USERS.format(at=EVENT)},
 hosts as (
@@ -450,6 +458,19 @@ select "targetIp" ip, replace(province, 'UnKnown', '未知') province,
 from detail order by n desc, "targetIp" limit 100""",
     "session_compacted": f"""select dt, protocol, count(*)::bigint as "count"
 from ({_traced("true", "")}), (values ('20240114'), ('20240115')) d(dt) group by 1, 2""",
+    "trace_indexed": _in_days("\"sourceIp\" = '30.130.0.74'"),
+    "trace_endpoints_indexed": _in_days(
+        "\"targetIp\" = '101.1.7.9' and \"targetPort\" = '443' and "
+        "\"convertedIp\" = '203.0.113.3' and \"convertedPort\" = '10013'"
+    ),
+    "trace_hours": _in_days(
+        "accesstime >= timestamp '2024-01-14' and accesstime < timestamp '2024-01-14 06:00:00'"
+    ),
+    "trace_pages": _in_days("accesstime >= timestamp '2024-01-01' and accesstime < timestamp '2024-01-16'"),
+    "fold_increments": f"""with n as (select protocol, count(*)::bigint n from ({_traced("true", "")}) group by 1)
+select layout, protocol as name, n as "count" from n, (values ('by key'), ('by time')) l(layout)
+union all select 'index', c, (select sum(n)::bigint from n)
+from (values ('sourceIp'), ('convertedIp'), ('username'), ('endpoints')) v(c)""",
     "delayed_job": f"""{_report(EVENT)},
 {COUNTERS.format(inner=SLOT_TOTALS.format(rows="ses", where=f"where {EVENT} >= {CUTOFF}"), slot=SLOT)}
 select types as name, data, accesstime, cast(n as bigint) as "count" from report

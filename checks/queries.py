@@ -17,10 +17,11 @@ from edgeledger.plans import daily, jobs
 from edgeledger.plans import report as R
 from edgeledger.schemas import GEO_FIELDS
 from edgeledger.schemas import REPORT as R_SCHEMA
-from edgeledger.session import scratch_path
+from edgeledger.session import scratch_path, settle
 from edgeledger.sinks import sessions as session_sink
 from edgeledger.sinks import tables as sink
 from edgeledger.sources import accounts, admission, tables
+from edgeledger.sources import days as D
 from edgeledger.sources import lines as L
 from edgeledger.sources import sessions as S
 from edgeledger.streaming import streams
@@ -776,7 +777,69 @@ def session_compacted(spark, sf):
         session_sink.upsert_sessions(sessions, path, at)
     for _ in range(2):
         session_sink.compact_day(spark, path, whole, "20240114")
-    return C.count_by(S.newest(S.read_days(spark, path, whole)), "dt", "protocol")
+    return C.count_by(S.newest(D.read_days(spark, path, whole)), "dt", "protocol")
+
+
+def _folded(spark, sf) -> D.Days:
+    """A folded day of all sessions, to which a second batch came, and one that isn't folded."""
+    path, whole = scratch_path(spark, "store"), scratch_path(spark, "days")
+    sessions = jobs.sessions_of(lines(spark, sf), radius(spark, sf), YEAR)
+    late = F.second("accesstime") % 3 == 0
+    session_sink.upsert_sessions(sessions.where(~late), path, BATCH - timedelta(minutes=5))
+    session_sink.compact_day(spark, path, whole, "20240114")
+    session_sink.upsert_sessions(sessions.where(late), path, BATCH)
+    session_sink.upsert_sessions(sessions.where(late).withColumn("username", F.lit("next day")), path, BATCH + timedelta(minutes=5))
+    return D.Days.open(spark, path, whole)
+
+
+@query
+def trace_indexed(spark, sf):
+    """Sessions of a source address by the index, of a day folded twice and of one that isn't folded."""
+    days = _folded(spark, sf)
+    session_sink.compact_day(spark, days.store, days.folded, "20240114")
+    again = D.Days.open(spark, days.store, days.folded)
+    return again.trace_value("sourceIp", "30.130.0.74", n=100_000)
+
+
+@query
+def trace_endpoints_indexed(spark, sf):
+    """Sessions between two outer endpoints by the index, with a batch that came after the day was folded."""
+    return _folded(spark, sf).trace_value("endpoints", ("101.1.7.9", "443", "203.0.113.3", "10013"), n=100_000)
+
+
+@query
+def trace_hours(spark, sf):
+    """Sessions of six hours from the layout by time, and from batches that aren't folded."""
+    return _folded(spark, sf).trace_time("2024-01-14 00:00:00", "2024-01-14 06:00:00", n=100_000)
+
+
+@query
+def trace_pages(spark, sf):
+    """Pages of 1000 of half a month, each begun where the one before ended, put together."""
+    days, pages, after = _folded(spark, sf), [], None
+    while True:
+        rows = settle(days.trace_time("2024-01-01 00:00:00", "2024-01-16 00:00:00", 1000, after))
+        pages.append(rows)
+        after = S.cursor_of(rows)
+        if rows.count() < 1000:
+            return reduce(DataFrame.unionByName, pages)
+
+
+@query
+def fold_increments(spark, sf):
+    """A day folded, a late batch, and the day folded again: its rows by key, by time and in the index."""
+    days = _folded(spark, sf)
+    session_sink.compact_day(spark, days.store, days.folded, "20240114")
+    again = D.Days.open(spark, days.store, days.folded, ["20240114"])
+    rows = S.newest(again.by_key())
+    timed = S.newest(again.by_time("2024-01-01 00:00:00", "2024-02-01 00:00:00"))
+    index = spark.read.parquet(f"{days.folded}/{D.INDEX_FOLDER}/dt=20240114")
+    frames = [
+        C.count_by(rows, "protocol").select(F.lit("by key").alias("layout"), F.col("protocol").alias("name"), "count"),
+        C.count_by(timed, "protocol").select(F.lit("by time").alias("layout"), F.col("protocol").alias("name"), "count"),
+        C.count_by(index, "column").select(F.lit("index").alias("layout"), F.col("column").alias("name"), "count"),
+    ]
+    return reduce(DataFrame.unionByName, frames)
 
 
 @query

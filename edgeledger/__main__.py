@@ -18,6 +18,7 @@ from .schemas import BACKLOG, LINES, SETTINGS
 from .session import build_session
 from .sinks.tables import save_table
 from .sources import accounts
+from .sources import days as D
 from .sources import lines as L
 from .sources import sessions as S
 from .sources.tables import read_table
@@ -85,22 +86,36 @@ def targets(spark, args) -> None:
 
 
 def trace(spark, args) -> None:
-    """Shows the first rows; ``--out`` gets all that were found."""
+    """Shows the first rows, or those after ``--after``, and the cursor to go on from.
+
+    ``--out`` gets all that were found.
+    """
+    after = S.Cursor(*args.after.split("/")) if args.after else None
     if args.compacted:
-        stored = S.read_days(spark, args.store, args.compacted, args.days)
+        days = D.Days.open(spark, args.store, args.compacted, args.days)
+        stored = days.by_key()
     else:
         stored = S.read_store(spark, args.store, args.days)
+    column, _, value = (args.where or "").partition("=")
     if args.endpoint:
         ip, port = args.endpoint.rsplit(":", 1)
-        found = S.trace_endpoint(stored, ip, port, args.start, args.end)
+        found = (days if args.compacted else S).trace_endpoint(*([] if args.compacted else [stored]), ip, port, args.start, args.end)
+    elif args.compacted and column in D.INDEXED:
+        values = tuple(value.split(",")) if column == D.ENDPOINTS else value
+        found = days.trace_value(column, values, args.n, after)
     elif args.where:
-        found = S.trace_value(stored, *args.where.split("=", 1), n=args.n)
+        found = S.trace_value(stored, column, value, args.n, after)
+    elif args.compacted:
+        found = days.trace_time(args.start, args.end, args.n, after)
     else:
-        found = S.trace_time(stored, args.start, args.end, n=args.n)
+        found = S.trace_time(stored, args.start, args.end, args.n, after)
     if args.out:
         save_table(found, path=args.out)
-        found = read_table(spark, path=args.out).orderBy("rowkey")
+        found = read_table(spark, path=args.out).orderBy("rowkey", "dt")
     found.show(args.n, truncate=False)
+    last = S.cursor_of(found.limit(args.n))
+    if last:
+        print(f"go on with --after {last.rowkey}/{last.dt}")
 
 
 # Arguments of each job: name and whether it is a time.
@@ -140,10 +155,11 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--compacted", help="whole days that the day job has folded")
             sub.add_argument("--out", help="where to write all found rows")
             sub.add_argument("--days", nargs="+", help="days of the store to look at, as yyyyMMdd")
-            sub.add_argument("--where", help="column=value")
+            sub.add_argument("--where", help="column=value; with folded days also endpoints=ip,port,public ip,public port")
             sub.add_argument("--start", type=datetime.fromisoformat, default=datetime(1970, 1, 1))
             sub.add_argument("--end", type=datetime.fromisoformat, default=datetime(2100, 1, 1))
-            sub.add_argument("-n", type=int, default=S.PAGE)
+            sub.add_argument("-n", type=int, default=S.PAGE, help="rows of a page")
+            sub.add_argument("--after", help="rowkey/day of the last row of the page before")
     return top
 
 

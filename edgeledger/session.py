@@ -71,3 +71,11 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library made."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Give a folder that this library made another place, where none may be; nothing if it isn't there."""
+    paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
+    system = paths[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(paths[0]) and not system.rename(*paths):
+        raise OSError(f"{source} can't be moved to {target}")

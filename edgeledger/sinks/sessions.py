@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.net import region_of
 from ..schemas import CELL_NAMES
-from ..sources.sessions import FOLDED, FOLDED_FOLDER, STORE_COLUMNS, newest, read_store, store_files
-from .tables import replace_batch, replace_partitions, with_batch
-
-REGIONS = 20
+from ..session import settling
+from ..sources import days as D
+from ..sources.days import REGIONS
+from ..sources.sessions import STORE_COLUMNS, newest_batches
+from .tables import add_partitions, replace_batch, replace_folder, replace_partitions, with_batch
 
 
 def by_region(sessions: DataFrame, regions: int = REGIONS) -> DataFrame:
@@ -48,18 +49,39 @@ def upsert_batches(sessions: DataFrame, path: str) -> None:
     replace_partitions(placed, path, ["dt", "batch"])
 
 
-def compact_day(
-    spark: SparkSession, path: str, target: str, dt: str, regions: int = REGIONS
-) -> None:
-    """Write the newest row of each key of one day to a table of whole days, and the files it was made from.
+def compact_day(spark: SparkSession, path: str, target: str, dt: str) -> None:
+    """Fold a day of the store: the newest row of each key, by key, by time and with an index.
 
-    Files are listed before they are read: a batch that comes in between makes the day a changed one.
+    Only what is new is folded: rows of batches that came since are added to the day's folders, and a day to which
+    nothing came is left alone. If a batch changed, the day is written anew, with the folded
+    rows of batches that the store no longer has. Files are listed before they are read, so a batch that comes in
+    between is new the next time; their list is written last, so a fold that was cut short is done again, and rows
+    that are then there twice count once.
     """
-    files = [(*f, dt) for f in sorted(store_files(spark, path, dt))]
-    day = newest(read_store(spark, path, [dt]))
-    rows = by_region(day.select("dt", *STORE_COLUMNS), regions)
-    replace_partitions(rows, target, ["dt"])
-    replace_partitions(spark.createDataFrame(files, FOLDED).coalesce(1), f"{target}/{FOLDED_FOLDER}", ["dt"])
+    days = D.Days.open(spark, path, target, [dt])
+    day = days.state[0] if days.state else D.Day(dt, False)
+    if day.folded and not day.added and not day.changed:
+        return
+    listed = {tuple(r) for r in D.store_files(spark, path, [dt]).collect()}
+    earlier = {tuple(r) for r in D.folded_files(spark, target, [dt]).where(F.col("batch").isin(*day.gone)).collect()} if day.gone else set()
+    again = not day.folded or bool(day.changed)
+    with settling(spark) as settled:
+        rows = settled(by_region(newest_batches(days.by_key() if again else days.unfolded())))
+        keyed = rows.withColumn("region", region_of(F.col("rowkey"), REGIONS)).sortWithinPartitions("dt", "region", "rowkey")
+        timed = rows.withColumn("hour", D.hour_of(F.col("accesstime"), F.col("dt"))).hint("rebalance", "dt", "hour")
+        index = D.index_rows(rows).hint("rebalance", "dt", "column", "part")
+        layouts = [
+            ("", ["dt", "region"], keyed),
+            (f"/{D.TIME_FOLDER}", ["dt", "hour"], timed.sortWithinPartitions("dt", "hour", "accesstime")),
+            (f"/{D.INDEX_FOLDER}", ["dt", "column", "part"], index.sortWithinPartitions("dt", "column", "part", "hash")),
+        ]
+        for folder, keys, written in layouts:
+            if again:
+                replace_folder(written, f"{target}{folder}", f"dt={dt}", keys)
+            else:
+                add_partitions(written, f"{target}{folder}", keys)
+    files = spark.createDataFrame(sorted(listed | earlier), D.FILE_LIST).coalesce(1)
+    replace_partitions(files, f"{target}/{D.FILES_FOLDER}", ["dt"])
 
 
 def to_cells(sessions: DataFrame, regions: int = REGIONS) -> DataFrame:

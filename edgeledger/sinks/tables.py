@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import SLOT_SECONDS, minus_seconds, moment
-from ..session import remove
+from ..session import move, remove
 
 BATCH = "yyyyMMddHHmm"
 DAY = "yyyyMMdd"
@@ -27,6 +28,23 @@ def replace_partitions(rows: DataFrame, path: str, keys: list[str], fmt: str = "
     writer.options(**options).partitionBy(*keys).format(fmt).save(path)
 
 
+def add_partitions(rows: DataFrame, path: str, keys: list[str]) -> None:
+    """Write ``rows`` beside what is in their partitions."""
+    rows.write.mode("append").partitionBy(*keys).parquet(path)
+
+
+def replace_folder(rows: DataFrame, path: str, folder: str, keys: list[str]) -> None:
+    """Write ``rows``, all of one first partition, aside and put that folder in the place of the old one.
+
+    Partitions that have no rows now are gone with it. Rows may come from the old folder if they are settled.
+    """
+    spark, aside = rows.sparkSession, f"{path}/_aside-{uuid.uuid4().hex}"
+    rows.write.partitionBy(*keys).parquet(aside)
+    remove(spark, f"{path}/{folder}")
+    move(spark, f"{aside}/{folder}", f"{path}/{folder}")
+    remove(spark, aside)
+
+
 def batch_label(batch_time, number: int | None = None) -> Column:
     """Name of a batch; names sort by time. ``number`` tells micro-batches of one slot apart."""
     label = F.date_format(batch_slot(batch_time), BATCH)

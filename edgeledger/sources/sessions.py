@@ -6,6 +6,7 @@ in several batches of a day, the newest one holds.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,15 +28,12 @@ STORED = T.StructType(
 )
 
 
-#: The files that a folded day was made from lie in this folder of the table, which readers of rows skip.
-FOLDED_FOLDER = "_folded"
-FOLDED = T.StructType(
-    [
-        T.StructField("batch", T.StringType()), T.StructField("name", T.StringType()),
-        T.StructField("size", T.LongType()), T.StructField("written", T.LongType()),
-        T.StructField("dt", T.StringType()),
-    ]
-)
+@dataclass(frozen=True)
+class Cursor:
+    """The last row of a page; the next page begins after it."""
+
+    rowkey: str
+    dt: str
 
 
 def read_store(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
@@ -51,15 +49,20 @@ def days_between(first: datetime, last: datetime) -> list[str]:
     return [f"{first + timedelta(days=i):%Y%m%d}" for i in range(n)]
 
 
+def newest_batches(stored: DataFrame) -> DataFrame:
+    """One row per day and row key, that of the newest batch, with its ``batch``."""
+    others = [c for c in STORE_COLUMNS if c != "rowkey"]
+    row = F.struct("batch", *others)
+    latest = stored.groupBy("dt", "rowkey").agg(F.max(row).alias("_row"))
+    return latest.select("dt", "_row.batch", *[f"_row.{c}" if c != "rowkey" else c for c in STORE_COLUMNS])
+
+
 def newest(stored: DataFrame) -> DataFrame:
     """One row per day and row key: that of the newest batch.
 
     Filters on ``dt`` or ``rowkey`` reach the files; put others on the result.
     """
-    others = [c for c in STORE_COLUMNS if c != "rowkey"]
-    row = F.struct("batch", *others)
-    latest = stored.groupBy("dt", "rowkey").agg(F.max(row).alias("_row"))
-    return latest.select("dt", *[f"_row.{c}" if c != "rowkey" else c for c in STORE_COLUMNS])
+    return newest_batches(stored).drop("batch")
 
 
 def in_time(start, end) -> Column:
@@ -75,43 +78,6 @@ def since(stored: DataFrame, start) -> DataFrame:
     return stored.where(F.col("dt") >= day)
 
 
-def read_days(
-    spark: SparkSession, store: str, compacted: str, days: list[str] | None = None
-) -> DataFrame:
-    """Compacted days and, for all other days, the batches of the store.
-
-    A day counts as compacted while the store has just the files that were folded, or none of the
-    day. If batches were written, rerun or deleted since, the store alone holds; where none of the
-    folded batches is in the store any more, its rows come with the folded ones, as newer batches.
-    """
-    whole = read_store(spark, compacted, days).withColumn("batch", F.lit(""))
-    folded, only_folded, only_store = folded_files(spark, compacted), [], []
-    for dt in sorted(row.dt for row in whole.select("dt").distinct().collect()):
-        now, then = store_files(spark, store, dt), {tuple(r) for r in folded.where(F.col("dt") == dt).drop("dt").collect()}
-        if not now or now == then:
-            only_folded.append(dt)
-        elif not then or {batch for batch, *_ in now} & {batch for batch, *_ in then}:
-            only_store.append(dt)
-    stored = read_store(spark, store, days).where(~F.col("dt").isin(only_folded))
-    return stored.unionByName(whole.where(~F.col("dt").isin(only_store)))
-
-
-def store_files(spark: SparkSession, store: str, dt: str) -> set[tuple]:
-    """``batch, name, size, written`` of the files of one day of the store; only the folders are listed."""
-    listed = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()), T.StructField("length", T.LongType())])
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    part = lambda k: F.element_at(F.split("path", "/"), k)
-    rows = load_or_nothing(reader, f"{store}/dt={dt}", listed).select(
-        part(-2).alias("batch"), part(-1).alias("name"), F.col("length").alias("size"), F.unix_micros("modificationTime").alias("written")
-    )
-    return {tuple(r) for r in rows.collect()}
-
-
-def folded_files(spark: SparkSession, compacted: str) -> DataFrame:
-    """What ``store_files`` gave when each day was folded, with ``dt``."""
-    return load_or_nothing(spark.read.schema(FOLDED).format("parquet"), f"{compacted}/{FOLDED_FOLDER}", FOLDED)
-
-
 def newest_where(stored: DataFrame, test: Column, on_key: bool) -> DataFrame:
     """Newest rows of the store that meet ``test``.
 
@@ -126,15 +92,16 @@ def newest_where(stored: DataFrame, test: Column, on_key: bool) -> DataFrame:
     return newest(stored.join(keys, ["dt", "rowkey"], "left_semi")).where(test)
 
 
-def trace_time(stored: DataFrame, start, end, n: int = PAGE) -> DataFrame:
-    """First ``n`` stored sessions by row key with ``start <= time < end``."""
-    return _page(newest_where(since(stored, start), in_time(start, end), on_key=True), n)
+def trace_time(stored: DataFrame, start, end, n: int = PAGE, after: Cursor | None = None) -> DataFrame:
+    """First ``n`` stored sessions by row key with ``start <= time < end``, or the next ``n`` after a cursor."""
+    inside = from_cursor(since(stored, start), after)
+    return page(newest_where(inside, in_time(start, end), on_key=True), n, after)
 
 
-def trace_value(stored: DataFrame, column: str, value: str, n: int = PAGE) -> DataFrame:
-    """First ``n`` stored sessions by row key with one value in one column."""
+def trace_value(stored: DataFrame, column: str, value: str, n: int = PAGE, after: Cursor | None = None) -> DataFrame:
+    """First ``n`` stored sessions by row key with one value in one column, or the next ``n`` after a cursor."""
     test = F.col(column) == value
-    return _page(newest_where(stored, test, column in KEY_COLUMNS), n)
+    return page(newest_where(from_cursor(stored, after), test, column in KEY_COLUMNS), n, after)
 
 
 def endpoint_keys(ip: str, port: str, start, end) -> Column:
@@ -151,5 +118,20 @@ def trace_endpoint(stored: DataFrame, ip: str, port: str, start, end) -> DataFra
     return found.orderBy("rowkey")
 
 
-def _page(sessions: DataFrame, n: int) -> DataFrame:
-    return sessions.orderBy("rowkey").limit(n)
+def from_cursor(rows: DataFrame, after: Cursor | None) -> DataFrame:
+    """Rows at or after a cursor's key; the bound is on the key alone and reaches the files."""
+    return rows if after is None else rows.where(F.col("rowkey") >= after.rowkey)
+
+
+def page(sessions: DataFrame, n: int, after: Cursor | None = None) -> DataFrame:
+    """The first ``n`` rows in order of row key and day, or the next ``n`` after a cursor."""
+    if after is not None:
+        key, dt = F.col("rowkey"), F.col("dt")
+        sessions = from_cursor(sessions, after).where((key > after.rowkey) | (dt > after.dt))
+    return sessions.orderBy("rowkey", "dt").limit(n)
+
+
+def cursor_of(page: DataFrame) -> Cursor | None:
+    """The cursor after a page; none after an empty one."""
+    last = page.select("rowkey", "dt").orderBy(F.desc("rowkey"), F.desc("dt")).first()
+    return last and Cursor(last.rowkey, last.dt)

@@ -8,6 +8,7 @@ from edgeledger.functions.net import row_key
 from edgeledger.schemas import CELL_NAMES, FLOWS
 from edgeledger.sinks import sessions as store
 from edgeledger.sinks import tables as sink
+from edgeledger.sources import days as D
 from edgeledger.sources import sessions as S
 from edgeledger.sources.tables import read_user_counts
 
@@ -85,7 +86,7 @@ def test_days_of_the_store_are_apart(spark, rows, tmp_path):
 
 def test_batches_after_folding_are_found(spark, rows, tmp_path):
     path, whole = str(tmp_path / "store"), str(tmp_path / "days")
-    found = lambda: rows(S.newest(S.read_days(spark, path, whole)), "rowkey", "username")
+    found = lambda: rows(S.newest(D.read_days(spark, path, whole)), "rowkey", "username")
     later = BATCH + timedelta(minutes=5)
     store.upsert_sessions(flows(spark, [("00000000a", "old"), ("ff000000b", "old")]), path, BATCH)
     store.compact_day(spark, path, whole, "20240110")
