@@ -212,6 +212,64 @@ def secondary_index(sessions: DataFrame) -> DataFrame:
     return sessions.select("accesstime", key.alias("partKey"), "rowkey")
 
 
+#: Kinds of what ``entries`` gives.
+SESSION_ENTRY, HOST_ENTRY, REJECT_ENTRY = 0, 1, 2
+
+
+def entries(lines: DataFrame, year: int) -> DataFrame:
+    """All that lines give, in one pass: sessions, hosts, and messages that gave no session.
+
+    A job stores this and takes every output from it, so a line is parsed once. ``kind`` says
+    what a row is; columns of other kinds are NULL, so a row holds its line only if it was rejected.
+    Other columns of ``lines`` are kept.
+    """
+    value = F.col("value")
+    parsed = _read_fields(lines, year).withColumn("host", F.when(F.col("format") == "host", host_of(value)))
+    message, session = F.col("format").isin("A", "B"), F.col("reason").isNull()
+    kind = (
+        F.when(message & session, SESSION_ENTRY)
+        .when(message, REJECT_ENTRY)
+        .when(F.col("host").isNotNull(), HOST_ENTRY)
+    )
+    is_a = lambda k, column: F.when(F.col("kind") == k, F.col(column)).alias(column)
+    columns = [is_a(SESSION_ENTRY, c) for c in ("accesstime", *ENDPOINTS)]
+    columns += ["host", *(is_a(REJECT_ENTRY, c) for c in ("value", "format", "reason"))]
+    marked = parsed.withColumn("kind", kind)
+    return _keep(marked, F.col("kind").isNotNull(), [*_others(lines), "kind", *columns])
+
+
+def _entry_columns(stored: DataFrame) -> list[str]:
+    own = {"kind", "host", "value", "format", "reason", "accesstime", *ENDPOINTS}
+    return [c for c in stored.columns if c not in own]
+
+
+def flows_of(stored: DataFrame) -> DataFrame:
+    """``flows`` from stored entries."""
+    return stored.where(F.col("kind") == SESSION_ENTRY).select(*_entry_columns(stored), "accesstime", *ENDPOINTS)
+
+
+def rejects_of(stored: DataFrame) -> DataFrame:
+    """``rejects`` from stored entries."""
+    return stored.where(F.col("kind") == REJECT_ENTRY).select(*_entry_columns(stored), "value", "format", "reason")
+
+
+def counted_of(stored: DataFrame) -> DataFrame:
+    """``counted`` from stored entries."""
+    none = F.lit(None).cast("timestamp")
+    listed = F.when(F.col("kind") == HOST_ENTRY, F.array(_count(HOST, none, F.col("host")))).otherwise(_session_counts())
+    counts = stored.where(F.col("kind") != REJECT_ENTRY).select(*_entry_columns(stored), F.explode(listed).alias("_entry"))
+    return counts.select(*_entry_columns(stored), "_entry.*")
+
+
+def _count(kind: str, at: Column, data: Column) -> Column:
+    return F.struct(F.lit(kind).alias("types"), at.alias("accesstime"), data.alias("data"))
+
+
+def _session_counts() -> Column:
+    at = F.col("accesstime")
+    return F.array(_count(TARGET, at, F.col("targetIp")), _count(SOURCE, at, F.col("sourceIp")))
+
+
 def counted(lines: DataFrame, year: int) -> DataFrame:
     """``(types, accesstime, data)``: the host of each host line, target and source of each session.
 
@@ -220,14 +278,8 @@ def counted(lines: DataFrame, year: int) -> DataFrame:
     """
     value = F.col("value")
     kept = _others(lines)
-    entry = lambda kind, at, data: F.struct(
-        F.lit(kind).alias("types"), at.alias("accesstime"), data.alias("data")
-    )
-    of_session = F.array(
-        entry(TARGET, F.col("accesstime"), F.col("targetIp")),
-        entry(SOURCE, F.col("accesstime"), F.col("sourceIp")),
-    )
-    of_host = F.array(entry(HOST, F.lit(None).cast("timestamp"), F.col("_host")))
+    of_session = _session_counts()
+    of_host = F.array(_count(HOST, F.lit(None).cast("timestamp"), F.col("_host")))
     parsed = _read_fields(lines, year, ADDRESSES_ONLY)
     host = parsed.withColumn("_host", F.when(F.col("format") == "host", host_of(value)))
     entries = F.when(F.col("_host").isNotNull(), of_host).when(

@@ -1,9 +1,9 @@
 """The five-minute batch jobs.
 
-A job passes over its lines twice, once for the counts and once for the sessions,
-and caches nothing. Counts are settled in the shared folder while the job runs; the
-counters are taken from them and from the stored sessions. Lines that give no session
-go to a table of their own.
+A job parses its lines once and caches nothing. What lines give, and the counts, are settled
+in the shared folder while the job runs, and every table is taken from there; the counters
+are taken from the counts and from the stored sessions. Lines that give no session go to a
+table of their own.
 """
 
 from __future__ import annotations
@@ -18,12 +18,15 @@ from ..functions.times import SLOT_SECONDS, minus_seconds, moment, whole
 from ..operators import counts as C
 from ..operators import parse
 from ..operators.lookups import with_account
-from ..schemas import COUNTERS, DISTINCT_COUNTER, RAW_COUNTER, SOURCE
+from ..schemas import COUNTERS, DISTINCT_COUNTER, FLOWS, RAW_COUNTER, SOURCE
 from ..session import settle, settling
-from ..sinks.sessions import REGIONS, to_cells, upsert_batches, upsert_sessions, write_cells
+from ..sinks.sessions import REGIONS, add_session_range, to_cells, upsert_sessions, write_cells
 from ..sinks.tables import (
     BATCH,
     USER_CLOCK,
+    add_range,
+    add_user_counts,
+    batch_folder,
     batch_label,
     batch_slot,
     clear_batches,
@@ -31,6 +34,7 @@ from ..sinks.tables import (
     write_user_counts,
 )
 from ..sources import admission, lines as L
+from ..sources.lines import load_or_nothing
 from ..sources.sessions import days_between, read_store
 from . import report as R
 
@@ -47,12 +51,16 @@ class Tables:
         return f"{self.root}/{name}"
 
 
-def sessions_of(
-    lines: DataFrame, accounts: DataFrame, year: int | Column, keys: tuple[str, ...] = ("rowkey",)
+def distinct_with_account(
+    flows: DataFrame, accounts: DataFrame, keys: tuple[str, ...] = ("rowkey",)
 ) -> DataFrame:
     """Distinct sessions with row key and account; the account is joined after the duplicates go."""
-    distinct = C.distinct_sessions(parse.with_row_key(parse.flows(lines, year)), keys)
-    return with_account(distinct, accounts)
+    return with_account(C.distinct_sessions(parse.with_row_key(flows), keys), accounts)
+
+
+def sessions_of(lines: DataFrame, accounts: DataFrame, year: int | Column) -> DataFrame:
+    """``distinct_with_account`` of clean lines."""
+    return distinct_with_account(parse.flows(lines, year), accounts)
 
 
 def _counter_rows(raw: DataFrame, distinct: DataFrame, batch_slot: Column) -> DataFrame:
@@ -114,31 +122,30 @@ def run_batch(
     """
     spark, tables = lines.sparkSession, Tables(out)
     year = year or moment(batch_time)
-    cleaned = parse.clean_lines(lines)
     with settling(spark) as settled:
-        entries = R.slot_entries(parse.counted(cleaned, year), batch_time, event_time)
-        counts = settled(R.dimension_counts(entries))
+        entries = settled(parse.entries(parse.clean_lines(lines), year))
+        slots = R.slot_entries(parse.counted_of(entries), batch_time, event_time)
+        counts = settled(R.dimension_counts(slots))
         write_batch(R.assemble(counts, geo, accounts), tables.report, batch_time, number)
         users = R.user_counts(counts, accounts)
         write_user_counts(users, tables.user_counts, batch_time, number)
 
-        sessions = sessions_of(cleaned, accounts, year)
+        sessions = distinct_with_account(parse.flows_of(entries), accounts)
         upsert_sessions(sessions, tables.sessions, batch_time, regions, number)
         stored = stored_batch(spark, tables.sessions, batch_time, number)
         if as_cells:
             write_cells(to_cells(stored, regions), tables.cells, batch_time, number)
         make = slot_counters if event_time else batch_counters
         write_batch(make(counts, stored, batch_time), tables.counters, batch_time, number)
-    write_batch(parse.rejects(cleaned, year), tables.rejects, batch_time, number)
+        write_batch(parse.rejects_of(entries), tables.rejects, batch_time, number)
 
 
 def stored_batch(
     spark: SparkSession, path: str, batch_time: datetime, number: int | None = None
 ) -> DataFrame:
-    """Stored sessions of one batch; only the folders of its day are listed."""
-    covered = batch_time - timedelta(seconds=SLOT_SECONDS)
-    mine = F.col("batch") == batch_label(batch_time, number)
-    return read_store(spark, path, days_between(covered, covered)).where(mine).drop("dt", "batch")
+    """Stored sessions of one batch, from its folder alone."""
+    folder = f"{path}/{batch_folder(batch_time, number)}"
+    return load_or_nothing(spark.read.format("parquet").schema(FLOWS), folder, FLOWS)
 
 
 def run_minutes(
@@ -183,18 +190,20 @@ def run_backfill(
     inside = R.batched(parse.clean_lines(lines), start, end)
     for name in ("report", "sessions", "counters", "rejects"):
         clear_batches(spark, getattr(tables, name), start, end)
-    clear_batches(spark, tables.user_counts, start, end, USER_CLOCK)
+    clear_batches(spark, tables.user_counts, start, end, USER_CLOCK, "text")
     with settling(spark) as settled:
-        counts = settled(R.batched_counts(inside, year))
-        write_batch(R.assemble(counts, geo, accounts, R.BATCHED), tables.report, batch)
-        write_user_counts(R.user_counts(counts, accounts, R.BATCHED), tables.user_counts, batch)
-
-        sessions = sessions_of(inside, accounts, year, ("batch", "rowkey"))
-        upsert_batches(sessions, tables.sessions)
+        entries = settled(parse.entries(inside, year))
+        slots = R.slot_entries(parse.counted_of(entries), batch, event_time=True)
+        counts = settled(R.dimension_counts(slots, R.BATCHED))
+        add_range(R.assemble(counts, geo, accounts, R.BATCHED), tables.report, start, end)
+        add_user_counts(R.user_counts(counts, accounts, R.BATCHED), tables.user_counts, start, end)
+
+        sessions = distinct_with_account(parse.flows_of(entries), accounts, ("batch", "rowkey"))
+        add_session_range(sessions, tables.sessions, start, end)
         first, last = (batch_label(at) for at in (start, end))
         days = days_between(start - timedelta(seconds=SLOT_SECONDS), end)
         stored = read_store(spark, tables.sessions, days).where(batch.between(first, last))
         at = F.to_timestamp(batch, BATCH)
         timed = stored.withColumn("batch", F.timestamp_seconds(F.unix_timestamp(at) + SLOT_SECONDS))
-        write_batch(slot_counters(counts, timed, batch), tables.counters, batch)
-    write_batch(parse.rejects(inside, year), tables.rejects, batch)
+        add_range(slot_counters(counts, timed, batch), tables.counters, start, end)
+        add_range(parse.rejects_of(entries), tables.rejects, start, end)

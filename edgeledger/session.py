@@ -73,6 +73,13 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a pattern."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or []]
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Give a folder that this library made another place, where none may be; nothing if it isn't there."""
     paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]

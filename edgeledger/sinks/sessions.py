@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from ..session import settling
 from ..sources import days as D
 from ..sources.days import REGIONS
 from ..sources.sessions import STORE_COLUMNS, newest_batches
-from .tables import add_partitions, replace_batch, replace_folder, replace_partitions, with_batch
+from .tables import add_partitions, replace_batch, replace_folder, replace_partitions, with_range
 
 
 def by_region(sessions: DataFrame, regions: int = REGIONS) -> DataFrame:
@@ -38,15 +40,14 @@ def upsert_sessions(
     replace_batch(by_region(sessions.select(*STORE_COLUMNS), regions), path, batch_time, number)
 
 
-def upsert_batches(sessions: DataFrame, path: str) -> None:
-    """``upsert_sessions`` for many batches at once, by their ``batch`` time.
+def add_session_range(sessions: DataFrame, path: str, start: datetime, end: datetime) -> None:
+    """``upsert_sessions`` for the batches of a range, by their ``batch`` time, which have been cleared.
 
-    Rows of a batch go to as many tasks as their size asks for, instead of one file
-    per batch and key range.
+    A day's rows go to as many tasks as their size asks for.
     """
-    rows = with_batch(sessions.select("batch", *STORE_COLUMNS), F.col("batch"))
+    rows = with_range(sessions.select("batch", *STORE_COLUMNS), start, end)
     placed = rows.hint("rebalance", "dt", "batch").sortWithinPartitions("dt", "batch", "rowkey")
-    replace_partitions(placed, path, ["dt", "batch"])
+    add_partitions(placed, path, ["dt", "batch"])
 
 
 def compact_day(spark: SparkSession, path: str, target: str, dt: str) -> None:

@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import SLOT_SECONDS, minus_seconds, moment
-from ..session import move, remove
+from ..session import matching, move, remove
 
 BATCH = "yyyyMMddHHmm"
 DAY = "yyyyMMdd"
+#: Between the first and the last batch in the name of a folder that holds several.
+RANGE = "+"
 #: The folders of account counts have hour and minute as well.
 USER_CLOCK = "/hh=%H/mm=%M"
 
@@ -28,9 +30,9 @@ def replace_partitions(rows: DataFrame, path: str, keys: list[str], fmt: str = "
     writer.options(**options).partitionBy(*keys).format(fmt).save(path)
 
 
-def add_partitions(rows: DataFrame, path: str, keys: list[str]) -> None:
+def add_partitions(rows: DataFrame, path: str, keys: list[str], fmt: str = "parquet", **options) -> None:
     """Write ``rows`` beside what is in their partitions."""
-    rows.write.mode("append").partitionBy(*keys).parquet(path)
+    rows.write.mode("append").options(**options).partitionBy(*keys).format(fmt).save(path)
 
 
 def replace_folder(rows: DataFrame, path: str, folder: str, keys: list[str]) -> None:
@@ -68,45 +70,103 @@ def replace_batch(
     rows: DataFrame, path: str, batch_time, number: int | None = None, fmt: str = "parquet",
     clock: str = "",
 ) -> None:
-    """Write the folder of one batch anew; a run without rows leaves none of an earlier run."""
+    """Write the folder of one batch anew; a run without rows leaves none of an earlier run.
+
+    A range that an earlier run wrote, and that holds the batch, is written anew without it.
+    """
+    if number is None:
+        clear_ranges(rows.sparkSession, path, batch_time, fmt, clock)
     rows.write.mode("overwrite").format(fmt).save(f"{path}/{batch_folder(batch_time, number, clock)}")
 
 
+def clear_ranges(spark: SparkSession, path: str, batch_time: datetime, fmt: str, clock: str) -> None:
+    """Take one batch out of the ranges of its day."""
+    at = batch_time - timedelta(seconds=SLOT_SECONDS)
+    label, levels = f"{at:%Y%m%d%H%M}", "/*" * clock.count("/")
+    for folder in matching(spark, f"{path}/dt={at:%Y%m%d}{levels}/batch=*{RANGE}*"):
+        low, _, high = folder.rsplit("batch=", 1)[1].partition(RANGE)
+        if low <= label <= high:
+            _take_out(spark, folder, label, label, fmt)
+
+
 def write_batch(rows: DataFrame, path: str, batch_time, number: int | None = None) -> None:
-    """Replace a batch's report or counters, or those of many batches by a time column.
+    """Replace a batch's report, counters or rejects."""
+    replace_batch(rows.hint("rebalance"), path, batch_time, number)
+
+
+def range_folder(first: Column, last: Column) -> Column:
+    """Name of a folder that holds all batches from one to another; its rows have their batch in ``slot``."""
+    return F.concat(first, F.lit(RANGE), last)
+
 
-    Many batches are put in files by their size: a large one goes to several tasks.
+def with_range(rows: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    """Adds ``dt``, ``batch`` and ``slot`` to rows of the batches from ``start`` to ``end``, by their ``batch`` time.
+
+    Batches of one day share a folder, so that a range of a month is 31 folders and not 8,928.
     """
-    if isinstance(batch_time, Column):
-        dated = with_batch(rows, batch_time, number).hint("rebalance", "dt", "batch")
-        return replace_partitions(dated, path, ["dt", "batch"])
-    return replace_batch(rows.hint("rebalance"), path, batch_time, number)
+    first, last = (F.lit(f"{at - timedelta(seconds=SLOT_SECONDS):%Y%m%d%H%M}") for at in (start, end))
+    dated = with_batch(rows, F.col("batch")).withColumnRenamed("batch", "slot")
+    day = [F.concat("dt", F.lit(clock)) for clock in ("0000", "2355")]
+    return dated.withColumn("batch", range_folder(F.greatest(first, day[0]), F.least(last, day[1])))
+
+
+def add_range(rows: DataFrame, path: str, start: datetime, end: datetime) -> None:
+    """Write rows of the batches from ``start`` to ``end``, which have been cleared, by their ``batch`` time."""
+    add_partitions(with_range(rows, start, end).hint("rebalance", "dt", "batch"), path, ["dt", "batch"])
+
 
+def clear_batches(
+    spark: SparkSession, path: str, start: datetime, end: datetime, clock: str = "", fmt: str = "parquet"
+) -> None:
+    """Delete all batches from ``start`` to ``end`` inclusive that are there, in folders of their own or of ranges.
 
-def clear_batches(spark: SparkSession, path: str, start: datetime, end: datetime, clock: str = "") -> None:
-    """Delete the folders of all batches from ``start`` to ``end`` inclusive, 288 a day, if they are there."""
-    at = start
-    while at <= end:
-        remove(spark, f"{path}/{batch_folder(at, clock=clock)}")
-        at += timedelta(seconds=SLOT_SECONDS)
+    Days are listed once, and folders once for each day that is there. A day of which all goes is deleted as one
+    folder, and a range that goes only in part is written anew without it. Micro-batches, which have a number, stay.
+    """
+    first, last = (f"{at - timedelta(seconds=SLOT_SECONDS):%Y%m%d%H%M}" for at in (start, end))
+    levels = "/*" * clock.count("/")
+    for day in matching(spark, f"{path}/dt=*"):
+        if not first[:8] <= day.rsplit("=", 1)[1] <= last[:8]:
+            continue
+        folders = matching(spark, f"{day}{levels}/batch=*")
+        going = []
+        for folder in folders:
+            low, _, high = folder.rsplit("batch=", 1)[1].partition(RANGE)
+            high = high or low
+            if "-" not in low and first <= low and high <= last:
+                going.append(folder)
+            elif low <= last and first <= high and "-" not in low:
+                _take_out(spark, folder, first, last, fmt)
+        for folder in [day] if len(going) == len(folders) else going:
+            remove(spark, folder)
+
+
+def _take_out(spark: SparkSession, folder: str, first: str, last: str, fmt: str) -> None:
+    """Write the folder of a range anew without the batches from ``first`` to ``last``."""
+    slot = F.col("slot") if fmt == "parquet" else F.substring("value", 1, len(first))
+    aside = f"{folder.split('/dt=')[0]}/_aside-{uuid.uuid4().hex}"
+    spark.read.format(fmt).load(folder).where(~slot.between(first, last)).write.format(fmt).save(aside)
+    remove(spark, folder)
+    move(spark, aside, folder)
+
+
+def _tuples(users: DataFrame) -> Column:
+    return F.concat(F.lit("("), F.col("username"), F.lit(","), F.col("count"), F.lit(")")).alias("value")
 
 
 def write_user_counts(users: DataFrame, path: str, batch_time, number: int | None = None) -> None:
     """``(user,count)`` text lines under the day, hour and minute of the batch."""
-    line = F.concat(F.lit("("), F.col("username"), F.lit(","), F.col("count"), F.lit(")"))
-    if not isinstance(batch_time, Column):
-        lines = users.select(line.alias("value")).hint("rebalance")
-        return replace_batch(lines, path, batch_time, number, "text", USER_CLOCK)
-    at = batch_slot(batch_time)
-    rows = users.select(
-        line.alias("value"),
-        F.date_format(at, DAY).alias("dt"),
-        F.date_format(at, "HH").alias("hh"),
-        F.date_format(at, "mm").alias("mm"),
-        batch_label(batch_time, number).alias("batch"),
+    lines = users.select(_tuples(users)).hint("rebalance")
+    replace_batch(lines, path, batch_time, number, "text", USER_CLOCK)
+
+
+def add_user_counts(users: DataFrame, path: str, start: datetime, end: datetime) -> None:
+    """``write_user_counts`` for the batches of a range: each line begins with its batch."""
+    timed = with_range(users, start, end)
+    rows = timed.select(
+        F.concat("slot", F.lit(" "), _tuples(users)).alias("value"), "dt", F.lit("00").alias("hh"), F.lit("00").alias("mm"), "batch"
     )
-    keys = ["dt", "hh", "mm", "batch"]
-    return replace_partitions(rows.hint("rebalance", "dt", "batch"), path, keys, fmt="text")
+    add_partitions(rows.hint("rebalance", "dt", "batch"), path, ["dt", "hh", "mm", "batch"], "text")
 
 
 def write_day(rows: DataFrame, path: str, day, max_records: int = 500_000) -> None:

@@ -28,12 +28,12 @@ from ..schemas import FLOWS
 from .lines import load_or_nothing
 from .sessions import (
     PAGE,
-    STORED,
     Cursor,
     endpoint_keys,
     in_time,
     newest,
     page,
+    read_folders,
 )
 
 REGIONS = 20
@@ -53,7 +53,9 @@ FILE_LIST = T.StructType(
         T.StructField("dt", T.StringType()),
     ]
 )
-_KEY = [*FLOWS, T.StructField("batch", T.StringType()), T.StructField("dt", T.StringType())]
+#: A row's batch, and the folder of its day in the store that it came from.
+_KEY = [*FLOWS, *(T.StructField(c, T.StringType()) for c in ("batch", "folder", "dt"))]
+_ROWS = T.StructType(_KEY)
 BY_KEY = T.StructType([*_KEY, T.StructField("region", T.IntegerType())])
 BY_TIME = T.StructType([*_KEY, T.StructField("hour", T.StringType())])
 INDEX = T.StructType(
@@ -92,7 +94,7 @@ def folded_files(spark: SparkSession, folded: str, days: list[str] | None = None
 
 @dataclass(frozen=True)
 class Day:
-    """How a day stands: its batches that are new in the store, changed there, and gone from it, since it was folded."""
+    """How a day stands: its folders of batches that are new in the store, changed there, and gone, since it was folded."""
 
     dt: str
     folded: bool
@@ -143,14 +145,13 @@ class Days:
         whole = [f"dt={d.dt}" for d in self.state if not d.folded or d.changed]
         parts = [f"dt={d.dt}/batch={b}" for d in self.state if d.folded and not d.changed for b in d.added]
         if not whole + parts:
-            return self.spark.createDataFrame([], STORED)
-        reader = self.spark.read.format("parquet").schema(STORED).option("basePath", self.store)
-        return load_or_nothing(reader, f"{self.store}/{{{','.join(whole + parts)}}}", STORED)
+            return self.spark.createDataFrame([], _ROWS)
+        return read_folders(self.spark, self.store, f"{self.store}/{{{','.join(whole + parts)}}}")
 
     def _valid(self) -> Column:
         """Which folded rows hold."""
         whole = [d.dt for d in self.state if d.folded and not d.changed]
-        parts = [(F.col("dt") == d.dt) & F.col("batch").isin(*d.gone) for d in self.state if d.folded and d.changed and d.gone]
+        parts = [(F.col("dt") == d.dt) & F.col("folder").isin(*d.gone) for d in self.state if d.folded and d.changed and d.gone]
         return _either(([F.col("dt").isin(*whole)] if whole else []) + parts)
 
     def _layout(self, folder: str, schema: T.StructType) -> DataFrame:
@@ -214,7 +215,7 @@ class Days:
     def _rows_of(self, keys: list[tuple[str, str]]) -> DataFrame:
         """Rows of known days and keys, from the days and key ranges that hold them."""
         if not keys:
-            return self.spark.createDataFrame([], STORED)
+            return self.spark.createDataFrame([], _ROWS)
         days = {dt for dt, _ in keys}
         some = Days(self.spark, self.store, self.folded, [d for d in self.state if d.dt in days])
         by_region: dict[int, list[str]] = {}

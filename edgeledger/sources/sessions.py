@@ -26,6 +26,8 @@ KEY_COLUMNS = {"rowkey", "convertedIp", "convertedPort", "accesstime"}
 STORED = T.StructType(
     [*FLOWS, T.StructField("dt", T.StringType()), T.StructField("batch", T.StringType())]
 )
+#: The files of the store; rows of a folder that holds a range of batches have their own batch in ``slot``.
+STORE_FILES = T.StructType([*FLOWS, T.StructField("slot", T.StringType()), *STORED[-2:]])
 
 
 @dataclass(frozen=True)
@@ -38,9 +40,15 @@ class Cursor:
 
 def read_store(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
     """Stored rows with ``dt`` and ``batch``; with ``days`` only their folders are listed."""
-    reader = spark.read.format("parquet").schema(STORED).option("basePath", path)
-    folders = path if days is None else f"{path}/dt={{{','.join(days)}}}"
-    return load_or_nothing(reader, folders, STORED)
+    return read_folders(spark, path, path if days is None else f"{path}/dt={{{','.join(days)}}}").drop("folder")
+
+
+def read_folders(spark: SparkSession, path: str, folders: str) -> DataFrame:
+    """Stored rows below some folders, with ``dt``, their ``batch``, and the ``folder`` of a day they are in."""
+    reader = spark.read.format("parquet").schema(STORE_FILES).option("basePath", path)
+    rows = load_or_nothing(reader, folders, STORE_FILES)
+    batch = F.coalesce("slot", "batch")
+    return rows.select(*STORE_COLUMNS, "dt", batch.alias("batch"), F.col("batch").alias("folder"))
 
 
 def days_between(first: datetime, last: datetime) -> list[str]:
@@ -50,11 +58,11 @@ def days_between(first: datetime, last: datetime) -> list[str]:
 
 
 def newest_batches(stored: DataFrame) -> DataFrame:
-    """One row per day and row key, that of the newest batch, with its ``batch``."""
+    """One row per day and row key, that of the newest batch, with its ``batch`` and, if there is one, ``folder``."""
     others = [c for c in STORE_COLUMNS if c != "rowkey"]
-    row = F.struct("batch", *others)
-    latest = stored.groupBy("dt", "rowkey").agg(F.max(row).alias("_row"))
-    return latest.select("dt", "_row.batch", *[f"_row.{c}" if c != "rowkey" else c for c in STORE_COLUMNS])
+    places = [c for c in ("batch", "folder") if c in stored.columns]
+    latest = stored.groupBy("dt", "rowkey").agg(F.max(F.struct("batch", *others, *places[1:])).alias("_row"))
+    return latest.select("dt", *[f"_row.{c}" for c in places], *[f"_row.{c}" if c != "rowkey" else c for c in STORE_COLUMNS])
 
 
 def newest(stored: DataFrame) -> DataFrame:
@@ -62,7 +70,7 @@ def newest(stored: DataFrame) -> DataFrame:
 
     Filters on ``dt`` or ``rowkey`` reach the files; put others on the result.
     """
-    return newest_batches(stored).drop("batch")
+    return newest_batches(stored).drop("batch", "folder")
 
 
 def in_time(start, end) -> Column:

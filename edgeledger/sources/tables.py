@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from ..schemas import LINES
 from .lines import load_or_nothing
 
-TUPLE = r"^\((.*),(-?\d+)\)$"
+#: A count of an account; where a file holds several batches, their labels come first.
+TUPLE = r"^(?:[0-9]{12} )?\((.*),(-?\d+)\)$"
 
 
 def read_table(spark: SparkSession, fmt: str = "parquet", **options) -> DataFrame:
@@ -18,10 +19,11 @@ def read_table(spark: SparkSession, fmt: str = "parquet", **options) -> DataFram
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table of batches with ``dt`` and ``batch``; filters on these reach the listing."""
-    labels = [T.StructField(name, T.StringType()) for name in ("dt", "batch")]
+    """A table of batches with ``dt`` and ``batch``; filters on ``dt`` reach the listing."""
+    labels = [T.StructField(name, T.StringType()) for name in ("slot", "dt", "batch")]
     stored = T.StructType([*schema, *labels])
-    return load_or_nothing(spark.read.format("parquet").schema(stored), path, stored)
+    rows = load_or_nothing(spark.read.format("parquet").schema(stored), path, stored)
+    return rows.withColumn("batch", F.coalesce("slot", "batch")).drop("slot")
 
 
 def key_predicates(key: str, parts: int = 100) -> list[str]:

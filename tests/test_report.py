@@ -1,19 +1,20 @@
 """Plans of the report, and its forms against each other."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.bindings import YEAR, frame
 from checks.queries import BATCH, geo, lines, radius
 from edgeledger.operators import parse
 from edgeledger.plans import daily, jobs
 from edgeledger.plans import report as R
-from edgeledger.schemas import REPORT
+from edgeledger.schemas import COUNTERS, FLOWS, REPORT
 from edgeledger.sources import lines as L
 from edgeledger.sources.sessions import read_store, trace_endpoint, trace_time
-from edgeledger.sources.tables import read_user_counts
+from edgeledger.sources.tables import read_batches, read_user_counts
 
 from conftest import executed_plan
 
@@ -117,7 +118,7 @@ def test_delayed_job_carries_its_backlog(spark, rows, tmp_path):
 
 def test_backfill_job_equals_single_batches(spark, rows, tmp_path):
     arrived = frame(spark, SF, "lines").select(F.col("ts").alias("arrival"), "value")
-    start, end = datetime(2024, 1, 2, 0, 5), datetime(2024, 1, 2, 6, 0)
+    start, end = datetime(2024, 1, 2, 0, 5), datetime(2024, 1, 2, 3, 0)
     whole, single = str(tmp_path / "whole"), str(tmp_path / "single")
     for _ in range(2):
         jobs.run_backfill(arrived, geo(spark, SF), radius(spark, SF), start, end, whole, YEAR)
@@ -129,18 +130,68 @@ def test_backfill_job_equals_single_batches(spark, rows, tmp_path):
         jobs.run_batch(
             lines_of, geo(spark, SF), radius(spark, SF), at, single, YEAR, event_time=True
         )
-    for name in ("report", "counters", "sessions"):
-        one, many = (
-            spark.read.parquet(getattr(jobs.Tables(root), name)) for root in (single, whole)
-        )
-        assert rows(many.select(*one.columns)) == rows(one), name
-    one, many = (
-        read_user_counts(spark, f"{jobs.Tables(root).user_counts}/*/*/*/*")
-        for root in (single, whole)
-    )
+    same_tables(spark, rows, single, whole)
+
+    # One of the batches again, now without lines, and the rest of the range as it was.
+    none = inside.limit(0).select("value")
+    for out in (single, whole):
+        jobs.run_batch(none, geo(spark, SF), radius(spark, SF), batches[1], out, YEAR, event_time=True)
+    same_tables(spark, rows, single, whole)
+    left = read_batches(spark, jobs.Tables(whole).report, REPORT).select("batch").distinct().count()
+    assert left == len(batches) - 1
+
+    # A range that takes the first half of the one before.
+    middle = start + (end - start) / 2
+    jobs.run_backfill(arrived.limit(0), geo(spark, SF), radius(spark, SF), start, middle, whole, YEAR)
+    later = sum(at > middle for at in batches if at != batches[1])
+    for name, schema in (("report", REPORT), ("sessions", FLOWS)):
+        kept = read_batches(spark, getattr(jobs.Tables(whole), name), schema)
+        assert kept.select("batch").distinct().count() == later, name
+
+
+def same_tables(spark, rows, single, whole):
+    for name, schema in (("report", REPORT), ("counters", COUNTERS), ("sessions", FLOWS)):
+        one, many = (read_batches(spark, getattr(jobs.Tables(root), name), schema) for root in (single, whole))
+        assert rows(many) == rows(one), name
+    one, many = (read_user_counts(spark, f"{jobs.Tables(root).user_counts}/*/*/*/*") for root in (single, whole))
     assert rows(many) == rows(one)
 
 
+def test_calls_of_a_backfill_grow_with_days(spark, tmp_path, monkeypatch):
+    """Clearing lists and deletes days, not batches, whatever was written there."""
+    from edgeledger.sinks import tables as sink
+
+    calls = []
+    for name in ("matching", "remove", "move"):
+        whole = getattr(sink, name)
+        monkeypatch.setattr(sink, name, lambda *a, whole=whole: calls.append(a) or whole(*a))
+    start, path = datetime(2024, 1, 1), str(tmp_path / "t")
+    batches = spark.range(0, 288 * 6).selectExpr("timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,5*id) batch", "id")
+    for days in (2, 6):
+        end = start + timedelta(days=days) - timedelta(minutes=5)
+        sink.add_range(batches.where(F.col("batch") <= F.lit(end)), path, start, end)
+        calls.clear()
+        sink.clear_batches(spark, path, start, end)
+        assert len(calls) <= 2 * (days + 1) + 1
+        assert spark.createDataFrame([], "a int").count() == 0 and not list((tmp_path / "t").glob("dt=*"))
+
+
+def test_a_cleared_range_leaves_its_neighbours(spark, rows, tmp_path):
+    from edgeledger.sinks import tables as sink
+
+    start, path = datetime(2024, 1, 1, 0, 5), str(tmp_path / "t")
+    batches = spark.range(0, 600).selectExpr("timestamp'2024-01-01 00:05:00' + make_interval(0,0,0,0,0,5*id) batch", "id")
+    sink.add_range(batches, path, start, start + timedelta(minutes=5 * 599))
+    one = spark.createDataFrame([(-1,)], "id long")
+    sink.write_batch(one, path, start + timedelta(minutes=50))
+    sink.write_batch(one, path, start + timedelta(minutes=55), number=3)
+    sink.clear_batches(spark, path, start + timedelta(minutes=100), start + timedelta(minutes=5 * 500))
+    got = rows(read_batches(spark, path, T.StructType([T.StructField("id", T.LongType())])), "id", "batch")
+    label = lambda k: f"{start - timedelta(minutes=5) + timedelta(minutes=5 * k):%Y%m%d%H%M}"
+    wanted = [(k, label(k)) for k in [*range(20), *range(501, 600)] if k != 10] + [(-1, label(10)), (-1, label(11) + "-000000003")]
+    assert got == sorted(wanted, key=repr)
+
+
 def test_second_run_replaces_the_first(spark, rows, tmp_path):
     """With fewer lines, and with none, all tables are those of the second run alone."""
     line = "Msg: 2024-01-10 00:0{}:00 fw n=1,p=TCP,s=30.128.0.{},d=101.0.7.9,sp=1,dp=2,n=9.9.9.9,np={}"
@@ -161,7 +212,7 @@ def test_second_run_replaces_the_first(spark, rows, tmp_path):
 
 def test_second_backfill_empties_batches(spark, tmp_path):
     arrived = frame(spark, SF, "lines").select(F.col("ts").alias("arrival"), "value")
-    start, end, out = datetime(2024, 1, 2, 0, 5), datetime(2024, 1, 2, 6, 0), str(tmp_path / "out")
+    start, end, out = datetime(2024, 1, 2, 0, 5), datetime(2024, 1, 2, 3, 0), str(tmp_path / "out")
     for rows_ in (arrived, arrived.limit(0)):
         jobs.run_backfill(rows_, geo(spark, SF), radius(spark, SF), start, end, out, YEAR)
     tables = jobs.Tables(out)
@@ -169,6 +220,22 @@ def test_second_backfill_empties_batches(spark, tmp_path):
     assert read_store(spark, tables.sessions).count() == 0
 
 
+def test_a_job_reads_its_lines_once(spark, tmp_path):
+    """Lines give other rows each time they are read; all tables agree only if they come from one reading."""
+    text = "Msg: 2024-01-10 00:01:00 fw n=1,p=TCP,s=30.128.0.1,d=101.0.7.9,sp=1,dp=2,n=9.9.9.9,np="
+    drawn = spark.range(4000).select(F.concat(F.lit(text), F.col("id"), F.lit("-"), F.expr("uuid()")).alias("value"))
+    lines_ = drawn.where(F.expr("rand() < 0.5 or value is null"))
+    out = str(tmp_path / "out")
+    jobs.run_batch(lines_, geo(spark, SF), radius(spark, SF), BATCH, out, YEAR, as_cells=True)
+    tables = jobs.Tables(out)
+    found = {r.count_5min for r in spark.read.parquet(tables.counters).collect()}
+    stored = spark.read.parquet(tables.sessions).count()
+    assert found == {stored} and 1000 < stored < 3000
+    report = spark.read.parquet(tables.report).where("types in ('targetIp', 'sourceIp', 'province')")
+    assert [r["count"] for r in report.collect()] == [stored] * 3
+    assert spark.read.parquet(tables.cells).count() == 9 * stored
+
+
 def test_lines_of_december_in_a_batch_of_january(spark, rows, tmp_path):
     text = "Msg: Dec 31 23:56:00 1(r) 2 T@F: NAT: 1.1.1.1:1->101.0.7.9:2(UDP), snat to 9.9.9.9:3, vr x"
     lines_ = spark.createDataFrame([(text,)], "value string")
