@@ -439,6 +439,9 @@ from detail order by n desc, "targetIp" limit 500""",
 from events where ts >= timestamp '2024-01-11' or event_type <> 'error' group by 1""",
     "stream_dedup": f"""with {EV}, {COARSE}
 select distinct rowkey, accesstime, "convertedIp", "convertedPort" from coarse""",
+    "stream_quota": f"""with {EV}, {SES}
+select protocol as name, count(*)::bigint as "count" from ses group by 1
+union all select * from (values ('split', 1::bigint), ('carried', 1), ('files', 6), ('bytes_left', 0)) v""",
     # jobs
     "batch_job": f"""{_report(SLOT)},
 {COUNTERS.format(inner=f"select {SLOT} update_time, count(*) raw, count(distinct rowkey) uniq from ses", slot=SLOT)}

@@ -682,6 +682,26 @@ def stream_dedup(spark, sf):
     return table.select("rowkey", "accesstime", "convertedIp", "convertedPort")
 
 
+@query
+def stream_quota(spark, sf):
+    """Six files within a quota of a third of their bytes: all sessions come, in several micro-batches."""
+    root, out = scratch_path(spark, "quota"), scratch_path(spark, "split")
+    raw_lines(spark, sf).repartition(6).write.text(f"{root}/20240110/00/05")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
+    third = files.agg(F.sum("length")).first()[0] // 3
+    arriving = L.stream_lines(spark, f"{root}/*/*/*", maxBytesPerTrigger=third)
+    sessions = parse.flows(parse.clean_lines(arriving), YEAR)
+    _finish(streams.write_stream(sessions, f"{out}/table", f"{out}/checkpoint", trigger=streams.ONCE))
+    carried = streams.carry_over(files, streams.taken_files(spark, f"{out}/checkpoint"))
+    ends = carried.agg(
+        (F.count("*") >= 3).cast("long").alias("split"), (F.max("files_left") > F.min("files_left")).cast("long").alias("carried"),
+        F.sum("files").alias("files"), F.min("bytes_left").alias("bytes_left"),
+    )
+    stored = spark.read.parquet(f"{out}/table")
+    counted = C.count_by(stored, "protocol").withColumnRenamed("protocol", "name")
+    return counted.unionByName(ends.unpivot([], ends.columns, "name", "count"))
+
+
 # Jobs
 
 

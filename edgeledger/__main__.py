@@ -53,7 +53,7 @@ def delayed(spark, args) -> None:
     settings = L.load_or_nothing(parquet.schema(SETTINGS), args.settings, SETTINGS)
     left = jobs.run_delayed(
         spark, L.day_folders(args.root, args.time), backlog, settings, *dimensions(spark, args),
-        args.time, args.out, year=args.year,
+        args.time, args.out, args.max_files, year=args.year,
     )
     left.write.mode("overwrite").parquet(args.new_backlog)
 
@@ -145,6 +145,8 @@ def parser() -> argparse.ArgumentParser:
         if job is minutes:
             sub.add_argument("--event-time", action="store_true")
             sub.add_argument("--cells", action="store_true")
+        if job is delayed:
+            sub.add_argument("--max-files", type=int, help="files of a batch beside the quota of size; others wait")
         if job is stream:
             sub.add_argument("--once", action="store_true", help="read what is there and end")
             sub.add_argument("--max-bytes", default=str(40 << 30), help="input quota of a batch")

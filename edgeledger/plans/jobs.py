@@ -159,7 +159,7 @@ def run_minutes(
 
 def run_delayed(
     spark: SparkSession, days: str, backlog: DataFrame, settings: DataFrame, geo: DataFrame,
-    accounts: DataFrame, batch_time: datetime, out: str, **options,
+    accounts: DataFrame, batch_time: datetime, out: str, max_files: int | None = None, **options,
 ) -> DataFrame:
     """Event-time job over the files changed in the last five minutes, within the quota.
 
@@ -168,7 +168,7 @@ def run_delayed(
     are gone are written to the table ``vanished``.
     """
     files, gone = L.manifest(spark, days, backlog, batch_time)
-    chosen = settle(admission.admit(files, admission.quota(settings)))
+    chosen = settle(admission.admit(files, admission.quota(settings), max_files=max_files))
     write_batch(gone, Tables(out).vanished, batch_time)
     lines = L.read_paths(spark, admission.admitted_paths(chosen))
     run_batch(lines, geo, accounts, batch_time, out, event_time=True, **options)

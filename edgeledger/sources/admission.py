@@ -9,9 +9,6 @@ from ..functions.times import whole
 from ..session import settle
 
 DEFAULT_QUOTA_GB = 40
-#: Files of one batch, whose paths the driver lists. More stay in the backlog: sizes are whole
-#: megabytes, so the quota alone would let in any number of small files.
-MAX_FILES = 100_000
 
 
 def quota(settings: DataFrame, default: int = DEFAULT_QUOTA_GB) -> DataFrame:
@@ -54,23 +51,26 @@ def sums_before(
 
 
 def admit(
-    manifest: DataFrame, limit: DataFrame, slices: int | None = None, max_files: int = MAX_FILES
+    manifest: DataFrame, limit: DataFrame, slices: int | None = None, max_files: int | None = None
 ) -> DataFrame:
     """Adds ``admitted``: backlog files first, then new ones, each in path order.
 
     A file is admitted while the whole GB of those before it are not above the
-    limit, and they are fewer than ``max_files``. Sums only stop growing at the first
+    limit and, if ``max_files`` is given, they are fewer than that: sizes are whole megabytes,
+    so the quota alone lets in any number of small files, whose paths the driver lists. Sums only stop growing at the first
     refusal, so the rule is the same for all files before it as for those admitted.
     """
     order = [F.desc("backlog"), F.asc("path")]
     values = {"_before": F.col("size_mb"), "_files": F.lit(1)}
     summed = sums_before(manifest, order, values, slices)
-    limited = (whole(F.col("_before"), 1024) <= limit.scalar()) & (F.col("_files") < max_files)
-    return summed.withColumn("admitted", limited).drop("_before", "_files")
+    admitted = whole(F.col("_before"), 1024) <= limit.scalar()
+    if max_files is not None:
+        admitted = admitted & (F.col("_files") < max_files)
+    return summed.withColumn("admitted", admitted).drop("_before", "_files")
 
 
 def admitted_paths(files: DataFrame) -> list[str]:
-    """Paths to read, ``MAX_FILES`` at most, on the driver, which lists the files of a scan in any case."""
+    """Paths to read, on the driver, which lists the files of a scan in any case."""
     return [row.path for row in files.where("admitted").select("path").toLocalIterator()]
 
 

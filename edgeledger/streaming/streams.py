@@ -15,6 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.jobs import run_batch
 from ..sinks.tables import replace_partitions
+from ..sources.admission import sums_before
+from ..sources.lines import plain_path
 
 WATERMARK = "3 hours"
 SLOT = "5 minutes"
@@ -61,6 +63,33 @@ def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return table.groupBy(*keys).agg(F.max_by("count", "micro").alias("count"))
 
 
+def taken_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``(path, micro)``: which micro-batch took each file, from the file source's log in a checkpoint."""
+    logged = spark.read.text(f"{checkpoint}/sources/0").where(F.col("value").startswith("{"))
+    entry = F.from_json("value", "path string, batchId long")
+    # Older entries are repeated where Spark has put its log files together.
+    return logged.select(entry.alias("e")).groupBy("e.path").agg(F.min("e.batchId").alias("micro"))
+
+
+def carry_over(files: DataFrame, taken: DataFrame) -> DataFrame:
+    """``micro, files, bytes, files_left, bytes_left``: what each micro-batch took of ``files`` (``path, length``), and left.
+
+    A file that came after a micro-batch counts as left by it.
+    """
+    sized = files.select(plain_path(F.col("path")).alias("path"), "length").join(
+        taken.select(plain_path(F.col("path")).alias("path"), "micro"), "path", "left"
+    )
+    per = sized.where("micro is not null").groupBy("micro").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    own = {"_files": F.col("files"), "_bytes": F.col("bytes")}
+    summed = sums_before(per, [F.asc("micro")], own)
+    total = lambda c: files.agg(c).scalar()
+    return summed.select(
+        "micro", "files", "bytes",
+        (total(F.count("*")) - F.col("_files") - F.col("files")).alias("files_left"),
+        (total(F.sum("length")) - F.col("_bytes") - F.col("bytes")).alias("bytes_left"),
+    )
+
+
 def report_stream(
     lines: DataFrame,
     load_dimensions: Callable[[], tuple[DataFrame, DataFrame]],
