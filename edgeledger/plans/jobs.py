@@ -170,7 +170,7 @@ def run_delayed(
     files, gone = L.manifest(spark, days, backlog, batch_time)
     chosen = settle(admission.admit(files, admission.quota(settings), max_files=max_files))
     write_batch(gone, Tables(out).vanished, batch_time)
-    lines = L.read_paths(spark, admission.admitted_paths(chosen))
+    lines = L.read_cover(spark, *admission.admitted_cover(chosen), batch_time)
     run_batch(lines, geo, accounts, batch_time, out, event_time=True, **options)
     return admission.backlog(chosen)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import whole
 from ..session import settle
+from .lines import folder_of
 
 DEFAULT_QUOTA_GB = 40
 
@@ -57,7 +58,7 @@ def admit(
 
     A file is admitted while the whole GB of those before it are not above the
     limit and, if ``max_files`` is given, they are fewer than that: sizes are whole megabytes,
-    so the quota alone lets in any number of small files, whose paths the driver lists. Sums only stop growing at the first
+    so the quota alone lets in any number of small files. Sums only stop growing at the first
     refusal, so the rule is the same for all files before it as for those admitted.
     """
     order = [F.desc("backlog"), F.asc("path")]
@@ -74,6 +75,19 @@ def admitted_paths(files: DataFrame) -> list[str]:
     return [row.path for row in files.where("admitted").select("path").toLocalIterator()]
 
 
+def admitted_cover(files: DataFrame) -> tuple[list[str], list[str]]:
+    """What to read, on the driver: folders of which all files are admitted, and the admitted files of other folders.
+
+    ``files`` has ``outside``, as ``lines.manifest`` gives it. The quota cuts one folder, and a backlog few, so
+    the lists grow with folders and not with files.
+    """
+    placed = files.withColumn("_folder", folder_of(F.col("path")))
+    all_in = F.min(F.col("admitted") & (F.col("outside") == 0))
+    whole_ones = placed.groupBy("_folder").agg(all_in.alias("_whole")).where("_whole").select("_folder")
+    single = placed.where("admitted").join(whole_ones, "_folder", "left_anti").select("path")
+    return [row[0] for row in whole_ones.toLocalIterator()], [row[0] for row in single.toLocalIterator()]
+
+
 def backlog(files: DataFrame) -> DataFrame:
     """The refused files, as backlog of the next batch."""
-    return files.where("not admitted").drop("admitted").withColumn("backlog", F.lit(True))
+    return files.where("not admitted").drop("admitted", "outside").withColumn("backlog", F.lit(True))

@@ -137,7 +137,8 @@ def manifest(
     """Files of a batch, one row for each path, and the backlog paths that are gone.
 
     Files below ``days`` that changed in the time before the batch are new. Backlog files
-    are looked up where they were; one that is there stands with its present size.
+    are looked up where they were; one that is there stands with its present size. ``outside``
+    is how many files of the same folder aren't of the batch, or changed after it.
     """
     kept = backlog.select(plain_path(F.col("path")).alias("_plain")).distinct()
     folder = F.regexp_replace(plain_path(F.col("path")), "/[^/]*$", "")
@@ -154,4 +155,19 @@ def manifest(
     marked = marked.withColumn("backlog", F.coalesce("backlog", F.lit(False)))
     new = (F.col("mtime") >= minus_seconds(moment(batch_time), seconds)) & (F.col("mtime") < moment(batch_time))
     gone = kept.join(there, "_plain", "left_anti").select(F.col("_plain").alias("path"))
-    return marked.where(F.col("backlog") | new).drop("_plain"), gone
+    placed = marked.withColumns({"_mine": F.col("backlog") | new, "_folder": folder_of(F.col("_plain"))})
+    other = ~F.col("_mine") | (F.col("mtime") >= moment(batch_time))
+    around = placed.groupBy("_folder").agg(F.sum(other.cast("long")).alias("outside"))
+    return placed.where("_mine").join(around, "_folder").drop("_plain", "_mine", "_folder"), gone
+
+
+def folder_of(path):
+    return F.regexp_replace(path, "/[^/]*$", "")
+
+
+def read_cover(spark: SparkSession, folders: list[str], files: list[str], end: datetime) -> DataFrame:
+    """Lines of whole folders, but for files that came from ``end`` on, and of single files."""
+    whole = read_paths(spark, folders)
+    if folders:
+        whole = whole.where(F.col("_metadata.file_modification_time") < moment(end)).select("value")
+    return whole.union(read_paths(spark, files)) if files else whole

@@ -5,6 +5,7 @@ import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from edgeledger.sources import admission, tables
 from edgeledger.sources import lines as L
@@ -159,6 +160,36 @@ def L_path(path):
     return path.removeprefix("file:").replace("///", "/")
 
 
+def test_whole_folders_are_read_as_one(spark, rows, tmp_path):
+    """Folders that the quota takes whole, one that it cuts, one with a file of another time, and a later file."""
+    batch = datetime(2024, 1, 2, 0, 10)
+
+    def old(folder, name, at=datetime(2024, 1, 2, 0, 7), size=0):
+        path = put(tmp_path / "20240102" / folder, name, f"{folder}/{name}" + "x" * size)
+        os.utime(path, (at.replace(tzinfo=UTC).timestamp(),) * 2)
+        return str(path)
+
+    for folder in ("a", "b", "cut", "mixed"):
+        for k in range(20):
+            old(folder, f"f{k:02d}")
+    old("mixed", "early", datetime(2024, 1, 2, 0, 1))
+    none = spark.createDataFrame([], BACKLOG)
+    files, _ = L.manifest(spark, L.day_folders(str(tmp_path), batch), none, batch)
+    assert {(r.path.split("/")[-2], r.outside) for r in files.collect()} == {("a", 0), ("b", 0), ("cut", 0), ("mixed", 1)}
+    limits = spark.createDataFrame([(1,)], "limit_gb long")
+    sized = files.withColumn("size_mb", F.lit(60).cast("long"))  # 35 files and one more are two GB
+    chosen = admission.admit(sized, limits)
+    folders, single = admission.admitted_cover(chosen)
+    assert sorted(f.split("/")[-1] for f in folders) == ["a"]
+    assert sorted(set(f.split("/")[-2] for f in single)) == ["b"] and len(single) == 15
+    folders, single = admission.admitted_cover(chosen.withColumn("admitted", F.lit(True)))
+    assert sorted(f.split("/")[-1] for f in folders) == ["a", "b", "cut"] and len(single) == 20
+    old("a", "late", datetime(2024, 1, 2, 0, 11))
+    wanted = sorted((f"{d}/f{k:02d}",) for d in ("a", "b", "cut", "mixed") for k in range(20))
+    assert rows(L.read_cover(spark, folders, single, batch)) == wanted
+    assert L.read_cover(spark, [], [], batch).count() == 0
+
+
 def test_number_of_files_is_bounded(spark):
     files = [(f"/f{i:04d}", 0, i % 7 == 0) for i in range(100)]
     frame = spark.createDataFrame(files, "path string, size_mb long, backlog boolean")
