@@ -19,6 +19,9 @@ SETTINGS = {
     # as estimated from its files, is under the stock threshold or, as measured
     # during the run, under this one.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+    # Plans are built from many small expressions, and each would ask the JVM several
+    # times for the Python line that it comes from, to name it in error messages.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Three hours of row keys need not fit in memory, and only changes are saved.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
