@@ -47,6 +47,22 @@ def test_jobs(spark, rows, tmp_path, capsys):
         shown = capsys.readouterr().out
         assert "30.128.0.3" in shown and "30.128.0.2" not in shown
 
+    folded = ["trace", "--store", f"{out}/sessions", "--compacted", f"{out}/session_days"]
+    for query in (["--endpoint", "9.9.9.9:3"], ["--where", "sourceIp=30.128.0.3"], ["--where", "targetPort=2", "-n", "9"],
+                  ["--where", "endpoints=101.0.7.9,2,9.9.9.9,3"], ["--start", "2024-01-10T00:03", "--end", "2024-01-10T00:04"]):
+        main([*folded, *query], spark)
+        shown = capsys.readouterr().out
+        assert "30.128.0.3" in shown and ("30.128.0.2" in shown) == ("targetPort=2" in query)
+    seen, after = [], []
+    while True:
+        main([*folded, "--start", "2024-01-10T00:00", "--end", "2024-01-11T00:00", "-n", "2", *after], spark)
+        shown = capsys.readouterr().out
+        seen += [k for k in range(5) if f"30.128.0.{k}" in shown]
+        if "go on with" not in shown:
+            break
+        after = shown.split("go on with ")[1].split()
+    assert sorted(seen) == list(range(5))
+
     # Files by change time: all of them changed within the last slots.
     start = datetime.now() - timedelta(hours=1)
     filled = str(tmp_path / "filled")
