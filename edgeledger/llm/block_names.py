@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from edgeledger.llm.common import documents, land, let, lower_ascii, numbered, slim
+from edgeledger.llm.common import documents, land, let, lower_ascii, numbered, passing, slim
 
 BLOCK_BYTES = 4096
 
@@ -119,7 +119,9 @@ def exact_groups(docs: DataFrame, size: int = BLOCK_BYTES, bits: int = 64) -> Da
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns as they are, whatever these are called."""
     stored, row = numbered(docs, "documents")
-    kept = exact_groups(slim(stored, row)).where("kept").select(F.col("row").alias(row))
+    with passing(docs.sparkSession):
+        kept = exact_groups(slim(stored, row)).where("kept").select(F.col("row").alias(row))
+        kept = land(kept, "kept", stays=True)
     return stored.join(kept, row, "left_semi").drop(row)
 
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 import string
 import sys
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,16 +34,81 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def land_for(df: DataFrame, name: str, readers: int) -> list[DataFrame]:
-    """``df`` written once to the shared folder, and so many reads of it that can be joined with each other."""
+class _Landed(threading.local):
+    """The folders that this thread has landed: those of no scope, then those of each open scope, and those of stages."""
+
+    def __init__(self):
+        self.scopes, self.held = [[]], []
+
+
+_landed = _Landed()
+
+
+def _delete(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, what was landed inside; only tables landed with ``stays`` go to the scope around.
+
+    What leaves the scope must not read a deleted table any more, so it is landed itself.
+    """
+    _landed.scopes.append([])
+    try:
+        yield
+    finally:
+        _delete(spark, _landed.scopes.pop())
+
+
+def _folders_read(df: DataFrame) -> set[str]:
+    """The names of the folders that ``df`` reads, from its plan: no files are listed."""
+    leaves, names = df._jdf.queryExecution().analyzed().collectLeaves(), set()
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                names.update(relation.location().rootPaths().mkString("\n").split("\n"))
+    return {name.rstrip("/").rsplit("/", 1)[-1] for name in names}
+
+
+@contextmanager
+def stage(spark: SparkSession, docs: DataFrame) -> Iterator[None]:
+    """One stage of a chain whose results are stored: what it lands is deleted when a later stage of this thread begins.
+
+    A result is lazy, so what it reads has to last until it is stored. Folders that ``docs`` reads stay.
+    """
+    read = _folders_read(docs)
+    gone = [folder for folder in _landed.held if folder.rsplit("/", 1)[-1] not in read]
+    _landed.held = [folder for folder in _landed.held if folder not in gone]
+    _delete(spark, gone)
+    _landed.scopes.append([])
+    try:
+        yield
+    finally:
+        _landed.held += _landed.scopes.pop()
+
+
+def land_at(df: DataFrame, name: str, stays: bool = False) -> str:
+    """The folder in the shared folder to which ``df`` was written."""
     path = f"{shared_root(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
+    _landed.scopes[max(0, len(_landed.scopes) - 2) if stays else -1].append(path)
     df.write.option("compression", "zstd").parquet(path)
+    return path
+
+
+def land_for(df: DataFrame, name: str, readers: int, stays: bool = False) -> list[DataFrame]:
+    """``df`` written once to the shared folder, and so many reads of it that can be joined with each other."""
+    path = land_at(df, name, stays)
     return [df.sparkSession.read.schema(df.schema).parquet(path) for _ in range(readers)]
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
+def land(df: DataFrame, name: str, stays: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and read from there, so that its lineage ends."""
-    return land_for(df, name, 1)[0]
+    return land_for(df, name, 1, stays)[0]
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeledger.llm.common import SPACES, bounded_sample, documents, labels, land, let, numbered, slim
+from edgeledger.llm.common import SPACES, bounded_sample, documents, labels, land, let, numbered, passing, slim
 
 #: Labelled rows that rules are learned from, at most: those with the least hash of their id.
 LEARN_ROWS = 20_000
@@ -256,7 +256,9 @@ def judged(docs: DataFrame, marks: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with their columns as they are."""
     stored, row = numbered(docs, "documents")
-    kept = judged(slim(stored, row), marks).where("kept").select(F.col("row").alias(row))
+    with passing(docs.sparkSession):
+        kept = judged(slim(stored, row), marks).where("kept").select(F.col("row").alias(row))
+        kept = land(kept, "kept", stays=True)
     return stored.join(kept, row, "left_semi").drop(row)
 
 

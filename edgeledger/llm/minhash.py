@@ -2,35 +2,43 @@
 
 A text's set is its distinct word shingles. One hash of each shingle gives its bin and its value; a
 bin keeps its least value, and an empty bin borrows from the first full one of its own fixed random
-order (optimal densification). Bands of bins name buckets. Equal sets become one node first. In a
-bucket each node is a candidate for two centres at first: the node that shares most buckets with
-others, which is the least changed of a family of copies, and one drawn by a hash. Candidates are
-confirmed on the full sets, and links make components. Where a bucket still has nodes of several
-components, further centres are drawn, twice as many in each round, until any two of its nodes have
-been compared, are in one component, or differ too much in size.
+order (optimal densification). Bands of bins name buckets. Equal sets become one node first.
+
+A bucket is a star: its centre, the node that shares most buckets with others and so is the least
+changed of a family of copies, is a candidate for all its nodes. A byte of each bin tells, with a
+stated error, which candidates cannot be near; the others are confirmed on the full sets, and links
+make components. Buckets that still hold several components go on: of a few nodes all pairs are
+candidates, of more those with a drawn centre, and the rest of these is banded anew by further bins,
+so that nodes which only share a passage part and families stay together. This ends when no bucket
+holds two nodes that have neither been compared nor are in one component.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeledger.llm.common import documents, land, numbered, slim, small_batches
+from edgeledger.llm.common import documents, land, land_at, numbered, passing, slim, small_batches
 from edgeledger.llm.words import WordHashes, batches, mix, shingle_set, texts_of
 
 BANDS = 32
 BAND_BINS = 6
 BINS = BANDS * BAND_BINS
-#: Centres drawn for a bucket in the first round after the two; each further round draws twice as many.
-FIRST_DRAWN = 8
+#: Nodes of a bucket, beyond the first stars, that are all compared with each other.
+FEW = 8
+#: Bins that name a bucket when a mixed one is banded anew.
+SPLIT_BINS = 8
+#: Probability below which a near pair may be dropped by its sketches.
+DROPPED = 1e-9
 #: Bins that an empty bin tries, in order; beyond these it takes the first full bin.
 PROBES = 1024
 
-SKETCH = "row long, doc_id long, print binary, n long, bands array<long>"
+SKETCH = "row long, doc_id long, print binary, n long, bands array<long>, sketch binary, dense binary"
 
 
 def _probes() -> np.ndarray:
@@ -40,6 +48,11 @@ def _probes() -> np.ndarray:
 
 def densified(shingles: np.ndarray, probes: np.ndarray) -> np.ndarray:
     """The least value of each bin of a sorted, non-empty set; empty bins borrow."""
+    return signature(shingles, probes)[1]
+
+
+def signature(shingles: np.ndarray, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least value of each bin of a sorted, non-empty set, as a byte (0: empty), and with empty bins borrowing."""
     bins = ((shingles >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)
     full, first = np.unique(bins.astype(np.int64), return_index=True)
     values, has = np.zeros(BINS, np.uint64), np.zeros(BINS, bool)
@@ -53,7 +66,12 @@ def densified(shingles: np.ndarray, probes: np.ndarray) -> np.ndarray:
         out[empty[hit]] = values[block[found.argmax(axis=0), np.arange(len(empty))][hit]]
         empty, step = empty[~hit], step + 16
     out[empty] = values[full[0]]
-    return out
+    return np.where(has, _byte(values), np.uint8(0)), out
+
+
+def _byte(values: np.ndarray) -> np.ndarray:
+    """1 to 255."""
+    return (values % np.uint64(255) + np.uint64(1)).astype(np.uint8)
 
 
 def band_hashes(signature: np.ndarray) -> np.ndarray:
@@ -66,22 +84,30 @@ def band_hashes(signature: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """``row, doc_id, print, n, bands``: the set's fingerprint, size and buckets; no buckets if it is empty."""
+    """``row, doc_id, print, n, bands, sketch, dense``: of an empty set no buckets and empty sketches.
+
+    ``print`` is the set's fingerprint, ``n`` its size; ``sketch`` has a byte of each bin, ``dense`` the
+    same after densification.
+    """
     schema = pa.schema(
-        [("row", pa.int64()), ("doc_id", pa.int64()), ("print", pa.binary()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))]
-    )
+        [("row", pa.int64()), ("doc_id", pa.int64()), ("print", pa.binary()), ("n", pa.int64()),
+         ("bands", pa.list_(pa.int64())), ("sketch", pa.binary()), ("dense", pa.binary())]
+    )
 
     def run(frames):
         hashes, probes = WordHashes(), _probes()
 
         def of(batch):
-            prints, sizes, bands = [], [], []
+            prints, sizes, bands, raw, dense = [], [], [], [], []
             for text in texts_of(batch, "text"):
                 s = shingle_set(text, words, hashes)
                 sizes.append(len(s))
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                bands.append(band_hashes(densified(s, probes)) if len(s) else [])
-            return batch.column("row"), batch.column("doc_id"), prints, sizes, bands
+                own, borrowed = signature(s, probes) if len(s) else (np.empty(0, np.uint8), np.empty(0, np.uint64))
+                bands.append(band_hashes(borrowed) if len(s) else [])
+                raw.append(own.tobytes())
+                dense.append(_byte(borrowed).tobytes())
+            return batch.column("row"), batch.column("doc_id"), prints, sizes, bands, raw, dense
 
         return batches(frames, schema, of)
 
@@ -93,59 +119,128 @@ def _near(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _compared(places: DataFrame, centres: DataFrame, apart: Column, percent: int) -> DataFrame:
-    """``a, b``: distinct pairs of a node and a centre ``c`` of one of its buckets that are ``apart``."""
-    return (
-        places.join(centres, "bucket")
-        .where(apart & _near(F.col("n"), F.col("c.n"), percent))
-        .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
-        .distinct()
-    )
+def least_equal(percent: int) -> np.ndarray:
+    """For each number of bins that two sets fill, the least number of equal bins that near ones have.
 
+    A bin of the union holds the least of its shingles, and by symmetry the filled bins hold a drawing
+    without replacement from the union. So the equal ones among K are hypergeometric, with at least
+    ``percent`` in 100 as their share, and m or fewer have a probability of at most exp(-K * KL(m/K, share)). Bytes that
+    are equal by chance only add.
+    """
+    share, out = percent / 100, np.zeros(BINS + 1, np.int64)
+    for k in range(1, BINS + 1):
+        for m in range(k):
+            q = m / k
+            if q >= share:
+                break
+            apart = (1 - q) * math.log((1 - q) / (1 - share)) + (q * math.log(q / share) if q else 0.0)
+            if k * apart <= -math.log(DROPPED):
+                break
+            out[k] = m + 1
+    return out
 
-def candidates(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``a, b``: distinct pairs of nodes (``node, n, bands``), at most two for each node and bucket.
 
-    Also the places in shared buckets, ``bucket, node, n``, and each bucket's centres, ``bucket, c``.
-    """
-    places = nodes.select("node", "n", F.explode("bands").alias("bucket"))
+def alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose sketches don't tell them apart."""
+    least = least_equal(percent)
+
+    def run(frames):
+        for batch in frames:
+            if batch.num_rows:
+                x, y = (
+                    np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS)
+                    for c in ("sketch_a", "sketch_b")
+                )
+                filled = ((x | y) != 0).sum(axis=1)
+                stay = ((x == y) & (x != 0)).sum(axis=1) >= least[filled]
+                yield batch.select(["a", "b"]).filter(pa.array(stay))
+
+    one = pairs.join(nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+    both = one.join(nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+    return both.mapInArrow(run, "a long, b long")
+
+
+def mixed(places: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``bucket, node, n, root, size``: the places in buckets whose nodes are of several components."""
+    root = F.col("node") if roots is None else F.coalesce("root", "node")
+    held = places if roots is None else places.join(roots, "node", "left")
+    held = held.select("bucket", "node", "n", root.alias("root"))
+    sizes = held.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("l"), F.max("root").alias("m"))
     # Aggregates are landed before they are joined: then the join has exchanges of its own, whose hot keys can be split.
-    shared = land(places.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "shared")
-    live = land(places.join(shared, "bucket"), "buckets")
+    sizes = land(sizes.where("l != m").select("bucket", "size"), "mixed")
+    return land(held.join(sizes, "bucket"), "live")
+
+
+def banded_anew(places: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``bucket, node, n``: each place in several buckets instead, each named by the old one and some bins.
+
+    As many as a near pair needs to share one of them in the mean. Pairs share many buckets in the first
+    place, so that few near ones part, while pairs of 0.6 share one in fifteen.
+    """
+    splits = math.ceil((100 / percent) ** SPLIT_BINS)
+    schema = pa.schema([("bucket", pa.int64()), ("node", pa.int64()), ("n", pa.int64())])
+    turn = np.uint64(0x9E3779B97F4A7C15)
+
+    def run(frames):
+        step = np.arange(1, splits * SPLIT_BINS + 1, dtype=np.uint64) * turn
+
+        def of(batch):
+            dense = np.frombuffer(b"".join(batch.column("dense").to_pylist()), np.uint8).reshape(-1, BINS)
+            old = batch.column("bucket").to_numpy(zero_copy_only=False).view(np.uint64)
+            at = mix(mix(old[:, None] + step))
+            value = np.take_along_axis(dense, (at % np.uint64(BINS)).astype(np.int64), axis=1)
+            value = value.reshape(-1, splits, SPLIT_BINS).astype(np.uint64)
+            name = at.reshape(-1, splits, SPLIT_BINS)[:, :, 0]
+            for k in range(SPLIT_BINS):
+                name = mix(name * turn + value[:, :, k])
+            repeat = [np.repeat(batch.column(c).to_numpy(zero_copy_only=False), splits) for c in ("node", "n")]
+            return name.ravel().view(np.int64), *repeat
+
+        return batches(frames, schema, of)
+
+    found = places.join(nodes.select("node", "dense"), "node").select("bucket", "node", "n", "dense")
+    return found.mapInArrow(run, "bucket long, node long, n long")
+
+
+def _pair(left: Column, right: Column) -> list[Column]:
+    return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
+
+
+def stars(live: DataFrame, centres: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` of the centre ``c`` of each bucket and its nodes of other components; the places but for the centres'."""
+    met = land(live.join(centres, "bucket"), "met")
+    pairs = met.where((F.col("root") != F.col("c.root")) & _near(F.col("n"), F.col("c.n"), percent))
+    rest = met.where(F.col("node") != F.col("c.node")).select("bucket", "node", "n")
+    return pairs.select(*_pair(F.col("node"), F.col("c.node"))), rest
+
+
+def central_stars(live: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Stars around the nodes that share most buckets with others."""
     central = land(live.groupBy("node").agg(F.sum("size").alias("central")), "central")
-    ranked = live.join(central, "node")
-    own = F.struct("node", "n")
-    centres = ranked.groupBy("bucket").agg(
-        F.max(F.struct("central", own.alias("c")))["c"].alias("c1"),
-        F.min(F.struct(F.xxhash64("node", "bucket").alias("draw"), own.alias("c")))["c"].alias("c2"),
-    )
-    centres = land(centres, "centres").select("bucket", F.explode(F.array("c1", "c2")).alias("c"))
-    live = live.select("bucket", "node", "n")
-    return _compared(live, centres, F.col("node") != F.col("c.node"), percent), live, centres
-
-
-def unsettled(places: DataFrame, centres: DataFrame, roots: DataFrame) -> DataFrame:
-    """``bucket, node, n, root``: the places that have been no centre, in buckets where these are of several components."""
-    been = centres.select("bucket", F.col("c.node").alias("node")).distinct()
-    rest = places.select("bucket", "node", "n").join(been, ["bucket", "node"], "left_anti").join(roots, "node", "left")
-    rest = rest.select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-    mixed = rest.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most")
-    return land(rest.join(land(mixed.select("bucket"), "mixed"), "bucket"), "unsettled")
-
-
-def more_candidates(places: DataFrame, drawn: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``a, b`` of unsettled places with up to ``drawn`` centres of their bucket in other components, and the centres."""
-    part = F.pmod(F.xxhash64("node", "bucket", F.lit(drawn)), F.lit(drawn)).alias("part")
-    drawing = F.struct(F.xxhash64("node", "bucket").alias("draw"), F.struct("node", "n", "root").alias("c"))
-    centres = land(places.groupBy("bucket", part).agg(F.min(drawing)["c"].alias("c")), "centres").select("bucket", "c")
-    return _compared(places, centres, F.col("root") != F.col("c.root"), percent), centres
+    own = F.struct("node", "n", "root")
+    centres = live.join(central, "node").groupBy("bucket").agg(F.max(F.struct("central", own.alias("c")))["c"].alias("c"))
+    return stars(live, land(centres, "centres"), percent)
+
+
+def further_pairs(live: DataFrame, level: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All pairs of different components in buckets of a few nodes, stars around drawn centres in others, and the rest of these."""
+    own = F.struct("node", "n", "root")
+    groups = live.where(F.col("size") <= FEW).groupBy("bucket").agg(F.collect_list(own).alias("group"))
+    few = groups.select("group", F.explode("group").alias("x")).select("x", F.explode("group").alias("y"))
+    few = few.where((F.col("x.root") < F.col("y.root")) & _near(F.col("x.n"), F.col("y.n"), percent))
+    many = live.where(F.col("size") > FEW)
+    drawn = F.min(F.struct(F.xxhash64("node", F.lit(level)).alias("draw"), own.alias("c")))["c"]
+    pairs, rest = stars(many, land(many.groupBy("bucket").agg(drawn.alias("c")), "centres"), percent)
+    return pairs.union(few.select(*_pair(F.col("x.node"), F.col("y.node")))), rest
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose full sets share ``percent`` of their union. ``texts`` has ``row, text``.
 
-    Sets hold 64-bit hashes of shingles; each pair is compared by itself.
+    Sets hold 64-bit hashes of shingles; each pair is compared by itself. Only texts of pairs are shuffled with them.
     """
+    involved = land(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "involved")
+    texts = land(texts.join(involved, "row", "left_semi"), "involved-texts")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(frames):
@@ -204,23 +299,33 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def linked(nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``node, root`` of the nodes that links reach. ``texts`` has ``row, text``.
+def linked(nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame | None:
+    """``node, root`` of the nodes that links reach, if any. ``nodes`` has ``node, n, bands, sketch, dense``, ``texts`` ``row, text``.
 
-    A centre has been compared with all of its bucket, so each round leaves fewer places; what a round
-    has compared is not compared again.
+    First all buckets are stars, then those that are still mixed are gone through twice or more, from
+    the third time on banded anew. Pairs that were confirmed or refuted on full sets are not again.
     """
-    pairs, places, centres = candidates(nodes, percent)
-    tested = pairs = land(pairs, "pairs")
-    roots, drawn = components(confirmed(pairs, texts, words, percent)), FIRST_DRAWN
-    while not (places := unsettled(places, centres, roots)).isEmpty():
-        pairs, centres = more_candidates(places, drawn, percent)
-        pairs = land(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = land(confirmed(pairs, texts, words, percent), "confirmed")
-        if not found.isEmpty():
-            roots = components(found.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
-        tested, drawn = tested.union(pairs), 2 * drawn
-    return roots
+    spark, places = nodes.sparkSession, nodes.select("node", "n", F.explode("bands").alias("bucket"))
+    roots, tested, level = None, [], 0
+    while True:
+        with passing(spark):
+            live = mixed(places, roots)
+            if level > 1 and not live.isEmpty():
+                live = mixed(banded_anew(live, nodes, percent), roots)
+            if live.isEmpty():
+                return roots
+            pairs, rest = further_pairs(live, level, percent) if level else central_stars(live, percent)
+            pairs = pairs.distinct()
+            if tested:
+                pairs = pairs.join(spark.read.schema("a long, b long").parquet(*tested), ["a", "b"], "left_anti")
+            tested.append(land_at(alike(pairs, nodes, percent), "tested", stays=True))
+            pairs = spark.read.schema("a long, b long").parquet(tested[-1])
+            links = land(confirmed(pairs, texts, words, percent), "confirmed")
+            if not links.isEmpty():
+                if roots is not None:
+                    links = links.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))
+                roots = land(components(links), "roots", stays=True)
+            places, level = land(rest, "rest", stays=True), level + 1
 
 
 def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -231,18 +336,23 @@ def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     without words are linked with nothing. ``stays`` is true for one row of each component: the
     first in reading order of those with the least id. An empty table gives an empty table.
     """
-    small_batches(docs.sparkSession)
-    found = land(sketches(docs, words), "sketches")
-    full = found.where("n > 0")
-    prints = land(full.groupBy("print").agg(F.min("row").alias("node")), "prints")
-    nodes = full.join(prints.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "bands")
-    roots = linked(nodes, docs.select("row", "text"), words, percent)
-    members = full.select("row", "doc_id", "n", "print").join(prints, "print").join(roots, "node", "left")
-    members = members.select("row", "doc_id", "n", F.coalesce("root", "node").alias("root"))
-    alone = found.where("n = 0").select("row", "doc_id", "n", F.col("row").alias("root"))
-    members = land(members.unionByName(alone), "members")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row"))
-    heads = land(members.groupBy("root").agg(first.alias("head")), "heads")
+    spark = docs.sparkSession
+    small_batches(spark)
+    with passing(spark):
+        found = land(sketches(docs, words), "sketches")
+        full = found.where("n > 0")
+        prints = land(full.groupBy("print").agg(F.min("row").alias("node")), "prints")
+        nodes = full.join(prints.select(F.col("node").alias("row")), "row")
+        nodes = land(nodes.select(F.col("row").alias("node"), "n", "bands", "sketch", "dense"), "nodes")
+        roots = linked(nodes, docs.select("row", "text"), words, percent)
+        members = full.select("row", "doc_id", "n", "print").join(prints, "print")
+        if roots is not None:
+            members = members.join(roots, "node", "left").withColumn("node", F.coalesce("root", "node"))
+        members = members.select("row", "doc_id", "n", F.col("node").alias("root"))
+        alone = found.where("n = 0").select("row", "doc_id", "n", F.col("row").alias("root"))
+        members = land(members.unionByName(alone), "members", stays=True)
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row"))
+        heads = land(members.groupBy("root").agg(first.alias("head")), "heads", stays=True)
     return members.join(heads, "root").select(
         "row", "doc_id", F.col("n").alias("n_shingles"), F.col("head.doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.col("head.doc_id"), F.lit(False)).alias("kept"),
@@ -253,7 +363,9 @@ def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group of near duplicates, with the columns of ``docs`` as they are."""
     stored, row = numbered(docs, "documents")
-    kept = near_groups(slim(stored, row), words, percent).where("stays").select(F.col("row").alias(row))
+    with passing(docs.sparkSession):
+        kept = near_groups(slim(stored, row), words, percent).where("stays").select(F.col("row").alias(row))
+        kept = land(kept, "kept", stays=True)
     return stored.join(kept, row, "left_semi").drop(row)
 
 

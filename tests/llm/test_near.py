@@ -2,6 +2,7 @@
 
 import random
 from itertools import combinations
+from math import comb
 
 import numpy as np
 
@@ -86,6 +87,47 @@ def test_copies_without_their_original_are_linked(spark):
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=repr) == wanted
 
 
+def drifted(copies=90, n=300, changed=22):
+    """Copies of a text that is not there, each changed in places of its own: a few are near each other, most are not."""
+    rng, base, rows = random.Random(4), cases.sentence(31, n).split(), []
+    for k in range(copies):
+        copy = list(rows[-1][1].split()) if k % 9 == 1 else list(base)
+        for at in rng.sample(range(n), 4 if k % 9 == 1 else changed):
+            copy[at] = f"at{k}x{at}"
+        rows.append((k, " ".join(copy), None, None, 0))
+    return rows
+
+
+def test_mixed_buckets_are_banded_anew(spark, monkeypatch):
+    rows, rounds = drifted(), []
+    anew = minhash.banded_anew
+    monkeypatch.setattr(minhash, "FEW", 2)
+    monkeypatch.setattr(minhash, "banded_anew", lambda *a: rounds.append(1) or anew(*a))
+    stored, row = numbered(cases.table(spark, rows), "t")
+    got = minhash.near_groups(slim(stored, row), 3, 85).collect()
+    wanted = roots([(r[0], r[1]) for r in rows], 3, 85)
+    assert rounds and 5 <= sum(doc_id != root for doc_id, _, root in wanted) <= 80
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=repr) == wanted
+
+
+def test_sketches_drop_no_near_pair():
+    """The bound against exact binomial tails, and drawn sets at and far below the threshold."""
+    least = minhash.least_equal(85)
+    for k in (5, 40, 130, minhash.BINS):
+        tail = sum(comb(k, m) * 0.85**m * 0.15 ** (k - m) for m in range(least[k]))
+        assert tail <= minhash.DROPPED
+    assert least[minhash.BINS] > minhash.BINS // 2 and least[5] == 0
+    rng, probes = np.random.default_rng(2), minhash._probes()
+    for n in (3, 50, 400, 5000):
+        for share, dropped in ((0.85, False), (0.3, True)) if n >= 400 else ((0.85, False),):
+            union = rng.integers(0, 2**64 - 1, n, dtype=np.uint64)
+            both = int(np.ceil(n * share))
+            a, b = np.sort(union[: both + (n - both) // 2]), np.sort(np.r_[union[:both], union[both + (n - both) // 2 :]])
+            x, y = minhash.signature(a, probes)[0], minhash.signature(b, probes)[0]
+            equal, filled = ((x == y) & (x != 0)).sum(), ((x | y) != 0).sum()
+            assert (equal < least[filled]) == dropped
+
+
 def test_one_of_each_group_stays(spark):
     docs = cases.clashing(spark).union(cases.clashing(spark))
     left = minhash.deduplicate(docs)

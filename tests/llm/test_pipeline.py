@@ -1,9 +1,10 @@
 """The pipeline's stages on planted documents, each against what it must do to its input."""
 
 import hashlib
+from pathlib import Path
 
 import corpus_pipeline
-from edgeledger.llm.common import land
+from edgeledger.llm.common import land, shared_root
 from tests.llm import cases
 
 
@@ -42,3 +43,17 @@ def test_stages(spark, tmp_path):
 def test_empty(spark, tmp_path):
     marks = spark.createDataFrame([], "doc_id long, quality int")
     assert corpus_pipeline.run(spark, cases.on_disk(cases.empty(spark), tmp_path, marks)).count() == 0
+
+
+def test_scratch_goes_with_the_next_stage(spark, tmp_path):
+    good, junk, copies, near = planted()
+    marks = spark.createDataFrame([(r[0], 1) for r in good] + [(r[0], 0) for r in junk], "doc_id long, quality int")
+    folder = cases.on_disk(cases.table(spark, good + junk + copies + near), tmp_path, marks)
+    scratch = Path(shared_root(spark).removeprefix("file:")) / "llm"
+    tokens = corpus_pipeline.run(spark, folder)
+    before = set(scratch.iterdir())
+    assert tokens.count() > 0
+    docs = corpus_pipeline.exact_dedup(spark, corpus_pipeline.documents(spark, folder), folder)
+    assert len(before & set(scratch.iterdir())) < len(before)
+    chained = corpus_pipeline.near_dedup(spark, docs, folder)  # not stored between: what it reads stays
+    assert chained.count() == len(good + junk)
