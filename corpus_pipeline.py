@@ -2,7 +2,8 @@
 
 Quality rules reject documents, exact and near duplicates leave one document of each group, the
 sources are mixed to their target weights (a document may then stand several times), and every
-text becomes ids, with the digest of what they decode to.
+text becomes ids, with the digest of what they decode to. What a stage has landed on the way is deleted
+when a later one begins, so its result has to be stored by then.
 """
 
 from __future__ import annotations
@@ -10,33 +11,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from edgeledger.llm import block_names, byte_bpe, decision_list, minhash, poisson_mix
-from edgeledger.llm.common import documents, labels, land
+from edgeledger.llm.common import documents, labels, land, stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base conditions nor a learned rule rejects."""
-    return decision_list.keep_good(docs, labels(spark, sf_dir))
+    with stage(spark, docs):
+        return decision_list.keep_good(docs, labels(spark, sf_dir))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the largest id of each group of equal texts."""
-    return block_names.deduplicate(docs)
+    with stage(spark, docs):
+        return block_names.deduplicate(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group: shingles of five words, similarity 0.8 or more."""
-    return minhash.deduplicate(docs, words=5, percent=80)
+    with stage(spark, docs):
+        return minhash.deduplicate(docs, words=5, percent=80)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many documents as before, drawn so that large sources weigh less than by their size."""
-    mixture, copy = poisson_mix.mixed(docs)
-    return mixture.drop(copy)
+    with stage(spark, docs):
+        mixture, copy = poisson_mix.mixed(docs)
+        return mixture.drop(copy)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256, ids`` of every document of the mixture."""
-    return byte_bpe.token_rows(docs)
+    with stage(spark, docs):
+        return byte_bpe.token_rows(docs)
 
 
 STAGES = [
@@ -54,6 +60,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the result of each but the last is written and read again."""
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES[:-1]:
-        docs = land(stage(spark, docs, sf_dir), f"stage-{name}")
+    for name, apply in STAGES[:-1]:
+        result = apply(spark, docs, sf_dir)
+        with stage(spark, result):
+            docs = land(result, f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
