@@ -29,8 +29,8 @@ from edgeledger.llm.words import WordHashes, batches, mix, shingle_set, texts_of
 BANDS = 32
 BAND_BINS = 6
 BINS = BANDS * BAND_BINS
-#: Nodes of a bucket, beyond the first stars, that are all compared with each other.
-FEW = 8
+#: Nodes of a bucket, beyond the first stars, that are all compared with each other: a node meets at most these.
+FEW = 64
 #: Bins that name a bucket when a mixed one is banded anew.
 SPLIT_BINS = 8
 #: Probability below which a near pair may be dropped by its sketches.
@@ -226,8 +226,9 @@ def further_pairs(live: DataFrame, level: int, percent: int) -> tuple[DataFrame,
     """All pairs of different components in buckets of a few nodes, stars around drawn centres in others, and the rest of these."""
     own = F.struct("node", "n", "root")
     groups = live.where(F.col("size") <= FEW).groupBy("bucket").agg(F.collect_list(own).alias("group"))
-    few = groups.select("group", F.explode("group").alias("x")).select("x", F.explode("group").alias("y"))
-    few = few.where((F.col("x.root") < F.col("y.root")) & _near(F.col("x.n"), F.col("y.n"), percent))
+    few = groups.select("group", F.explode("group").alias("x"))
+    other = lambda y: (F.col("x.root") < y["root"]) & _near(F.col("x.n"), y["n"], percent)
+    few = few.select("x", F.explode(F.filter("group", other)).alias("y"))
     many = live.where(F.col("size") > FEW)
     drawn = F.min(F.struct(F.xxhash64("node", F.lit(level)).alias("draw"), own.alias("c")))["c"]
     pairs, rest = stars(many, land(many.groupBy("bucket").agg(drawn.alias("c")), "centres"), percent)
