@@ -32,9 +32,9 @@ BEGINNINGS = (4, 5, 6)
 FLAGS = 1 << 20
 EDGES = b".,;:!?\"'()[]{}<>|*#$%&_-"
 
-#: The categories in order. The tables label one, ``toxic``; the others are grades of it, by the
-#: number of a toxic text's cue words and by their share of its words.
-CATEGORIES = ("toxic", "repeated", "dense")
+#: The categories in order. The tables label one, ``toxic``, which comes last, so that its model is fed by
+#: the others. These are grades of it, by the number of a toxic text's cue words and by their share of its words.
+CATEGORIES = ("repeated", "dense", "toxic")
 REPEATED_CUES = 3
 DENSE_SHARE = 0.02
 
@@ -219,7 +219,7 @@ def chain_probabilities(chain: list[Linear], rows: Rows) -> list[np.ndarray]:
 
 def _graded(hits: list[tuple], toxic: np.ndarray) -> list[np.ndarray]:
     uses, words = (np.array([h[k] for h in hits], float) for k in (2, 3))
-    return [toxic, toxic & (uses >= REPEATED_CUES), toxic & (uses >= DENSE_SHARE * np.maximum(1, words))]
+    return [toxic & (uses >= REPEATED_CUES), toxic & (uses >= DENSE_SHARE * np.maximum(1, words)), toxic]
 
 
 def learned_chain(docs: DataFrame, marks: DataFrame, rows: int = LEARN_ROWS) -> tuple[dict[bytes, int], list[Linear]]:
