@@ -162,14 +162,22 @@ def crc_mod(doc_id: Column, mod: int) -> Column:
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % mod).cast("int")
 
 
-def bounded_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
-    """At most ``rows`` rows of ``df``: those whose keys have the least hash, however large the table is.
+def bounded_sample(df: DataFrame, rows: int, key: str, *others: str) -> DataFrame:
+    """At most ``rows`` rows of ``df``: those whose ``key`` has the least hash, however large the table is.
 
-    A threshold that follows from the count comes first, so that no task offers more than its share.
+    The greatest hash that still counts is found from the keys alone, so that Spark can filter by it before
+    joins and all tasks share the rows. Rows that repeat a key have one hash; only if they go beyond
+    ``rows`` are they put in order, by ``others`` too, and cut.
     """
-    name, span = free_name(df, "draw"), 1 << 30
-    drawn = df.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(span)))
-    share = 1.2 * rows / max(1, df.count())
-    if share < 1:
-        drawn = drawn.where(F.col(name) < int(share * span))
-    return drawn.orderBy(name, *keys).limit(rows).drop(name)
+    draw = F.shiftrightunsigned(F.xxhash64(key), 1)
+    count = df.count()
+    if count <= rows:
+        return df
+    first = df.select(draw.alias("draw")).where(F.col("draw") < int(1.2 * rows / count * 2**63))
+    last = first.orderBy("draw").limit(rows).agg(F.max("draw")).first()[0]
+    if last is not None:
+        within = df.where(draw <= last)
+        if within.count() <= rows:
+            return within
+        df = within
+    return df.orderBy(draw, key, *others).limit(rows)

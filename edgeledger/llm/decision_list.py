@@ -224,7 +224,7 @@ def learned_rules(statistics: DataFrame, marks: DataFrame, rows: int = LEARN_ROW
     known = statistics.where("doc_id is not null").join(one, "doc_id")
     grow = F.pmod(F.xxhash64("doc_id", F.lit("grow")), F.lit(3)) != 0
     values = [F.col(f).cast("double").alias(f) for f in FEATURES]
-    got = bounded_sample(known, rows, "doc_id", "row").select("quality", grow.alias("grow"), *values).collect()
+    got = sorted(bounded_sample(known, rows, "doc_id", "row").select("doc_id", "quality", grow.alias("grow"), *values).collect())
     table = {f: np.array([r[f] for r in got], float) for f in FEATURES}
     return learn(table, np.array([r["quality"] == 0 for r in got], bool), np.array([r["grow"] for r in got], bool))
 

@@ -67,22 +67,31 @@ def index_vectors(count: int, seed: int) -> np.ndarray:
 
 
 def neighbour_sums(codes: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> np.ndarray:
-    """For each word the sum of the index vectors of its neighbours in its own text."""
-    vectors, text = index[codes], np.repeat(np.arange(len(sizes)), sizes)
-    out = np.zeros_like(vectors)
-    for step in range(1, WINDOW + 1):
-        same = (text[step:] == text[:-step])[:, None]
-        out[step:] += vectors[:-step] * same
-        out[:-step] += vectors[step:] * same
-    return out
+    """For each word the sum of the index vectors of its neighbours in its own text.
+
+    Empty places part the texts, so that neighbours are shifts of one line. A sum of 2 * ``WINDOW`` vectors
+    fits a byte, as no entry is beyond ``SIGNS``.
+    """
+    if not len(codes):
+        return np.zeros((0, SIZE), np.int8)
+    place = np.arange(len(codes)) + WINDOW * np.repeat(np.arange(len(sizes)), sizes)
+    span = len(codes) + WINDOW * len(sizes)
+    line = np.full(span + 2 * WINDOW, len(index))
+    line[place + WINDOW] = codes
+    vectors = np.vstack([index, np.zeros((1, SIZE))]).astype(np.int8)[line]
+    out = np.zeros((span, SIZE), np.int8)
+    for k in range(2 * WINDOW + 1):
+        if k != WINDOW:
+            out += vectors[k : k + span]
+    return out[place]
 
 
 def summed_by(codes: np.ndarray, values: np.ndarray, table: np.ndarray) -> None:
     """Adds ``values`` to the rows of ``table`` that ``codes`` name."""
     if len(codes):
-        order = np.argsort(codes, kind="stable")
+        order = np.argsort(codes.astype(np.uint16) if len(table) <= 1 << 16 else codes, kind="stable")
         starts = np.flatnonzero(np.append(True, np.diff(codes[order]) != 0))
-        table[codes[order][starts]] += np.add.reduceat(values[order], starts, axis=0)
+        table[codes[order][starts]] += np.add.reduceat(values[order], starts, axis=0, dtype=table.dtype)
 
 
 def word_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -213,19 +222,20 @@ def learned_network(docs: DataFrame, marks: DataFrame, vectors, rows: int = LEAR
     one = marks.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     open_ = docs.where(F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), OUT_OF) != HELD_OUT))
     sample = bounded_sample(open_.select("doc_id", "text").join(one, "doc_id"), rows, "doc_id", "text")
-    schema = pa.schema([("label", pa.int64()), ("part", pa.int64()), ("x", pa.list_(pa.float32()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int64()), ("part", pa.int64()), ("x", pa.list_(pa.float32()))])
 
     def run(frames):
         known, index = Buckets(), both_index_vectors()
 
         def of(batch):
-            return batch.column("label"), batch.column("part"), list(pooled(texts_of(batch, "text"), known, vectors, index))
+            return *map(batch.column, ("doc_id", "label", "part")), list(pooled(texts_of(batch, "text"), known, vectors, index))
 
         return batches(frames, schema, of)
 
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(5)).cast("long").alias("part")
-    got = sample.select(F.col("quality").cast("long").alias("label"), part, F.coalesce("text", F.lit("")).alias("text"))
-    got = got.mapInArrow(run, from_arrow_schema(schema)).collect()
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("long").alias("label")]
+    got = sample.select(*own, part, F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, from_arrow_schema(schema))
+    got = sorted(got.collect())  # tasks give them in any order, and the network depends on it
     x = np.array([r["x"] for r in got], np.float32).reshape(len(got), FEATURES)
     label, part = np.array([r["label"] == 1 for r in got], bool), np.array([r["part"] for r in got], int)
     return calibrate(fit_network(x[part > 0], label[part > 0]), x[part == 0], label[part == 0])
