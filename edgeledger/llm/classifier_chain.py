@@ -222,25 +222,49 @@ def _graded(hits: list[tuple], toxic: np.ndarray) -> list[np.ndarray]:
     return [toxic & (uses >= REPEATED_CUES), toxic & (uses >= DENSE_SHARE * np.maximum(1, words)), toxic]
 
 
+def label_bits(marks: DataFrame) -> DataFrame:
+    """``block, known, toxic``: which of 64 ids in a row have a label, and which of them a toxic one, as bits.
+
+    A row for 64 ids in place of one for each label; where ids lie far apart it is one for each, as the labels are.
+    Of several labels of an id a toxic one holds; nulls are no label.
+    """
+    one = marks.where("toxic is not null and doc_id is not null").selectExpr(
+        "shiftright(cast(doc_id as long), 6) block", "shiftleft(1L, cast(doc_id & 63 as int)) bit", "toxic"
+    )
+    toxic = F.bit_or(F.when(F.col("toxic") == 1, F.col("bit")).otherwise(F.lit(0).cast("long")))
+    return one.groupBy("block").agg(F.bit_or("bit").alias("known"), toxic.alias("toxic"))
+
+
+def labelled(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """``doc_id, toxic, text`` (null: empty) of the rows of ``docs`` that have a label.
+
+    The bits are landed first, so that Spark knows their size: while it broadcasts them no text is shuffled.
+    """
+    text = F.coalesce("text", F.lit("")).alias("text")
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text)
+    own = rows.selectExpr("*", "shiftright(doc_id, 6) block", "shiftleft(1L, cast(doc_id & 63 as int)) bit")
+    found = own.join(land(label_bits(marks), "toxic-bits"), "block").where("(known & bit) != 0")
+    return found.selectExpr("doc_id", "cast((toxic & bit) != 0 as int) toxic", "text")
+
+
 def learned_chain(docs: DataFrame, marks: DataFrame, rows: int = LEARN_ROWS) -> tuple[dict[bytes, int], list[Linear]]:
     """Cues and models from labelled documents; ``marks`` is ``doc_id, toxic``, nulls are no label."""
-    one = marks.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    text = F.coalesce("text", F.lit("")).alias("text")
-    marked = land(docs.where("doc_id is not null").select("doc_id", text).join(one, "doc_id"), "toxic-labels")
+    marked = land(labelled(docs, marks), "toxic-labels")
     known = {c: k for k, c in enumerate(cues(marked))}
     sample = bounded_sample(marked.withColumn("fold", crc_mod(F.col("doc_id"), FOLDS)), rows, "doc_id", "text")
     schema = pa.schema(
-        [("toxic", pa.int64()), ("fold", pa.int64()), ("cue", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())), ("uses", pa.int64()), ("words", pa.int64())]
+        [("doc_id", pa.int64()), ("toxic", pa.int64()), ("fold", pa.int64()), ("cue", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())), ("uses", pa.int64()), ("words", pa.int64())]
     )
 
     def run(frames):
         def of(batch):
             hits = [cue_hits(t, known) for t in texts_of(batch, "text")]
-            return batch.column("toxic"), batch.column("fold"), *map(list, zip(*hits))
+            return *map(batch.column, ("doc_id", "toxic", "fold")), *map(list, zip(*hits))
 
         return batches(frames, schema, of)
 
-    got = sample.selectExpr("cast(toxic as long) toxic", "cast(fold as long) fold", "text").mapInArrow(run, from_arrow_schema(schema)).collect()
+    given = sample.selectExpr("doc_id", "cast(toxic as long) toxic", "cast(fold as long) fold", "text")
+    got = sorted(given.mapInArrow(run, from_arrow_schema(schema)).collect())
     hits = [(r["cue"], r["times"], r["uses"], r["words"]) for r in got]
     toxic, fold = np.array([r["toxic"] == 1 for r in got], bool), np.array([r["fold"] for r in got], int)
     if not hits:
