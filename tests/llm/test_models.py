@@ -6,9 +6,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from edgeledger.llm import classifier_chain, gru_lm, random_indexing
-from edgeledger.llm.common import documents, labels, numbered, slim
+from edgeledger.llm.common import bounded_sample, documents, labels, numbered, slim
 from tests.llm import cases
 
 SF = "/root/testdata/sf0.01"
@@ -140,6 +141,30 @@ def test_toxicity_finds_planted_words(spark):
     assert len(chain) == 3 and [len(m.column) for m in chain] == [3, 4, 5]
 
 
+def test_labels_as_bits(spark):
+    ids = [0, 1, 63, 64, -1, -64, -65, 10**12, 2**62]
+    docs = spark.createDataFrame([(k, f"t{k}", "x") for k in [*ids, 2, 1, None]] + [(3, None, "x")], "doc_id long, text string, toxic string")
+    marks = spark.createDataFrame([(k, j % 2) for j, k in enumerate(ids)] + [(1, 0), (3, 1), (2, None), (None, 1)], "doc_id long, toxic int")
+    got = sorted(map(tuple, classifier_chain.labelled(docs, marks).collect()))
+    assert got == sorted([(k, j % 2, f"t{k}") for j, k in enumerate(ids)] + [(1, 1, "t1"), (3, 1, "")])
+
+
+def test_labels_as_bits_shuffle_no_text(spark):
+    docs = documents(spark, SF)
+    plan = classifier_chain.labelled(docs, labels(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_bounded_sample(spark):
+    df = spark.range(10_000).withColumnRenamed("id", "doc_id").withColumn("draw", F.lit("a column of this name"))
+    got = {r["doc_id"] for r in bounded_sample(df, 500, "doc_id").collect()}
+    assert len(got) == 500 and got == {r["doc_id"] for r in bounded_sample(df.repartition(7), 500, "doc_id").collect()}
+    assert bounded_sample(df, 10_000, "doc_id").count() == 10_000
+    same = df.withColumn("n", F.col("doc_id")).withColumn("doc_id", F.lit(1))
+    assert {r["n"] for r in bounded_sample(same, 20, "doc_id", "n").collect()} == set(range(20))
+    assert bounded_sample(df.where("doc_id < 0"), 5, "doc_id").count() == 0
+
+
 def test_every_cue_counts(spark):
     """30 toxic rows for each of 100 groups of 15 words; each word brings four candidates, the last group is rarest."""
     bad = [[f"{chr(97 + g // 26)}{chr(97 + g % 26)}{chr(97 + w)}{chr(122 - w)}{g:02d}{w:02d}x" for w in range(15)] for g in range(100)]
