@@ -173,7 +173,7 @@ def bounded_sample(df: DataFrame, rows: int, key: str, *others: str) -> DataFram
     count = df.count()
     if count <= rows:
         return df
-    first = df.select(draw.alias("draw")).where(F.col("draw") < int(1.2 * rows / count * 2**63))
+    first = df.select(draw.alias("draw")).where(F.col("draw") <= min(2**63 - 1, int(1.2 * rows / count * 2**63)))
     last = first.orderBy("draw").limit(rows).agg(F.max("draw")).first()[0]
     if last is not None:
         within = df.where(draw <= last)
