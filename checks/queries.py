@@ -836,13 +836,12 @@ def trace_hours(spark, sf):
 @query
 def trace_pages(spark, sf):
     """Pages of 1000 of half a month, each begun where the one before ended, put together."""
-    days, pages, after = _folded(spark, sf), [], None
-    while True:
-        rows = settle(days.trace_time("2024-01-01 00:00:00", "2024-01-16 00:00:00", 1000, after))
-        pages.append(rows)
-        after = S.cursor_of(rows)
-        if rows.count() < 1000:
-            return reduce(DataFrame.unionByName, pages)
+    days, span = _folded(spark, sf), ("2024-01-01 00:00:00", "2024-01-16 00:00:00")
+    first = settle(days.trace_time(*span, 1000))
+    after = S.cursor_of(first)
+    if first.count() < 1000:
+        return first
+    return first.unionByName(days.trace_pages(*span, 1000, after).drop("page"))
 
 
 @query

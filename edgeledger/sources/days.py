@@ -33,6 +33,7 @@ from .sessions import (
     in_time,
     newest,
     page,
+    pages,
     read_folders,
 )
 
@@ -179,6 +180,10 @@ class Days:
         """The page of sessions with ``start <= time < end`` that comes after ``after``, by row key."""
         return page(newest(self.since(start).by_time(start, end)), n, after)
 
+    def trace_pages(self, start, end, n: int = PAGE, after: Cursor | None = None) -> DataFrame:
+        """All pages that ``trace_time`` gives from ``after`` on, with their number in ``page``; files are read once."""
+        return pages(newest(self.since(start).by_time(start, end)), n, after)
+
     def trace_endpoint(self, ip: str, port: str, start, end) -> DataFrame:
         """All sessions of a public endpoint in a time range, newest first, from the one key range that can hold them."""
         region = F.col("region") == region_of(endpoint_hash(F.lit(ip), F.lit(port)), REGIONS)

@@ -9,13 +9,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.net import endpoint_hash, reversed_millis
 from ..functions.times import moment
 from ..schemas import FLOWS
+from ..session import settle
 from .lines import load_or_nothing
 
 STORE_COLUMNS = FLOWS.fieldNames()
@@ -131,12 +132,33 @@ def from_cursor(rows: DataFrame, after: Cursor | None) -> DataFrame:
     return rows if after is None else rows.where(F.col("rowkey") >= after.rowkey)
 
 
+def beyond(sessions: DataFrame, after: Cursor | None) -> DataFrame:
+    """The rows that come after a cursor."""
+    if after is None:
+        return sessions
+    key, dt = F.col("rowkey"), F.col("dt")
+    return from_cursor(sessions, after).where((key > after.rowkey) | (dt > after.dt))
+
+
 def page(sessions: DataFrame, n: int, after: Cursor | None = None) -> DataFrame:
     """The first ``n`` rows in order of row key and day, or the next ``n`` after a cursor."""
-    if after is not None:
-        key, dt = F.col("rowkey"), F.col("dt")
-        sessions = from_cursor(sessions, after).where((key > after.rowkey) | (dt > after.dt))
-    return sessions.orderBy("rowkey", "dt").limit(n)
+    return beyond(sessions, after).orderBy("rowkey", "dt").limit(n)
+
+
+def pages(sessions: DataFrame, n: int, after: Cursor | None = None) -> DataFrame:
+    """All pages of ``n`` rows from a cursor on, each begun where the one before ended, with their number in ``page``.
+
+    The rows are put in order once, in the shared folder; a row's place is the number of rows in the tasks before its own and
+    its place there, so the work grows with the rows and not with the pages.
+    """
+    at, bits = F.col("_at"), 33  # the task, and the row in the task
+    ordered = settle(beyond(sessions, after).orderBy("rowkey", "dt").withColumn("_at", F.monotonically_increasing_id()))
+    tasks = ordered.groupBy(F.shiftright(at, bits).alias("_task")).agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    before = tasks.select("_task", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    placed = ordered.withColumn("_task", F.shiftright(at, bits)).join(before, "_task")
+    place = F.col("_before") + at.bitwiseAND((1 << bits) - 1)
+    return placed.withColumn("page", F.floor(place / n).cast("long")).drop("_task", "_before", "_at")
 
 
 def cursor_of(page: DataFrame) -> Cursor | None:

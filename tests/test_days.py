@@ -207,3 +207,36 @@ def test_hours_far_from_the_day(spark, places):
     for _, port, seconds, _ in rows[:3]:
         at = BATCH + timedelta(seconds=seconds)
         assert users(days.trace_time(at, at + timedelta(seconds=1)), "convertedPort") == [(str(port),)]
+
+
+def test_all_pages_are_those_read_one_by_one(spark, places):
+    path, whole = places
+    store.upsert_sessions(many(spark, 50), path, BATCH)
+    store.compact_day(spark, path, whole, DAY)
+    store.upsert_sessions(many(spark, 20, "late"), path, BATCH + timedelta(days=1))
+    days, span = D.Days.open(spark, path, whole), (BATCH, BATCH + timedelta(days=1))
+    one_by_one, after = [], None
+    for number in range(8):
+        page = days.trace_time(*span, 9, after)
+        one_by_one += [(number, *r) for r in page.collect()]
+        after = S.cursor_of(page)
+    assert len(one_by_one) == 70
+    at_once = days.trace_pages(*span, 9)
+    assert sorted(tuple(r) for r in at_once.select("page", *page.columns).collect()) == sorted(one_by_one)
+    # From a cursor on, and after the last row.
+    third = days.trace_time(*span, 18)
+    rest = days.trace_pages(*span, 9, S.cursor_of(third)).select("page", "rowkey", "dt").collect()
+    assert sorted((r.page + 2, r.dt, r.rowkey) for r in rest) == sorted((r[0], r[1], r[1 + page.columns.index("rowkey")]) for r in one_by_one if r[0] > 1)
+    assert days.trace_pages(*span, 9, S.Cursor("~", DAY)).count() == 0
+
+
+def test_work_of_all_pages_does_not_grow_with_pages(spark, places):
+    path, whole = places
+    store.upsert_sessions(many(spark, 60), path, BATCH)
+    days, jobs = D.Days.open(spark, path, whole), {}
+    for n in (2, 30):
+        spark.sparkContext.setJobGroup(f"pages of {n}", "")
+        assert days.trace_pages(BATCH, BATCH + timedelta(days=1), n).select("page").distinct().count() == 60 // n
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"pages of {n}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[2] == jobs[30]
