@@ -16,10 +16,12 @@ import json
 import re
 from collections.abc import Callable
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,6 +126,23 @@ def heaped(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p]
 
 
+class Parts(word_blocks.Keys):
+    """Parts of texts; those that Arrow has cut are numbered by it when the block is closed, others below zero before."""
+
+    def __init__(self):
+        super().__init__()
+        self.values = []
+
+    def closed(self):
+        flat, single = super().closed()
+        coded = pa.concat_arrays(self.values).dictionary_encode()
+        keys = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        cut = flat >= 0
+        flat[~cut] = len(keys) - 1 - flat[~cut]
+        flat[cut] = coded.indices.to_numpy()
+        return flat, keys + single
+
+
 class Pieces(word_blocks.Words):
     """The matches of a pattern as words.
 
@@ -136,23 +155,64 @@ class Pieces(word_blocks.Words):
         self.cut = re.compile(r" (?=\S)").split
         self.odd = re.compile(r" (?:\s|$)").search
 
-    def split(self, text: str) -> list[str]:
-        parts = self.cut(text) if self.odd(text) else text.split(" ")
-        parts[0] = FIRST + parts[0]
-        return parts
+    def keys(self):
+        return Parts()
+
+    def parts(self, column):
+        """Texts without a space before white space or at their end are cut by Arrow."""
+        texts = column.to_pylist()
+        even = np.fromiter((self.odd(t) is None for t in texts), bool, len(texts))
+        split = pc.split_pattern(column.filter(pa.array(even)), " ")
+        starts, values = split.offsets.to_numpy().astype(np.int64), split.values
+        other = {k: self.cut(texts[k]) for k in np.flatnonzero(~even).tolist()}
+        sizes = np.empty(len(texts), np.int64)
+        sizes[even], sizes[~even] = np.diff(starts), [len(parts) for parts in other.values()]
+        place = np.concatenate(([0], np.cumsum(even)))
+
+        def add(i, j, keys):
+            own, low, high = np.repeat(even[i:j], sizes[i:j]), int(starts[place[i]]), int(starts[place[j]])
+            single, flat = ~own, np.zeros(len(own), np.int32)
+            single[np.cumsum(sizes[i:j]) - sizes[i:j]] = True
+            keys.values.append(values.slice(low, high - low).filter(pa.array(~single[own])))
+            listed = ([texts[k].partition(" ")[0]] if even[k] else other[k] for k in range(i, j))
+            found = [key for first, *rest in listed for key in (FIRST + first, *rest)]
+            flat[single] = -1 - keys.numbers.of(found, len(found))
+            keys.parts.append(flat)
+
+        return sizes, add
 
     def refine(self, keys):
-        numbers, counts, places = {}, [], []
-        for key in keys:
-            found = self.match(key[1:] if key[:1] == FIRST else " " + key)
-            counts.append(len(found))
-            for piece in found:
-                places.append(numbers.setdefault(piece, len(numbers)))
-        return [w.encode() for w in numbers], np.array(counts, np.int64), np.array(places, np.int64)
+        """Keys without a space are matched many at a time, put together as in a text: the match that begins with a
+        space is the first of its key. Others are matched one by one."""
+        numbers, counts = word_blocks.Numbers(), np.empty(len(keys), np.int64)
+        plain = [" " not in key and key[:1] not in ("", FIRST) for key in keys]
+        together, alone = np.flatnonzero(plain), np.flatnonzero(~np.array(plain, bool))
+        order, flat = [], []
+        for at in range(0, len(together), KEYS):
+            part = together[at : at + KEYS]
+            found = self.match("".join([" " + keys[k] for k in part]))
+            begins = np.flatnonzero(np.fromiter(map(" ".__eq__, map(FIRST_OF, found)), bool, len(found)))
+            if len(begins) != len(part) or begins[0]:  # a match of this pattern doesn't begin at each space
+                alone = np.sort(np.concatenate((alone, part)))
+                continue
+            counts[part] = np.diff(begins, append=len(found))
+            order.append(part)
+            flat.append(numbers.of(found, len(found)))
+        for k in alone.tolist():
+            found = self.match(keys[k][1:] if keys[k][:1] == FIRST else " " + keys[k])
+            counts[k] = len(found)
+            flat.append(numbers.of(found, len(found)))
+        order = np.concatenate((*order, alone)).astype(np.int64)
+        starts = np.empty(len(keys), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        return [w.encode() for w in numbers], counts, starts, np.concatenate((np.empty(0, np.int32), *flat))
 
 
 #: Marks a text's first part, which no space precedes. No text holds half a surrogate pair.
 FIRST = "\ud800"
+FIRST_OF = itemgetter(0)
+#: Keys that are matched at once.
+KEYS = 20_000
 
 
 def corpus_ids(listed: DataFrame, ranks: dict[bytes, int]) -> DataFrame:

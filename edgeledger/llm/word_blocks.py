@@ -9,11 +9,13 @@ made from the same rows by two passes; a body knows the length and checksum of i
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ from edgeledger.llm.common import small_batches
 
 #: Words after which a block is closed; a text is never split, so a longer one is a block of its own.
 BLOCK_WORDS = 6_000_000
+#: Occurrences that are taken apart at once.
+SLICE = 1_000_000
 #: Rows of a batch of list entries.
 LIST_ROWS = 20_000
 
@@ -30,31 +34,37 @@ BODY = pa.schema([("block", pa.int64()), ("body", pa.binary())])
 ENTRY = [pa.field("block", pa.int64()), pa.field("number", pa.int32()), pa.field("word", pa.binary())]
 
 
-class _Numbers(dict):
+class Numbers(dict):
     """key -> its place among the keys seen."""
 
     def __missing__(self, key) -> int:
         value = self[key] = len(self)
         return value
 
+    def of(self, keys: Iterable, size: int) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int32, size)
+
 
 def pack(*arrays: np.ndarray) -> bytes:
     """Whole numbers that are not negative, compressed; the bytes of equal weight stand together."""
     parts = []
     for a in arrays:
-        planes = a.astype("<u8").view(np.uint8).reshape(len(a), 8).T
-        used = max([k + 1 for k in range(8) if planes[k].any()], default=0)
-        parts += [np.array([len(a), used], "<i8").tobytes(), planes[:used].tobytes()]
+        used = (int(a.max(initial=0)).bit_length() + 7) // 8
+        width = 4 if used <= 4 else 8
+        planes = a.astype(f"<u{width}").view(np.uint8).reshape(len(a), width).T
+        parts += [np.array([len(a), used], "<i8").tobytes(), *(planes[k].tobytes() for k in range(used))]
     return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
 
 
 def unpack(body: bytes) -> list[np.ndarray]:
+    """The numbers again, in four bytes each where all are below 2 ** 24."""
     raw, at, out = zstandard.ZstdDecompressor().decompress(body), 0, []
     while at < len(raw):
         size, used = np.frombuffer(raw, "<i8", 2, at).tolist()
-        planes = np.zeros((size, 8), np.uint8)
+        width = 4 if used < 4 else 8
+        planes = np.zeros((size, width), np.uint8)
         planes[:, :used] = np.frombuffer(raw, np.uint8, size * used, at + 16).reshape(used, size).T
-        out.append(planes.reshape(-1).view("<u8").astype(np.int64))
+        out.append(planes.reshape(-1).view(f"<i{width}"))
         at += 16 + size * used
     return out
 
@@ -68,14 +78,38 @@ def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nd
     return values[shift + np.arange(total)]
 
 
+class Keys:
+    """The keys of a block and their numbers, in the order of the texts."""
+
+    def __init__(self):
+        self.numbers, self.parts = Numbers(), []
+
+    def closed(self) -> tuple[np.ndarray, list]:
+        return np.concatenate(self.parts), list(self.numbers)
+
+
 class Words:
     """How texts fall into words; this one takes the words of ``split`` as they are."""
 
     def __init__(self, split: Callable):
         self.split = split
 
-    def refine(self, keys: list) -> tuple[list[bytes], np.ndarray, np.ndarray] | None:
-        """The words of each key: distinct words, then for all keys their number and the words' places."""
+    def keys(self) -> Keys:
+        """What numbers the keys of one block."""
+        return Keys()
+
+    def parts(self, column: pa.Array) -> tuple[np.ndarray, Callable]:
+        """How many keys each text has, and ``add(i, j, keys)``, which gives those of texts ``i`` to ``j`` to ``keys``."""
+        split = list(map(self.split, column.to_pylist()))
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+
+        def add(i: int, j: int, keys: Keys) -> None:
+            keys.parts.append(keys.numbers.of(chain.from_iterable(split[i:j]), int(sizes[i:j].sum())))
+
+        return sizes, add
+
+    def refine(self, keys: list) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray] | None:
+        """The words of each key: distinct words, then for each key their number and where they start, and the words' places."""
         return None
 
 
@@ -108,21 +142,33 @@ class Block:
         return cls(row, ids, flag, sizes, numbers, int(words), int(check))
 
 
+def _taken_apart(flat: np.ndarray, sizes: np.ndarray, counts, starts, places) -> tuple[np.ndarray, np.ndarray]:
+    """The words of the keys ``flat`` of texts of ``sizes``, some at a time, and the sizes in words."""
+    ends, reached, total, words = np.cumsum(sizes), np.zeros(len(sizes), np.int64), 0, [places[:0]]
+    for k in range(0, len(flat), SLICE):
+        part = flat[k : k + SLICE]
+        own, here = counts[part], np.flatnonzero((ends > k) & (ends <= k + SLICE))
+        words.append(gathered(places, starts[part], own))
+        steps = np.cumsum(own)
+        reached[here] = total + steps[ends[here] - k - 1]
+        total += int(steps[-1])
+    return np.concatenate(words), np.diff(reached, prepend=0)
+
+
+def by_bytes(words: list[bytes]) -> np.ndarray:
+    """The places of words in the order of their bytes."""
+    return pc.sort_indices(pa.array(words, pa.binary())).to_numpy()
+
+
 def _closed(frames: Iterator[pa.RecordBatch], words: Words, limit: int) -> Iterator[tuple[Block, list[bytes]]]:
-    numbers, texts, about, total = _Numbers(), [], [], 0
+    taken, lengths, about, total = words.keys(), [], [], 0
 
-    def close() -> tuple[Block, list[bytes]]:
-        sizes = np.array([len(t) for t in texts], np.int64)
-        flat, keys = np.concatenate(texts), list(numbers)
+    def close(flat: np.ndarray, keys: list, sizes: np.ndarray, about: list[tuple]) -> tuple[Block, list[bytes]]:
         if (refined := words.refine(keys)) is not None:
-            keys, counts, places = refined
-            starts = np.cumsum(counts) - counts
-            ends = np.cumsum(sizes)
-            steps = np.concatenate(([0], np.cumsum(counts[flat])))
-            sizes = steps[ends] - steps[ends - sizes]
-            flat = gathered(places, starts, counts)[:0] if not len(flat) else gathered(places, starts[flat], counts[flat])
+            keys, *where = refined
+            flat, sizes = _taken_apart(flat, sizes, *where)
         order = np.argsort(-np.bincount(flat, minlength=len(keys)), kind="stable")
-        rank = np.empty_like(order)
+        rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
         listed = [keys[k] for k in order.tolist()]
         row, doc_id, flag = zip(*about)
@@ -130,16 +176,24 @@ def _closed(frames: Iterator[pa.RecordBatch], words: Words, limit: int) -> Itera
         return Block(np.array(row), doc_id, np.array(flag), sizes, rank[flat], len(listed), check), listed
 
     for batch in frames:
-        for row, doc_id, flag, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "flag", "text"))):
-            split = words.split(text)
-            texts.append(np.fromiter(map(numbers.__getitem__, split), np.int64, len(split)))
-            about.append((row, doc_id, flag))
-            total += len(split)
+        rows = list(zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "flag"))))
+        sizes, add = words.parts(batch.column("text"))
+        reached, at = np.cumsum(sizes), 0
+        while at < len(rows):
+            before = int(reached[at - 1]) if at else 0
+            to = min(int(np.searchsorted(reached[at:], limit - total + before)) + at + 1, len(rows))
+            add(at, to, taken)
+            lengths.append(sizes[at:to])
+            about += rows[at:to]
+            total, at = total + int(reached[to - 1]) - before, to
             if total >= limit:
-                yield close()
-                numbers, texts, about, total = _Numbers(), [], [], 0
+                full, taken = taken.closed(), words.keys()
+                yield close(*full, np.concatenate(lengths), about)
+                del full
+                lengths, about, total = [], [], 0
     if about:
-        yield close()
+        full, taken = taken.closed(), None
+        yield close(*full, np.concatenate(lengths), about)
 
 
 def _rows(docs: DataFrame, binary: bool) -> DataFrame:
@@ -159,7 +213,7 @@ def lists(docs: DataFrame, words: Words, about: Callable, field: pa.Field, binar
     def run(frames):
         for block, listed in _closed(frames, words, limit):
             more, name = about(block, listed), int(block.row[0])
-            order = sorted(range(len(listed)), key=listed.__getitem__)  # neighbours alike compress well
+            order = by_bytes(listed).tolist()  # neighbours alike compress well
             for at in range(0, len(listed), LIST_ROWS):
                 part = order[at : at + LIST_ROWS]
                 columns = ([name] * len(part), part, [listed[k] for k in part], [more[k] for k in part])

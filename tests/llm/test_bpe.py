@@ -4,7 +4,9 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 
 from edgeledger.llm import byte_bpe, word_blocks
@@ -76,3 +78,43 @@ def test_small_blocks_give_the_same(spark, library, monkeypatch):
     monkeypatch.setattr(word_blocks, "bodies", lambda *a, **k: bodies(*a, **k, limit=200))
     monkeypatch.setattr(word_blocks, "lists", lambda *a, **k: lists(*a, **k, limit=200))
     assert {tuple(r) for r in byte_bpe.digest_rows(docs).collect()} == whole
+
+
+ROUGH = [*(r[1] or "" for r in HARD), "", " ", "x", " x", "a\nb \n c d\u2028 e\x85\n f", "don't  can't\t \tx ", *(f"w{k % 60} v{k}\n\ny" for k in range(200))]
+
+
+def frames(texts, size):
+    rows = pa.table({"row": range(len(texts)), "doc_id": range(len(texts)), "flag": [0] * len(texts), "text": texts})
+    return iter(rows.to_batches(max_chunksize=size))
+
+
+def test_pieces_are_the_matches_of_whole_texts(monkeypatch):
+    words = byte_bpe.Pieces(public_tokenizers.PATTERN)
+    match = regex.compile(public_tokenizers.PATTERN).findall
+    for limit, keys, cut in ((10**6, 20_000, 10**6), (7, 3, 5), (300, 50, 64)):
+        monkeypatch.setattr(byte_bpe, "KEYS", keys)
+        monkeypatch.setattr(word_blocks, "SLICE", cut)
+        found = [[listed[n].decode() for n in b.text(k)] for b, listed in word_blocks._closed(frames(ROUGH, 11), words, limit) for k in range(len(b))]
+        assert found == [match(t) for t in ROUGH]
+
+
+def test_blocks_do_not_depend_on_batches_and_take_four_bytes_a_word():
+    words = byte_bpe.Pieces(public_tokenizers.PATTERN)
+    by_size = [[(b.dump(), listed) for b, listed in word_blocks._closed(frames(ROUGH, size), words, 150)] for size in (1, 7, 500)]
+    assert by_size[0] == by_size[1] == by_size[2] and len(by_size[0]) > 1
+    (block, _), *_ = word_blocks._closed(frames(ROUGH, 500), words, 10**6)
+    assert block.numbers.itemsize == word_blocks.Block.load(block.dump()).numbers.itemsize == 4
+
+
+def test_keys_are_matched_many_at_a_time():
+    words, calls = byte_bpe.Pieces(public_tokenizers.PATTERN), []
+    match = words.match
+    words.match = lambda text: calls.append(text) or match(text)
+    assert len(words.refine([f"key{k}!" for k in range(1000)])[0]) == 1002
+    assert len(calls) == 1
+
+
+def test_a_pattern_without_spaces_is_matched_key_by_key():
+    words = byte_bpe.Pieces(r"[a-z]+|\s")
+    found = [[listed[n].decode() for n in b.text(k)] for b, listed in word_blocks._closed(frames(["ab cd", "ef"], 9), words, 99) for k in range(len(b))]
+    assert found == [["ab", " ", "cd"], ["ef"]]
