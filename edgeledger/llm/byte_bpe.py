@@ -1,10 +1,10 @@
 """Byte-level BPE: ranked merges folded over the bytes of distinct words by Spark expressions.
 
 Every distinct word of the corpus is merged once: a fold starts from its bytes and joins the pair
-of least rank, the leftmost of equal ones, until no pair has a rank. The ranks are a literal in the
-plan: an array of small maps from pairs of ids, the map chosen by the pair, as a map's own lookup
-goes through all its keys. Texts get the ids of their words through word blocks. Decoding puts the
-tokens' bytes after one another.
+of least rank, the leftmost of equal ones, until no pair has a rank. The ranks are an array of small
+maps from pairs of ids, the map chosen by the pair, as a map's own lookup goes through all its keys;
+a scalar subquery gives it, so that no description of the plan holds it. Texts get the ids of their
+words through word blocks. Decoding puts the tokens' bytes after one another.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from edgeledger.llm import word_blocks
@@ -57,13 +57,15 @@ def pair_ranks(ranks: dict[bytes, int]) -> list[dict[str, int]]:
     return maps
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    maps = F.from_json(F.lit(json.dumps(pair_ranks(ranks))), "array<map<string,int>>")
-    return maps.cast("array<map<bigint,int>>")
+def rank_table(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
+    """The maps as a scalar subquery. As a literal they would stand in each description of the plan, megabytes every
+    time, all of which the driver keeps."""
+    maps = F.from_json("maps", "array<map<string,int>>").cast("array<map<bigint,int>>")
+    return spark.createDataFrame([(json.dumps(pair_ranks(ranks)),)], "maps string").select(maps).scalar()
 
 
-def folded(word: Column, ranks: dict[bytes, int]) -> Column:
-    """The ids of a word (binary, not empty) by a fold of ranked merges over its bytes."""
+def folded(word: Column, maps: Column, ranks: dict[bytes, int]) -> Column:
+    """The ids of a word (binary, not empty) by a fold of ranked merges over its bytes. ``maps`` is a column of ``rank_table``."""
     byte_ids = F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<int>")
     none = F.array().cast("array<int>")
 
@@ -99,7 +101,7 @@ def folded(word: Column, ranks: dict[bytes, int]) -> Column:
         return F.aggregate(steps, begin, lambda acc, _: step(table, acc), lambda acc: acc["s"])
 
     symbols = F.transform(F.split(F.decode(word, "ISO-8859-1"), ""), lambda c: F.get(byte_ids, F.ascii(c)))
-    return let(rank_literal(ranks), fold)  # the literal stands in the plan once
+    return let(maps, fold)  # used once, so Spark puts the subquery in its place and no row holds the maps
 
 
 def heaped(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -135,11 +137,14 @@ class Parts(word_blocks.Keys):
 
     def closed(self):
         flat, single = super().closed()
-        coded = pa.concat_arrays(self.values).dictionary_encode()
-        keys = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        coded = pa.chunked_array(self.values, pa.string()).dictionary_encode().unify_dictionaries()
+        self.values = []  # a block's texts are not held twice
+        keys = coded.chunk(0).dictionary.to_numpy(zero_copy_only=False).tolist() if coded.num_chunks else []
         cut = flat >= 0
         flat[~cut] = len(keys) - 1 - flat[~cut]
-        flat[cut] = coded.indices.to_numpy()
+        flat[cut] = np.concatenate([flat[:0], *(chunk.indices.to_numpy() for chunk in coded.chunks)])
+        del coded
+        pa.default_memory_pool().release_unused()
         return flat, keys + single
 
 
@@ -222,15 +227,15 @@ def corpus_ids(listed: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     once, so a word has a row for each block at most.
     """
     own = Window.partitionBy("word").orderBy("block")
-    first = listed.withColumn("place", F.row_number().over(own))
+    first = listed.withColumn("place", F.row_number().over(own)).withColumn("maps", rank_table(listed.sparkSession, ranks))
     shortcuts = {t: r for t, r in ranks.items() if heaped(t, ranks) != [r]}
-    ids = folded(F.col("word"), ranks)
+    ids = folded(F.col("word"), F.col("maps"), ranks)
     if shortcuts:  # tokens that merges don't reach are still what a word that equals them becomes
         table = F.from_json(F.lit(json.dumps({t.hex().upper(): [r] for t, r in shortcuts.items()})), "map<string,array<int>>")
         ids = F.coalesce(table[F.hex("word")], ids)
     kind = "smallint" if max(ranks.values()) < 2 * SHIFT else "int"
     short = F.transform(F.coalesce("ids", ids), lambda x: (x - SHIFT).cast(kind))
-    merged = first.withColumn("ids", F.when(F.col("place") == 1, short))
+    merged = first.select("block", "number", "word", F.when(F.col("place") == 1, short).alias("ids"))
     return merged.select("block", "number", F.first("ids").over(own).alias("figure"))
 
 

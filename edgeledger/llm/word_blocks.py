@@ -85,7 +85,8 @@ class Keys:
         self.numbers, self.parts = Numbers(), []
 
     def closed(self) -> tuple[np.ndarray, list]:
-        return np.concatenate(self.parts), list(self.numbers)
+        parts, self.parts, numbers, self.numbers = self.parts, [], self.numbers, Numbers()
+        return np.concatenate(parts), list(numbers)
 
 
 class Words:
@@ -163,7 +164,8 @@ def by_bytes(words: list[bytes]) -> np.ndarray:
 def _closed(frames: Iterator[pa.RecordBatch], words: Words, limit: int) -> Iterator[tuple[Block, list[bytes]]]:
     taken, lengths, about, total = words.keys(), [], [], 0
 
-    def close(flat: np.ndarray, keys: list, sizes: np.ndarray, about: list[tuple]) -> tuple[Block, list[bytes]]:
+    def close(taken: Keys, sizes: np.ndarray, about: list[tuple]) -> tuple[Block, list[bytes]]:
+        flat, keys = taken.closed()  # nothing else holds them, so that they go as soon as words take their place
         if (refined := words.refine(keys)) is not None:
             keys, *where = refined
             flat, sizes = _taken_apart(flat, sizes, *where)
@@ -187,13 +189,11 @@ def _closed(frames: Iterator[pa.RecordBatch], words: Words, limit: int) -> Itera
             about += rows[at:to]
             total, at = total + int(reached[to - 1]) - before, to
             if total >= limit:
-                full, taken = taken.closed(), words.keys()
-                yield close(*full, np.concatenate(lengths), about)
-                del full
+                yield close(taken, np.concatenate(lengths), about)
+                taken = words.keys()
                 lengths, about, total = [], [], 0
     if about:
-        full, taken = taken.closed(), None
-        yield close(*full, np.concatenate(lengths), about)
+        yield close(taken, np.concatenate(lengths), about)
 
 
 def _rows(docs: DataFrame, binary: bool) -> DataFrame:

@@ -118,3 +118,23 @@ def test_a_pattern_without_spaces_is_matched_key_by_key():
     words = byte_bpe.Pieces(r"[a-z]+|\s")
     found = [[listed[n].decode() for n in b.text(k)] for b, listed in word_blocks._closed(frames(["ab cd", "ef"], 9), words, 99) for k in range(len(b))]
     assert found == [["ab", " ", "cd"], ["ef"]]
+
+
+def test_no_description_of_the_plan_holds_the_ranks(spark):
+    frame = spark.createDataFrame([(1, "so far and so good")], "doc_id long, text string")
+    plan = byte_bpe.digest_rows(frame)._jdf.queryExecution().toString()
+    assert len(plan) < 200_000
+    merged = [line for line in plan.split("== Physical Plan ==")[1].splitlines() if "aggregate(" in line]
+    assert any("ubquery" in line for line in merged), "the maps are a column of their own, held by each row"
+
+
+def test_a_closed_block_holds_no_texts():
+    before = pa.total_allocated_bytes()
+    words = byte_bpe.Pieces(r" ?\S+|\s+")
+    keys, column = words.keys(), pa.array(["some words of one text"] * 20_000)
+    sizes, add = words.parts(column)
+    add(0, len(column), keys)
+    del add, column
+    flat, _ = keys.closed()
+    assert len(flat) == sizes.sum() and not keys.parts and not keys.numbers
+    assert pa.total_allocated_bytes() == before
