@@ -20,7 +20,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgeledger.llm.common import documents, land, land_at, numbered, passing, slim, small_batches
@@ -31,6 +31,8 @@ BAND_BINS = 6
 BINS = BANDS * BAND_BINS
 #: Nodes of a bucket, beyond the first stars, that are all compared with each other: a node meets at most these.
 FEW = 64
+#: Nodes of a bucket whose pairs are rows, one for all buckets that they share; those of more nodes are compared in a task.
+AS_ROWS = 8
 #: Bins that name a bucket when a mixed one is banded anew.
 SPLIT_BINS = 8
 #: Probability below which a near pair may be dropped by its sketches.
@@ -140,6 +142,12 @@ def least_equal(percent: int) -> np.ndarray:
     return out
 
 
+def _sketches_allow(x: np.ndarray, y: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Whether two sketches don't tell their sets apart, row by row."""
+    filled = ((x | y) != 0).sum(axis=1)
+    return ((x == y) & (x != 0)).sum(axis=1) >= least[filled]
+
+
 def alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sketches don't tell them apart."""
     least = least_equal(percent)
@@ -151,15 +159,51 @@ def alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                     np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS)
                     for c in ("sketch_a", "sketch_b")
                 )
-                filled = ((x | y) != 0).sum(axis=1)
-                stay = ((x == y) & (x != 0)).sum(axis=1) >= least[filled]
-                yield batch.select(["a", "b"]).filter(pa.array(stay))
+                yield batch.select(["a", "b"]).filter(pa.array(_sketches_allow(x, y, least)))
 
     one = pairs.join(nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a")), "a")
     both = one.join(nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b")
     return both.mapInArrow(run, "a long, b long")
 
 
+def alike_in_groups(groups: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` of each ``group`` whose components, sizes and sketches allow a link; ``group`` is a list of
+    ``node, n, root, sketch``.
+
+    Sketches come once for each member of a group, and only pairs that stay are rows.
+    """
+    least = least_equal(percent)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def members(sizes):
+        """The places of both members of all pairs, groups of one size at a time."""
+        starts, found = np.cumsum(sizes) - sizes, [(sizes[:0], sizes[:0])]
+        for size in np.unique(sizes):
+            one, other = np.triu_indices(size, 1)
+            own = starts[sizes == size][:, None]
+            found.append(((own + one).ravel(), (own + other).ravel()))
+        return (np.concatenate(side) for side in zip(*found))
+
+    def run(frames):
+        def of(batch):
+            group = batch.column("group")
+            rows = group.flatten()
+            node, n, root = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("node", "n", "root"))
+            sketch = np.frombuffer(b"".join(rows.field("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
+            x, y = members(np.diff(group.offsets.to_numpy()).astype(np.int64))
+            stay = (root[x] != root[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+            x, y = x[stay], y[stay]
+            parts = range(0, len(x), 1 << 14)
+            stay = [_sketches_allow(sketch[x[k : k + (1 << 14)]], sketch[y[k : k + (1 << 14)]], least) for k in parts]
+            stay = np.concatenate([np.empty(0, bool), *stay])
+            both = np.stack([node[x[stay]], node[y[stay]]])
+            return tuple(np.unique(np.sort(both, axis=0), axis=1))
+
+        return batches(frames, schema, of)
+
+    return groups.select("group").mapInArrow(run, "a long, b long")
+
+
 def mixed(places: DataFrame, roots: DataFrame | None) -> DataFrame:
     """``bucket, node, n, root, size``: the places in buckets whose nodes are of several components."""
     root = F.col("node") if roots is None else F.coalesce("root", "node")
@@ -214,25 +258,29 @@ def stars(live: DataFrame, centres: DataFrame, percent: int) -> tuple[DataFrame,
     return pairs.select(*_pair(F.col("node"), F.col("c.node"))), rest
 
 
-def central_stars(live: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Stars around the nodes that share most buckets with others."""
-    central = land(live.groupBy("node").agg(F.sum("size").alias("central")), "central")
+def central_stars(live: DataFrame, nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs that sketches allow in stars around the nodes that share most buckets with others, and the rest of the places."""
     own = F.struct("node", "n", "root")
-    centres = live.join(central, "node").groupBy("bucket").agg(F.max(F.struct("central", own.alias("c")))["c"].alias("c"))
-    return stars(live, land(centres, "centres"), percent)
+    central = F.sum("size").over(Window.partitionBy("node"))  # a node has a place for each band at most
+    centres = live.withColumn("central", central).groupBy("bucket").agg(F.max(F.struct("central", own.alias("c")))["c"].alias("c"))
+    pairs, rest = stars(live, land(centres, "centres"), percent)
+    return alike(pairs.distinct(), nodes, percent), rest
 
 
-def further_pairs(live: DataFrame, level: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """All pairs of different components in buckets of a few nodes, stars around drawn centres in others, and the rest of these."""
+def further_pairs(live: DataFrame, nodes: DataFrame, level: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs that sketches allow: all of different components in buckets of a few nodes, stars around drawn centres
+    in others; and the rest of these."""
     own = F.struct("node", "n", "root")
-    groups = live.where(F.col("size") <= FEW).groupBy("bucket").agg(F.collect_list(own).alias("group"))
+    groups = live.where(F.col("size") <= min(AS_ROWS, FEW)).groupBy("bucket").agg(F.collect_list(own).alias("group"))
     few = groups.select("group", F.explode("group").alias("x"))
     other = lambda y: (F.col("x.root") < y["root"]) & _near(F.col("x.n"), y["n"], percent)
-    few = few.select("x", F.explode(F.filter("group", other)).alias("y"))
+    few = few.select("x", F.explode(F.filter("group", other)).alias("y")).select(*_pair(F.col("x.node"), F.col("y.node")))
+    more = live.where((F.col("size") > AS_ROWS) & (F.col("size") <= FEW)).join(nodes.select("node", "sketch"), "node")
+    groups = more.groupBy("bucket").agg(F.collect_list(F.struct("node", "n", "root", "sketch")).alias("group"))
     many = live.where(F.col("size") > FEW)
     drawn = F.min(F.struct(F.xxhash64("node", F.lit(level)).alias("draw"), own.alias("c")))["c"]
     pairs, rest = stars(many, land(many.groupBy("bucket").agg(drawn.alias("c")), "centres"), percent)
-    return pairs.union(few.select(*_pair(F.col("x.node"), F.col("y.node")))), rest
+    return alike(pairs.union(few).distinct(), nodes, percent).union(alike_in_groups(groups, percent)).distinct(), rest
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -315,14 +363,13 @@ def linked(nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
                 live = mixed(banded_anew(live, nodes, percent), roots)
             if live.isEmpty():
                 return roots
-            pairs, rest = further_pairs(live, level, percent) if level else central_stars(live, percent)
-            pairs = pairs.distinct()
+            pairs, rest = further_pairs(live, nodes, level, percent) if level else central_stars(live, nodes, percent)
             if tested:
                 pairs = pairs.join(spark.read.schema("a long, b long").parquet(*tested), ["a", "b"], "left_anti")
-            tested.append(land_at(alike(pairs, nodes, percent), "tested", stays=True))
+            tested.append(land_at(pairs, "tested", stays=True))
             pairs = spark.read.schema("a long, b long").parquet(tested[-1])
-            links = land(confirmed(pairs, texts, words, percent), "confirmed")
-            if not links.isEmpty():
+            links = None if pairs.isEmpty() else land(confirmed(pairs, texts, words, percent), "confirmed")
+            if links is not None and not links.isEmpty():
                 if roots is not None:
                     links = links.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))
                 roots = land(components(links), "roots", stays=True)

@@ -158,3 +158,47 @@ def test_chains_and_stars_become_components(spark):
     assert {(r["node"], r["root"]) for r in got.collect()} == (
         {(k, 0) for k in range(1, 61)} | {(200 + k, 100) for k in range(30)}
     )
+
+
+def test_pairs_of_a_few_nodes_are_those_that_the_plain_rule_names(spark, monkeypatch):
+    """Groups of several sizes, one of them of one component, against each pair by itself; pairs of larger groups are
+    compared in a task, so that only those that stay are rows."""
+    rng, rows = np.random.default_rng(6), []
+    base = rng.integers(1, 256, minhash.BINS, dtype=np.uint8)
+    for bucket, size in enumerate((2, 5, 5, 9, 1, 3)):
+        for k in range(size):
+            sketch = np.where(rng.random(minhash.BINS) < 0.1 * rng.random(), 0, base).astype(np.uint8)
+            own = rng.random(minhash.BINS) < 0.3 * rng.random()
+            sketch[own] = rng.integers(1, 256, own.sum())
+            node = 100 * bucket + 10 - k
+            rows.append((bucket, node, 100 + int(rng.integers(0, 30)), 7 if bucket == 5 else node // 2, sketch.tobytes()))
+    least, wanted = minhash.least_equal(85), set()
+    for x, y in combinations(rows, 2):
+        s, t = (np.frombuffer(r[4], np.uint8) for r in (x, y))
+        if x[0] == y[0] and x[3] != y[3] and 100 * min(x[2], y[2]) >= 85 * max(x[2], y[2]):
+            if ((s == t) & (s != 0)).sum() >= least[((s | t) != 0).sum()]:
+                wanted.add((min(x[1], y[1]), max(x[1], y[1])))
+    live = [(bucket, node, n, root, sum(r[0] == bucket for r in rows)) for bucket, node, n, root, _ in rows]
+    live = spark.createDataFrame(live, "bucket long, node long, n long, root long, size long")
+    nodes = spark.createDataFrame([(r[1], r[4]) for r in rows], "node long, sketch binary")
+    paired, alike = [], minhash.alike
+    monkeypatch.setattr(minhash, "alike", lambda pairs, *rest: paired.append(pairs) or alike(pairs, *rest))
+    for as_rows in (0, 4, 100):
+        monkeypatch.setattr(minhash, "AS_ROWS", as_rows)
+        pairs, rest = minhash.further_pairs(live, nodes, 1, 85)
+        assert {tuple(r) for r in pairs.collect()} == wanted and 3 <= len(wanted) <= 50 and rest.count() == 0
+    rows_, few_rows, all_rows = (frame.count() for frame in paired)
+    assert rows_ == 0 and few_rows < len(wanted) < all_rows
+
+
+def test_the_centre_of_a_bucket_shares_most_places(spark, monkeypatch):
+    """The places of a node are summed beside them, without a join of places with nodes."""
+    live = [(1, 5, 9, 5, 3), (1, 6, 9, 6, 3), (1, 7, 9, 7, 3), (2, 6, 9, 6, 2), (2, 8, 9, 8, 2)]
+    found = []
+    monkeypatch.setattr(minhash, "stars", lambda live, centres, percent: found.append(centres) or (centres.selectExpr("0L a", "0L b"), centres))
+    monkeypatch.setattr(minhash, "alike", lambda pairs, *_: pairs)
+    landed = minhash.land
+    monkeypatch.setattr(minhash, "land", lambda df, name, **k: found.append(df) or landed(df, name, **k))
+    minhash.central_stars(spark.createDataFrame(live, "bucket long, node long, n long, root long, size long"), None, 85)
+    assert {(r["bucket"], r["c"]["node"]) for r in found[-1].collect()} == {(1, 6), (2, 6)}
+    assert not any("Join" in df._jdf.queryExecution().executedPlan().toString() for df in found)
