@@ -4,12 +4,14 @@ A task takes its texts in blocks. A block has a list of its distinct words, the
 first, and a body, the texts as numbers into that list. Lists are shuffled by word, to learn
 whatever the corpus knows of a word, then by block, to meet their bodies; single occurrences are
 never shuffled and nothing of the whole vocabulary has to fit in one place. Lists and bodies are
-made from the same rows by two passes; a body knows the length and checksum of its list.
+made from the same rows by two passes; a body knows the length and checksum of its list. Where texts
+are needed more often, ``packed`` keeps both together, to be landed and read as often as wanted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from itertools import chain
 from zlib import crc32
 
@@ -17,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
@@ -27,10 +29,13 @@ from edgeledger.llm.common import small_batches
 BLOCK_WORDS = 6_000_000
 #: Occurrences that are taken apart at once.
 SLICE = 1_000_000
+#: What a file counts for, beside its size, when files are put together for a task.
+OPEN_COST = "spark.sql.files.openCostInBytes"
 #: Rows of a batch of list entries.
 LIST_ROWS = 20_000
 
 BODY = pa.schema([("block", pa.int64()), ("body", pa.binary())])
+PACKED = pa.schema([*BODY, ("words", pa.binary())])
 ENTRY = [pa.field("block", pa.int64()), pa.field("number", pa.int32()), pa.field("word", pa.binary())]
 
 
@@ -202,6 +207,15 @@ def _rows(docs: DataFrame, binary: bool) -> DataFrame:
     return docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.col("flag").cast("int").alias("flag"))
 
 
+def _entries(block: Block, listed: list[bytes], about: Callable, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    more, name = about(block, listed), int(block.row[0])
+    order = by_bytes(listed).tolist()  # neighbours alike compress well
+    for at in range(0, len(listed), LIST_ROWS):
+        part = order[at : at + LIST_ROWS]
+        columns = ([name] * len(part), part, [listed[k] for k in part], [more[k] for k in part])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
+
+
 def lists(docs: DataFrame, words: Words, about: Callable, field: pa.Field, binary: bool = False, limit: int = BLOCK_WORDS) -> DataFrame:
     """``block, number, word`` and the column that ``about(block, words)`` gives for each word.
 
@@ -212,12 +226,7 @@ def lists(docs: DataFrame, words: Words, about: Callable, field: pa.Field, binar
 
     def run(frames):
         for block, listed in _closed(frames, words, limit):
-            more, name = about(block, listed), int(block.row[0])
-            order = by_bytes(listed).tolist()  # neighbours alike compress well
-            for at in range(0, len(listed), LIST_ROWS):
-                part = order[at : at + LIST_ROWS]
-                columns = ([name] * len(part), part, [listed[k] for k in part], [more[k] for k in part])
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
+            yield from _entries(block, listed, about, schema)
 
     return _rows(docs, binary).mapInArrow(run, from_arrow_schema(schema))
 
@@ -233,6 +242,46 @@ def bodies(docs: DataFrame, words: Words, binary: bool = False, limit: int = BLO
     return _rows(docs, binary).mapInArrow(run, from_arrow_schema(BODY))
 
 
+def packed(docs: DataFrame, words: Words, binary: bool = False, limit: int = BLOCK_WORDS) -> DataFrame:
+    """``block, body, words`` of the same blocks: each with its list, whose words hold no space."""
+
+    def run(frames):
+        for block, listed in _closed(frames, words, limit):
+            columns = ([int(block.row[0])], [block.dump()], [b" ".join(listed)])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, PACKED.types)], schema=PACKED)
+
+    return _rows(docs, binary).mapInArrow(run, from_arrow_schema(PACKED))
+
+
+def loaded(frames: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, list[bytes]]]:
+    """The blocks of ``packed`` and their lists, one at a time."""
+    for batch in frames:
+        for body, words in zip(batch.column("body"), batch.column("words")):
+            yield Block.load(body.as_py()), words.as_py().split(b" ")
+
+
+def entries(blocks: DataFrame, about: Callable, field: pa.Field) -> DataFrame:
+    """What ``lists`` gives, of blocks that ``packed`` has made."""
+    schema = pa.schema([*ENTRY, field])
+
+    def run(frames):
+        for block, listed in loaded(frames):
+            yield from _entries(block, listed, about, schema)
+
+    return blocks.mapInArrow(run, from_arrow_schema(schema))
+
+
+@contextmanager
+def file_by_file(spark: SparkSession) -> Iterator[None]:
+    """Tables that are read inside have a task for each file: blocks are small, but there is much to do for each."""
+    before = spark.conf.get(OPEN_COST)
+    spark.conf.set(OPEN_COST, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_COST, before)
+
+
 def meet(packed: DataFrame, known: DataFrame, run: Callable, schema: pa.Schema) -> DataFrame:
     """``run(Block, figures)`` for each block: ``known`` is ``block, number, figure``, the figures come by number.
 

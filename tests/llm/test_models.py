@@ -46,6 +46,55 @@ def test_every_training_document_teaches(spark):
         assert np.abs(gru_lm.trained(docs, corpus).flat() - begun).max() > 0.01
 
 
+def test_language_model_takes_texts_apart_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    docs = cases.table(spark, cases.PLAIN).select(F.col("doc_id").alias("row"), "doc_id", counted.asNondeterministic()("text").alias("text"))
+    assert gru_lm.scored(docs).count() == len(cases.PLAIN) == read.value
+
+
+def test_learning_is_plain_adam():
+    rng = np.random.default_rng(6)
+    begun = gru_lm.start(np.array([9, 8, 5, 5, 3, 2]))
+    width = 2 * gru_lm.STEPS + 5  # the last window is shorter
+    stream = rng.integers(0, 6, width * gru_lm.STREAMS + 1)
+    x, y = stream[:-1].reshape(-1, width).T, stream[1:].reshape(-1, width).T
+    theta, first, second = begun.flat().astype(np.float64), 0.0, 0.0
+    state = np.zeros((gru_lm.STREAMS, gru_lm.SIZE))
+    for step, at in enumerate(range(0, width, gru_lm.STEPS), 1):
+        model = begun.over(theta)
+        slopes, state = gru_lm._learn_window(model, x[at : at + gru_lm.STEPS], y[at : at + gru_lm.STEPS], state, 2)
+        g = np.concatenate([slopes[k].ravel() for k in model.learned()])
+        g *= min(1, 1 / np.sqrt(g @ g))
+        first, second = 0.9 * first + 0.1 * g, 0.995 * second + 0.005 * g * g
+        move = first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.995**step)) + 1e-6)
+        theta = theta - 0.01 * (1 - 0.9 * step / 3) * move
+    learned = gru_lm.learn(begun, stream, 2, 0.01).flat()
+    assert np.abs(learned - begun.flat()).max() > 0.005
+    assert np.allclose(learned, theta, atol=2e-4)
+
+
+def test_words_far_from_likely_keep_their_logs():
+    model = gru_lm.start(np.array([50, 20, 9, 9, 4, 2, 1, 1]))
+    flat = np.random.default_rng(7).normal(0, 60, len(model.flat()))
+    states, targets = np.random.default_rng(8).uniform(-1, 1, (40, gru_lm.SIZE)), np.arange(40) % 8
+    model = model.with_flat(flat)
+    logs = gru_lm.log_likelihoods(model, states.astype(np.float32), targets)
+    classes = np.repeat(np.arange(len(model.first) - 1), np.diff(model.first))
+    for state, target, log in zip(states, targets, logs):
+        own = classes[target]
+        of_class = state @ model.to_class + model.class_bias
+        a, b = model.first[own], model.first[own + 1]
+        of_word = model.to_word[a:b] @ state + model.word_bias[a:b]
+        wanted = of_class[own] - np.logaddexp.reduce(of_class) + of_word[target - a] - np.logaddexp.reduce(of_word)
+        assert abs(log - wanted) < 1e-3 * max(1, abs(wanted))
+
+
 def test_probabilities_sum_to_one():
     model = gru_lm.start(np.array([50, 20, 9, 9, 4, 2, 1, 1]))
     rng = np.random.default_rng(1)
